@@ -6,7 +6,7 @@ read again as the next one's ``docs``.
 
 from __future__ import annotations
 
-from curalis.llm import decontam, mixing, simhash, toxicity
+from curalis.llm import decontam, mixing, simhash, substring, toxicity
 from curalis.llm._store import materialise
 
 
@@ -20,6 +20,11 @@ def drop_near_duplicates(spark, docs, sf_dir):
     return simhash.drop_near_duplicates(docs)
 
 
+def cut_passages(spark, docs, sf_dir):
+    """Documents without the passages that repeat one of a document with a smaller id."""
+    return substring.remove_passages(docs)
+
+
 def drop_leaks(spark, docs, sf_dir):
     """Documents in which no window of a benchmark item occurs."""
     return decontam.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -33,6 +38,7 @@ def mix(spark, docs, sf_dir):
 STAGES = [
     ("toxicity", drop_toxic),
     ("simhash", drop_near_duplicates),
+    ("substring", cut_passages),
     ("decontamination", drop_leaks),
     ("mixing", mix),
 ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from curalis.llm import decontam, html, langid, mixing, quality, simhash, toxicity
+from curalis.llm import decontam, html, langid, mixing, quality, simhash, substring, toxicity
 
 QUERIES = {
     "op1_language_id": langid.op1,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_mixing": mixing.op3,
     "op5_toxicity": toxicity.op5,
     "op7_simhash": simhash.op7,
+    "op8_substring_dedup": substring.op8,
     "op9_decontaminate": decontam.op9,
     "op10_quality_rules": quality.op10,
 }
