@@ -20,7 +20,7 @@ from curalis.llm._store import partitions
 
 PER_PARTITION = 4
 #: Text that a map task gathers before it compares what it has and emits: copies within it meet here.
-FLUSH = 24 << 20
+FLUSH = 8 << 20
 SCHEMA = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("kind", T.IntegerType()), T.StructField("blob", T.BinaryType())])
 
 
@@ -72,20 +72,20 @@ def gather(df: DataFrame, emit: Callable[[pa.Table], Iterator[tuple[int, int, by
     return df.mapInArrow(run, SCHEMA)
 
 
-def reduce(df: DataFrame, work: Callable[[dict[int, list[bytes]]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
-    """``work`` over the blobs by kind of one bucket after another."""
+def reduce(df: DataFrame, work: Callable[[int, dict[int, list[bytes]]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
+    """``work(bucket, blobs by kind)`` over one bucket after another."""
 
     def run(batches):
         now, blobs = None, {}
         for batch in batches:
             for b, k, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 if b != now and blobs:
-                    yield from work(blobs)
+                    yield from work(now, blobs)
                     blobs = {}
                 now = b
                 blobs.setdefault(k, []).append(x)
         if blobs:
-            yield from work(blobs)
+            yield from work(now, blobs)
 
     n = partitions(df.sparkSession)
     return df.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
