@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from curalis.llm import decontam, html, langid, mixing, quality, simhash, substring, toxicity
+from curalis.llm import decontam, html, langid, mixing, quality, simhash, substring, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_language_id": langid.op1,
     "op2_html_extraction": html.op2,
     "op3_mixing": mixing.op3,
+    "op4_suffix_dedup": suffix_dedup.op4,
     "op5_toxicity": toxicity.op5,
     "op7_simhash": simhash.op7,
     "op8_substring_dedup": substring.op8,
@@ -15,4 +16,4 @@ QUERIES = {
     "op10_quality_rules": quality.op10,
 }
 
-ORACLE = {"op9_decontaminate": decontam.ORACLE}
+ORACLE = {"op4_suffix_dedup": suffix_dedup.ORACLE, "op9_decontaminate": decontam.ORACLE}
