@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from curalis.llm import _arrow as A
 from curalis.llm import _buckets as B
-from curalis.llm._store import materialise, partitions
+from curalis.llm._store import materialise
 
 DEPTH, GRAM = 50, 20
 WIDTH = DEPTH - GRAM + 1
@@ -162,7 +162,7 @@ def _removed(answers: np.ndarray, n: int) -> np.ndarray:
 
 def _pass_3(table: pa.Table, buckets: int):
     pieces, windows = [], []
-    for oid, tag, blob, text in zip(*(table.column(i).to_pylist() for i in range(3)), table.column(3), strict=True):
+    for oid, tag, blob, text in zip(*(table.column(i).to_pylist() for i in range(3)), table.column(table.num_columns - 1), strict=True):
         answers = np.frombuffer(blob, ANSWER)
         open_ = answers[answers["what"] != ALL]
         if not len(open_):
@@ -277,24 +277,27 @@ def repeated_spans(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     kept_sha256`` of the rest."""
     added = ["removed_spans", "n_bytes", "n_removed", "kept_sha256"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
-    spark, n, buckets = docs.sparkSession, partitions(docs.sparkSession), B.n_buckets(docs)
+    buckets = B.n_buckets(docs)
     # Rows that share an id are told apart by their text; there are hardly ever any.
     shared = not docs.groupBy(id_col).count().where("count > 1").limit(1).isEmpty()
-    tag = (F.crc32(F.coalesce(F.col(text), F.lit(""))) % 65536) if shared else F.lit(0)
+    tag = F.crc32(F.coalesce(F.col(text), F.lit(""))) % 65536
+    at = ["oid", "tag"] if shared else ["oid"]
     own = docs.select(
         *(F.col(f"`{c}`").alias(f"k_{c}") for c in keep),
         F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("oid"),
-        tag.cast("long").alias("tag"),
+        *([tag.cast("long").alias("tag")] if shared else []),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
-    first = B.gather(own.select("oid", "tag", "text"), lambda table: _pass_1(table, buckets))
+    first = B.gather(own.select("oid", F.col("tag") if shared else F.lit(0).cast("long").alias("tag"), "text"), lambda table: _pass_1(table, buckets))
     second = B.reduce(first, lambda b, x: _pass_2(b, x, buckets), B.SCHEMA)
     answers = materialise(B.reduce(second, _per_doc(ANSWER, 2), PER_DOC), "answers")
-    placed = own.repartition(n, "oid", "tag")
-    third = B.gather(placed.join(answers, ["oid", "tag"]).select("oid", "tag", "blob", "text"), lambda table: _pass_3(table, buckets))
-    runs = B.reduce(B.reduce(third, lambda b, x: _last_pass(b, x, buckets), B.SCHEMA), _per_doc(RUN, 2), PER_DOC)
-    both = answers.select("oid", "tag", F.col("blob").alias("answers")).join(runs.select("oid", "tag", F.col("blob").alias("runs")), ["oid", "tag"], "left")
-    joined = placed.join(both, ["oid", "tag"], "left").select(*(f"k_{c}" for c in keep), "answers", "runs", "text")
+    answers = answers.select(*at, F.col("blob").alias("answers"))
+    # The texts are dealt by id twice, in the same form, so that Spark sends them once.
+    open_ = own.join(answers, at).select("oid", F.col("tag") if shared else F.lit(0).cast("long").alias("tag"), "answers", *(f"k_{c}" for c in keep), "text")
+    third = B.gather(open_, lambda table: _pass_3(table, buckets))
+    runs = B.reduce(B.reduce(third, lambda b, x: _last_pass(b, x, buckets), B.SCHEMA), _per_doc(RUN, 2), PER_DOC).withColumnRenamed("blob", "runs")
+    both = answers.join(runs.select(*at, "runs"), at, "left")
+    joined = own.join(both, at, "left").select(*(f"k_{c}" for c in keep), "answers", "runs", "text")
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     schema = T.StructType(
         [*(T.StructField(c, docs.schema[c].dataType) for c in keep), T.StructField("removed_spans", T.ArrayType(span)), T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())]
