@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from curalis.llm import _arrow as A
 from curalis.llm._store import partitions
 
-PER_PARTITION = 4
+PER_PARTITION = 2
 #: Text that a map task gathers before it compares what it has and emits: copies within it meet here.
 FLUSH = 8 << 20
 SCHEMA = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("kind", T.IntegerType()), T.StructField("blob", T.BinaryType())])
