@@ -27,7 +27,7 @@ SHARE = (3, 2)
 EPOCHS = 2
 TILTS = (0.5, 0.0, -0.5)
 #: Documents of a source are numbered within slices of about this many rows, and slices by their sums.
-SLICE_ROWS = 20_000
+SLICE_ROWS = 4_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
