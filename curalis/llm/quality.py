@@ -161,8 +161,10 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str =
     known = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("__id"), F.col(label).cast("int").alias("__y"))
     known = known.orderBy(F.xxhash64("__id"), "__id", "__y").limit(max_train)  # at most max_train pairs of numbers: small enough to broadcast
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text).alias("__t")).join(F.broadcast(known), "__id").select("__id", "__y", "__t")
-    stats = with_statistics(texts, "__t", ["__id", "__y"]).where(~base_failed())
-    rows = stats.select("k___id", F.col("k___y"), *(c.alias(n) for n, c in features().items())).orderBy("k___id").limit(2 * max_train).collect()
+    stats = with_statistics(texts, "__t", ["__id", "__y"])
+    # The base rules are applied here: as a filter they would be evaluated for all documents before the join.
+    rows = stats.select("k___id", "k___y", *(c.alias(n) for n, c in features().items()), base_failed()).limit(2 * max_train).collect()
+    rows = sorted(r for r in rows if not r[-1])
     width = len(features())
     x = np.array([[r[2 + i] for i in range(width)] for r in rows], float).reshape(len(rows), width)
     return cover(x, np.array([r[1] for r in rows], int))
