@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from curalis.llm import decontam, html, langid, mixing, quality, simhash, substring, suffix_dedup, toxicity
+from curalis.llm import decontam, html, langid, licenses, mixing, quality, simhash, substring, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_language_id": langid.op1,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_mixing": mixing.op3,
     "op4_suffix_dedup": suffix_dedup.op4,
     "op5_toxicity": toxicity.op5,
+    "op6_license_scan": licenses.op6,
     "op7_simhash": simhash.op7,
     "op8_substring_dedup": substring.op8,
     "op9_decontaminate": decontam.op9,
