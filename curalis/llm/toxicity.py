@@ -22,8 +22,10 @@ from curalis.llm import _arrow as A
 
 SIZES = (3, 4, 5, 6)
 BITS = 21
-MAX_POSITIVE, MAX_NEGATIVE, MAX_TRAIN_BYTES = 3_000, 4_000, 40_000
-MAX_FEATURES = 8_192
+MASK = (1 << BITS) - 1
+MAX_POSITIVE, MAX_NEGATIVE, MAX_TRAIN_BYTES = 2_500, 2_500, 20_000
+#: At most so many features, and PER_POSITIVE for each positive row (more would be learned by heart).
+MAX_FEATURES, PER_POSITIVE = 8_192, 8
 #: The byte classes n-grams are made of.
 FOLD = np.where(A.ALNUM, A.LOWER, 32).astype(np.uint8)
 
@@ -64,25 +66,25 @@ def fit(texts: list[str], y: np.ndarray, weight: np.ndarray, steps: int = 200, d
     offsets = np.zeros(len(blobs) + 1, np.int64)
     np.cumsum([len(b) for b in blobs], out=offsets[1:])
     data = np.frombuffer(b"".join(blobs), np.uint8)
-    parts = []
-    for lo, hi in A.chunks(offsets):
-        keys = _presence(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-        parts.append((np.int32(lo) + (keys >> BITS).astype(np.int32), (keys & ((1 << BITS) - 1)).astype(np.int32)))
-    row, bucket = (np.concatenate(x) for x in zip(*parts, strict=True))
-    positive = y.astype(bool)[row]
-    p = np.bincount(bucket[positive], minlength=1 << BITS).astype(float)
-    q = np.bincount(bucket[~positive], minlength=1 << BITS).astype(float)
+    parts = [(lo, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]) for lo, hi in A.chunks(offsets)]
+    p, q = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    for lo, piece, off in parts:
+        keys = _presence(piece, off)
+        positive = y.astype(bool)[lo + (keys >> BITS)]
+        for counts_, which in ((p, positive), (q, ~positive)):
+            counts_ += np.bincount(keys[which] & MASK, minlength=1 << BITS)
     n_p, n_q = y.sum(), (1 - y).sum()
     share = (p + q) / (n_p + n_q)
     z = np.abs(p / n_p - q / n_q) / np.sqrt(np.maximum(share * (1 - share), 1e-4) * (1 / n_p + 1 / n_q))
     z[p + q < 3] = 0
-    chosen = np.sort(np.argsort(-z, kind="stable")[:MAX_FEATURES])
+    chosen = np.sort(np.argsort(-z, kind="stable")[: min(MAX_FEATURES, PER_POSITIVE * int(n_p))])
     chosen = chosen[z[chosen] > 0]
     ratio = np.log((p[chosen] + 1) / (p[chosen].sum() + len(chosen))) - np.log((q[chosen] + 1) / (q[chosen].sum() + len(chosen)))
-    place = np.full(1 << BITS, -1, np.int64)
-    place[chosen] = np.arange(len(chosen))
-    used = place[bucket] >= 0
-    row, column = row[used], place[bucket[used]]
+    wanted = np.zeros(1 << BITS, bool)
+    wanted[chosen] = True
+    found = [_presence(piece, off, wanted) + (lo << BITS) for lo, piece, off in parts]
+    keys = np.concatenate(found)
+    row, column = keys >> BITS, np.searchsorted(chosen, keys & MASK)
     value = ratio[column]
     w, b = np.zeros(len(chosen)), float(np.log(max((weight * y).sum(), 1e-9) / max((weight * (1 - y)).sum(), 1e-9)))
     m, v, total = np.zeros(len(w) + 1), np.zeros(len(w) + 1), weight.sum()
@@ -125,7 +127,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text",
     def kernel(data, offsets, valid):
         table, intercept = shared.value
         keys = _presence(data, offsets, table != 0)
-        raw = np.bincount(keys >> BITS, table[keys & ((1 << BITS) - 1)], minlength=len(offsets) - 1) + intercept
+        raw = np.bincount(keys >> BITS, table[keys & MASK], minlength=len(offsets) - 1) + intercept
         s = 1 / (1 + np.exp(-np.clip(raw, -500, 500)))
         return [pa.array(s), pa.array((s >= 0.5).astype(np.int32))]
 
