@@ -25,12 +25,26 @@ SCHEMA = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("
 
 
 def pack(records: np.ndarray) -> bytes:
-    return records.view(np.uint8).reshape(len(records), -1).T.tobytes()
+    """Byte planes after their length; packed records may be joined."""
+    planes = records.view(np.uint8).reshape(len(records), -1).T.tobytes()
+    return len(planes).to_bytes(4, "little") + planes
 
 
 def unpack(blobs: list[bytes], dtype: np.dtype) -> np.ndarray:
-    parts = [np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(dtype.itemsize, -1).T).view(dtype).ravel() for b in blobs]
-    return np.concatenate(parts) if parts else np.zeros(0, dtype)
+    pieces = []
+    for b in blobs:
+        at = 0
+        while at < len(b):
+            size = int.from_bytes(b[at : at + 4], "little")
+            pieces.append(np.frombuffer(b, np.uint8, size, at + 4))
+            at += 4 + size
+    out = np.empty(sum(len(x) for x in pieces) // dtype.itemsize, dtype)
+    rows, at = out.view(np.uint8).reshape(len(out), -1), 0
+    for x in pieces:
+        n = len(x) // dtype.itemsize
+        rows[at : at + n] = x.reshape(-1, n).T
+        at += n
+    return out
 
 
 def deal(records: np.ndarray, keys: np.ndarray, buckets: int, kind: int) -> Iterator[tuple[int, int, bytes]]:
@@ -72,23 +86,41 @@ def gather(df: DataFrame, emit: Callable[[pa.Table], Iterator[tuple[int, int, by
     return df.mapInArrow(run, SCHEMA)
 
 
-def reduce(df: DataFrame, work: Callable[[int, dict[int, list[bytes]]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
-    """``work(bucket, blobs by kind)`` over one bucket after another."""
+def reduce(df: DataFrame, work: Callable[[int, dict[int, list[bytes]]], Iterator], schema: T.StructType) -> DataFrame:
+    """``work(bucket, blobs by kind)`` over one bucket after another.  It yields batches of ``schema`` or, if
+    that is SCHEMA, ``(bucket, kind, blob)``; those for one bucket leave the task together."""
+    packed = schema == SCHEMA
 
-    def run(batches):
+    def groups(batches):
         now, blobs = None, {}
         for batch in batches:
             for b, k, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 if b != now and blobs:
-                    yield from work(now, blobs)
+                    yield now, blobs
                     blobs = {}
                 now = b
                 blobs.setdefault(k, []).append(x)
         if blobs:
-            yield from work(now, blobs)
+            yield now, blobs
+
+    def run(batches):
+        held: dict[tuple[int, int], list[bytes]] = {}
+        size = 0
+        for bucket, blobs in groups(batches):
+            for made in work(bucket, blobs):
+                if not packed:
+                    yield made
+                    continue
+                held.setdefault(made[:2], []).append(made[2])
+                size += len(made[2])
+            if size > FLUSH:
+                yield batch_of([(*at, b"".join(x)) for at, x in held.items()])
+                held, size = {}, 0
+        if held:
+            yield batch_of([(*at, b"".join(x)) for at, x in held.items()])
 
     n = partitions(df.sparkSession)
-    return df.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
+    return df.repartitionById(n, F.pmod("bucket", F.lit(n)).cast("int")).sortWithinPartitions("bucket").mapInArrow(run, schema)
 
 
 def n_buckets(df: DataFrame) -> int:

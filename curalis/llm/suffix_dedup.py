@@ -128,9 +128,8 @@ def _pass_2(bucket, blobs, buckets: int):
     many = np.isin(rest["key"], heavy)
     told = [_answers(settled, ALL), _answers(rest[many], MANY), _answers(rest[~many & (kinds > 1)], SOME)]
     told = np.concatenate(told)
-    rows = [*B.deal(told, _doc_key(told), buckets, 2), *((bucket, 2, x) for x in blobs.get(2, []))]
-    if rows:
-        yield B.batch_of(rows)
+    yield from B.deal(told, _doc_key(told), buckets, 2)
+    yield from ((bucket, 2, x) for x in blobs.get(2, []))
 
 
 PER_DOC = T.StructType([T.StructField("oid", T.LongType()), T.StructField("tag", T.LongType()), T.StructField("blob", T.BinaryType())])
@@ -255,9 +254,8 @@ def _last_pass(bucket, blobs, buckets: int):
     found.append(first_of(B.unpack(blobs.get(1, []), WINDOW), ("key", "more"))[1])
     gone = np.concatenate(found)
     runs = _runs(gone["doc"], gone["tag"], gone["pos"].astype(np.int64))
-    rows = [*B.deal(runs, _doc_key(runs), buckets, 2), *((bucket, 2, x) for x in blobs.get(2, []))]
-    if rows:
-        yield B.batch_of(rows)
+    yield from B.deal(runs, _doc_key(runs), buckets, 2)
+    yield from ((bucket, 2, x) for x in blobs.get(2, []))
 
 
 def _by_key(p: np.ndarray, size: int = 8_000):
