@@ -6,6 +6,8 @@ text (a longer document is a chunk of its own), so that the temporary arrays sta
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _powers: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
@@ -29,6 +31,15 @@ ALNUM = np.zeros(256, bool)
 ALNUM[48:58] = ALNUM[97:123] = ALNUM[65:91] = ALNUM[128:] = True
 
 
+def release() -> None:
+    """Give freed memory back to the system: Python workers are kept for later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bytes, offsets and validity of a string column; nulls have no bytes."""
     valid = np.asarray(column.is_valid().to_numpy(zero_copy_only=False), bool)
@@ -72,6 +83,8 @@ def arrow_map(
                 kept = [batch.column(i).slice(lo, hi - lo) for i in range(n_keep)]
                 made = [a.cast(target.field(n_keep + i).type) for i, a in enumerate(made)]
                 yield pa.RecordBatch.from_arrays([*kept, *made], names=target.names)
+            batch = data = offsets = None
+            release()
 
     return df.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text}`").alias("__text")).mapInArrow(run, schema)
 

@@ -74,12 +74,15 @@ def gather(df: DataFrame, emit: Callable[[pa.Table], Iterator[tuple[int, int, by
                 if size and size + offsets[hi] - offsets[lo] > FLUSH:
                     rows = list(emit(pa.Table.from_batches(held)))
                     held, size = [], 0
+                    A.release()
                     if rows:
                         yield batch_of(rows)
                 held.append(batch.slice(lo, hi - lo))
                 size += int(offsets[hi] - offsets[lo])
         if held:
             rows = list(emit(pa.Table.from_batches(held)))
+            held = []
+            A.release()
             if rows:
                 yield batch_of(rows)
 
@@ -118,6 +121,7 @@ def reduce(df: DataFrame, work: Callable[[int, dict[int, list[bytes]]], Iterator
                 held, size = {}, 0
         if held:
             yield batch_of([(*at, b"".join(x)) for at, x in held.items()])
+        A.release()
 
     n = partitions(df.sparkSession)
     return df.repartitionById(n, F.pmod("bucket", F.lit(n)).cast("int")).sortWithinPartitions("bucket").mapInArrow(run, schema)
