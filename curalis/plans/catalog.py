@@ -1,6 +1,303 @@
-"""Named queries over the test tables and the DuckDB SQL that computes the same rows."""
+"""Named queries over the test tables and the DuckDB SQL that computes the same rows.
+
+Adapter A makes templated notes of ``orders``; adapter B takes the first lines of ``documents``.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from curalis.functions import text as X
+from curalis.functions import values as V
+from curalis.operators import corpus, enrich, mining, quality, redact, review, verify
+from curalis.plans import pipeline as P
+from curalis.sources import notes as S
+
+QUERIES: dict[str, Callable] = {}
+ORACLE: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    def add(f):
+        QUERIES[name] = f
+        if sql:
+            ORACLE[name] = sql
+        return f
+
+    return add
+
+
+def a(spark, d) -> DataFrame:
+    return S.from_orders(spark, d)
+
+
+def b(spark, d) -> DataFrame:
+    return S.from_documents(spark, d)
+
+
+def texts(spark, d) -> DataFrame:
+    return spark.read.parquet(f"{d}/documents.parquet").select(F.col("doc_id").cast("string").alias("record_id"), F.col("text").alias("texto"))
+
+
+# SQL building blocks -------------------------------------------------------------------------------
+_A = f"a AS ({S.ORDERS_SQL})"
+_B = """b AS (SELECT CAST(doc_id AS VARCHAR) AS record_id, CAST(NULL AS VARCHAR) AS unit, nullif(split_part(text, chr(10), 1), '') AS reason,
+  nullif(split_part(text, chr(10), 2), '') AS exam, nullif(split_part(text, chr(10), 3), '') AS stay FROM documents)"""
+_STRIP = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
+
+
+def _clean_sql(c: str) -> str:
+    """Cleaning where no look-around is needed: the test texts hold no quotes and no digits before capitals."""
+    t = f"coalesce({c}, '')"
+    t = rf"regexp_replace({t}, '[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]', ' ', 'g')"
+    t = rf"regexp_replace({_STRIP.format(t)}, '\.{{4,}}', '...', 'g')"
+    t = rf"regexp_replace({t}, '[ \t]+', ' ', 'g')"
+    t = rf"regexp_replace({t}, '\s+([,;:.])', '\1', 'g')"
+    t = rf"regexp_replace({t}, '([,;:])([^\s\d])', '\1 \2', 'g')"
+    return _STRIP.format(t)
+
+
+_NORM = "norm AS (SELECT record_id, unit, reason, exam, stay, {r} AS rc, {e} AS ec, {s} AS sc FROM {src})"
+
+
+def _flags_sql(src: str) -> str:
+    words = ", ".join(f"'{w}'" for w in V.FUNCTION_WORDS)
+    last = lambda c: rf"trim(lower(strip_accents(regexp_extract({c}, '(\S+)$', 1))), ',;:-')"
+    cut = lambda c, raw: f"({c} <> '' AND ({f'length(coalesce({raw}, {chr(39) * 2})) >= {V.CAP} OR ' if raw else ''}{last(c)} IN ({words})))"
+    norm = _NORM.format(r=_clean_sql("reason"), e=_clean_sql("exam"), s=_clean_sql("stay"), src=src)
+    return f"""{norm},
+flat AS (SELECT *, array_to_string(list_filter([rc, ec, sc], lambda x: x <> ''), ' ' || chr(10)) AS t,
+  {cut('rc', '')} AS c1, {cut('ec', 'exam')} AS c2, {cut('sc', 'stay')} AS c3 FROM norm),
+keyed AS (SELECT *, length(t) AS n_chars, left(sha256(trim(regexp_replace(lower(strip_accents(t)), '[ \t]+', ' ', 'g'))), 16) AS hash_texto FROM flat),
+marked AS (SELECT *, n_chars = 0 AS empty, n_chars > 0 AND n_chars < {V.MIN_CHARS} AS too_short, c1 OR c2 OR c3 AS truncated,
+  n_chars > 0 AND (rc = '' OR ec = '' OR sc = '') AS incompleto,
+  n_chars > 0 AND row_number() OVER (PARTITION BY hash_texto, n_chars = 0 ORDER BY CAST(record_id AS BIGINT)) > 1 AS duplicate FROM keyed),
+flagged AS (SELECT *, NOT (empty OR too_short OR duplicate) AS indexable,
+  NOT (empty OR too_short OR duplicate OR truncated OR incompleto) AS apto_rag FROM marked)"""
+
+
+_FLAG_COLUMNS = ("record_id", "n_chars", "empty", "too_short", "truncated", "incompleto", "duplicate", "indexable", "apto_rag", "hash_texto")
+_FLAG_SELECT = "SELECT record_id, CAST(n_chars AS INTEGER) AS n_chars, empty, too_short, truncated, incompleto, duplicate, indexable, apto_rag, hash_texto FROM flagged"
+_SUMMARY = """, counts AS (SELECT count(*) AS total, count_if(empty) AS e, count_if(too_short) AS s, count_if(duplicate) AS d, count_if(truncated) AS t, count_if(incompleto) AS i,
+  count_if(indexable) AS x, count_if(indexable AND truncated) AS xt, count_if(indexable AND NOT truncated AND incompleto) AS xi, count_if(apto_rag) AS a FROM flagged),
+rows_ AS (SELECT unnest([{'m': 'total', 'n': total}, {'m': 'empty', 'n': e}, {'m': 'too_short', 'n': s}, {'m': 'duplicate', 'n': d}, {'m': 'truncated', 'n': t}, {'m': 'incompleto', 'n': i},
+  {'m': 'indexable', 'n': x}, {'m': 'excluido_truncado', 'n': xt}, {'m': 'excluido_incompleto', 'n': xi}, {'m': 'apto_rag', 'n': a}]) AS r, total FROM counts)
+SELECT r.m AS metrica, CAST(r.n AS BIGINT) AS n, round_even(CAST(r.n AS DOUBLE) / total * 100, 2) AS pct FROM rows_"""
+
+
+@query("clean_text", f"WITH {_B} SELECT record_id, {_clean_sql('reason')} AS clean FROM b")
+def clean_text(spark, d):
+    return b(spark, d).select("record_id", X.clean(F.col("reason")).alias("clean"))
+
+
+@query("match_key", r"SELECT CAST(doc_id AS VARCHAR) AS record_id, sha256(regexp_replace(lower(strip_accents(regexp_replace(text, '[^\p{L}\s]', '', 'g'))), '\s+', ' ', 'g')) AS key FROM documents")
+def match_key(spark, d):
+    letters = X.sub(F.col("texto"), r"[^\p{L}\s]", "")
+    return texts(spark, d).select("record_id", F.sha2(X.sub(F.lower(X.unaccent(letters)), r"\s+", " "), 256).alias("key"))
+
+
+@query("quality_flags", f"WITH {_B}, {_flags_sql('b')} {_FLAG_SELECT}")
+def quality_flags(spark, d):
+    return P.flagged(b(spark, d)).select(*_FLAG_COLUMNS)
+
+
+@query("quality_flags_notes", f"WITH {_A}, {_flags_sql('a')} {_FLAG_SELECT}")
+def quality_flags_notes(spark, d):
+    return P.flagged(a(spark, d)).select(*_FLAG_COLUMNS)
+
+
+@query("quality_summary", f"WITH {_B}, {_flags_sql('b')}{_SUMMARY}")
+def quality_summary(spark, d):
+    return quality.summary(P.flagged(b(spark, d)))
+
+
+@query("quality_summary_notes", f"WITH {_A}, {_flags_sql('a')}{_SUMMARY}")
+def quality_summary_notes(spark, d):
+    return quality.summary(P.flagged(a(spark, d)))
+
+
+@query("dedup_keep_first", f"WITH {_B}, {_flags_sql('b')} SELECT record_id, hash_texto FROM flagged WHERE duplicate")
+def dedup_keep_first(spark, d):
+    return P.flagged(b(spark, d)).where("duplicate").select("record_id", "hash_texto")
+
+
+@query("excluded_counts", f"WITH {_B}, {_flags_sql('b')} SELECT CAST(count_if(indexable AND truncated) AS BIGINT) AS truncados, CAST(count_if(indexable AND NOT truncated AND incompleto) AS BIGINT) AS incompletos FROM flagged")
+def excluded_counts(spark, d):
+    return P.excluded_counts(P.flagged(b(spark, d)))
+
+
+@query("redact_dates", f"WITH {_A} SELECT record_id, regexp_replace(coalesce(exam, ''), '[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}', '[FECHA]', 'g') AS t FROM a")
+def redact_dates(spark, d):
+    return redact.redact(a(spark, d), "exam", only={"fecha"}).select("record_id", F.col("exam_anon").alias("t"))
+
+
+@query("redact_email_log", f"WITH {_A} SELECT record_id, regexp_extract(stay, 'a[0-9]+@mail.com', 0) AS original, CAST(strpos(stay, ' correo a') + 7 AS INTEGER) AS inicio FROM a WHERE stay LIKE '%@mail.com%'")
+def redact_email_log(spark, d):
+    rows = redact.redact(a(spark, d), "stay", only={"email"}).select("record_id", F.explode("stay_log").alias("e"))
+    return rows.select("record_id", X.sub(F.col("e.original"), r"\.$|\. .*$", "").alias("original"), F.col("e.start").alias("inicio"))
+
+
+@query("doctor_whitelist", f"WITH {_A} SELECT CAST(count_if(exam LIKE '%dr. moncada%') AS BIGINT) AS medico, CAST(count_if(exam LIKE '%dra. perez%') AS BIGINT) AS kept FROM a")
+def doctor_whitelist(spark, d):
+    e = redact.redact(a(spark, d), "exam", only={"medico"}).select(F.explode("exam_log").alias("e"))
+    return e.agg(F.count_if(F.col("e.placeholder").isNotNull()).alias("medico"), F.count_if(F.col("e.placeholder").isNull()).alias("kept"))
+
+
+_BAND = """CASE WHEN v >= 90 THEN '[EDAD:90+]' WHEN v < 1 THEN '[EDAD:<1 año]' WHEN v < 18 THEN '[EDAD:' || (v // 5 * 5) || '-' || (v // 5 * 5 + 4) || ']'
+  ELSE '[EDAD:' || (v // 10 * 10) || '-' || (v // 10 * 10 + 9) || ']' END"""
+
+
+@query("age_bands", f"SELECT CAST(o_orderkey AS VARCHAR) AS record_id, 'Paciente de ' || {_BAND} AS placeholder FROM (SELECT o_orderkey, o_custkey % 101 AS v FROM orders WHERE o_orderkey % 13 <> 0 AND o_orderkey % 17 <> 0)")
+def age_bands(spark, d):
+    rows = redact.redact(a(spark, d), "exam", only={"edad"}).select("record_id", F.explode("exam_log").alias("e"))
+    return rows.where("e.placeholder is not null").select("record_id", "e.placeholder")
+
+
+@query("redact_counts")
+def redact_counts(spark, d):
+    return redact.rule_counts(redact.replacement_log(P.redacted(a(spark, d))))
+
+
+@query("redact_log")
+def redact_log(spark, d):
+    return redact.replacement_log(P.redacted(a(spark, d)))
+
+
+@query("kept_doctors", f"WITH {_A} SELECT 'perez' AS token, count(*) AS n FROM a WHERE exam LIKE '%dra. perez%'")
+def kept_doctors(spark, d):
+    return redact.kept_doctors(P.redacted(a(spark, d)))
+
+
+@query("hospital_tokens")
+def hospital_tokens(spark, d):
+    return redact.hospital_tokens(P.redacted(a(spark, d)))
+
+
+@query("municipality_exceptions")
+def municipality_exceptions(spark, d):
+    df = a(spark, d).withColumn("t", F.concat(F.coalesce("exam", F.lit("")), F.lit(". Signo de bolivar, vive en bolivar")))
+    return redact.redact(df, "t", only={"municipio"}).select("record_id", F.col("t_anon").alias("t"))
+
+
+@query("expand_abbreviations")
+def expand_abbreviations(spark, d):
+    return a(spark, d).select("record_id", enrich.expand(F.coalesce("exam", F.lit("")), V.ABBREVIATIONS).alias("x")).select("record_id", "x.text", "x.keys")
+
+
+@query("classify_mechanism", f"WITH {_A} SELECT record_id, CASE substr(reason, 1, 5) WHEN 'Me ca' THEN 'caida' WHEN 'Herid' THEN 'arma_de_fuego' WHEN 'Me go' THEN 'contundente' WHEN 'Quema' THEN 'quemadura' ELSE 'no_determinado' END AS mecanismo FROM a")
+def classify_mechanism(spark, d):
+    return a(spark, d).select("record_id", enrich.mechanism(F.coalesce("reason", F.lit("")), F.lit("")).alias("mecanismo"))
+
+
+@query("classify_regions", f"WITH {_A} SELECT record_id, CASE WHEN exam LIKE 'Dolor%' THEN 'torax,abdomen' WHEN exam IS NULL THEN '' ELSE 'miembro_superior' END AS regiones FROM a")
+def classify_regions(spark, d):
+    return a(spark, d).select("record_id", F.array_join(enrich.regions(F.coalesce("exam", F.lit(""))), ",").alias("regiones"))
+
+
+@query("classify_outcome", f"WITH {_A} SELECT record_id, CASE WHEN stay IS NULL THEN 'no_determinado' WHEN stay LIKE 'Se hosp%' THEN 'hospitalizacion' ELSE 'alta' END AS desenlace FROM a")
+def classify_outcome(spark, d):
+    return a(spark, d).select("record_id", enrich.outcome(F.coalesce("stay", F.lit(""))).alias("desenlace"))
+
+
+@query("label_counts")
+def label_counts(spark, d):
+    df = P.enriched(a(spark, d)).where("apto_rag")
+    return enrich.label_counts(df, "mecanismo_lesion").select(F.lit("mecanismo").alias("kind"), F.col("mecanismo_lesion").alias("label"), "n").unionAll(
+        enrich.label_counts(df, "desenlace").select(F.lit("desenlace").alias("kind"), F.col("desenlace").alias("label"), "n")
+    )
+
+
+@query("assemble_corpus")
+def assemble_corpus(spark, d):
+    return P.documents(a(spark, d))
+
+
+@query("corpus_with_notice")
+def corpus_with_notice(spark, d):
+    return P.documents(a(spark, d), P.Options(notice_in_text=True)).select("record_id", "texto", "n_chars_doc", "truncado")
+
+
+@query("index_lines")
+def index_lines(spark, d):
+    return corpus.index_lines(P.documents(a(spark, d)))
+
+
+@query(
+    "exclusion_reasons",
+    f"WITH {_A}, {_flags_sql('a')} SELECT record_id, CASE WHEN empty THEN 'empty' WHEN too_short THEN 'too_short' WHEN duplicate THEN 'duplicate' WHEN truncated THEN 'truncated' ELSE 'incompleto' END AS motivo FROM flagged WHERE NOT apto_rag",
+)
+def exclusion_reasons(spark, d):
+    return P.flagged(a(spark, d)).where("not apto_rag").select("record_id", corpus.exclusion_reason().alias("motivo"))
+
+
+@query("residue_detect")
+def residue_detect(spark, d):
+    return verify.residue(texts(spark, d))
+
+
+@query("residue_summary")
+def residue_summary(spark, d):
+    t = texts(spark, d)
+    return verify.residue_summary(verify.residue(t), t.count())
+
+
+@query(
+    "stratified_sample",
+    """WITH r AS (SELECT CAST(doc_id AS VARCHAR) AS record_id, row_number() OVER (ORDER BY length(text), doc_id) AS rn, count(*) OVER () AS n FROM documents),
+s AS (SELECT record_id, greatest(1, CAST(ceil((rn - 1) * 4 / greatest(n - 1, 1)) AS INTEGER)) AS st FROM r),
+k AS (SELECT record_id, st, row_number() OVER (PARTITION BY st ORDER BY md5('42' || record_id), record_id) AS k FROM s)
+SELECT record_id, ['q1_corto', 'q2', 'q3', 'q4_largo'][st] AS estrato FROM k WHERE k <= [25, 38, 62, 125][st]""",
+)
+def stratified_sample(spark, d):
+    docs = texts(spark, d).select("record_id", F.length("texto").alias("n_chars_doc"), F.lit(True).alias("apto_rag"))
+    return verify.review_sample(docs).select("record_id", "estrato")
+
+
+@query("doc_frequency", f"SELECT token, count(*) AS df FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(text), '[{V.LETTERS}]{{3,}}'))) AS token FROM documents) GROUP BY 1")
+def doc_frequency(spark, d):
+    return review.document_frequency(texts(spark, d))
+
+
+@query(
+    "uppercase_filter",
+    r"SELECT CAST(doc_id AS VARCHAR) AS record_id FROM documents WHERE length(regexp_replace(text, '[^\p{L}]', '', 'g')) = 0 OR length(regexp_replace(text, '[^\p{Lu}]', '', 'g')) / length(regexp_replace(text, '[^\p{L}]', '', 'g')) <= 0.8",
+)
+def uppercase_filter(spark, d):
+    return review.not_shouting(texts(spark, d)).select("record_id")
+
+
+@query("top_longest", "SELECT CAST(doc_id AS VARCHAR) AS record_id, CAST(length(text) AS INTEGER) AS n_chars_doc FROM documents ORDER BY n_chars_doc DESC, doc_id LIMIT 50")
+def top_longest(spark, d):
+    return review.longest(texts(spark, d).select("record_id", F.length("texto").alias("n_chars_doc")), 50)
+
+
+@query("entity_candidates")
+def entity_candidates(spark, d):
+    t = review.not_shouting(texts(spark, d))
+    return review.candidates(t, review.document_frequency(texts(spark, d)))
+
+
+@query("entity_summary")
+def entity_summary(spark, d):
+    return review.candidate_summary(entity_candidates(spark, d))
+
+
+@query(
+    "mine_institutions",
+    f"WITH {_A} SELECT 'san rafael' AS nombre, count(*) AS n FROM a WHERE exam LIKE '%hospital san rafael%' HAVING count(*) >= 3",
+)
+def mine_institutions(spark, d):
+    return mining.institutions(mining.blobs(a(spark, d)))
+
+
+@query("mine_doctors", f"WITH {_A} SELECT DISTINCT regexp_extract(exam, 'dra?\\. ([a-z]+)', 1) AS apellido FROM a WHERE regexp_matches(exam, 'dra?\\. ')")
+def mine_doctors(spark, d):
+    return mining.doctors(mining.blobs(a(spark, d)))
+
+
+@query("mine_places", f"WITH {_A} SELECT 'palmira' AS municipio FROM a WHERE exam LIKE '%remitido de palmira%' LIMIT 1")
+def mine_places(spark, d):
+    return mining.places(mining.blobs(a(spark, d)))
