@@ -39,7 +39,7 @@ def unpack(blobs: list[bytes], dtype: np.dtype) -> np.ndarray:
             pieces.append(np.frombuffer(b, np.uint8, size, at + 4))
             at += 4 + size
     out = np.empty(sum(len(x) for x in pieces) // dtype.itemsize, dtype)
-    rows, at = out.view(np.uint8).reshape(len(out), -1), 0
+    rows, at = out.view(np.uint8).reshape(len(out), dtype.itemsize), 0
     for x in pieces:
         n = len(x) // dtype.itemsize
         rows[at : at + n] = x.reshape(-1, n).T

@@ -117,7 +117,7 @@ def cover(x: np.ndarray, y: np.ndarray) -> list[tuple[list[tuple[int, bool, floa
     rules: list[tuple[list, int]] = []
     if tests:
         table = np.array(masks)
-        grow = np.arange(len(y)) % 3 != 2
+        grow = np.random.default_rng(1).permutation(len(y)) % 3 != 2
         hit, left = y == target, np.ones(len(y), bool)
         while len(rules) < MAX_RULES and (left & hit & grow).any():
             inside, chosen = left & grow, []
