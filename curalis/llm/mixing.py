@@ -108,7 +108,9 @@ def curriculum(docs: DataFrame, id_col="doc_id", text_col="text", source_col="so
 
     out = at.withColumn("copies", F.array_compact(F.array(*(copy(k) for k in range(int(epochs))))))
     out = out.withColumn("taken", F.aggregate("copies", F.lit(0).cast("long"), lambda acc, c: acc + c["words"]))
-    return out.select(*(F.col(f"`k_{c}`").alias(c) for c in keep), *added).orderBy(F.get("copies", F.lit(0))["position"])
+    # The hash spreads the documents that have no position over many ranges.
+    placed = out.orderBy(F.get("copies", F.lit(0))["position"], "h")
+    return placed.select(*(F.col(f"`k_{c}`").alias(c) for c in keep), *added)
 
 
 def positions(mixed: DataFrame) -> DataFrame:
