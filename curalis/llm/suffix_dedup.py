@@ -40,6 +40,8 @@ WIDTH = DEPTH - GRAM + 1
 BEFORE = WIDTH - 1
 SPAN = BEFORE + DEPTH
 HEAVY = 8
+#: Text hashed at a time: smaller pieces leave many small arrays between the temporary ones.
+CHUNK = 1 << 20
 LAST = (1 << 63) - 1
 ALL, SOME, MANY = 1, 2, 3  # answers to an anchor: all its bytes go; compare by anchor; compare by window
 WHERE = [("doc", "<i8"), ("tag", "<u2"), ("pos", "<i4")]
@@ -99,7 +101,7 @@ def _pass_1(table: pa.Table, buckets: int):
     parts, at = [], 0
     for piece in table.column(2).chunks:
         data, offsets, _ = A.utf8(piece)
-        for lo, hi in A.chunks(offsets):
+        for lo, hi in A.chunks(offsets, CHUNK):
             off = offsets[lo : hi + 1] - offsets[lo]
             place, doc, key, ctx = anchors(data[offsets[lo] : offsets[hi]], off)
             x = np.zeros(len(place), ANCHOR)
