@@ -122,6 +122,28 @@ def test_substring_finds_every_exact_passage(spark):
     assert {i: len(c - got.get(i, set())) for i, c in cover.items()} == dict.fromkeys(cover, 0)
 
 
+def test_substring_finds_passages_of_common_lines(spark):
+    """Lines that many documents share must not hide the one document that has the whole passage."""
+    rng = random.Random(11)
+    lines = [prose(rng, 14) for _ in range(6)]
+    passages = [[*rng.sample(lines, 3), prose(rng, 12)] for _ in range(12)]
+    texts = []
+    for i in range(160):
+        body = [rng.choice(lines) for _ in range(3)] + [prose(rng, 12)]
+        rng.shuffle(body)
+        texts.append(" ".join([prose(rng, 30), *(body if i % 4 else rng.choice(passages)), prose(rng, 30)]))
+    words = [t.split() for t in texts]
+    first, cover = {}, {}
+    for i, w in enumerate(words):
+        for p in range(len(w) - 49):
+            if first.setdefault(tuple(w[p : p + 50]), i) < i:
+                cover.setdefault(i, set()).update(range(p, p + 50))
+    got = {}
+    for r in substring.matches(docs(spark, texts).repartition(5)).collect():
+        got.setdefault(r.doc, set()).update(range(r.start, r.end))
+    assert sum(len(c - got.get(i, set())) for i, c in cover.items()) <= 0.001 * sum(map(len, cover.values()))
+
+
 # -- SimHash
 def fingerprint(t):
     w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWER))
