@@ -1,6 +1,7 @@
 """Named queries over the test tables and the DuckDB SQL that computes the same rows.
 
-Adapter A makes templated notes of ``orders``; adapter B takes the first lines of ``documents``.
+Adapter A makes templated notes of ``orders``; adapter B takes the first lines of ``documents``, adapter C
+(queries ending in ``_whole``) all of them.
 """
 
 from __future__ import annotations
@@ -38,6 +39,10 @@ def b(spark, d) -> DataFrame:
     return S.from_documents(spark, d)
 
 
+def whole(spark, d) -> DataFrame:
+    return S.from_whole_documents(spark, d)
+
+
 def texts(spark, d) -> DataFrame:
     return spark.read.parquet(f"{d}/documents.parquet").select(F.col("doc_id").cast("string").alias("record_id"), F.col("text").alias("texto"))
 
@@ -46,6 +51,8 @@ def texts(spark, d) -> DataFrame:
 _A = f"a AS ({S.ORDERS_SQL})"
 _B = """b AS (SELECT CAST(doc_id AS VARCHAR) AS record_id, CAST(NULL AS VARCHAR) AS unit, nullif(split_part(text, chr(10), 1), '') AS reason,
   nullif(split_part(text, chr(10), 2), '') AS exam, nullif(split_part(text, chr(10), 3), '') AS stay FROM documents)"""
+_C = """c AS (SELECT CAST(doc_id AS VARCHAR) AS record_id, CAST(NULL AS VARCHAR) AS unit, nullif(split_part(text, chr(10), 1), '') AS reason,
+  nullif(split_part(text, chr(10), 2), '') AS exam, nullif(array_to_string(string_split(text, chr(10))[3:], chr(10)), '') AS stay FROM documents)"""
 _STRIP = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
 
 
@@ -129,6 +136,31 @@ def excluded_counts(spark, d):
     return P.excluded_counts(P.flagged(b(spark, d)))
 
 
+@query("clean_text_whole", f"SELECT CAST(doc_id AS VARCHAR) AS record_id, {_clean_sql('text')} AS clean FROM documents")
+def clean_text_whole(spark, d):
+    return texts(spark, d).select("record_id", X.clean(F.col("texto")).alias("clean"))
+
+
+@query("quality_flags_whole", f"WITH {_C}, {_flags_sql('c')} {_FLAG_SELECT}")
+def quality_flags_whole(spark, d):
+    return P.flagged(whole(spark, d)).select(*_FLAG_COLUMNS)
+
+
+@query("quality_summary_whole", f"WITH {_C}, {_flags_sql('c')}{_SUMMARY}")
+def quality_summary_whole(spark, d):
+    return quality.summary(P.flagged(whole(spark, d)))
+
+
+@query("dedup_keep_first_whole", f"WITH {_C}, {_flags_sql('c')} SELECT record_id, hash_texto FROM flagged WHERE duplicate")
+def dedup_keep_first_whole(spark, d):
+    return P.flagged(whole(spark, d)).where("duplicate").select("record_id", "hash_texto")
+
+
+@query("excluded_counts_whole", f"WITH {_C}, {_flags_sql('c')} SELECT CAST(count_if(indexable AND truncated) AS BIGINT) AS truncados, CAST(count_if(indexable AND NOT truncated AND incompleto) AS BIGINT) AS incompletos FROM flagged")
+def excluded_counts_whole(spark, d):
+    return P.excluded_counts(P.flagged(whole(spark, d)))
+
+
 @query("redact_dates", f"WITH {_A} SELECT record_id, regexp_replace(coalesce(exam, ''), '[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}', '[FECHA]', 'g') AS t FROM a")
 def redact_dates(spark, d):
     return redact.redact(a(spark, d), "exam", only={"fecha"}).select("record_id", F.col("exam_anon").alias("t"))

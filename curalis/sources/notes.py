@@ -74,6 +74,14 @@ def from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("string").alias("record_id"), F.lit(None).cast(T.StringType()).alias("unit"), line(1).alias("reason"), line(2).alias("exam"), line(3).alias("stay"))
 
 
+def from_whole_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adapter C: adapter B with all further lines in the last field, so that no text is left out."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    line = lambda i: F.nullif(F.split_part("text", F.lit("\n"), F.lit(i)), F.lit(""))
+    rest = F.nullif(F.regexp_extract("text", r"^[^\n]*\n[^\n]*\n([\s\S]*)$", 1), F.lit(""))
+    return docs.select(F.col("doc_id").cast("string").alias("record_id"), F.lit(None).cast(T.StringType()).alias("unit"), line(1).alias("reason"), line(2).alias("exam"), rest.alias("stay"))
+
+
 #: Adapter A: a templated note for each order, in SQL that Spark and DuckDB read alike; {day} is a date format.
 TEMPLATE = """
 SELECT CAST(o_orderkey AS STRING) AS record_id,

@@ -138,3 +138,13 @@ def test_review_and_mining(spark):
     assert [r[0] for r in mining.institutions(b).collect()] == ["santa ines"]
     assert [r[0] for r in mining.doctors(b).collect()] == ["perez"]
     assert [r[0] for r in mining.places(b).collect()] == ["cali"]
+
+
+def test_whole_documents_are_read_to_their_end(spark, tmp_path):
+    head = "Caida de su propia altura\nDolor en hombro\n"
+    texts = [head + "a\nb\nc", head + "a\nb\nd", head + "a\nb\nc", "one", "x\ny", None, "short\nlines\n\n" + "long line " * 40]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {int(r.record_id): r for r in S.from_whole_documents(spark, str(tmp_path)).collect()}
+    assert ["\n".join(x or "" for x in (rows[i].reason, rows[i].exam, rows[i].stay)).rstrip("\n") for i in range(7)] == [t or "" for t in texts]
+    found = {int(r.record_id): r for r in P.flagged(S.from_whole_documents(spark, str(tmp_path))).collect()}
+    assert [i for i, r in found.items() if r.duplicate] == [2] and not found[6].too_short and found[6].n_chars > 400
