@@ -9,7 +9,8 @@ pass is exactly the repeated windows.  The digits of a window are taken from its
 * Pass 1, digit: the 20 bytes at the anchor.  Groups within one document end here.
 * Pass 2, digit: all bytes that windows over the anchor reach (30 before to 50 after).  A member whose
   digit also occurs in a smaller document has all of these bytes removed and goes no further.
-* Pass 3, digits: each of the 31 windows over the anchor, for members that are left.
+* Pass 3, digits: each of the 31 windows over the anchor, for members that are left, also where other
+  anchors have removed all of their bytes: they may still be the first to hold a window.
 
 Each map task first sorts its own texts: members that are settled by a smaller document of the same
 task send nothing, so an anchor that is everywhere sends one record per task.  An anchor with many
@@ -170,11 +171,11 @@ def _pass_3(table: pa.Table, buckets: int):
             continue
         raw = np.frombuffer(text.as_py().encode("utf-8", "surrogatepass"), np.uint8)
         n = len(raw)
-        kept_before = np.r_[0, np.cumsum(~_removed(answers, n))]
         pos = open_["pos"].astype(np.int64)
         lo, hi = np.maximum(pos - BEFORE, 0), np.minimum(pos + DEPTH, n)
-        useful = kept_before[hi] > kept_before[lo]
-        some = useful & (open_["what"] == SOME)
+        # Bytes that pass 2 removed are sent as well: strings are judged on the input, and a window that two
+        # smaller documents cover together may be in neither, so that this document is its first holder.
+        some = open_["what"] == SOME
         if some.any():
             p = np.zeros(int(some.sum()), PIECE)
             padded = np.r_[np.zeros(BEFORE, np.uint8), raw, np.zeros(DEPTH, np.uint8)]
@@ -182,14 +183,13 @@ def _pass_3(table: pa.Table, buckets: int):
             p["doc"], p["tag"], p["pos"] = oid, tag, pos[some]
             p["left"], p["right"] = (pos - lo)[some], (hi - pos)[some]
             pieces.append(p)
-        many = useful & (open_["what"] == MANY)
+        many = open_["what"] == MANY
         if many.any():
             starts = np.zeros(n + 1, np.int32)
             np.add.at(starts, lo[many], 1)
             np.add.at(starts, np.maximum(np.minimum(pos[many], n - DEPTH) + 1, lo[many]), -1)
             s = np.flatnonzero(np.cumsum(starts)[:n] > 0)
             s = s[(s + DEPTH <= n)]
-            s = s[kept_before[s + DEPTH] > kept_before[s]]
             prefix = A.prefix_hash(raw)
             w = np.zeros(len(s), WINDOW)
             w["key"], w["more"] = A.range_hash(prefix, s, s + DEPTH), A.mix(A.range_hash(prefix, s, s + DEPTH // 2) + A.U64(7))

@@ -87,6 +87,24 @@ def test_suffix_dedup(spark, monkeypatch, heavy):
     assert suffix_dedup.repeated_spans(docs(spark, texts).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("heavy", [8, 0])
+def test_suffix_dedup_evidence_of_removed_bytes(spark, monkeypatch, heavy):
+    """A window whose bytes two smaller documents cover, but neither holds, is still first in its document."""
+    rng = random.Random(4)
+    texts, ids = [], []
+    for i in range(40):
+        d = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(400))
+        c = rng.randint(100, 250)
+        at = c - rng.randint(20, 45)
+        noise = ["".join(rng.choice("ABCDEFGHIJ") for _ in range(60)) for _ in range(4)]
+        texts += [d[: c + 20] + noise[0], noise[1] + d[c:], d, noise[2] + d[at : at + rng.randint(50, 75)] + noise[3]]
+        ids += [i, 100 + i, 200 + i, 300 + i]
+    monkeypatch.setattr(suffix_dedup, "HEAVY", heavy)
+    got = suffix_dedup.repeated_spans(docs(spark, texts, ids=ids).repartition(5), keep=["doc_id"])
+    want = Counter((i, *x) for i, x in zip(ids, removed(texts, ids), strict=True))
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, len(r.removed_spans), r.kept_sha256) for r in got.collect()) == want
+
+
 # -- near-duplicate passages
 def test_substring(spark):
     rng = random.Random(5)
