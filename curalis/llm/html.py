@@ -3,8 +3,9 @@
 A page is parsed into a tree of block elements.  A node's density is its characters per tag,
 adjusted by the share of characters and tags in links; the sum of its children's densities ranks
 it.  The subtree with the maximum sum is chosen; the least density on its path to the body is the
-threshold, and every other subtree off that path that reaches it is kept as well.  If the chosen
-node lies in an ``article`` or ``main``, that element is the unit.  Elements that are never main
+threshold, and every other subtree off that path that reaches it is kept as well, and so is every run
+of text that stands directly in an element of the path.  If the chosen node lies in an ``article`` or
+``main``, that element is kept whole in its place, and the threshold decides what is around it.  Elements that are never main
 text (menus, headers and footers of the page, sidebars, forms, scripts, adverts, comments ...) are
 cut before.
 
@@ -42,6 +43,17 @@ LABELS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 
 
+class Linked(str):
+    """A text within a link."""
+
+
+class Tag(str):
+    """An inline tag, as an empty text."""
+
+
+TAG, LINK_TAG = Tag(), Tag()
+
+
 class Node:
     __slots__ = ("chars", "children", "cut", "density", "link_chars", "link_tags", "parent", "parts", "tag", "tags", "total")
 
@@ -60,7 +72,7 @@ def parse(page: str) -> Node:
     def text(piece: str) -> None:
         if not node.cut and piece:
             piece = entities.unescape(piece) if "&" in piece else piece
-            node.parts.append(piece)
+            node.parts.append(Linked(piece) if links else piece)
             n = len("".join(piece.split()))
             node.chars += n
             if links:
@@ -135,6 +147,8 @@ def parse(page: str) -> Node:
             if name == "a":
                 links = 1
                 node.link_tags += 1
+            if not node.cut:
+                node.parts.append(LINK_TAG if name == "a" else TAG)
     return root
 
 
@@ -146,6 +160,14 @@ def _within(node, tags) -> bool:
     return False
 
 
+def density(c: int, t: int, lc: int, lt: int, share: float) -> float:
+    """Composite density of characters, tags and those of links; ``share`` is that of the page's links."""
+    t = max(t, 1)
+    plain = max(c - lc, 1)
+    base = math.log(c / plain * lc + share * c + math.e)
+    return c / t * math.log(max(c / max(lc, 1) * t / max(lt, 1), 1.0) + 1e-9 + 1) / math.log(max(base, 1.0) + math.e - 1)
+
+
 def measure(root: Node) -> list[Node]:
     """Counts of whole subtrees, composite densities and their sums; returns the nodes in page order."""
     order, stack = [], [root]
@@ -162,12 +184,8 @@ def measure(root: Node) -> list[Node]:
             p.link_tags += node.link_tags
     share = root.link_chars / root.chars if root.chars else 0.0
     for node in order:
-        c, t, lc, lt = node.chars, max(node.tags, 1), node.link_chars, node.link_tags
-        if not c:
-            continue
-        plain = max(c - lc, 1)
-        base = math.log(c / plain * lc + share * c + math.e)
-        node.density = c / t * math.log(max(c / max(lc, 1) * t / max(lt, 1), 1.0) + 1e-9 + 1) / math.log(max(base, 1.0) + math.e - 1)
+        if node.chars:
+            node.density = density(node.chars, node.tags, node.link_chars, node.link_tags, share)
     for node in order:
         kids = [c.density for c in node.children if not c.cut]
         node.total = sum(kids) if kids else node.density
@@ -221,21 +239,44 @@ def main_text(page: str | None) -> str:
         path.append(up)
         up = up.parent
     threshold = min(n.density for n in path)
-    if unit.tag in ("article", "main"):
-        return "\n".join(blocks(unit))
-    # Off the path, what is as dense as the threshold stays: all of its blocks, in page order.
-    inner = set(map(id, path[1:]))
-
+    # Off the path, what is as dense as the threshold stays, elements and the path's own texts, in page order.
+    share = root.link_chars / root.chars
+    up, inner = unit.parent, set()
+    while up is not None:
+        inner.add(id(up))
+        up = up.parent
     out, stack = [], [root]
     while stack:
         node = stack.pop()
-        if id(node) in inner:
-            stack.extend(reversed([c for c in node.children if not c.cut]))
-        elif node is best or node.density >= threshold:
+        if isinstance(node, list):
+            c = sum(len("".join(x.split())) for x in node)
+            lc = sum(len("".join(x.split())) for x in node if isinstance(x, Linked))
+            t, lt = sum(isinstance(x, Tag) for x in node), sum(x is LINK_TAG for x in node)
+            if c and density(c, t, lc, lt, share) >= threshold:
+                out.append(" ".join("".join(node).split()))
+        elif id(node) in inner:
+            stack.extend(reversed(units(node)))
+        elif node is unit or node.density >= threshold:
             out += blocks(node)
     return "\n".join(out)
 
 
+def units(node: Node) -> list:
+    """Children of a node that are not cut and, as lists, the runs of its own texts between block elements."""
+    out: list = []
+    run: list[str] = []
+    for part in (*node.parts, None):
+        if isinstance(part, str):
+            run.append(part)
+        else:
+            if run:
+                out.append(run)
+                run = []
+            if part is not None and not part.cut:
+                out.append(part)
+    return out
+
+
 BREAK = re.compile(r"<br\s*/?>", re.I)
 
 

@@ -404,3 +404,23 @@ def test_pages(spark):
     assert {i: rows[i].text for i in rows} == {i: w for i, (_, w) in enumerate(PAGES)}
     assert all(r.n_chars == len(r.text) and r.url == "u" for r in rows.values())
     assert html.extract(df.limit(0)).count() == 0
+
+
+LONG = ["the first words of the text stand on their own and go on for a while " * 5, "a second part says more about it", "and so does a third", "the rest of the text lies in an article of its own, a little longer than the first one's parts are"]
+FEW = "".join(f"<p>paragraph {i} of the first article with its few words</p>" for i in range(6))
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<body><div>{0}<br>More.<div><p>{1}</p><p>{2}</p></div></div></body>", "{0} More.\n{1}\n{2}"),
+        ("<body>{0}<div><p>{1}</p><p>{2}</p></div></body>", "{0}\n{1}\n{2}"),
+        ("<body><div><p>{1}</p><p>{2}</p></div><hr>{0} <b>and</b> end</body>", "{1}\n{2}\n{0} and end"),
+        ("<body><a href=a>Home</a> <a href=b>About us</a><div><p>{0}</p><p>{0}</p></div></body>", "{0}\n{0}"),
+        (f"<body><article>{FEW}</article><article><p>{{3}}</p></article></body>", "\n".join([*FEW[3:-4].split("</p><p>"), "{3}"])),
+        (f"<body>{{0}}<main>{FEW}</main><div><a href=a>x</a><a href=b>y</a></div></body>", "\n".join(["{0}", *FEW[3:-4].split("</p><p>")])),
+    ],
+)
+def test_html_text_beside_the_chosen_node(page, want):
+    parts = [" ".join(x.split()) for x in LONG]
+    assert html.main_text(page.format(*parts)) == want.format(*parts)
