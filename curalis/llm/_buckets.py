@@ -1,7 +1,8 @@
 """Packed records dealt to buckets by key.
 
 Map tasks turn many small records into one blob per bucket, so Spark moves and sorts few rows.  A
-bucket is the unit of memory of a reducer; there are ``PER_PARTITION`` of them per shuffle partition.
+bucket is the unit of memory of a reducer; there are ``PER_PARTITION`` of them per shuffle partition, and at
+least one for each ``BUCKET_BYTES`` of the input's files.
 Fixed fields are stored as byte planes, whose constant high bytes compress well.
 """
 
@@ -11,7 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +20,7 @@ from curalis.llm import _arrow as A
 from curalis.llm._store import partitions
 
 PER_PARTITION = 2
+BUCKET_BYTES = 16 << 20
 #: Text that a map task gathers before it compares what it has and emits: copies within it meet here.
 FLUSH = 8 << 20
 SCHEMA = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("kind", T.IntegerType()), T.StructField("blob", T.BinaryType())])
@@ -128,7 +130,16 @@ def reduce(df: DataFrame, work: Callable[[int, dict[int, list[bytes]]], Iterator
 
 
 def n_buckets(df: DataFrame) -> int:
-    return PER_PARTITION * partitions(df.sparkSession)
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    size = size if size < 1 << 60 else 0  # unknown to Spark
+    return max(PER_PARTITION * partitions(df.sparkSession), size // BUCKET_BYTES)
+
+
+def row_tag(docs: DataFrame, id_col: str, text_col: str) -> Column:
+    """What tells rows with one id apart: a 64-bit hash of the text or, where no id is repeated, 0.  Rows that
+    share id and text have the same results, so results do not depend on which it is; only size does."""
+    repeated = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").limit(1)
+    return F.lit(0).cast("long") if repeated.isEmpty() else F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
 
 def sliding(values: np.ndarray, width: int, best) -> np.ndarray:

@@ -17,9 +17,14 @@ task send nothing, so an anchor that is everywhere sends one record per task.  A
 different surroundings in one task (more than ``HEAVY``) is not gathered by anchor at all: in pass 3 its
 windows are dealt one by one.  Digits are compared as 96 to 128 bits of hashes.
 
-Texts are UTF-8 bytes; null and empty texts have none.  Matches never cross documents, and a document
-with the same id never removes anything from its namesake (repeated rows fare alike).  Rows with a
-null id count as having the largest id.  Added columns replace their namesakes.
+Neither ``HEAVY`` nor the tag of rows (a hash of the text where some id is repeated, else 0) changes any
+result: both ways of a pass are exact.
+
+Texts are UTF-8 bytes of any length; null and empty texts have none.  Matches never cross documents, and a
+document with the same id never removes anything from its namesake, whatever its text (equal rows fare alike).
+Rows with a null id have no smaller id and are none: they lose nothing and remove nothing.  Of documents that
+share a string the one with the least id keeps it.  An empty table gives an empty result.  Added columns
+replace their namesakes.
 """
 
 from __future__ import annotations
@@ -43,9 +48,8 @@ SPAN = BEFORE + DEPTH
 HEAVY = 8
 #: Text hashed at a time: smaller pieces leave many small arrays between the temporary ones.
 CHUNK = 1 << 20
-LAST = (1 << 63) - 1
 ALL, SOME, MANY = 1, 2, 3  # answers to an anchor: all its bytes go; compare by anchor; compare by window
-WHERE = [("doc", "<i8"), ("tag", "<u2"), ("pos", "<i4")]
+WHERE = [("doc", "<i8"), ("tag", "<i8"), ("pos", "<i4")]
 ANCHOR = np.dtype([("key", "<u8"), ("ctx", "<u8"), *WHERE])
 ANSWER = np.dtype([*WHERE, ("what", "u1")])
 PIECE = np.dtype([("key", "<u8"), *WHERE, ("left", "u1"), ("right", "u1"), ("bytes", "u1", (SPAN,))])
@@ -278,25 +282,26 @@ def repeated_spans(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     added = ["removed_spans", "n_bytes", "n_removed", "kept_sha256"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
     buckets = B.n_buckets(docs)
-    # Rows that share an id are told apart by their text; there are hardly ever any.
-    shared = not docs.groupBy(id_col).count().where("count > 1").limit(1).isEmpty()
-    tag = F.crc32(F.coalesce(F.col(text), F.lit(""))) % 65536
-    at = ["oid", "tag"] if shared else ["oid"]
+    text_of = F.coalesce(F.col(text), F.lit(""))
+    # Rows with a null id are only carried along, spread by their text.
     own = docs.select(
         *(F.col(f"`{c}`").alias(f"k_{c}") for c in keep),
-        F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("oid"),
-        *([tag.cast("long").alias("tag")] if shared else []),
-        F.coalesce(F.col(text), F.lit("")).alias("text"),
+        F.col(id_col).isNotNull().alias("known"),
+        F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text_of)).alias("oid"),
+        B.row_tag(docs, id_col, text).alias("tag"),
+        text_of.alias("text"),
     )
-    first = B.gather(own.select("oid", F.col("tag") if shared else F.lit(0).cast("long").alias("tag"), "text"), lambda table: _pass_1(table, buckets))
+    at = ["known", "oid", "tag"]
+    first = B.gather(own.where("known").select("oid", "tag", "text"), lambda table: _pass_1(table, buckets))
     second = B.reduce(first, lambda b, x: _pass_2(b, x, buckets), B.SCHEMA)
-    answers = materialise(B.reduce(second, _per_doc(ANSWER, 2), PER_DOC), "answers")
+    # ``known`` is written, not a literal: Spark would filter the texts of one join by it and deal them twice.
+    answers = materialise(B.reduce(second, _per_doc(ANSWER, 2), PER_DOC).withColumn("known", F.lit(True)), "answers")
     answers = answers.select(*at, F.col("blob").alias("answers"))
     # The texts are dealt by id twice, in the same form, so that Spark sends them once.
-    open_ = own.join(answers, at).select("oid", F.col("tag") if shared else F.lit(0).cast("long").alias("tag"), "answers", *(f"k_{c}" for c in keep), "text")
+    open_ = own.join(answers, at).select("oid", "tag", "answers", *(f"k_{c}" for c in keep), "text")
     third = B.gather(open_, lambda table: _pass_3(table, buckets))
     runs = B.reduce(B.reduce(third, lambda b, x: _last_pass(b, x, buckets), B.SCHEMA), _per_doc(RUN, 2), PER_DOC).withColumnRenamed("blob", "runs")
-    both = answers.join(runs.select(*at, "runs"), at, "left")
+    both = answers.join(runs.select(F.lit(True).alias("known"), "oid", "tag", "runs"), at, "left")
     joined = own.join(both, at, "left").select(*(f"k_{c}" for c in keep), "answers", "runs", "text")
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     schema = T.StructType(
