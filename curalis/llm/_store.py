@@ -9,11 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; only where it is unset (tests), a folder of our own."""
+    """``spark.checkpoint.dir`` of the session; only where it is unset and all runs on this machine (local
+    mode, as in tests), a folder of our own."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="curalis-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -31,5 +35,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a ``materialise`` result that nothing reads any more."""
+    spark = df.sparkSession
+    for file in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -1,13 +1,15 @@
 """Connected components of a distributed edge table by alternating large-star and small-star
 (Kiveris et al., SoCC 2014).  A node's neighbours are never gathered: each step is a minimum per
-node and a join.  Every round is written to the shared folder, so lineage stays short."""
+node and a join.  Every round is written to the shared folder, so lineage stays short, and replaces the round
+before it.  Rounds grow with the logarithm of the longest chain; ``rounds`` = 60 is far beyond what any chain
+needs, and passing it is an error, never a partial result."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curalis.llm._store import materialise
+from curalis.llm._store import discard, materialise
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -33,5 +35,6 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if state == seen or not state[0]:
             return now
         seen = state
-        now = materialise(_star(_star(now, True), False), "edges")
+        before, now = now, materialise(_star(_star(now, True), False), "edges")
+        discard(before)
     raise RuntimeError(f"components did not settle in {rounds} rounds")

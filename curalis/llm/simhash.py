@@ -1,45 +1,86 @@
 """SimHash near-duplicates by anchor-point covering.
 
-Fingerprints are 64-bit SimHashes of 3-word shingles (A-Z lower-cased; a text of fewer words is one
-shingle; a text without words has fingerprint 0).  Documents link at ``THRESHOLD`` = 2 or fewer
-differing bits.  Equal fingerprints are one class, whose representative is the least id.
-
-Covering: the fingerprint is seen as two halves of 31 bits (and 2 bits left over).  Of 2 differing
-bits some half holds at most 1, so each half needs threshold 1.  Anchors of a half are the code words
-of the Hamming (31, 26) code, whose covering radius is 1: every value is within 1 of just one anchor,
-its home.  Each fingerprint is replicated to all anchors within radius + threshold = 2 of each half
-(16 of them), so it meets whatever links to it at the other's home.  Compared per anchor, home
-against visitors, on all 64 bits; only links are emitted.
+Fingerprints are SimHashes of word shingles (A-Z lower-cased; a text of fewer words is one shingle; a text
+without words has fingerprint 0).  Documents link at ``threshold`` or fewer differing bits.  Equal
+fingerprints are one class, whose representative is the least id; components of links are groups.
+
+Covering: the fingerprint is cut into blocks (a few bits may be left over).  Anchors of a block are the words
+whose first 2**order - 1 bits are a code word of that Hamming code and whose ``free`` other bits are
+arbitrary; their covering radius is 1, and every value is within 1 of just one anchor with its own free
+bits, its home.  Each fingerprint is replicated to all anchors within radius + 1 = 2 of each block, so it
+meets whatever differs from it by at most 1 bit in that block at the other's home.  Compared per anchor,
+home against visitors, on all bits; only links are emitted, and within an anchor no pair of members that
+are known to be connected is compared again.
+
+Two settings: ``CONTRACT``, 64 bits of 3-word shingles, threshold 2, two blocks of 31 bits: of at most 3
+differing bits one block holds at most 1, so no link is lost.  ``SIMILAR``, for a Jaccard similarity of 0.8 of
+5-word shingles: 128 bits, whose expected distance at that similarity is the threshold, in seven blocks of
+18 bits; here blocks find a pair with a probability that falls with its distance (the README has measured
+recall).  A block of w bits leaves about 2**(w - order) anchors; ``free`` should grow with the logarithm of the number of
+documents, at the price of recall.
 
 Null and empty texts have fingerprint 0 and are linked like any other.  Rows with a null id get a
-fingerprint and no component.  Repeated rows share a class.  Added columns replace their namesakes.
+fingerprint and no component.  Repeated rows share a class; rows with one id and different texts have
+fingerprints and components of their own.  Ties: the least id, then the least hash of the text stands for a
+component.  Texts of any length are read whole.  An empty table gives an empty result.  Added columns
+replace their namesakes.
 """
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window
 
 from curalis.llm import _arrow as A
 from curalis.llm._store import materialise, partitions
 from curalis.llm.components import components
 
-SHINGLE, SEED, THRESHOLD = 3, 42, 2
-HALF = 31
-#: An anchor with more members is searched by flipping bits instead of comparing all with all.
-DENSE = 3_000
+SEED = 42
+
+
+@dataclass(frozen=True)
+class Setting:
+    """Words of a shingle, bits of a fingerprint, most differing bits of a link, and the anchors' code."""
+
+    shingle: int
+    bits: int
+    threshold: int
+    order: int
+    free: int
+
+    @property
+    def width(self) -> int:
+        return (1 << self.order) - 1 + self.free
+
+    @property
+    def blocks(self) -> int:
+        return self.bits // self.width
+
+
+def expected_distance(similarity: float, bits: int) -> int:
+    """Differing bits of the SimHashes of two sets of one size with this Jaccard similarity."""
+    return int(bits * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+
 
+CONTRACT = Setting(shingle=3, bits=64, threshold=2, order=5, free=0)
+SIMILAR = Setting(shingle=5, bits=128, threshold=expected_distance(0.8, 128), order=4, free=3)
+#: Members of an anchor compared at a time, and members from which on a large group in it is looked for first.
+BLOCK, LARGE = 256, 1_024
 
-def fingerprints(data, offsets, valid=None) -> np.ndarray:
+
+def fingerprints(data, offsets, setting: Setting = CONTRACT) -> np.ndarray:
+    """Fingerprints as rows of 64-bit words, the lowest bits first."""
     low = A.LOWER[data]
     starts, ends = A.spans_of(A.NOT_SPACE[low], offsets)
-    out = np.zeros(len(offsets) - 1, np.uint64)
+    size, words = setting.shingle, setting.bits // 64
+    out = np.zeros((len(offsets) - 1, words), np.uint64)
     if not len(starts):
         return out
     # One space between words: bytes of words, and one byte before each word but the first of a document.
@@ -52,92 +93,129 @@ def fingerprints(data, offsets, valid=None) -> np.ndarray:
     joined[inside] = low[A.NOT_SPACE[low]]
     raw = joined.tobytes()
     counts = np.diff(first)
-    last = np.minimum(np.arange(len(starts)) + SHINGLE, np.repeat(first[1:], counts)) - 1
-    keep = (np.arange(len(starts)) + SHINGLE <= np.repeat(first[1:], counts)) | ((np.arange(len(starts)) == np.repeat(first[:-1], counts)) & (np.repeat(counts, counts) < SHINGLE))
+    last = np.minimum(np.arange(len(starts)) + size, np.repeat(first[1:], counts)) - 1
+    keep = (np.arange(len(starts)) + size <= np.repeat(first[1:], counts)) | ((np.arange(len(starts)) == np.repeat(first[:-1], counts)) & (np.repeat(counts, counts) < size))
     digest = xxhash.xxh64_intdigest
     h = np.array([digest(raw[a:b], SEED) for a, b in zip(at[keep].tolist(), to[last[keep]].tolist(), strict=True)], np.uint64)
-    n = np.maximum(counts - SHINGLE + 1, np.minimum(counts, 1))
+    h = np.stack([h, *(A.mix(h + A.U64(k)) for k in range(1, words))], 1)
+    n = np.maximum(counts - size + 1, np.minimum(counts, 1))
     bounds = np.r_[0, np.cumsum(n)]
-    bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    bits = np.unpackbits(h.view(np.uint8).reshape(len(h), -1), axis=1, bitorder="little")
     for lo in range(0, len(out), 256):
         docs = np.arange(lo, min(lo + 256, len(out)))
         docs = docs[n[docs] > 0]
         if len(docs):
             ones = np.add.reduceat(bits[: bounds[docs[-1] + 1]], bounds[docs], axis=0, dtype=np.int32)
-            out[docs] = np.packbits(2 * ones > n[docs][:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+            out[docs] = np.packbits(2 * ones > n[docs][:, None], axis=1, bitorder="little").view(np.uint64).reshape(len(docs), words)
     return out
 
 
-def with_fingerprint(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (default: all) with ``fp``, the fingerprint as a signed long."""
+def _binary(fp: np.ndarray) -> pa.Array:
+    """Fingerprints as bytes, the highest first."""
+    size = fp.shape[1] * 8
+    data = np.ascontiguousarray(np.ascontiguousarray(fp).view(np.uint8).reshape(-1, size)[:, ::-1])
+    return pa.Array.from_buffers(pa.binary(), len(fp), [None, pa.py_buffer(np.arange(len(fp) + 1, dtype=np.int32) * size), pa.py_buffer(data)])
+
+
+def _matrix(column: pa.Array, words: int) -> np.ndarray:
+    size = words * 8
+    column = column.cast(pa.large_binary())
+    offsets, data = column.buffers()[1:]
+    first = int(np.frombuffer(offsets, np.int64)[column.offset]) if len(column) else 0
+    raw = np.frombuffer(data, np.uint8)[first : first + len(column) * size] if data is not None else np.zeros(0, np.uint8)
+    return np.ascontiguousarray(raw.reshape(-1, size)[:, ::-1]).view(np.uint64)
+
+
+def with_fingerprint(docs: DataFrame, text: str = "text", keep: list[str] | None = None, setting: Setting = CONTRACT) -> DataFrame:
+    """``keep`` columns (default: all) with ``fp``, the fingerprint's bytes."""
     keep = [c for c in (docs.columns if keep is None else keep) if c != "fp"]
-    return A.arrow_map(docs, lambda d, o, v: [pa.array(fingerprints(d, o, v).view(np.int64))], text, keep, [T.StructField("fp", T.LongType())])
+    return A.arrow_map(docs, lambda d, o, v: [_binary(fingerprints(d, o, setting))], text, keep, [T.StructField("fp", T.BinaryType())])
 
 
-def _syndrome(x: np.ndarray) -> np.ndarray:
-    """Of a 31-bit word: the exclusive or of the places (1 to 31) of its set bits."""
+def _syndrome(x: np.ndarray, order: int) -> np.ndarray:
+    """Of words of 2**order - 1 bits: the exclusive or of the places (from 1) of the set bits."""
     out = np.zeros(len(x), np.int64)
-    for k in range(HALF):
+    for k in range((1 << order) - 1):
         out ^= np.where(x >> k & 1 == 1, k + 1, 0)
     return out
 
 
-def _flips() -> np.ndarray:
-    """By syndrome s, the 16 masks of at most 2 bits that lead to code words."""
-    table = np.zeros((32, 16), np.int64)
-    for s in range(32):
-        found = [0] if s == 0 else [1 << (s - 1)]
-        found += [1 << (a - 1) | 1 << ((a ^ s) - 1) for a in range(1, 32) if 0 < (a ^ s) < 32 and a < a ^ s]
-        if s == 0:
-            found = [0]
-        table[s, : len(found)] = found
-        table[s, len(found) :] = found[0]
-    return table
-
-
-FLIPS = _flips()
+def flips(order: int, free: int) -> list[np.ndarray]:
+    """By syndrome, the masks of at most 2 bits that lead to anchors; the first leads to the home."""
+    n = (1 << order) - 1
+    spare = [1 << (n + j) for j in range(free)]
+    out = []
+    for s in range(n + 1):
+        home = 1 << (s - 1) if s else 0
+        found = [home, *(home | x for x in spare)]
+        if s:
+            found += [1 << (a - 1) | 1 << ((a ^ s) - 1) for a in range(1, n + 1) if a < a ^ s]
+        else:
+            found += [x | y for i, x in enumerate(spare) for y in spare[:i]]
+        out.append(np.array(found, np.int64))
+    return out
 
 
-def anchors(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row of each replica, its anchor (half << 32 | code word) and whether it is at home there."""
+def anchors(fp: np.ndarray, setting: Setting = CONTRACT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row of each replica, its anchor (block << 32 | word) and whether it is at home there."""
+    table = flips(setting.order, setting.free)
+    bits = np.unpackbits(fp.view(np.uint8).reshape(len(fp), -1), axis=1, bitorder="little")
+    place = np.int64(1) << np.arange(setting.width, dtype=np.int64)
     rows, keys, home = [], [], []
-    for half in (0, 1):
-        x = ((fp >> A.U64(HALF * half)) & A.U64((1 << HALF) - 1)).astype(np.int64)
-        s = _syndrome(x)
-        to = x[:, None] ^ FLIPS[s]
-        distinct = np.ones_like(to, bool)
-        distinct[:, 1:] = FLIPS[s][:, 1:] != FLIPS[s][:, :1]
-        r, c = np.nonzero(distinct)
-        rows.append(r)
-        keys.append((half << 32) | to[r, c])
-        home.append(c == 0)
-    return np.concatenate(rows), np.concatenate(keys), np.concatenate(home)
-
-
-def _links(fp: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    for block in range(setting.blocks):
+        x = bits[:, block * setting.width : (block + 1) * setting.width].astype(np.int64) @ place
+        syndrome = _syndrome(x & ((1 << ((1 << setting.order) - 1)) - 1), setting.order)
+        for s in np.unique(syndrome):
+            own = np.flatnonzero(syndrome == s)
+            to = x[own][:, None] ^ table[s][None, :]
+            rows.append(np.repeat(own, len(table[s])))
+            keys.append((block << 32 | to).ravel())
+            at_home = np.zeros(to.shape, bool)
+            at_home[:, 0] = True
+            home.append(at_home.ravel())
+    return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rows, keys, home))
+
+
+def _near(fp: np.ndarray, some: np.ndarray, others: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+    differ = np.zeros((len(some), len(others)), np.uint16)
+    for k in range(fp.shape[1]):
+        differ += np.bitwise_count(fp[some, k][:, None] ^ fp[others, k][None, :])
+    i, j = np.nonzero(differ <= threshold)
+    return some[i], others[j]
+
+
+def _links(fp: np.ndarray, home: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of linked members of one anchor (home against all), enough of them to connect them alike."""
     n = len(fp)
-    if n <= DENSE:
-        hosts = np.flatnonzero(home)
-        a, b = [], []
-        for lo in range(0, len(hosts), 256):
-            part = hosts[lo : lo + 256]
-            i, j = np.nonzero(np.bitwise_count(fp[part][:, None] ^ fp[None, :]) <= THRESHOLD)
-            a.append(part[i])
-            b.append(j)
-        return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, int), np.zeros(0, int))
-    order = np.argsort(fp)
-    known = fp[order]
-    one = A.U64(1) << np.arange(64, dtype=np.uint64)
-    masks = np.unique(np.concatenate([one, (one[:, None] ^ one[None, :]).ravel()]))[1:]
-    a, b = [], []
-    for mask in masks:
-        want = fp ^ mask
-        at = np.minimum(np.searchsorted(known, want), n - 1)
-        hit = np.flatnonzero(known[at] == want)
-        a.append(hit)
-        b.append(order[at[hit]])
-    return np.concatenate(a), np.concatenate(b)
+    hosts, everyone = np.flatnonzero(home), np.arange(n)
+    us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    group = everyone.copy()  # a member's group: members of one group are connected by links already
+    if n > LARGE:
+        # Copies of one document crowd an anchor: what links to a home member directly is its group.
+        for _ in range(64):
+            alone = hosts[group[hosts] == hosts]
+            if not len(alone):
+                break
+            u, v = _near(fp, alone[:1], everyone[group == everyone], threshold)
+            group[v] = alone[0]
+            group[alone[0]] = -1 - alone[0]  # done: no longer alone
+            us.append(u)
+            vs.append(v)
+        group = np.where(group < 0, -1 - group, group)
+    sizes = np.bincount(group, minlength=n)
+    large = np.flatnonzero(sizes > BLOCK)
+    for g in large:  # members of a large group are compared with the rest only
+        own, rest = hosts[group[hosts] == g], everyone[group != g]
+        for lo in range(0, len(own), BLOCK):
+            u, v = _near(fp, own[lo : lo + BLOCK], rest, threshold)
+            us.append(u)
+            vs.append(v)
+    few = hosts[sizes[group[hosts]] <= BLOCK]
+    for lo in range(0, len(few), BLOCK):
+        u, v = _near(fp, few[lo : lo + BLOCK], everyone, threshold)
+        us.append(u)
+        vs.append(v)
+    return np.concatenate(us), np.concatenate(vs)
 
 
 def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -158,74 +236,94 @@ def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         root = new
 
 
-def linked(classes: DataFrame) -> DataFrame:
+def linked(classes: DataFrame, setting: Setting = CONTRACT) -> DataFrame:
     """From ``fp, node`` (distinct fingerprints): edges ``u, v`` that connect what links."""
     n = partitions(classes.sparkSession)
-    schema = T.StructType([T.StructField("anchor", T.LongType()), T.StructField("fp", T.LongType()), T.StructField("node", T.LongType()), T.StructField("home", T.BooleanType())])
+    words = setting.bits // 64
+    schema = T.StructType([T.StructField("anchor", T.LongType()), T.StructField("fp", T.BinaryType()), T.StructField("node", T.LongType()), T.StructField("home", T.BooleanType())])
 
     def replicate(batches):
         for batch in batches:
-            fp, node = (np.asarray(batch.column(i).to_numpy(zero_copy_only=False), np.int64) for i in (0, 1))
-            row, key, home = anchors(fp.view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp[row]), pa.array(node[row]), pa.array(home)], names=schema.names)
-
-    def compare(frames):
-        # Rows of an anchor are together and sorted; an anchor that goes on is carried to the next frame.
-        rest = None
-        for frame in (*frames, None):
-            part = rest if frame is None else frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-            if part is None or not len(part):
+            for lo in range(0, batch.num_rows, 2_000):
+                part = batch.slice(lo, 2_000)
+                fp, node = _matrix(part.column(0), words), np.asarray(part.column(1).to_numpy(), np.int64)
+                row, key, home = anchors(fp, setting)
+                yield pa.RecordBatch.from_arrays([pa.array(key), _binary(fp[row]), pa.array(node[row]), pa.array(home)], names=schema.names)
+
+    def within(parts):
+        """Edges of whole anchors, whose members are together and sorted by anchor."""
+        anchor, node, home = (np.concatenate([np.asarray(p.column(i).to_numpy(zero_copy_only=False)) for p in parts]) for i in (0, 2, 3))
+        fp = np.concatenate([_matrix(p.column(1), words) for p in parts])
+        bounds = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1], True])
+        hosted = np.add.reduceat(home, bounds[:-1], dtype=np.int64) > 0
+        us, vs = [], []
+        for i in np.flatnonzero((np.diff(bounds) > 1) & hosted):
+            lo, hi = bounds[i], bounds[i + 1]
+            a, b = _links(fp[lo:hi], home[lo:hi], setting.threshold)
+            us.append(node[lo:hi][a])
+            vs.append(node[lo:hi][b])
+        if us:
+            nodes, roots = forest(np.concatenate(us), np.concatenate(vs))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[nodes != roots]), pa.array(roots[nodes != roots])], names=["u", "v"])
+
+    def compare(batches):
+        held, key = [], None
+        for batch in batches:
+            anchor = np.asarray(batch.column(0).to_numpy())
+            if not len(anchor):
                 continue
-            anchor = part["anchor"].to_numpy()
-            cut = len(part) if frame is None else int(np.searchsorted(anchor, anchor[-1]))
-            rest = part.iloc[cut:]
-            fp, node, home = part["fp"].to_numpy()[:cut].view(np.uint64), part["node"].to_numpy()[:cut], part["home"].to_numpy()[:cut]
-            bounds = np.flatnonzero(np.r_[True, anchor[1:cut] != anchor[: cut - 1], True]) if cut else [0]
-            us, vs = [], []
-            sizes = np.diff(bounds)
-            for i in np.flatnonzero(sizes > 1):
-                lo, hi = bounds[i], bounds[i + 1]
-                a, b = _links(fp[lo:hi], home[lo:hi])
-                us.append(node[lo:hi][a])
-                vs.append(node[lo:hi][b])
-            if us:
-                nodes, roots = forest(np.concatenate(us), np.concatenate(vs))
-                yield pd.DataFrame({"u": nodes[nodes != roots], "v": roots[nodes != roots]})
+            cut = int(np.searchsorted(anchor, anchor[-1]))  # the last anchor may go on in the next batch
+            if cut or (held and anchor[0] != key):
+                yield from within([*held, *([batch.slice(0, cut)] if cut else [])])
+                held = []
+            held.append(batch.slice(cut))
+            key = anchor[-1]
+        if held:
+            yield from within(held)
+        A.release()
 
     replicas = classes.select("fp", "node").mapInArrow(replicate, schema)
     # Anchors without a home member, or with one member only, compare nothing; counting them first costs
     # as much as sending them.
-    return replicas.repartition(n, "anchor").sortWithinPartitions("anchor").mapInPandas(compare, "u long, v long")
+    return replicas.repartition(n, "anchor").sortWithinPartitions("anchor").mapInArrow(compare, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (default: all) with ``fingerprint`` (16 hex digits) and ``component_id``, the least
-    id reachable over links.  The kept columns are written once beside the fingerprints."""
+def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id", keep: list[str] | None = None, setting: Setting = CONTRACT) -> DataFrame:
+    """``keep`` columns (default: all) with ``fingerprint`` (hex digits, the highest first) and
+    ``component_id``, the least id reachable over links.  The kept columns are written once beside the
+    fingerprints."""
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("fingerprint", "component_id")]
     own = docs.select(*(F.col(f"`{c}`").alias(f"k_{c}") for c in keep), F.col(id_col).cast("long").alias("__id"), F.col(text).alias("__text"))
-    rows = materialise(with_fingerprint(own, "__text", [*(f"k_{c}" for c in keep), "__id"]), "fingerprints")
-    classes = materialise(rows.where("__id is not null").groupBy("fp").agg(F.min("__id").alias("node")), "classes")
-    member = components(linked(classes))
-    of = classes.join(member, classes["node"] == member["u"], "left").select("fp", F.coalesce("v", "node").alias("component_id"))
+    rows = materialise(with_fingerprint(own, "__text", [*(f"k_{c}" for c in keep), "__id"], setting), "fingerprints")
+    classes = materialise(rows.where("__id is not null").groupBy("fp").agg(F.min("__id").alias("class")).withColumn("node", F.monotonically_increasing_id()), "classes")
+    member = components(linked(classes, setting))
+    # Nodes are numbers of classes: rows that share an id may be in different classes.
+    of = classes.join(member, classes["node"] == member["u"], "left").select("fp", "class", F.coalesce("v", "node").alias("root"))
+    least = of.groupBy("root").agg(F.min("class").alias("component_id"))
+    of = of.join(least, "root").select("fp", "component_id")
     return rows.join(of, "fp", "left").select(
         *(F.col(f"`k_{c}`").alias(c) for c in keep),
-        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.lower(F.hex("fp")).alias("fingerprint"),
         F.when(F.col("__id").isNotNull(), F.col("component_id")).alias("component_id"),
     )
 
 
-def drop_near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """One document of each component: the one with the least id (of repeated rows with that id, the one
-    with the least text).  Rows with a null id are kept."""
-    found = materialise(near_duplicates(docs, text, id_col, keep=[id_col]).where(F.col("component_id").isNotNull()), "components")
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    repeated = materialise(found.where(F.col(id_col) == F.col("component_id")).groupBy(id_col).count().where("count > 1").select(id_col), "repeated")
-    kept = docs.join(gone, id_col, "left_anti").select(*docs.columns)
-    if repeated.isEmpty():
-        return kept
-    order = Window.partitionBy(id_col).orderBy(text)
-    one = kept.join(repeated, id_col, "left_semi").withColumn("__n", F.row_number().over(order)).where("__n = 1").select(*docs.columns)
-    return kept.join(repeated, id_col, "left_anti").select(*docs.columns).unionByName(one)
+def drop_near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id", setting: Setting = SIMILAR) -> DataFrame:
+    """One document of each component: the one with the least id (of rows that share it, the one with the
+    least hash of the text; of equal rows, one).  Rows with a null id are kept."""
+    own = docs.withColumn("__h", F.xxhash64(F.coalesce(text, F.lit(""))))
+    found = near_duplicates(own, text, id_col, [id_col, "__h"], setting).where("component_id is not null")
+    each = found.groupBy("component_id", F.col(id_col).alias("i"), F.col("__h").alias("h")).agg(F.count("*").alias("n"))
+    stays = materialise(each.groupBy("component_id").agg(F.min_by("n", F.struct("i", "h")).alias("n"), F.min(F.struct("i", "h")).alias("x")).select(F.col("x.i").alias(id_col), F.col("x.h").alias("__h"), "n"), "stays")
+    once = own.join(stays.where("n = 1"), [id_col, "__h"], "left_semi")
+    parts = [once, own.where(F.col(id_col).isNull())]
+    if not stays.where("n > 1").isEmpty():
+        # Equal rows; partial aggregation leaves one per task before anything is sent.
+        parts.append(own.join(stays.where("n > 1"), [id_col, "__h"], "left_semi").dropDuplicates([id_col, "__h"]))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op7(spark, sf_dir):
