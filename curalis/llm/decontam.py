@@ -4,9 +4,14 @@ Words are runs of ASCII letters, digits and non-ASCII characters, A-Z lower-case
 of an item are its runs of ``n`` words (an item of fewer, but not none, is one window).  Hashes
 of the documents' windows are looked up in the broadcast set; each hit is verified word by word.
 
+A benchmark of up to ``MAX_SET_BYTES`` of text is one set, a larger one several, scanned one after the other;
+results are the same, as spans and items of all sets are merged.
+
 Nulls and texts without words have no windows and no hits.  Items without words match nothing;
-an item whose id is null still marks words but is not listed.  Repeated rows are judged alike,
-each on its own.  Added columns replace columns of the same name.
+an item whose id is null still marks words but is not listed.  Texts of any length are scanned whole; a word
+in windows of several items counts once, and all of these are listed, in the order of their ids as strings.
+Repeated rows are judged alike, each on its own; repeated items are listed once.  An empty table of documents
+gives an empty result, an empty benchmark no hits.  Added columns replace columns of the same name.
 """
 
 from __future__ import annotations
@@ -41,33 +46,40 @@ def _words(data, offsets):
 
 
 class Grams:
-    """The windows of some benchmark items by length, with the items that hold each."""
+    """The windows of some benchmark items by length: sorted hashes, each with its item and its first word; and
+    the items' words, against which hits are verified.  About 40 bytes for each word."""
 
     def __init__(self, items: list[tuple[str | None, str | None]], n: int):
+        self.names = [name for name, _ in items]
         blobs = [(t or "").encode("utf-8", "surrogatepass") for _, t in items]
         offsets = np.zeros(len(blobs) + 1, np.int64)
         np.cumsum([len(b) for b in blobs], out=offsets[1:])
-        low, starts, ends, first = _words(np.frombuffer(b"".join(blobs), np.uint8), offsets)
-        hashes = A.range_hash(A.prefix_hash(low), starts, ends)
-        raw = low.tobytes()
-        holders: dict[bytes, set[str]] = defaultdict(set)
-        found: dict[int, list] = defaultdict(list)
-        for (item, _), a, b in zip(items, first[:-1], first[1:], strict=True):
-            size = min(n, b - a)
-            if not size:
-                continue
-            found[int(size)].append(A.window_hash(hashes[a:b], size))
-            words = [raw[s:e] for s, e in zip(starts[a:b], ends[a:b], strict=True)]
-            for i in range(b - a - size + 1):
-                holders[b" ".join(words[i : i + size])] |= {item} - {None}
-        self.holders = dict(holders)
-        self.sets = {size: np.unique(np.concatenate(h)) for size, h in found.items()}
+        low, self.starts, self.ends, first = _words(np.frombuffer(b"".join(blobs), np.uint8), offsets)
+        self.raw = low.tobytes()
+        counts = np.diff(first)
+        self.sets: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         self.bits = {}
-        for size, h in self.sets.items():
+        words = A.range_hash(A.prefix_hash(low), self.starts, self.ends)
+        item = np.repeat(np.arange(len(items), dtype=np.int32), counts)
+        for size in np.unique(np.minimum(counts[counts > 0], n)).tolist():
+            hashes = A.window_hash(words, size)
+            at = np.flatnonzero((np.minimum(counts, n)[item] == size) & (np.arange(len(words)) + size <= np.repeat(first[1:], counts)))
+            order = at[np.argsort(hashes[at], kind="stable")]
+            self.sets[size] = (hashes[order], item[order], order.astype(np.int32))
             bits = np.zeros(1 << 20, bool)
-            bits[h >> A.U64(44)] = True
+            bits[hashes[order] >> A.U64(44)] = True
             self.bits[size] = bits
 
+    def holders(self, size: int, h, words: list[bytes]) -> set[str] | None:
+        """Names of the items with this window, none of which may be named; null if no item has it."""
+        hashes, item, at = self.sets[size]
+        found = None
+        for i in range(int(np.searchsorted(hashes, h)), int(np.searchsorted(hashes, h, "right"))):
+            w = int(at[i])
+            if all(self.raw[a:b] == x for a, b, x in zip(self.starts[w : w + size], self.ends[w : w + size], words, strict=True)):
+                found = (found or set()) | {self.names[item[i]]}
+        return None if found is None else found - {None}
+
 
 def scan(grams: Grams, data, offsets):
     """Words per document, spans of hit words and the items found, for a chunk of documents."""
@@ -77,14 +89,17 @@ def scan(grams: Grams, data, offsets):
     doc_end = np.repeat(first[1:], counts)
     marks = np.zeros(len(starts) + 1, np.int64)
     items: dict[int, set[str]] = defaultdict(set)
-    for size, known in grams.sets.items():
+    for size, (known, _, _) in grams.sets.items():
         windows = A.window_hash(hashes, size)
         at = np.flatnonzero(grams.bits[size][windows >> A.U64(44)])
         at = at[at + size <= doc_end[at]]
         near = np.minimum(np.searchsorted(known, windows[at]), len(known) - 1)
+        seen: dict[tuple, set[str] | None] = {}  # a chunk may hold one window many times
         for i in at[known[near] == windows[at]]:
-            words = b" ".join(low[s:e].tobytes() for s, e in zip(starts[i : i + size], ends[i : i + size], strict=True))
-            holders = grams.holders.get(words)
+            words = tuple(low[s:e].tobytes() for s, e in zip(starts[i : i + size], ends[i : i + size], strict=True))
+            if words not in seen:
+                seen[words] = grams.holders(size, windows[i], words)
+            holders = seen[words]
             if holders is not None:
                 marks[i] += 1
                 marks[i + size] -= 1
