@@ -4,9 +4,15 @@ Statistics are native expressions.  Labelled statistics of a bounded sample (``M
 chosen by a hash of the id) go to the driver, where sequential covering grows conjunctions of
 thresholds on two thirds, prunes them on the rest, and emits one ordered CASE expression.
 
+Growing stops when a rule is pure, has ``MAX_CONDITIONS`` conditions or gains nothing; covering stops when no
+row of the class is left, after ``MAX_RULES`` rules, or when the best pruning of a new rule is worth at most
+``WORTH`` = (right - wrong) / covered on the rows held back.  Thresholds are ``BINS`` quantiles of each statistic.
+These bound the list's size, not the rows: it is applied to all of them.
+
 Null and empty texts have zero statistics and are never kept.  Labels that are null are ignored;
-without labels the list is empty and keeps what passes the base rules.  Repeated rows are judged
-alike.  Added columns replace their namesakes.
+without labels the list is empty and keeps what passes the base rules.  Of equally good tests the first is
+taken, so reruns agree.  Texts of any length are judged whole.  Repeated rows are judged alike.  An empty
+table gives an empty result.  Added columns replace their namesakes.
 """
 
 from __future__ import annotations
@@ -21,6 +27,7 @@ MAX_TRAIN = 20_000
 MAX_RULES = 16
 MAX_CONDITIONS = 4
 BINS = 24
+WORTH = 0.2
 SPACE = r"[\x20\x09-\x0D]+"
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -135,7 +142,7 @@ def cover(x: np.ndarray, y: np.ndarray) -> list[tuple[list[tuple[int, bool, floa
                 m = held & table[chosen[:k]].all(0)
                 p, n = (m & hit).sum(), (m & ~hit).sum()
                 worth.append(((p - n) / max(p + n, 1), -k))
-            if not worth or max(worth)[0] <= 0.2:
+            if not worth or max(worth)[0] <= WORTH:
                 break
             chosen = chosen[: -max(worth)[1]]
             rules.append(([tests[i] for i in chosen], target))
