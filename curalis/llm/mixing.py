@@ -10,8 +10,13 @@ all words; a target stops at ``epochs`` times its source's size and the excess i
 weight until none is above.  A source is read in the order of a hash of its ids, from the start
 again when its words are used up; the last document taken may be taken in part.
 
-Null texts and texts without words have size 0, are taken 0 times and have no position.  Repeated
-rows count each.  An empty table gives an empty result.  Added columns replace their namesakes.
+Sums over an order (ranks of sources, offsets of slices) are running sums of ranges: rows are dealt to ranges
+of the order, and only the ranges' totals meet in one task.
+
+Null texts and texts without words have size 0, are taken 0 times and have no position.  Rows are ordered
+within a source by a hash of id and text (then by id), so rows without an id are spread as well; repeated
+rows count each.  Sources with equal stops are resolved in their order.  Texts of any length are counted
+whole.  An empty table gives an empty result.  Added columns replace their namesakes.
 """
 
 from __future__ import annotations
@@ -20,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from curalis.llm._store import materialise
+from curalis.llm._store import materialise, partitions
 
 WEIGHTS = (5, 2, 1)
 SHARE = (3, 2)
@@ -35,48 +40,49 @@ def n_words(text: str | Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def running(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    """``df`` with, for each name, the sum of its values over all rows that come before in ``order``."""
+    n = partitions(df.sparkSession)
+    ranges = materialise(df.withColumns({f"v_{k}": v.cast("long") for k, v in sums.items()}).repartitionByRange(n, *order).withColumn("range", F.spark_partition_id()), "ranges")
+    to_here = lambda w: w.rowsBetween(W.unboundedPreceding, -1)
+    within, ahead = to_here(W.partitionBy("range").orderBy(*order)), to_here(W.orderBy("range"))
+    # One row for each range, of which there are as many as shuffle partitions.
+    totals = ranges.groupBy("range").agg(*(F.sum(f"v_{k}").alias(f"t_{k}") for k in sums))
+    totals = totals.select("range", *(F.coalesce(F.sum(f"t_{k}").over(ahead), F.lit(0)).alias(f"t_{k}") for k in sums))
+    placed = ranges.withColumns({f"v_{k}": F.coalesce(F.sum(f"v_{k}").over(within), F.lit(0)) for k in sums}).join(F.broadcast(totals), "range")
+    return placed.withColumns({k: F.col(f"v_{k}") + F.col(f"t_{k}") for k in sums}).drop("range", *(f"{x}_{k}" for k in sums for x in "vt"))
+
+
 def targets(sizes: DataFrame, weights=WEIGHTS, share=SHARE, epochs=EPOCHS) -> DataFrame:
-    """``source, source_size, place, target`` from ``source, source_size``.  The level at which targets
-    stop is found in one pass over the sources by size per weight, in whole numbers until the last division."""
+    """``source, source_size, place, source_at, target`` from ``source, source_size``; ``source_at`` sums the sizes
+    of the sources before.  The level at which targets stop is found in one pass over the sources by size per
+    weight, in whole numbers until the last division."""
     num, den = share
-    order = W.orderBy(F.col("source").isNull(), "source")
     cycle = F.array(*(F.lit(int(w)).cast("long") for w in weights))
-    ranked = sizes.withColumn("place", F.row_number().over(order) - 1)
+    ranked = running(sizes, [F.col("source").isNull(), F.col("source")], {"place": F.lit(1), "source_at": F.col("source_size")})
     ranked = ranked.withColumn("weight", F.get(cycle, F.col("place") % len(weights)))
     # A source is above when the level times its weight passes its stop; stops are passed in this order.
-    by_stop = W.orderBy(F.col("source_size") / F.col("weight"), "place")
-    all_rows = W.orderBy(F.lit(0)).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    before = by_stop.rowsBetween(W.unboundedPreceding, -1)
-    ranked = ranked.withColumns(
-        {
-            "stopped": F.coalesce(F.sum("source_size").over(before), F.lit(0)),
-            "open_weight": F.sum("weight").over(by_stop.rowsBetween(W.currentRow, W.unboundedFollowing)),
-            "total": F.sum("source_size").over(all_rows),
-        }
-    )
-    left = F.col("total") * num - F.col("stopped") * (epochs * den)  # times den
-    ranked = ranked.withColumns({"left": left, "above": left * F.col("weight") > F.col("source_size") * F.col("open_weight") * (epochs * den)})
-    open_at = F.when(~F.col("above"), F.struct(F.col("source_size") / F.col("weight"), F.col("place")))
-    ranked = ranked.withColumn("level", F.min_by(F.struct("left", "open_weight"), open_at).over(all_rows))
-    shared = F.col("weight") * F.col("level.left") / (F.col("level.open_weight") * den).cast("double")
-    return ranked.select(
-        "source",
-        "source_size",
-        "place",
-        F.when(F.col("above") | F.col("level").isNull(), (F.col("source_size") * epochs).cast("double")).otherwise(shared).alias("target"),
-    )
+    stop = F.col("source_size") / F.col("weight")
+    ranked = materialise(running(ranked, [stop, F.col("place")], {"stopped": F.col("source_size"), "closed_weight": F.col("weight")}), "stops")
+    total, all_weight = ranked.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0))).first()
+    left = F.lit(total * num).cast("long") - F.col("stopped") * (epochs * den)  # times den
+    ranked = ranked.withColumns({"left": left, "open_weight": F.lit(all_weight).cast("long") - F.col("closed_weight")})
+    above = F.col("left") * F.col("weight") > F.col("source_size") * F.col("open_weight") * (epochs * den)
+    level = ranked.where(~above).agg(F.min_by(F.struct("left", "open_weight"), F.struct(stop, F.col("place")))).first()[0]
+    most = (F.col("source_size") * epochs).cast("double")
+    shared = F.col("weight") * F.lit(level[0]).cast("long") / F.lit(float(level[1] * den)) if level else most
+    return ranked.select("source", "source_size", "place", "source_at", F.when(above, most).otherwise(shared).alias("target"))
 
 
-def curriculum(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source", keep=None, weights=WEIGHTS, share=SHARE, epochs=EPOCHS, tilts=TILTS, seed=7) -> DataFrame:
-    """``keep`` columns (default: all) of every row with ``size, source_size, target, taken`` and
-    ``copies``, one ``(position, words)`` for each time the mix takes the document, range-sorted by the
-    first position (documents not taken first)."""
-    added = ["size", "source_size", "target", "taken", "copies"]
-    keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
+ADDED = ["size", "source_size", "target", "taken", "copies"]
+
+
+def _mixed(docs: DataFrame, keep: list[str], id_col="doc_id", text_col="text", source_col="source", weights=WEIGHTS, share=SHARE, epochs=EPOCHS, tilts=TILTS, seed=7) -> DataFrame:
+    """``k_<kept columns>``, ``h`` (the hash that orders a source) and the added columns of every row."""
     own = docs.select(
         *(F.col(f"`{c}`").alias(f"k_{c}") for c in keep),
         F.col(source_col).alias("source"),
-        F.xxhash64(F.col(id_col).cast("string"), F.lit(seed)).alias("h"),
+        F.xxhash64(F.col(id_col).cast("string"), F.col(text_col), F.lit(seed)).alias("h"),
         F.col(id_col).cast("string").alias("tie"),
         n_words(text_col).alias("size"),
     )
@@ -90,11 +96,10 @@ def curriculum(docs: DataFrame, id_col="doc_id", text_col="text", source_col="so
     joined = own.join(goal.withColumnRenamed("source", "s2"), F.col("source").eqNullSafe(F.col("s2"))).drop("s2")
     joined = joined.withColumn("slice", F.floor(F.shiftrightunsigned("h", 1) / F.lit(float(1 << 63)) * n_slices).cast("long"))
     sums = joined.groupBy("place", "slice").agg(F.sum("size").alias("slice_size"))
-    before = W.partitionBy("place").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
-    sums = sums.select("place", "slice", F.coalesce(F.sum("slice_size").over(before), F.lit(0)).alias("slice_at"))
+    sums = running(sums, [F.col("place"), F.col("slice")], {"slice_at": F.col("slice_size")}).select("place", "slice", "slice_at")
     within = W.partitionBy("place", "slice").orderBy("h", "tie", "size").rowsBetween(W.unboundedPreceding, -1)
     at = joined.withColumn("at", F.coalesce(F.sum("size").over(within), F.lit(0))).join(sums, ["place", "slice"])
-    start = F.col("slice_at") + F.col("at")
+    start = F.col("slice_at") - F.col("source_at") + F.col("at")
     tilt = F.get(F.array(*(F.lit(float(t)) for t in tilts)), F.col("place") % len(tilts))
     wanted = F.round("target").cast("long")
 
@@ -107,17 +112,31 @@ def curriculum(docs: DataFrame, id_col="doc_id", text_col="text", source_col="so
         return F.when(words > 0, F.struct(t.alias("position"), words.alias("words")))
 
     out = at.withColumn("copies", F.array_compact(F.array(*(copy(k) for k in range(int(epochs))))))
-    out = out.withColumn("taken", F.aggregate("copies", F.lit(0).cast("long"), lambda acc, c: acc + c["words"]))
+    return out.withColumn("taken", F.aggregate("copies", F.lit(0).cast("long"), lambda acc, c: acc + c["words"]))
+
+
+def curriculum(docs: DataFrame, keep: list[str] | None = None, **options) -> DataFrame:
+    """``keep`` columns (default: all) of every row with ``size, source_size, target, taken`` and
+    ``copies``, one ``(position, words)`` for each time the mix takes the document, range-sorted by the
+    first position (documents not taken first).  ``options``: those of ``_mixed``."""
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in ADDED]
     # The hash spreads the documents that have no position over many ranges.
-    placed = out.orderBy(F.get("copies", F.lit(0))["position"], "h")
-    return placed.select(*(F.col(f"`k_{c}`").alias(c) for c in keep), *added)
+    placed = _mixed(docs, keep, **options).orderBy(F.get("copies", F.lit(0))["position"], "h")
+    return placed.select(*(F.col(f"`k_{c}`").alias(c) for c in keep), *ADDED)
 
 
-def positions(mixed: DataFrame) -> DataFrame:
-    """One row for each time a document is taken, range-sorted by its training position."""
-    return mixed.select("*", F.explode("copies").alias("copy")).withColumns({"position": F.col("copy.position"), "words": F.col("copy.words")}).drop("copy", "copies").orderBy("position")
+def training_order(docs: DataFrame, keep: list[str] | None = None, **options) -> DataFrame:
+    """The mix itself: one row for each time a document is taken, range-sorted by its training ``position``, with
+    the ``words`` to read then (the last copy of a source may be read in part) and ``size, source_size, target,
+    taken``.  What the mix does not take is not in it."""
+    added = [*ADDED[:-1], "position", "words"]
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
+    each = _mixed(docs, keep, **options).withColumn("copy", F.explode("copies"))
+    each = each.withColumns({"position": F.col("copy.position"), "words": F.col("copy.words")}).orderBy("position", "h")
+    return each.select(*(F.col(f"`k_{c}`").alias(c) for c in keep), *added)
 
 
 def op3(spark, sf_dir):
+    """The columns asked for, and the document's training positions (one for each time it is taken)."""
     mixed = curriculum(spark.read.parquet(f"{sf_dir}/documents.parquet"), keep=["doc_id"])
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", F.transform("copies", lambda c: c["position"]).alias("positions"))
