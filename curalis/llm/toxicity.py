@@ -1,13 +1,16 @@
 """Toxicity: a character n-gram linear classifier on features scaled by naive Bayes log-count ratios.
 
 Features are the presence of byte n-grams of the lower-cased text (other than letters and digits:
-a space).  Each is scaled by the log ratio of its smoothed document counts in the two classes, and
+a space) whose shares of documents in the two classes differ significantly (``SIGNIFICANCE`` standard errors, in
+``LEAST`` documents or more; there is no limit to their number).  Each is scaled by the log ratio of its smoothed document counts in the two classes, and
 a logistic regression is fitted on the scaled features (NB-LR, Wang and Manning 2012).
 
 Training uses at most ``MAX_POSITIVE`` and ``MAX_NEGATIVE`` labelled rows of at most
-``MAX_TRAIN_BYTES`` each, chosen by a hash of the id and weighted back to the true shares; scoring
-reads whole texts.  Null and empty texts get the score of no feature.  Null labels are ignored;
-without a row of each class every score is 0.  Repeated rows score alike.
+``MAX_TRAIN_BYTES`` each, chosen by a hash of the id (ties: the least id) and weighted back to the true shares;
+scoring reads whole texts, however long.  Null and empty texts get the score of no feature.  Null labels and ids
+are not learned from; of rows with one id each text is learned with the id's labels.  Without a row of each
+class nothing can be learned: every score is then 1 if all labels are positive, else 0.  Repeated rows score
+alike.  An empty table gives an empty result.  Added columns replace their namesakes.
 """
 
 from __future__ import annotations
@@ -24,8 +27,9 @@ SIZES = (3, 4, 5, 6)
 BITS = 21
 MASK = (1 << BITS) - 1
 MAX_POSITIVE, MAX_NEGATIVE, MAX_TRAIN_BYTES = 2_500, 2_500, 20_000
-#: At most so many features, and PER_POSITIVE for each positive row (more would be learned by heart).
-MAX_FEATURES, PER_POSITIVE = 8_192, 8
+#: Least difference of an n-gram's shares of documents in the two classes, in standard errors, and least number
+#: of documents with it, to be a feature.
+SIGNIFICANCE, LEAST = 5.0, 3
 #: The byte classes n-grams are made of.
 FOLD = np.where(A.ALNUM, A.LOWER, 32).astype(np.uint8)
 
@@ -76,9 +80,7 @@ def fit(texts: list[str], y: np.ndarray, weight: np.ndarray, steps: int = 200, d
     n_p, n_q = y.sum(), (1 - y).sum()
     share = (p + q) / (n_p + n_q)
     z = np.abs(p / n_p - q / n_q) / np.sqrt(np.maximum(share * (1 - share), 1e-4) * (1 / n_p + 1 / n_q))
-    z[p + q < 3] = 0
-    chosen = np.sort(np.argsort(-z, kind="stable")[: min(MAX_FEATURES, PER_POSITIVE * int(n_p))])
-    chosen = chosen[z[chosen] > 0]
+    chosen = np.flatnonzero((z >= SIGNIFICANCE) & (p + q >= LEAST))
     ratio = np.log((p[chosen] + 1) / (p[chosen].sum() + len(chosen))) - np.log((q[chosen] + 1) / (q[chosen].sum() + len(chosen)))
     wanted = np.zeros(1 << BITS, bool)
     wanted[chosen] = True
