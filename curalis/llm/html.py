@@ -1,17 +1,31 @@
 """Main text of web pages by composite text density (after Sun, Song and Liao, SIGIR 2011).
 
-A page is parsed into a tree of block elements.  A node's density is its characters per tag,
-adjusted by the share of characters and tags in links; the sum of its children's densities ranks
-it.  The subtree with the maximum sum is chosen; the least density on its path to the body is the
-threshold, and every other subtree off that path that reaches it is kept as well, and so is every run
-of text that stands directly in an element of the path.  If the chosen node lies in an ``article`` or
-``main``, that element is kept whole in its place, and the threshold decides what is around it.  Elements that are never main
-text (menus, headers and footers of the page, sidebars, forms, scripts, adverts, comments ...) are
-cut before.
-
-A null or empty page, or one without text, gives the empty string.  Truncated pages and unclosed
-or misnested elements are parsed as far as they go.  Repeated rows give the same text.  Added
-columns replace their namesakes.
+A page is parsed into a tree of all its elements.  The density of a node with C characters and T tags below
+it, LC and LT of them in links (the page has LB of CB characters in links), is that of the paper:
+
+    C / T * log((C / LC) * (T / LT), base ln((C / (C - LC)) * LC + (LB / CB) * C + e))
+
+where a count of 0 below a fraction line counts as 1 (also LC in the base).  The sum of its children's
+densities ranks a node (a leaf: its own).  The subtree with the maximum sum is chosen; the least density on its
+path to the body is the threshold, and every other subtree off that path that reaches it is kept as well, and
+so is every run of text that stands directly in an element of the path.  If the chosen node lies in an
+``article`` or ``main``, that element is kept whole in its place (the page says what belongs together), and the
+threshold decides what is around it.
+
+Parts that are never main text are cut before: scripts and the like; menus, headers and footers of the page,
+sidebars, forms; and elements whose class, id or role says advert, notice, comments and so on.  Such a word must be a
+whole class name, or make up a compound one together with words of ``PLACES`` (``comment-list``, but neither
+``has-sidebar`` nor ``search-result``).  An element that holds the page's ``main`` or only ``h1`` is not cut for its
+name or class, nor is one besides which less than ``REST`` of the plain text of a page without ``article`` and
+``main`` would be left.
+
+Tags and attributes are read in one pass, and the innermost open element of each name is known, so time is linear
+in the page's length, also for deeply nested, unclosed and misnested elements.
+
+A null or empty page, or one without text, gives the empty string; so does one all of whose text is in parts
+that are cut (scripts, menus made of links).  Truncated pages and unclosed or misnested elements are parsed as
+far as they go.  Of subtrees with equal sums the first is chosen.  Pages of any length are read whole.
+Repeated rows give the same text.  An empty table gives an empty result.  Added columns replace their namesakes.
 """
 
 from __future__ import annotations
@@ -19,181 +33,253 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from collections import defaultdict
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-RAW = ("script", "style", "textarea", "title", "noscript", "xmp", "iframe", "noembed", "noframes")
+RAW = frozenset("script style textarea title noscript xmp iframe noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-CUT = frozenset("nav footer aside form head template svg math canvas button select option dialog menu object audio video script style textarea title noscript xmp iframe noembed noframes".split())
-BLOCK = frozenset(
+NEVER = RAW | frozenset("head template svg math canvas button select option object audio video".split())
+CUT = frozenset("nav footer aside form dialog menu".split())
+BLOCK = CUT | frozenset(
     "html body address article blockquote center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 header hgroup hr li main ol p pre section summary table tbody td tfoot th thead tr ul caption legend".split()
 )
-#: Class, id and role words of parts that are not main text.
-NOISE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|adsbygoogle|banner|breadcrumbs?|comments?|commentlist|disqus|respond|replies|contentinfo|cookies?|consent|gdpr|footer|masthead|menu|navbar|nav|navigation|newsletter|notice|alert|outbrain|pager|pagination|popup|modal|promo|promoted|recommended|related|share|sharing|sidebar|social|sponsor|sponsored|subscribe|taboola|toolbar|widget|complementary|search|skip)(?:$|[\s_-])",
-    re.I,
+#: Words of class, id and role names of parts that are not main text, and words that only say what or where such a part is.
+NOISE = frozenset(
+    "ad ads advert adverts advertisement advertising adsbygoogle banner breadcrumb breadcrumbs comment comments commentlist disqus respond replies reply contentinfo cookie cookies consent gdpr footer masthead menu navbar nav navigation newsletter notice notices alert outbrain pager pagination popup modal promo promos promoted recommended recommendations related share sharing sidebar social sponsor sponsored subscribe subscription taboola toolbar widget widgets complementary search skip login signup".split()
 )
-#: A start of one closes an open other, up to the nearest of the bounds.
-CLOSES = {"p": ({"p"}, set()), "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "td": ({"td", "th"}, {"table", "tr"}), "th": ({"td", "th"}, {"table", "tr"}), "tr": ({"tr"}, {"table"}), "option": ({"option"}, {"select"})}
-TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-LABELS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+PLACES = frozenset(
+    "area bar block bottom box btn button buttons center column container content cta fixed footer form global group header holder icon icons inline inner item items label left link links list main message middle overlay page panel placeholder post posts primary right row secondary section show site slot sticky strip the thread to top unit wrap wrapper".split()
+)
+REST = 0.1
+#: A start of one closes an open other, unless one of the bounds is open inside that.
+BOUNDS = ("div", "section", "article", "main", "td", "th")
+CLOSES = {
+    "li": (("li",), ("ul", "ol", "menu", *BOUNDS)),
+    "dt": (("dt", "dd"), ("dl", *BOUNDS)),
+    "dd": (("dt", "dd"), ("dl", *BOUNDS)),
+    "td": (("td", "th"), ("table", "tr")),
+    "th": (("td", "th"), ("table", "tr")),
+    "tr": (("tr",), ("table",)),
+    "option": (("option",), ("select",)),
+}
+NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+ATTRIBUTES = re.compile(r"[^>\"']*")
+LABELS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
+WORDS = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]+")
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 
 
-class Linked(str):
-    """A text within a link."""
+class Node:
+    __slots__ = ("block", "chars", "children", "cut", "density", "has_block", "link_chars", "link_tags", "parent", "parts", "suspect", "tag", "tags", "total")
 
+    def __init__(self, tag, parent, cut=False, suspect=False):
+        self.tag, self.parent, self.cut, self.suspect = tag, parent, cut, suspect
+        self.block = self.has_block = tag in BLOCK
+        self.children: list[Node] = []
+        self.parts: list = []  # texts, with whether they are linked, and children in page order
+        self.chars = self.tags = self.link_chars = self.link_tags = 0
+        self.density = self.total = 0.0
 
-class Tag(str):
-    """An inline tag, as an empty text."""
 
+def noisy(attributes: str) -> bool:
+    for quoted, single, bare in LABELS.findall(attributes):
+        for name in (quoted or single or bare).split():
+            words = [w.lower() for w in WORDS.findall(name)]
+            if words and any(w in NOISE for w in words) and all(w in NOISE or w in PLACES for w in words):
+                return True
+    return False
 
-TAG, LINK_TAG = Tag(), Tag()
 
+class Parser:
+    """Open elements as a stack, with the places of each name in it."""
 
-class Node:
-    __slots__ = ("chars", "children", "cut", "density", "link_chars", "link_tags", "parent", "parts", "tag", "tags", "total")
+    def __init__(self):
+        self.root = Node("html", None)
+        self.open = [self.root]
+        self.at: dict[str, list[int]] = defaultdict(list)
+        self.blocks = [0]  # places of open block elements
 
-    def __init__(self, tag, parent, cut=False):
-        self.tag, self.parent, self.cut = tag, parent, cut or (parent is not None and parent.cut)
-        self.children: list[Node] = []
-        self.parts: list = []  # texts and block children in page order
-        self.chars = self.tags = self.link_chars = self.link_tags = 0
-        self.density = self.total = 0.0
+    def close(self, place: int) -> None:
+        """Close the element at this place of the stack and all in it."""
+        while len(self.open) > place:
+            node = self.open.pop()
+            self.at[node.tag].pop()
+            if node.block:
+                self.blocks.pop()
 
+    def innermost(self, *tags: str) -> int:
+        return max((self.at[t][-1] for t in tags if self.at[t]), default=0)
 
-def parse(page: str) -> Node:
-    root = Node("html", None)
-    node, links, at = root, 0, 0
-
-    def text(piece: str) -> None:
-        if not node.cut and piece:
+    def text(self, piece: str) -> None:
+        if piece:
             piece = entities.unescape(piece) if "&" in piece else piece
-            node.parts.append(Linked(piece) if links else piece)
+            linked = bool(self.at["a"])
+            node = self.open[-1]
+            node.parts.append((piece, linked))
             n = len("".join(piece.split()))
             node.chars += n
-            if links:
-                node.link_chars += n
+            node.link_chars += n * linked
+
+    def start(self, name: str, attributes: str) -> None:
+        if name in ("html", "body"):
+            return
+        if name in BLOCK and self.innermost("p") > self.innermost(*BOUNDS):
+            self.close(self.at["p"][-1])
+        if name in CLOSES:
+            closed, bounds = CLOSES[name]
+            place = self.innermost(*closed)
+            if place > self.innermost(*bounds):
+                self.close(place)
+        if name == "a" and self.at["a"]:
+            self.end("a")
+        parent = self.open[-1]
+        cut = name in NEVER or bool(attributes and HIDDEN.search(attributes))
+        suspect = name in CUT or (name == "header" and not self.at["article"] and not self.at["main"])
+        if not suspect and attributes and name not in ("article", "main"):
+            suspect = noisy(attributes)
+        node = Node(name, parent, cut, suspect)
+        parent.children.append(node)
+        parent.parts.append(node)
+        if name not in VOID and not (attributes.endswith("/") and name not in BLOCK):
+            self.at[name].append(len(self.open))
+            if node.block:
+                self.blocks.append(len(self.open))
+            self.open.append(node)
+
+    def end(self, name: str) -> None:
+        place = self.innermost(name)
+        # The end of an inline element does not close a block element in it.
+        if place and (name in BLOCK or place > self.blocks[-1]):
+            self.close(place)
+
+
+def parse(page: str) -> Node:
+    parser = Parser()
+    at, end = 0, len(page)
+    none_left = set()  # quotes that do not occur any more
+
+    def tag_end(at: int) -> int:
+        """Place of the ``>`` that ends a tag whose attributes begin here, or the page's end."""
+        while True:
+            at = ATTRIBUTES.match(page, at).end()
+            if at >= end or page[at] == ">":
+                return at
+            to = -1 if page[at] in none_left else page.find(page[at], at + 1)
+            if to < 0:
+                none_left.add(page[at])
+            at = to + 1 if to >= 0 else at + 1
 
-    end = len(page)
     while at < end:
         lt = page.find("<", at)
         if lt < 0:
-            text(page[at:])
+            parser.text(page[at:])
             break
-        if lt > at:
-            text(page[at:lt])
-        m = TOKEN.match(page, lt)
-        if m is None:
-            text("<")
-            at = lt + 1
+        parser.text(page[at:lt])
+        if page.startswith("<!--", lt):
+            to = page.find("-->", lt + 4)
+            at = to + 3 if to >= 0 else end
             continue
-        at = m.end()
-        name = m[2]
-        if name is None:
+        if page.startswith(("<!", "<?"), lt):
+            to = page.find(">", lt)
+            at = to + 1 if to >= 0 else end
             continue
-        name = name.lower()
-        if m[1]:
-            if name == "a":
-                links = 0
-            if name in BLOCK or name in CUT:
-                up = node
-                while up is not None and up.tag != name:
-                    up = up.parent
-                if up is not None and up.parent is not None:
-                    node = up.parent
-                    links = 0
+        m = NAME.match(page, lt)
+        if m is None:
+            parser.text("<")
+            at = lt + 1
             continue
-        attributes = m[3]
-        if name in ("html", "body"):
+        name = m[1].lower()
+        to = tag_end(m.end())
+        at = min(to + 1, end)
+        if page[lt + 1] == "/":
+            parser.end(name)
             continue
-        if name in CLOSES:
-            closed, bounds = CLOSES[name]
-            up = node
-            while up is not None and up.tag not in closed and up.tag not in bounds and up.tag in BLOCK:
-                if name != "p" and up.tag in ("div", "section", "article"):
-                    break
-                if name == "p" and up.tag != "p":
-                    break
-                up = up.parent
-            if up is not None and up.tag in closed and up.parent is not None:
-                node = up.parent
-        elif name in BLOCK and node.tag == "p" and node.parent is not None:
-            node = node.parent
-        if name in BLOCK or name in CUT:
-            cut = name in CUT or (name == "header" and not _within(node, ("article", "main")))
-            if not cut and attributes and not (name in ("article", "main")):
-                cut = any(NOISE.search(a or b or c) for a, b, c in LABELS.findall(attributes))
-            cut = cut or bool(attributes and HIDDEN.search(attributes))
-            if name in RAW:
-                close = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-                at = close.end() if close else end
-                continue
-            node.tags += 1
-            if name in VOID:
-                node.parts.append(None)
-                continue
-            child = Node(name, node, cut)
-            node.children.append(child)
-            node.parts.append(child)
-            if not attributes.rstrip().endswith("/") or name in BLOCK:
-                node = child
-            links = 0
-        else:
-            node.tags += 1
-            if name == "a":
-                links = 1
-                node.link_tags += 1
-            if not node.cut:
-                node.parts.append(LINK_TAG if name == "a" else TAG)
-    return root
-
-
-def _within(node, tags) -> bool:
-    while node is not None:
-        if node.tag in tags:
-            return True
-        node = node.parent
-    return False
+        parser.start(name, page[m.end() : to].strip())
+        if name in RAW:
+            close = _end_of(name).search(page, at)
+            at = close.end() if close else end
+            parser.end(name)
+    return parser.root
+
+
+def _end_of(name: str, made: dict = {}) -> re.Pattern:  # noqa: B006
+    if name not in made:
+        made[name] = re.compile(rf"</{name}\s*>", re.I)
+    return made[name]
 
 
 def density(c: int, t: int, lc: int, lt: int, share: float) -> float:
     """Composite density of characters, tags and those of links; ``share`` is that of the page's links."""
-    t = max(t, 1)
-    plain = max(c - lc, 1)
+    if not c:
+        return 0.0
+    t, plain = max(t, 1), max(c - lc, 1)
+    lc, lt = max(lc, 1), max(lt, 1)
     base = math.log(c / plain * lc + share * c + math.e)
-    return c / t * math.log(max(c / max(lc, 1) * t / max(lt, 1), 1.0) + 1e-9 + 1) / math.log(max(base, 1.0) + math.e - 1)
+    return c / t * math.log(c / lc * t / lt) / math.log(base)
 
 
-def measure(root: Node) -> list[Node]:
-    """Counts of whole subtrees, composite densities and their sums; returns the nodes in page order."""
+def _order(root: Node) -> list[Node]:
+    """Nodes that are not cut, in page order."""
     order, stack = [], [root]
     while stack:
         node = stack.pop()
         order.append(node)
         stack.extend(reversed([c for c in node.children if not c.cut]))
+    return order
+
+
+def cut_suspects(root: Node) -> None:
+    """Cut the outermost suspects, but for those that are, or hold, the main part of the page."""
+    order = _order(root)
+    plain, head = {}, {}
+    headings = sum(n.tag == "h1" for n in order)
     for node in reversed(order):
-        if node.parent is not None:
-            p = node.parent
-            p.chars += node.chars
-            p.tags += node.tags
-            p.link_chars += node.link_chars
-            p.link_tags += node.link_tags
+        kept = [c for c in node.children if not c.cut]
+        plain[id(node)] = node.chars - node.link_chars + sum(plain[id(c)] for c in kept)
+        head[id(node)] = node.tag == "main" or (node.tag == "h1" and headings == 1) or any(head[id(c)] for c in kept)
+    suspects, stack, marked = [], [root], False
+    while stack:
+        node = stack.pop()
+        if node.suspect and not head[id(node)]:
+            suspects.append(node)
+        else:
+            marked |= node.tag in ("article", "main") and plain[id(node)] > 0
+            stack.extend(c for c in node.children if not c.cut)
+    left, total = plain[id(root)], plain[id(root)]
+    for node in sorted(suspects, key=lambda n: plain[id(n)]):  # the smallest first
+        if marked or left - plain[id(node)] >= REST * total:
+            node.cut = True
+            left -= plain[id(node)]
+
+
+def measure(root: Node) -> list[Node]:
+    """Counts of whole subtrees, composite densities and their sums; returns the nodes in page order."""
+    order = _order(root)
+    for node in order[1:]:
+        node.parent.tags += 1
+        node.parent.link_tags += node.tag == "a"
+    for node in reversed(order[1:]):
+        p = node.parent
+        p.chars += node.chars
+        p.tags += node.tags
+        p.link_chars += node.link_chars
+        p.link_tags += node.link_tags
+        p.has_block |= node.has_block
     share = root.link_chars / root.chars if root.chars else 0.0
     for node in order:
-        if node.chars:
-            node.density = density(node.chars, node.tags, node.link_chars, node.link_tags, share)
+        node.density = density(node.chars, node.tags, node.link_chars, node.link_tags, share)
     for node in order:
-        kids = [c.density for c in node.children if not c.cut]
-        node.total = sum(kids) if kids else node.density
+        kept = [c.density for c in node.children if not c.cut]
+        node.total = sum(kept) if kept else node.density
     return order
 
 
-def blocks(node: Node) -> list[str]:
-    """Texts of the blocks below a node in page order, white space folded."""
+def blocks(parts: list) -> list[str]:
+    """Texts of the blocks of some parts in page order, white space folded."""
     out: list[str] = []
     run: list[str] = []
 
@@ -203,80 +289,84 @@ def blocks(node: Node) -> list[str]:
         if joined:
             out.append(joined)
 
-    stack: list = [("open", node)]
+    stack: list = list(reversed(parts))
     while stack:
-        what, x = stack.pop()
-        if what == "text":
-            run.append(x)
-        elif what == "flush":
-            flush()
-        elif not x.cut:
+        x = stack.pop()
+        if x is None:
             flush()
-            stack.append(("flush", None))
-            for part in reversed(x.parts):
-                stack.append(("text", part) if isinstance(part, str) else ("flush", None) if part is None else ("open", part))
+        elif isinstance(x, tuple):
+            run.append(x[0])
+        else:
+            if x.block:
+                flush()
+                stack.append(None)
+            if not x.cut:
+                stack.extend(reversed(x.parts))
+    flush()
     return out
 
 
+def units(node: Node, path: set[int]) -> list[list]:
+    """Parts of a node that are not cut: block elements and elements of the path, each alone, and the runs of
+    text and inline elements between them."""
+    out: list[list] = []
+    run: list = []
+    for part in (*node.parts, None):
+        if isinstance(part, tuple) or (part is not None and not part.has_block and id(part) not in path):
+            if isinstance(part, tuple) or not part.cut:
+                run.append(part)
+        else:
+            if run:
+                out.append(run)
+                run = []
+            if part is not None and not part.cut:
+                out.append([part])
+    return out
+
+
+def run_density(run: list, share: float) -> float:
+    if len(run) == 1 and isinstance(run[0], Node):
+        return run[0].density
+    c = t = lc = lt = 0
+    for x in run:
+        if isinstance(x, tuple):
+            n = len("".join(x[0].split()))
+            c, lc = c + n, lc + n * x[1]
+        else:
+            c, t, lc, lt = c + x.chars, t + x.tags + 1, lc + x.link_chars, lt + x.link_tags + (x.tag == "a")
+    return density(c, t, lc, lt, share)
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(BREAK.sub(" ", page))
+    cut_suspects(root)
     order = measure(root)
-    best = max(order, key=lambda n: n.total)
     if not root.chars:
         return ""
-    unit = best
-    up = best
-    while up is not None:
-        if up.tag in ("article", "main"):
-            unit = up
-            if up.tag == "article":
-                break
-        up = up.parent
-    path, up = [], best
+    best = max(order, key=lambda n: n.total)
+    path, up, unit = [], best, best
     while up is not None:
         path.append(up)
+        if up.tag in ("article", "main") and unit.tag != "article":
+            unit = up
         up = up.parent
     threshold = min(n.density for n in path)
-    # Off the path, what is as dense as the threshold stays, elements and the path's own texts, in page order.
     share = root.link_chars / root.chars
-    up, inner = unit.parent, set()
-    while up is not None:
-        inner.add(id(up))
-        up = up.parent
-    out, stack = [], [root]
+    inner = {id(n) for n in path[path.index(unit) + 1 :]}
+    on_path = inner | {id(unit)}
+    out, stack = [], [[root]]
     while stack:
-        node = stack.pop()
-        if isinstance(node, list):
-            c = sum(len("".join(x.split())) for x in node)
-            lc = sum(len("".join(x.split())) for x in node if isinstance(x, Linked))
-            t, lt = sum(isinstance(x, Tag) for x in node), sum(x is LINK_TAG for x in node)
-            if c and density(c, t, lc, lt, share) >= threshold:
-                out.append(" ".join("".join(node).split()))
-        elif id(node) in inner:
-            stack.extend(reversed(units(node)))
-        elif node is unit or node.density >= threshold:
-            out += blocks(node)
+        run = stack.pop()
+        node = run[0]
+        if len(run) == 1 and not isinstance(node, tuple) and id(node) in inner:
+            stack.extend(reversed(units(node, on_path)))
+        elif node is unit or run_density(run, share) >= threshold:
+            out += blocks(run)
     return "\n".join(out)
 
 
-def units(node: Node) -> list:
-    """Children of a node that are not cut and, as lists, the runs of its own texts between block elements."""
-    out: list = []
-    run: list[str] = []
-    for part in (*node.parts, None):
-        if isinstance(part, str):
-            run.append(part)
-        else:
-            if run:
-                out.append(run)
-                run = []
-            if part is not None and not part.cut:
-                out.append(part)
-    return out
-
-
 BREAK = re.compile(r"<br\s*/?>", re.I)
 
 
