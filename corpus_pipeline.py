@@ -16,7 +16,7 @@ def drop_toxic(spark, docs, sf_dir):
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates (5-word shingles, similarity 0.8)."""
     return simhash.drop_near_duplicates(docs)
 
 
@@ -31,8 +31,8 @@ def drop_leaks(spark, docs, sf_dir):
 
 
 def mix(spark, docs, sf_dir):
-    """Every document with its target, words taken and training positions, in the order of training."""
-    return mixing.curriculum(docs)
+    """The training mix: one row for each time a document is taken, in the order of training."""
+    return mixing.training_order(docs)
 
 
 STAGES = [
