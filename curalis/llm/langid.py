@@ -1,15 +1,19 @@
 """Language identification of code-switched text with a linear-chain conditional random field.
 
-Words are runs of ASCII letters and non-ASCII characters, lower-cased.  Their features (prefixes
-and suffixes of 1 to 3 bytes, byte trigrams, the word itself as a lexicon entry) are hashed into a
-weight table with one column per language; transitions are learned too.  A chain is a line (longer
+Words are runs of ASCII letters and non-ASCII characters, lower-cased.  Their features are prefixes and
+suffixes of 1 to 3 bytes and byte trigrams, hashed into a weight table with one column per language, and
+the entry of the word in a lexicon: the ``LEXICON`` most frequent words of the training texts, each with a
+weight of its own (other words share one entry).  Transitions are learned too.  A chain is a line (longer
 lines are cut at ``CHAIN`` words).  Forward-backward gives each word's posterior; a document's
 language is the one with the largest sum, its score that sum's share.
 
-Training takes about ``MAX_PER_LANGUAGE`` rows of each language (by a hash of the id, texts of at
-most ``MAX_TRAIN_BYTES``), and joins lines of different rows into chains, so that switches occur.
-Prediction reads whole texts.  Null texts and texts without a letter are ``und`` with score 0, and
-so is everything when nothing could be learned.  Repeated rows are judged alike.
+Training takes at most ``MAX_PER_LANGUAGE`` rows of each language (the least hashes of the id, texts of
+at most ``MAX_TRAIN_BYTES``), and joins lines of different rows into chains, so that switches occur.
+Prediction reads whole texts, however long; a line longer than ``CHAIN`` words is several chains.  Null texts
+and texts without a letter are ``und`` with score 0, and so is everything when nothing could be learned.
+Rows with a null language or id are predicted but not learned from.  Of languages with equal sums the first
+in code-point order is predicted.  Repeated rows are judged alike.  An empty table gives an empty result.
+Added columns replace their namesakes.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from pyspark.sql import types as T
 from curalis.llm import _arrow as A
 
 BITS = 16
+LEXICON = 20_000
 CHAIN = 256
 MAX_PER_LANGUAGE, MAX_TRAIN_BYTES = 400, 20_000
 LETTER = np.zeros(256, bool)
@@ -33,13 +38,21 @@ def _bucket(h: np.ndarray, kind: int) -> np.ndarray:
     return ((h + A.U64(kind)) * A.U64(0xD6E8FEB86659FD93) >> A.U64(64 - BITS)).astype(np.int64)
 
 
-def features(data, offsets):
-    """Word starts and ends, buckets of each word's affixes and lexicon entry (words x 7), and of the
-    trigram at each byte with the number of trigrams before each word's start and end."""
+def entries(lexicon: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Rows of the weight table for word hashes: behind the hashed features, one for each lexicon entry (sorted
+    hashes) and one for all other words."""
+    at = np.minimum(np.searchsorted(lexicon, words), max(len(lexicon) - 1, 0))
+    known = lexicon[at] == words if len(lexicon) else np.zeros(len(words), bool)
+    return (1 << BITS) + np.where(known, at, len(lexicon))
+
+
+def features(data, offsets, lexicon):
+    """Word starts and ends, table rows of each word's affixes and lexicon entry (words x 7), and of the
+    trigram at each byte, and the place before each word's end up to which trigrams are its own."""
     low = A.LOWER[data]
     starts, ends = A.spans_of(LETTER[low], offsets)
     prefix = A.prefix_hash(low)
-    columns = [_bucket(A.range_hash(prefix, starts, ends), 1)]
+    columns = [entries(lexicon, A.range_hash(prefix, starts, ends))]
     for k in (1, 2, 3):
         columns.append(_bucket(A.range_hash(prefix, starts, np.minimum(starts + k, ends)), 1 + k))
         columns.append(_bucket(A.range_hash(prefix, np.maximum(ends - k, starts), ends), 4 + k))
@@ -97,22 +110,25 @@ def _emissions(table, affixes, tri, starts, stops):
     for j in range(affixes.shape[1]):
         out += table[affixes[:, j]]
     # Trigrams of a word lie between starts and stops; sums over them are differences of prefix sums.
+    # A word in the last two bytes has none: both of its bounds are the end.
+    lo, hi = np.minimum(starts, len(tri)), np.minimum(np.maximum(stops, starts), len(tri))
     for k in range(table.shape[1]):
         sums = np.zeros(len(tri) + 1)
         np.cumsum(table[:, k][tri], out=sums[1:])
-        out[:, k] += sums[np.maximum(stops, starts)] - sums[np.minimum(starts, len(tri))] if len(tri) else 0
+        out[:, k] += sums[hi] - sums[lo]
     return out
 
 
 def fit(texts: list[str], labels: np.ndarray, width: int, epochs: int = 6, seed: int = 5):
-    """Weight table and transitions, by AdaGrad on the conditional log-likelihood."""
+    """Lexicon, weight table and transitions, by AdaGrad on the conditional log-likelihood."""
     rng = np.random.default_rng(seed)
     lines = [(line, y) for t, y in zip(texts, labels, strict=True) for line in t.split("\n") if line.strip()]
     order = rng.permutation(len(lines))
     # Chains of up to three lines, mostly of different rows: that is where languages switch.
     blobs = [lines[i][0].replace("\n", " ").encode("utf-8", "surrogatepass") + b" " for i in order]
     y_line = np.array([lines[i][1] for i in order], np.int64)
-    table, trans = np.zeros((1 << BITS, width)), np.zeros((width, width))
+    lexicon = learn_lexicon(blobs)
+    table, trans = np.zeros(((1 << BITS) + len(lexicon) + 1, width)), np.zeros((width, width))
     sq, sq_t = np.full_like(table, 1e-2), np.full_like(trans, 1.0)
     batch = 150
     for epoch in range(epochs):
@@ -120,7 +136,7 @@ def fit(texts: list[str], labels: np.ndarray, width: int, epochs: int = 6, seed:
             part = blobs[lo : lo + batch]
             offsets = np.r_[0, np.cumsum([len(b) for b in part])].astype(np.int64)
             data = np.frombuffer(b"".join(part), np.uint8)
-            _, starts, _, affixes, tri, stops = features(data, offsets)
+            _, starts, _, affixes, tri, stops = features(data, offsets, lexicon)
             if not len(starts):
                 continue
             y = y_line[lo : lo + batch][np.searchsorted(offsets, starts, "right") - 1]
@@ -148,23 +164,33 @@ def fit(texts: list[str], labels: np.ndarray, width: int, epochs: int = 6, seed:
             g = seen - expected
             sq_t += g * g
             trans += 0.3 * g / np.sqrt(sq_t)
-    return table.astype(np.float32), trans
+    return lexicon, table.astype(np.float32), trans
+
+
+def learn_lexicon(blobs: list[bytes], size: int = LEXICON) -> np.ndarray:
+    """Sorted hashes of the most frequent words of some lines (of equally frequent ones, the least hashes)."""
+    offsets = np.r_[0, np.cumsum([len(b) for b in blobs])].astype(np.int64)
+    data = np.frombuffer(b"".join(blobs), np.uint8)
+    found = []
+    for lo, hi in A.chunks(offsets):
+        low = A.LOWER[data[offsets[lo] : offsets[hi]]]
+        starts, ends = A.spans_of(LETTER[low], offsets[lo : hi + 1] - offsets[lo])
+        found.append(A.range_hash(A.prefix_hash(low), starts, ends))
+    words, count = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64), np.zeros(0, int))
+    return np.sort(words[np.lexsort((words, -count))[:size]])
 
 
 def train(docs: DataFrame, usable=None, text: str = "text", lang: str = "lang", id_col: str = "doc_id"):
-    """Languages (sorted), weight table and transitions.  ``usable``: a condition on the id column."""
+    """Languages (sorted), lexicon, weight table and transitions.  ``usable``: a condition on the id column."""
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(id_col).isNotNull())
     known = known.where(usable(F.col(id_col))) if usable is not None else known
     known = known.select(F.col(lang).cast("string").alias("y"), F.col(text).alias("t"), F.col(id_col).cast("string").alias("i"))
-    counts = dict(known.groupBy("y").count().collect())
-    langs = sorted(counts)
+    langs = sorted(r[0] for r in known.select("y").distinct().collect())
     if not langs:
-        return [], None, None
-    rate = F.lit(0.0)
-    for y in langs:
-        rate = F.when(F.col("y") == y, min(1.0, MAX_PER_LANGUAGE / counts[y])).otherwise(rate)
-    drawn = known.where((F.octet_length("t") <= MAX_TRAIN_BYTES) & (F.shiftrightunsigned(F.xxhash64("i"), 1) / float(1 << 63) < rate))
-    rows = drawn.limit(2 * MAX_PER_LANGUAGE * len(langs)).collect()
+        return [], None, None, None
+    # Languages are few; at most MAX_PER_LANGUAGE bounded texts of each are collected, in the order of a hash.
+    drawn = known.where(F.octet_length("t") <= MAX_TRAIN_BYTES)
+    rows = [r for y in langs for r in drawn.where(F.col("y") == y).orderBy(F.xxhash64("i"), "i", F.md5("t")).limit(MAX_PER_LANGUAGE).collect()]
     rows.sort(key=lambda r: (r["i"], r["t"]))
     place = {y: i for i, y in enumerate(langs)}
     return [langs, *fit([r["t"] for r in rows], np.array([place[r["y"]] for r in rows], np.int64), len(langs))]
@@ -178,11 +204,11 @@ def predict(docs: DataFrame, model, text: str = "text", keep: list[str] | None =
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def kernel(data, offsets, valid):
-        langs, table, trans = shared.value
+        langs, lexicon, table, trans = shared.value
         n = len(offsets) - 1
         if not langs:
             return [pa.array(["und"] * n), pa.array(np.zeros(n)), pa.array([[]] * n, pa.list_(pa.int64()))]
-        low, starts, _, affixes, tri, stops = features(data, offsets)
+        low, starts, _, affixes, tri, stops = features(data, offsets, lexicon)
         first, length = chains(data, starts, offsets)
         gamma = posteriors(_emissions(table, affixes, tri, starts, stops), trans, first, length)
         bounds = np.searchsorted(starts, offsets)

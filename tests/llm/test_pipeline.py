@@ -1,5 +1,7 @@
 """The stages on the smallest tables: columns, and what goes and stays."""
 
+from collections import Counter
+
 import corpus_pipeline
 from curalis.llm import decontam, queries
 from tests.conftest import DATA
@@ -12,7 +14,8 @@ def test_stages(spark, tmp_path):
         stage(spark, docs, DATA).write.parquet(f"{tmp_path}/{k}")
         docs = spark.read.parquet(f"{tmp_path}/{k}")
         now = {r.doc_id for r in docs.select("doc_id").collect()}
-        assert now <= ids and len(now) == docs.count(), name
+        assert now <= ids, name
+        assert len(now) == docs.count() or k == len(corpus_pipeline.STAGES) - 1, name
         assert docs.columns[: len(columns)] == columns
         if k < len(corpus_pipeline.STAGES) - 1:
             assert docs.columns == columns
@@ -23,8 +26,9 @@ def test_stages(spark, tmp_path):
 
 
 def test_run_equals_stages_and_takes_empty(spark):
-    rows = corpus_pipeline.run(spark, DATA)
-    assert rows.select("doc_id").distinct().count() == rows.count()
+    rows = corpus_pipeline.run(spark, DATA).collect()
+    assert [r.position for r in rows] == sorted(r.position for r in rows)
+    assert max(Counter(r.doc_id for r in rows).values()) == 2
     empty = spark.read.parquet(f"{DATA}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, DATA)
