@@ -1,8 +1,12 @@
 """Rewriting with a decision for each match, as one native expression.
 
-Matches are marked with private-use characters, the text is split at the marks (odd parts are
+Matches are marked, the text is split at the marks (odd parts are
 matches), and a fold over the parts decides, rewrites and logs.  A match that is kept is consumed all
 the same.  Positions count characters of the text as the rule found it.
+
+The marks are two of the noncharacters that Unicode sets aside for such internal use and that no text may
+exchange; should a text hold them all the same, they are removed.  All other characters, those of the private
+use areas too, are kept.
 """
 
 from __future__ import annotations
@@ -12,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MARK, INNER = "\ue000", "\ue001"
+MARK, INNER = "\ufdd0", "\ufdd1"
 LOG = "array<struct<rule:string,original:string,placeholder:string,start:int,token:string>>"
 
 
@@ -34,7 +38,12 @@ def state(text: Column) -> Column:
 
 
 def rewrite(now: Column, rule: str, pattern: str, decide: Callable[[list[Column], Column], Column], groups: int = 0) -> Column:
-    """The next state: ``decide([match, group 1, ...], position)`` gives the placeholder, or null to keep.
+    """``rewritten`` of an expression that is computed once."""
+    return let(now, lambda s: rewritten(s, rule, pattern, decide, groups))
+
+
+def rewritten(s: Column, rule: str, pattern: str, decide: Callable[[list[Column], Column], Column], groups: int = 0) -> Column:
+    """The state after ``s``: ``decide([match, group 1, ...], position)`` gives the placeholder, or null to keep.
     Kept matches with a group are logged without a placeholder."""
 
     def step(acc: Column, part: Column) -> Column:
@@ -53,12 +62,9 @@ def rewrite(now: Column, rule: str, pattern: str, decide: Callable[[list[Column]
             F.when(noted, F.concat(acc["log"], entry.cast(LOG))).otherwise(acc["log"]).alias("log"),
         )
 
-    def fold(s: Column) -> Column:
-        zero = F.struct(F.lit(0).alias("i"), F.lit(0).alias("pos"), F.lit("").alias("out"), s["log"].cast(LOG).alias("log"))
-        done = F.aggregate(parts(s["text"], pattern, groups), zero, step, lambda a: F.struct(a["out"].alias("text"), a["log"].alias("log")))
-        return F.when(s["text"].rlike(pattern), done).otherwise(F.struct(s["text"].alias("text"), s["log"].cast(LOG).alias("log")))
-
-    return let(now, fold)
+    zero = F.struct(F.lit(0).alias("i"), F.lit(0).alias("pos"), F.lit("").alias("out"), s["log"].cast(LOG).alias("log"))
+    done = F.aggregate(parts(s["text"], pattern, groups), zero, step, lambda a: F.struct(a["out"].alias("text"), a["log"].alias("log")))
+    return F.when(s["text"].rlike(pattern), done).otherwise(F.struct(s["text"].alias("text"), s["log"].cast(LOG).alias("log")))
 
 
 def spans(text: Column, pattern: str) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,15 +17,15 @@ def expand(text: Column, abbreviations: dict[str, str]) -> Column:
     none = F.struct(fold.without_marks(text).alias("text"), F.array().cast("array<string>").alias("keys"))
     if not abbreviations:
         return none
-    pattern = r"(?iU)\b(?:" + "|".join(sorted(abbreviations, key=len, reverse=True)) + r")\b"
-    table = F.create_map(*(F.lit(x) for kv in abbreviations.items() for x in kv))
+    pattern = r"(?iU)\b(?:" + "|".join(re.escape(k) for k in sorted(abbreviations, key=len, reverse=True)) + r")\b"
+    table = F.create_map(*(F.lit(x) for k, v in abbreviations.items() for x in (k.lower(), v)))
 
     def step(acc: Column, part: Column) -> Column:
         key = F.lower(part)
         new = (acc["i"] % 2 == 1) & ~F.array_contains(acc["keys"], key)
         return F.struct(
             (acc["i"] + 1).alias("i"),
-            F.concat(acc["out"], part, F.when(new, F.concat(F.lit(" ("), F.element_at(table, key), F.lit(")"))).otherwise("")).alias("out"),
+            F.concat(acc["out"], part, F.when(new, F.coalesce(F.concat(F.lit(" ("), F.try_element_at(table, key), F.lit(")")), F.lit(""))).otherwise("")).alias("out"),
             F.when(new, F.array_append(acc["keys"], key)).otherwise(acc["keys"]).alias("keys"),
         )
 

@@ -26,7 +26,7 @@ def _age(found: list[Column], value: int, unit: int) -> Column:
 
 def _person_age(found: list[Column], pos: Column) -> Column:
     # The text before the number stays: what is left of the match without number, blanks and unit.
-    before = F.regexp_extract(found[0], r"^(.*?)\d{1,3}\s*\p{L}+$", 1)
+    before = F.regexp_extract(found[0], r"(?s)^(.*?)\d{1,3}\s*\p{L}+$", 1)
     return F.concat(before, _age(found, 1, 2))
 
 
@@ -70,21 +70,33 @@ def _quote(s: str) -> str:
     return "".join(c if c.isalnum() else "\\" + c for c in s)
 
 
-def redact(df: DataFrame, column: str, lists: dict[str, list[str]] | None = None, only: set[str] | None = None) -> DataFrame:
-    """``<column>_anon`` and ``<column>_log`` for a text column; ``only`` names the rules to apply.
-    One projection per rule: each state is computed once."""
-    lists = V.LISTS if lists is None else lists
-    s = f"__{column}"
-    df = df.withColumn(s, fold.state(F.coalesce(column, F.lit(""))))
-    for rule, pattern, decide, groups in rules(lists):
-        if only is None or rule in only:
-            df = df.withColumn(s, fold.rewrite(F.col(s), rule, pattern, decide, groups))
+def rewritten(now: Column, lists: dict[str, list[str]], only: set[str] | None = None) -> Column:
+    """The states that an array of states ends in, all rules applied in order; ``only`` names the rules to apply.
+    One expression, in which each state occurs once: it is analysed and computed once."""
+    def applied(*rule):
+        return lambda s: fold.rewritten(s, *rule)
+
+    for rule in rules(lists):
+        if only is None or rule[0] in only:
+            now = F.transform(now, applied(*rule))
     if lists["municipios"] and (only is None or "municipio" in only):
-        exceptions = [fold.spans(F.col(f"{s}.text"), I + p) for p in lists["municipios_excepciones"]]
-        df = df.withColumn("__out", F.flatten(F.array(*exceptions)) if exceptions else F.array().cast("array<struct<a:int,b:int,match:string>>"))
-        place = lambda found, pos: F.when(~F.exists("__out", lambda x: (x["a"] <= pos) & (pos < x["b"])), F.lit("[MUNICIPIO]"))
-        df = df.withColumn(s, fold.rewrite(F.col(s), "municipio", rf"{I}\b{X.any_of(lists['municipios'])}\b", place)).drop("__out")
-    return df.withColumns({f"{column}_anon": F.col(f"{s}.text"), f"{column}_log": F.col(f"{s}.log")}).drop(s)
+        pattern = rf"{I}\b{X.any_of(lists['municipios'])}\b"
+
+        def places(s: Column) -> Column:
+            found = [fold.spans(s["text"], I + p) for p in lists["municipios_excepciones"]]
+            spans = F.flatten(F.array(*found)) if found else F.array().cast("array<struct<a:int,b:int,match:string>>")
+            outside = lambda out: lambda m, pos: F.when(~F.exists(out, lambda x: (x["a"] <= pos) & (pos < x["b"])), F.lit("[MUNICIPIO]"))
+            return F.when(s["text"].rlike(pattern), fold.let(spans, lambda out: fold.rewritten(s, "municipio", pattern, outside(out)))).otherwise(s)
+
+        now = F.transform(now, places)
+    return now
+
+
+def redact(df: DataFrame, column: str, lists: dict[str, list[str]] | None = None, only: set[str] | None = None) -> DataFrame:
+    """``<column>_anon`` and ``<column>_log`` for a text column."""
+    states = F.array(fold.state(F.coalesce(column, F.lit(""))))
+    df = df.withColumn("__s", F.get(rewritten(states, V.LISTS if lists is None else lists, only), F.lit(0)))
+    return df.withColumns({f"{column}_anon": F.col("__s.text"), f"{column}_log": F.col("__s.log")}).drop("__s")
 
 
 def _named(log: Column, field: str) -> Column:
@@ -93,11 +105,12 @@ def _named(log: Column, field: str) -> Column:
 
 
 def redact_fields(df: DataFrame, fields: dict[str, str], lists=None) -> DataFrame:
-    """Each ``<key>_clean`` redacted to ``<key>_anon``; all logs in one array with the field's name."""
-    for key in fields:
-        df = redact(df, f"{key}_clean", lists).withColumnsRenamed({f"{key}_clean_anon": f"{key}_anon"})
-    logs = [_named(F.col(f"{key}_clean_log"), name) for key, name in fields.items()]
-    df = df.withColumn("events", F.concat(*logs)).drop(*(f"{key}_clean_log" for key in fields))
+    """Each ``<key>_clean`` redacted to ``<key>_anon``, all in one pass; all logs in one array with the field's name."""
+    states = F.array(*(fold.state(F.coalesce(f"{key}_clean", F.lit(""))) for key in fields))
+    df = df.withColumn("__s", rewritten(states, V.LISTS if lists is None else lists))
+    at = lambda i: F.get("__s", F.lit(i))
+    logs = [_named(at(i)["log"], name) for i, name in enumerate(fields.values())]
+    df = df.withColumns({f"{key}_anon": at(i)["text"] for i, key in enumerate(fields)} | {"events": F.concat(*logs)}).drop("__s")
     made = F.filter("events", lambda x: x["placeholder"].isNotNull())
     return df.withColumns({"n_reemplazos_phi": F.size(made), "tipos_phi": F.array_sort(F.array_distinct(F.transform(made, lambda x: x["regla"])))})
 

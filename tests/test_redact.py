@@ -55,7 +55,7 @@ def test_kept(spark):
 
 
 def test_order_log_and_marks(spark):
-    got, log = run(spark, ["😀 dr. doctor moncada, hospital de buga en buga x"])[0]
+    got, log = run(spark, ["😀 dr. doctor moncada, hospital de buga en buga ﷐x"])[0]
     assert got == "😀 dr. doctor moncada, [INSTITUCION] en [MUNICIPIO] x"
     kept = [e for e in log if e.placeholder is None]
     assert [e.token for e in kept] == ["doctor"] and kept[0].start == 2
@@ -93,3 +93,33 @@ def test_whole_run_counts(spark):
     log = redact.replacement_log(df)
     assert {(x.campo, x.regla) for x in log.collect()} == {(V.EXAM, "edad"), (V.STAY, "institucion_hospital"), (V.STAY, "fecha")}
     assert redact.rule_counts(log).count() == 3
+
+
+def test_prefix_of_an_age_keeps_its_line_end(spark):
+    df = spark.createDataFrame([("paciente\n45 años consulta",), ("Niña de\n3 meses",)], "t string")
+    assert [r.t_anon for r in redact.redact(df, "t").collect()] == ["paciente\n[EDAD:40-49] consulta", "Niña de\n[EDAD:<1 año]"]
+
+
+def test_private_use_characters_stay(spark):
+    df = spark.createDataFrame([("\ue000 logo \ue001 el 12/03/2019",)], "t string")
+    assert redact.redact(df, "t").first().t_anon == "\ue000 logo \ue001 el [FECHA]"
+
+
+def test_keys_with_punctuation_are_literal(spark):
+    from curalis.operators import enrich
+
+    df = spark.createDataFrame([("cxe y ce, c.e y C.E",), ("a+b",)], "t string")
+    got = [r.x for r in df.select(enrich.expand(F.col("t"), {"C.e": "cuerpo extrano", "ce": "x"}).alias("x")).collect()]
+    assert [g.text for g in got] == ["cxe y ce (x), c.e (cuerpo extrano) y C.E", "a+b"] and got[0].keys == ["ce", "c.e"]
+
+
+def test_plan_is_analysed_fast(spark):
+    import time
+
+    from curalis.plans import pipeline as P
+
+    df = spark.createDataFrame([("1", "Años", "Me cai", "dolor", "alta")], "record_id string, unit string, reason string, exam string, stay string")
+    P.redacted(df)
+    began = time.perf_counter()
+    P.redacted(df)
+    assert time.perf_counter() - began < 6
