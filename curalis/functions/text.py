@@ -3,17 +3,27 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from curalis.functions import values as V
 
-#: Letters with one mark and what is left without it; other marks are dropped as combining characters.
-MARKED = "áàâäãåéèêëíìîïóòôöõúùûüýÿñçÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÝÑÇ"
-PLAIN = "aaaaaaeeeeiiiiooooouuuuyyncAAAAAAEEEEIIIIOOOOOUUUUYNC"
-#: Marks that Spanish letters are composed with, for text that arrives decomposed.
-COMPOSED = {"\u0301": ("aeiouAEIOU", "áéíóúÁÉÍÓÚ"), "\u0303": ("nN", "ñÑ"), "\u0308": ("uU", "üÜ"), "\u0327": ("cC", "çÇ")}
+def _decomposed():
+    """Letters of the basic plane whose canonical decomposition is a letter and marks, with that."""
+    for c in map(chr, range(0xC0, 0xD800)):
+        d = unicodedata.normalize("NFD", c)
+        if len(d) > 1 and all(unicodedata.category(x) == "Mn" for x in d[1:]) and unicodedata.category(d[0]) != "Mn":
+            yield c, d
+
+
+#: Letters with marks and what is left without; other marks are dropped as combining characters.
+MARKED, PLAIN = ("".join(x) for x in zip(*((c, d[0]) for c, d in _decomposed()), strict=True))
+#: Pairs of a character and a mark, and what they compose to.
+PAIRS = {p: unicodedata.normalize("NFC", p) for c, d in _decomposed() for p in (unicodedata.normalize("NFC", d[:-1]) + d[-1],) if len(p) == 2 and len(unicodedata.normalize("NFC", p)) == 1}
+#: Most marks on one letter that are composed.
+MARKS = 3
 BLANKS = "[ \\t\u00a0\u2007\u202f]+"
 
 
@@ -27,12 +37,13 @@ def strip(text: Column) -> Column:
 
 
 def compose(text: Column) -> Column:
-    """Composed forms of Spanish letters whose mark follows."""
+    """Composed forms of letters whose marks follow, one mark after the other."""
+    table = F.create_map(*(F.lit(x) for kv in PAIRS.items() for x in kv))
     out = text
-    for mark, (bases, letters) in COMPOSED.items():
-        for base, letter in zip(bases, letters, strict=True):
-            out = F.replace(out, F.lit(base + mark), F.lit(letter))
-    return F.when(text.rlike("[\u0300-\u036f]"), out).otherwise(text)
+    for _ in range(MARKS):
+        cut = F.split(out, r"(?=\P{M}\p{Mn})|(?<=\P{M}\p{Mn})", -1)
+        out = F.array_join(F.transform(cut, lambda x: F.coalesce(F.when(F.length(x) == 2, F.try_element_at(table, x)), x)), "")
+    return F.when(text.rlike(r"\P{M}\p{Mn}"), out).otherwise(text)
 
 
 def unaccent(text: Column) -> Column:
