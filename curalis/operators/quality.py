@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curalis.functions import text as X
@@ -36,7 +36,7 @@ def truncated(key: str) -> Column:
 
 def flags(df: DataFrame, min_chars: int = V.MIN_CHARS) -> DataFrame:
     """Flags of normalised notes.  Nothing is dropped; duplicates are marked, the least integer id of a
-    text being the one that counts.  Empty notes share a text but are spread by id."""
+    text being the one that counts.  Empty notes are no duplicates.  Ids are unique."""
     df = df.withColumns({f"cut_{k}": truncated(k) for k in KEYS} | {"n_chars": F.length("text_concat"), "hash_texto": F.left(F.sha2("text_norm", 256), F.lit(16))})
     empty = F.col("n_chars") == 0
     missing = {name: F.col(f"{k}_clean") == "" for k, name in KEYS.items()}
@@ -49,8 +49,12 @@ def flags(df: DataFrame, min_chars: int = V.MIN_CHARS) -> DataFrame:
         }
     )
     df = df.withColumns({"truncated": F.size("campos_truncados") > 0, "incompleto": ~F.col("empty") & (F.size("campos_vacios") > 0)})
-    same = Window.partitionBy("hash_texto", F.when(F.col("empty"), F.col("record_id"))).orderBy(F.col("record_id").cast("bigint"))
-    df = df.withColumn("duplicate", ~F.col("empty") & (F.row_number().over(same) > 1))
+    # The first id of each repeated text, aggregated on narrow rows: a text that is everywhere sends one row from each
+    # task, and only what is repeated is looked up.
+    number = F.col("record_id").cast("bigint")
+    first = df.where(~F.col("empty")).groupBy(F.col("hash_texto").alias("__hash")).agg(F.min(number).alias("__first"), F.count("*").alias("__n")).where("__n > 1")
+    df = df.join(first, F.col("hash_texto") == F.col("__hash"), "left")
+    df = df.withColumn("duplicate", ~F.col("empty") & F.coalesce(number > F.col("__first"), F.lit(False))).drop("__hash", "__first", "__n")
     df = df.withColumn("indexable", ~(F.col("empty") | F.col("too_short") | F.col("duplicate")))
     df = df.withColumns({"apto_rag": F.col("indexable") & ~F.col("truncated") & ~F.col("incompleto"), "quality_flags": names_where({f: F.col(f) for f in V.FLAGS})})
     return df.drop(*(f"cut_{k}" for k in KEYS))
