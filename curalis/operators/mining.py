@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import yaml
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +12,6 @@ from curalis.functions import text as X
 from curalis.functions import values as V
 
 FIRST_ROWS = 30_000
-TYPES = r"(?:hospital|cl[ií]nica|fundaci[oó]n|centro\s+m[eé]dico|ips|clinica)"
 
 
 def blobs(notes: DataFrame) -> DataFrame:
@@ -21,7 +22,7 @@ def blobs(notes: DataFrame) -> DataFrame:
 
 def institutions(texts: DataFrame, at_least: int = 3) -> DataFrame:
     """Names after a type word, cut at the first stop word, that occur often enough."""
-    pattern = rf"(?iU)\b{TYPES}\s+((?:[{V.LETTERS}]+\s*){{1,4}})"
+    pattern = rf"(?iU)\b{V.TYPE_WORDS}\s+((?:[{V.LETTERS}]+\s*){{1,4}})"
     found = texts.select(F.explode(F.regexp_extract_all("blob", F.lit(pattern), F.lit(1))).alias("m"))
     tokens = F.split(X.label_key(F.col("m")), " ")
     stop = F.array(*(F.lit(w) for w in V.STOP_AFTER_TYPE))
@@ -44,9 +45,14 @@ def places(texts: DataFrame, first_rows: int = FIRST_ROWS) -> DataFrame:
     return head.select(F.explode(seen).alias("municipio")).distinct().orderBy("municipio")
 
 
+NOTE = "Borrador minado del corpus: revisar a mano, añadir lo que falte y quitar falsos positivos. Claves en minúsculas y sin tildes."
+
+
 def draft_lists(texts: DataFrame, path: str) -> dict[str, list[str]]:
-    """The three lists as YAML, to be curated by hand.  They are short: distinct names only."""
+    """The three lists as YAML, to be curated by hand, under the keys the rules read.  They are short: distinct
+    names only."""
     lists = {"instituciones": [r[0] for r in institutions(texts).collect()], "medicos": [r[0] for r in doctors(texts).collect()], "municipios": [r[0] for r in places(texts).collect()]}
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
     with open(path, "w", encoding="utf-8") as f:
-        yaml.safe_dump(lists, f, allow_unicode=True, sort_keys=False)
+        yaml.safe_dump({"_nota": NOTE, **lists}, f, allow_unicode=True, sort_keys=False)
     return lists

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curalis.functions import fold
 from curalis.functions import text as X
 from curalis.functions import values as V
 
+MODEL = "es_core_news_lg"
 WORD = f"[{V.LETTERS}]{{3,}}"
 RUN = rf"(?U)\b[A-ZÁÉÍÓÚÑ][a-záéíóúñ]+(?:\s+(?:de\s+|del\s+|la\s+)?[A-ZÁÉÍÓÚÑ][a-záéíóúñ]+)*"
 
@@ -32,12 +34,42 @@ def longest(texts: DataFrame, n: int, length: str = "n_chars_doc", key: str = "r
     return texts.orderBy(F.desc(length), F.col(key).cast("bigint")).limit(n)
 
 
+def label_of(name: Column) -> Column:
+    """ORG: a name with an institution's type word; LOC: a place of the seed list; else PER."""
+    key = X.label_key(name)
+    return F.when(key.rlike(rf"(?U)\b{V.TYPE_WORDS}\b"), "ORG").when(key.isin(V.PLACE_SEEDS), "LOC").otherwise("PER")
+
+
 def capitalised_runs(texts: DataFrame) -> DataFrame:
     """The default tagger: runs of capitalised words, as ``record_id, label, entidad, inicio, t``."""
-    from curalis.functions import fold
+    found = texts.select("record_id", "t", F.explode(fold.spans(F.col("t"), RUN)).alias("m"))
+    return found.select("record_id", label_of(F.col("m.match")).alias("label"), F.col("m.match").alias("entidad"), F.col("m.a").alias("inicio"), "t")
+
+
+def model_tagger(name: str = MODEL, batch_size: int = 64):
+    """A tagger by a spaCy model without the parts that are not needed, loaded once in each Python worker; ends
+    with a message where package or model is missing."""
+    skip = ["lemmatizer", "tagger", "attribute_ruler", "parser"]
+
+    def load():
+        import spacy
 
-    found = F.explode(fold.spans(F.col("t"), RUN)).alias("m")
-    return texts.select("record_id", "t", found).select("record_id", F.lit("PER").alias("label"), F.col("m.match").alias("entidad"), F.col("m.a").alias("inicio"), "t")
+        return spacy.load(name, exclude=skip)
+
+    try:
+        load()
+    except ImportError:
+        raise SystemExit(f"spaCy is not installed: pip install spacy, then python -m spacy download {name}") from None
+    except OSError:
+        raise SystemExit(f"the model is missing: python -m spacy download {name}") from None
+
+    def tag(frames):
+        model = load()
+        for frame in frames:
+            found = [(r, e.label_, e.text, e.start_char, t) for r, t, d in zip(frame["record_id"], frame["t"], model.pipe(frame["t"], batch_size=batch_size), strict=True) for e in d.ents]
+            yield pd.DataFrame(found, columns=["record_id", "label", "entidad", "inicio", "t"])
+
+    return tagged_by(tag)
 
 
 def tagged_by(tagger: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]):
@@ -65,3 +97,20 @@ def candidate_summary(found: DataFrame) -> DataFrame:
     order = F.struct(F.col("record_id").cast("bigint"), F.col("inicio"))
     rows = found.groupBy("entidad", "label").agg(F.count("*").alias("n"), F.min("df_corpus").alias("df_corpus"), F.min_by("contexto", order).alias("ejemplo"))
     return rows.orderBy(F.desc("n"), "entidad")
+
+
+def run(corpus: DataFrame, out: str, top: int = 0, max_df: int = 20, include_upper: bool = False, tagger=capitalised_runs) -> tuple[DataFrame, DataFrame]:
+    """The review of a corpus: candidates as ``<out>`` and their summary as ``<out without .csv>_resumen.csv``.  Of the
+    indexable documents all count for the frequencies; then those in capitals go, unless ``include_upper``, and
+    of the rest the ``top`` longest are reviewed (0: all)."""
+    kept = corpus.where("indexable")
+    frequency = document_frequency(kept)
+    reviewed = kept if include_upper else not_shouting(kept)
+    reviewed = longest(reviewed, top) if top else reviewed
+    work = out.removesuffix(".csv")
+    candidates(reviewed, frequency, max_df, tagger=tagger).write.mode("overwrite").parquet(f"{work}.parquet")
+    found = corpus.sparkSession.read.parquet(f"{work}.parquet")
+    rows, summary = found.drop("inicio"), candidate_summary(found)
+    rows.write.mode("overwrite").option("header", True).csv(out)
+    summary.write.mode("overwrite").option("header", True).csv(f"{work}_resumen.csv")
+    return rows, summary

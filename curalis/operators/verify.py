@@ -59,7 +59,7 @@ def residue_summary(found: DataFrame, n_texts: int) -> DataFrame:
 def review_sample(corpus: DataFrame, n: int = 250, seed: int = 42, column: str = "apto_rag") -> DataFrame:
     """A stratified sample by document length, biased to long documents; the order within a stratum is
     a hash of seed and id.  Ranks come from counts per length, so no task sorts all documents."""
-    kept = corpus.where(column)
+    kept = corpus.where(column).select("record_id", "n_chars_doc")
     per_length = kept.groupBy("n_chars_doc").agg(F.count("*").alias("here"))
     running = Window.orderBy("n_chars_doc").rowsBetween(Window.unboundedPreceding, -1)
     every = Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -67,20 +67,28 @@ def review_sample(corpus: DataFrame, n: int = 250, seed: int = 42, column: str =
     within = Window.partitionBy("n_chars_doc").orderBy(F.col("record_id").cast("bigint"))
     ranked = kept.join(per_length, "n_chars_doc").withColumn("rn", F.col("before") + F.row_number().over(within))
     stratum = F.greatest(F.lit(1), F.ceil((F.col("rn") - 1) * 4 / F.greatest(F.col("total") - 1, F.lit(1)))).cast("int")
-    names = F.array(*(F.lit(s) for s, _ in V.STRATA))
-    quota = F.array(*(F.lit(max(1, round(n * w))) for _, w in V.STRATA))
-    drawn = Window.partitionBy("estrato").orderBy(F.md5(F.concat(F.lit(str(seed)), F.col("record_id"))), "record_id")
-    ranked = ranked.withColumns({"__s": stratum, "estrato": F.get(names, stratum - 1)})
-    return ranked.withColumn("__k", F.row_number().over(drawn)).where(F.col("__k") <= F.get(quota, F.col("__s") - 1)).drop("__k", "__s", "rn", "before", "total")
-
-
-def html_report(tables: dict[str, DataFrame], kpis: dict[str, object], limit: int = 40) -> str:
-    """A page with figures and the first rows of small tables."""
-    out = ["<!DOCTYPE html><html lang='es'><meta charset='utf-8'><body>", "<ul>"]
-    out += [f"<li>{html.escape(str(k))}: <b>{html.escape(str(v))}</b></li>" for k, v in kpis.items()]
-    out.append("</ul>")
-    for title, df in tables.items():
-        head = "".join(f"<th>{html.escape(c)}</th>" for c in df.columns)
-        body = "".join("<tr>" + "".join(f"<td>{html.escape('' if v is None else str(v))}</td>" for v in row) + "</tr>" for row in df.limit(limit).collect())
-        out.append(f"<h2>{html.escape(title)}</h2><table><tr>{head}</tr>{body}</table>")
+    quotas = [max(1, round(n * w)) for _, w in V.STRATA]
+    names, quota = (F.array(*map(F.lit, x)) for x in ([s for s, _ in V.STRATA], quotas))
+    drawn = Window.partitionBy("__s").orderBy(F.md5(F.concat(F.lit(str(seed)), F.col("record_id"))), "record_id")
+    # The literal bound lets each task keep so many rows of a stratum before anything is sent.
+    picked = ranked.select("record_id", stratum.alias("__s")).withColumn("__k", F.row_number().over(drawn)).where(F.col("__k") <= max(quotas))
+    picked = picked.where(F.col("__k") <= F.get(quota, F.col("__s") - 1)).select("record_id", F.get(names, F.col("__s") - 1).alias("estrato"))
+    # A sample of fixed size: the texts are fetched for it alone.
+    return corpus.where(column).join(F.broadcast(picked), "record_id")
+
+
+def html_report(n_docs: int, tables: dict[str, tuple[list[str], list]], limit: int = 40) -> str:
+    """A page with the number of documents, key figures and the first rows of small tables, given as columns and rows."""
+    text = lambda v: html.escape("" if v is None else str(v))
+
+    def table(columns, rows) -> str:
+        if not rows:
+            return "<p>sin datos</p>"
+        head = "".join(f"<th>{text(c)}</th>" for c in columns)
+        return f"<table><tr>{head}</tr>" + "".join("<tr>" + "".join(f"<td>{text(v)}</td>" for v in r) + "</tr>" for r in rows[:limit]) + "</table>"
+
+    kpis = {"documentos indexables": n_docs} | {f"{title}: filas": len(rows) for title, (_, rows) in tables.items()}
+    out = ["<!DOCTYPE html><html lang='es'><meta charset='utf-8'><title>Reporte de anonimización</title><body><h1>Reporte de anonimización</h1>"]
+    out += ["<ul>", *(f"<li>{text(k)}: <b>{v:,}</b></li>" for k, v in kpis.items()), "</ul>"]
+    out += [f"<h2>{text(title)}</h2>{table(*rows)}" for title, rows in tables.items()]
     return "\n".join([*out, "</body></html>"])

@@ -15,6 +15,9 @@ from curalis.operators import corpus, enrich, quality, redact, verify
 from curalis.sources import notes as source
 
 
+REPORT_ROWS = 40
+
+
 @dataclass
 class Options:
     min_chars: int = V.MIN_CHARS
@@ -55,36 +58,84 @@ def _csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def run(spark: SparkSession, path: str, out: str, reports: str, options: Options | None = None) -> dict:
-    """All files of a run; returns the manifest."""
+def _csv_if_any(df: DataFrame, path: str) -> bool:
+    """Written only where there is a row."""
+    if df.isEmpty():
+        return False
+    _csv(df, path)
+    return True
+
+
+def run(spark: SparkSession, path: str | None, out: str, reports: str, options: Options | None = None, say=lambda line: None) -> dict:
+    """All files of a run; returns the manifest.  ``say`` gets the lines of a summary.  What several files are made
+    from is computed once: the enriched notes and the residue are written, small tables collected."""
     options, began = options or Options(), time.time()
+    path = path or source.discover(spark)
+    digest = source.sha256(spark, path)
+    say(f"[0] {path} sha256={digest[:16]}")
     notes = source.to_notes(source.read_csv(spark, path))
     enriched(notes, options).write.mode("overwrite").parquet(f"{out}/enriched.parquet")
     rows = spark.read.parquet(f"{out}/enriched.parquet")
     docs = corpus.assemble(rows, options.notice_in_text)
     corpus.write(docs, out, options.column)
-    log = redact.replacement_log(rows)
-    _csv(log, f"{out}/log_reemplazos.csv")
+    docs = spark.read.parquet(f"{out}/corpus.parquet")
     kept = docs.where(options.column)
     n_kept = kept.count()
-    found = verify.residue(kept, lists=source.read_lists(options.lists))
-    _csv(found, f"{reports}/residuo_phi.csv")
+    log = redact.replacement_log(rows)
+    _csv_if_any(log, f"{out}/log_reemplazos.csv")
+    verify.residue(kept, lists=source.read_lists(options.lists)).write.mode("overwrite").parquet(f"{out}/residuo.parquet")
+    found = spark.read.parquet(f"{out}/residuo.parquet")
+    _csv_if_any(found, f"{reports}/residuo_phi.csv")
     sample = verify.review_sample(docs, options.sample, options.seed, options.column)
-    _csv(sample.select("record_id", "estrato", "n_chars_doc", "mecanismo_lesion", "desenlace", "texto"), f"{reports}/muestra_revision_manual.csv")
-    _csv(redact.kept_doctors(rows), f"{reports}/medicos_no_whitelist.csv")
-    _csv(redact.hospital_tokens(rows), f"{reports}/hospital_tokens_anonimizados.csv")
-    tables = {
-        "calidad": quality.summary(rows),
-        "reglas": redact.rule_counts(log),
-        "residuo": verify.residue_summary(found, n_kept),
-        "mecanismos": enrich.label_counts(rows.where(options.column), "mecanismo_lesion"),
-        "desenlaces": enrich.label_counts(rows.where(options.column), "desenlace"),
+    _csv(sample.select("record_id", "n_chars_doc", "mecanismo_lesion", "desenlace", "truncado", "texto"), f"{reports}/muestra_revision_manual.csv")
+    doctors, hospitals = redact.kept_doctors(rows), redact.hospital_tokens(rows)
+    _csv_if_any(doctors, f"{reports}/medicos_no_whitelist.csv")
+    _csv_if_any(hospitals, f"{reports}/hospital_tokens_anonimizados.csv")
+
+    def small(df: DataFrame, limit: int | None = None) -> tuple[list[str], list]:
+        return df.columns, (df if limit is None else df.limit(limit)).collect()
+
+    quality_rows, rules = small(quality.summary(rows)), small(redact.rule_counts(log))
+    residue = small(verify.residue_summary(found, n_kept))
+    labels = {k: small(enrich.label_counts(kept, k)) for k in ("mecanismo_lesion", "desenlace")}
+    excluded = excluded_counts(rows).first().asDict() if options.column == "apto_rag" else {}
+    report = verify.html_report(
+        n_kept,
+        {
+            "1. Calidad del corpus": quality_rows,
+            "2. Reemplazos aplicados": rules,
+            "3. Residuo tras la anonimización": residue,
+            "4. Ejemplos de residuo": small(found.where("veredicto = 'revisar'"), REPORT_ROWS),
+            "5. Tokens tras Dr/Dra fuera de la lista": small(doctors, REPORT_ROWS),
+        },
+        REPORT_ROWS,
+    )
+    for folder, name, content in ((reports, "reporte_anonimizacion.html", report),):
+        Path(folder).mkdir(parents=True, exist_ok=True)
+        (Path(folder) / name).write_text(content, encoding="utf-8")
+    manifest = {
+        "generado": time.strftime("%Y-%m-%dT%H:%M:%S"),
+        "entrada": path,
+        "sha256_entrada": digest,
+        "n_registros": next(r["n"] for r in quality_rows[1] if r["metrica"] == "total"),
+        "n_indexables": n_kept,
+        "criterio_indice": options.column,
+        "n_excluidos_indexables": excluded,
+        "parametros": asdict(options),
+        "calidad": {r["metrica"]: r["n"] for r in quality_rows[1]},
+        "reemplazos_por_regla": {r["regla"]: r["n"] for r in rules[1]},
+        "residuo_por_detector": {r["detector"]: {"matches": r["n_matches"], "a_revisar": r["a_revisar"]} for r in residue[1]},
+        "duracion_s": round(time.time() - began, 1),
     }
-    figures = {k: [r.asDict() for r in df.collect()] for k, df in tables.items()}
-    Path(reports).mkdir(parents=True, exist_ok=True)
-    (Path(reports) / "informe.html").write_text(verify.html_report(tables, {"documentos": n_kept}), encoding="utf-8")
-    manifest = {"entrada_sha256": source.sha256(spark, path), "parametros": asdict(options), "n_indexados": n_kept, **figures, "duracion_s": round(time.time() - began, 1)}
     (Path(out) / "manifest.json").write_text(json.dumps(manifest, ensure_ascii=False, indent=2), encoding="utf-8")
+    say(f"[2] {manifest['calidad']}")
+    say(f"[3] {manifest['reemplazos_por_regla']}")
+    for name, (_, counts) in labels.items():
+        say(f"[4] {name}: " + ", ".join(f"{r[0]} {r[1]:,}" for r in counts))
+    say(f"[5] {n_kept:,} documentos al índice (criterio {options.column}); fuera: {excluded}")
+    for r in residue[1]:
+        say(f"[6] {r['detector']}: {r['n_matches']:,} matches, a revisar {r['a_revisar']:,} en {r['n_docs']:,} docs ({r['pct_docs_revisar']} %)")
+    say(f"Listo en {manifest['duracion_s']} s: {out}/manifest.json")
     return manifest
 
 

@@ -6,8 +6,6 @@ Internally a note has columns ``record_id, unit, reason, exam, stay``.
 from __future__ import annotations
 
 import hashlib
-from pathlib import Path
-
 import yaml
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +15,6 @@ from curalis.functions import values as V
 
 NAMES = {V.ID: "record_id", V.UNIT: "unit", V.REASON: "reason", V.EXAM: "exam", V.STAY: "stay"}
 INNER = {"reason": V.REASON, "exam": V.EXAM, "stay": V.STAY}
-DEFAULT_PATHS = ("data/registros.csv", "data/entrada.csv", "data/sample.csv")
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -33,21 +30,43 @@ def to_notes(df: DataFrame) -> DataFrame:
     return df.select(*(F.col(f"`{c}`").alias(n) for c, n in NAMES.items()))
 
 
-def discover(*paths: str) -> str:
-    """The first path that exists."""
-    for path in paths or DEFAULT_PATHS:
-        if Path(path).exists():
+def read_loose_csv(spark: SparkSession, path: str) -> DataFrame:
+    """``read_csv`` for the list miners: what usually stands for a missing value is null, in every column."""
+    df = read_csv(spark, path)
+    return df.select(*(F.when(~F.col(f"`{c}`").isin(*V.LOOSE_NULLS), F.col(f"`{c}`")).alias(c) for c in df.columns))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in the store it names, as Spark sees it."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def discover(spark: SparkSession, *paths: str) -> str:
+    """The first path that exists, by default of the usual places."""
+    for path in paths or V.DEFAULT_PATHS:
+        if exists(spark, path):
             return path
-    raise FileNotFoundError(", ".join(paths or DEFAULT_PATHS))
+    raise FileNotFoundError(", ".join(paths or V.DEFAULT_PATHS))
 
 
 def sha256(spark: SparkSession, path: str) -> str:
-    return spark.read.format("binaryFile").load(path).select(F.sha2("content", 256)).first()[0]
+    """Hash of a file of any size, read as a stream; of a folder, of the hashes of its files by name."""
+    context = spark.sparkContext
+    where = context._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(context._jsc.hadoopConfiguration())
 
+    def one(file) -> str:
+        stream = store.open(file)
+        try:
+            return context._jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
+        finally:
+            stream.close()
 
-def sha256_local(path: str) -> str:
-    with open(path, "rb") as f:
-        return hashlib.file_digest(f, "sha256").hexdigest()
+    if not store.getFileStatus(where).isDirectory():
+        return one(where)
+    parts = sorted((str(s.getPath().getName()), s.getPath()) for s in store.listStatus(where) if s.isFile())
+    return hashlib.sha256("".join(one(p) for _, p in parts).encode()).hexdigest()
 
 
 def read_lists(path: str | None = None) -> dict[str, list[str]]:
@@ -68,40 +87,42 @@ def read_abbreviations(path: str | None = None) -> dict[str, str]:
 
 
 def from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Adapter B: the first three lines of a document are the fields."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    line = lambda i: F.nullif(F.split_part("text", F.lit("\n"), F.lit(i)), F.lit(""))
-    return docs.select(F.col("doc_id").cast("string").alias("record_id"), F.lit(None).cast(T.StringType()).alias("unit"), line(1).alias("reason"), line(2).alias("exam"), line(3).alias("stay"))
-
-
-def from_whole_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Adapter C: adapter B with all further lines in the last field, so that no text is left out."""
+    """Adapter B: the first two lines of a document are two fields, all further lines the third."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     line = lambda i: F.nullif(F.split_part("text", F.lit("\n"), F.lit(i)), F.lit(""))
     rest = F.nullif(F.regexp_extract("text", r"^[^\n]*\n[^\n]*\n([\s\S]*)$", 1), F.lit(""))
     return docs.select(F.col("doc_id").cast("string").alias("record_id"), F.lit(None).cast(T.StringType()).alias("unit"), line(1).alias("reason"), line(2).alias("exam"), rest.alias("stay"))
 
 
-#: Adapter A: a templated note for each order, in SQL that Spark and DuckDB read alike; {day} is a date format.
+#: Adapter A: a templated note for each order, in SQL that Spark and DuckDB read alike; {day} is a date format and
+#: {orders} the table.  Every rewrite rule finds something in it, and something that it must leave alone.
 TEMPLATE = """
 SELECT CAST(o_orderkey AS STRING) AS record_id,
   CASE WHEN o_orderkey % 7 = 0 THEN 'Meses' WHEN o_orderkey % 11 = 0 THEN NULL ELSE 'Años' END AS unit,
-  CASE o_orderkey % 5 WHEN 0 THEN 'Me cai de la moto' WHEN 1 THEN 'Herida por arma de fuego' WHEN 2 THEN 'Me golpearon con un palo'
-    WHEN 3 THEN 'Quemadura en mano derecha' ELSE NULL END AS reason,
+  CASE o_orderkey % 9 WHEN 0 THEN 'Me cai de la moto' WHEN 1 THEN 'Herida por arma de fuego, hpaf' WHEN 2 THEN 'Me golpearon con un palo'
+    WHEN 3 THEN 'Quemadura en mano derecha' WHEN 4 THEN NULL WHEN 5 THEN 'CE en ojo derecho, signo de bolivar' WHEN 6 THEN 'Lo mordió un canino en cali'
+    WHEN 7 THEN 'Me pegaron un tiro hace 2 años' ELSE 'Me cortaron con vidrio: CE, CE' END AS reason,
   CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 17 = 0 THEN rpad('Dolor en torax y abdomen ', 490, 'x') ELSE
-    concat('Paciente de ', CAST(o_custkey % 101 AS STRING), ' años, ingresa el ', {day}, ' a las 14:35. Atendido por ',
+    concat('Paciente de ', CAST(o_custkey % 101 AS STRING), CASE o_orderkey % 6 WHEN 0 THEN ' meses' WHEN 1 THEN ' dias' ELSE ' años' END, ', ingresa el ', {day}, ' a las 14:35. Atendido por ',
       CASE o_orderkey % 3 WHEN 0 THEN 'dr. moncada' WHEN 1 THEN 'dra. perez' ELSE 'el servicio' END, ' en ',
-      CASE o_orderkey % 4 WHEN 0 THEN 'hospital san rafael' WHEN 1 THEN 'clinica la aurora' WHEN 2 THEN 'hospital local' ELSE 'urgencias' END,
-      ', remitido de ', CASE o_orderkey % 2 WHEN 0 THEN 'palmira' ELSE 'otra sede' END, '. fx de codo, TAC sin lesion') END AS exam,
+      CASE o_orderkey % 10 WHEN 0 THEN 'hospital san rafael' WHEN 1 THEN 'clinica la aurora' WHEN 2 THEN 'hospital local' WHEN 3 THEN 'urgencias'
+        WHEN 4 THEN 'hospital mario correa' WHEN 5 THEN 'rayito de sol' WHEN 6 THEN 'fundacion san martin' WHEN 7 THEN 'HUC' WHEN 8 THEN 'ESE norte' ELSE 'hospital universitario del valle' END,
+      ', remitido de ', CASE o_orderkey % 2 WHEN 0 THEN 'palmira' ELSE 'otra sede' END, '. fx de codo, TAC sin lesion, fx previa') END AS exam,
   CASE WHEN o_orderkey % 19 = 0 THEN NULL WHEN o_orderkey % 23 = 0 THEN 'Se hospitaliza y queda con' ELSE
-    concat('Documento 1', CAST(10000000 + o_custkey AS STRING), ' correo a', CAST(o_custkey AS STRING), '@mail.com. Se da salida con signos de alarma') END AS stay
-FROM orders
+    concat('Documento 1', CAST(10000000 + o_custkey AS STRING), ' correo a', CAST(o_custkey AS STRING), '@mail.com. ',
+      CASE o_orderkey % 8 WHEN 0 THEN concat('Tel 310 555 ', CAST(1000 + o_custkey % 9000 AS STRING), ' de la madre')
+        WHEN 1 THEN concat('Ingreso ', CAST(4000000 + o_orderkey % 900000 AS STRING), ' abierto') WHEN 2 THEN 'Cirugia el 5 de marzo de 2019, control' WHEN 3 THEN 'Trauma en agosto de 2018 sin secuelas'
+        WHEN 4 THEN concat('Operado en ', CAST(1990 + o_custkey % 30 AS STRING), ' de apendice') WHEN 5 THEN concat('Hijo de ', CAST(1 + o_custkey % 17 AS STRING), ' años de edad acompaña')
+        WHEN 6 THEN 'Hace 15 años de edad escolar, TA 120/80, 2000 cc' ELSE 'Llevado a cirugía, uci' END,
+      '. Se da salida con signos de alarma') END AS stay
+FROM {orders}
 """
 
 
 def from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.read.parquet(f"{sf_dir}/orders.parquet").createOrReplaceTempView("orders")
-    return spark.sql(TEMPLATE.format(day="date_format(o_orderdate, 'dd/MM/yyyy')"))
+    """The rows are spread over the cluster by their key: the table is small beside the notes made of it."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").repartition(spark.sparkContext.defaultParallelism, "o_orderkey")
+    return spark.sql(TEMPLATE.format(day="date_format(o_orderdate, 'dd/MM/yyyy')", orders="{orders}"), orders=orders)
 
 
-ORDERS_SQL = TEMPLATE.format(day="strftime(o_orderdate, '%d/%m/%Y')")
+ORDERS_SQL = TEMPLATE.format(day="strftime(o_orderdate, '%d/%m/%Y')", orders="orders")

@@ -1,5 +1,6 @@
 """Quality flags, cleaning, sources and files of the notes."""
 
+import hashlib
 import json
 
 import pytest
@@ -83,11 +84,11 @@ def test_csv_and_run(spark, tmp_path):
         (tmp_path / "bad.csv").write_text("a;b\n1;2")
         S.read_csv(spark, str(tmp_path / "bad.csv"))
     manifest = P.run(spark, str(path), str(tmp_path / "out"), str(tmp_path / "rep"))
-    assert manifest["entrada_sha256"] == S.sha256_local(str(path))
+    assert manifest["sha256_entrada"] == hashlib.sha256(path.read_bytes()).hexdigest()
     lines = [json.loads(r.value) for r in spark.read.text(f"{tmp_path}/out/corpus_indexable.jsonl").collect()]
     assert [x["id"] for x in lines] == ["1", "2"][: len(lines)] and lines[0]["metadata"]["es_pediatrico"] is True
     assert "[FECHA]" in lines[0]["text"] and "[MEDICO]" in lines[0]["text"] and "unidad" not in lines[0]["metadata"]
-    assert (tmp_path / "rep" / "informe.html").exists()
+    assert (tmp_path / "rep" / "reporte_anonimizacion.html").exists()
     out = {r.record_id: r.motivo for r in spark.read.option("header", True).csv(f"{tmp_path}/out/excluidos_rag.csv").collect()}
     assert out["3"] == "empty"
 
@@ -144,7 +145,77 @@ def test_whole_documents_are_read_to_their_end(spark, tmp_path):
     head = "Caida de su propia altura\nDolor en hombro\n"
     texts = [head + "a\nb\nc", head + "a\nb\nd", head + "a\nb\nc", "one", "x\ny", None, "short\nlines\n\n" + "long line " * 40]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    rows = {int(r.record_id): r for r in S.from_whole_documents(spark, str(tmp_path)).collect()}
+    rows = {int(r.record_id): r for r in S.from_documents(spark, str(tmp_path)).collect()}
     assert ["\n".join(x or "" for x in (rows[i].reason, rows[i].exam, rows[i].stay)).rstrip("\n") for i in range(7)] == [t or "" for t in texts]
-    found = {int(r.record_id): r for r in P.flagged(S.from_whole_documents(spark, str(tmp_path))).collect()}
+    found = {int(r.record_id): r for r in P.flagged(S.from_documents(spark, str(tmp_path))).collect()}
     assert [i for i, r in found.items() if r.duplicate] == [2] and not found[6].too_short and found[6].n_chars > 400
+
+
+def test_letters_with_marks(spark):
+    """Composition and removal of marks against the Unicode tables."""
+    import unicodedata
+
+    words = ["ășçă ğüşőű", "Žluťoučký kůň", "tiếng Việt ậ", "ΆέΉώ", "Йё", "Ångström", "ñandú", "plain", "ﬁ ß ø"]
+    rows = [(form, unicodedata.normalize(form, w), w) for w in words for form in ("NFC", "NFD")]
+    df = spark.createDataFrame(rows, "form string, t string, w string")
+    for r in df.select("w", X.compose(F.col("t")).alias("c"), X.unaccent(F.col("t")).alias("u")).collect():
+        assert r.c == unicodedata.normalize("NFC", r.w)
+        assert r.u == "".join(x for x in unicodedata.normalize("NFD", r.w) if unicodedata.category(x) != "Mn")
+
+
+def test_sources(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    head = ";".join([V.ID, V.UNIT, *V.FIELDS])
+    path.write_text(f"{head}\n1;;NA;n/a;hospital san rafael\n2;;hospital san rafael;hospital san rafael;", encoding="utf-8")
+    loose = S.to_notes(S.read_loose_csv(spark, str(path))).orderBy("record_id").collect()
+    assert [tuple(r)[2:] for r in loose] == [(None, None, "hospital san rafael"), ("hospital san rafael", "hospital san rafael", None)]
+    assert S.discover(spark, str(tmp_path / "none"), str(path)) == str(path)
+    with pytest.raises(FileNotFoundError):
+        S.discover(spark, str(tmp_path / "none"))
+    assert S.sha256(spark, str(path)) == hashlib.sha256(path.read_bytes()).hexdigest()
+    assert len(S.sha256(spark, str(tmp_path))) == 64
+
+
+def test_command_line(spark, tmp_path, capsys):
+    import yaml
+
+    from curalis.__main__ import main
+
+    path = tmp_path / "in.csv"
+    head = ";".join([V.ID, V.UNIT, *V.FIELDS])
+    rows = [f"{i};Años;Caida de su propia altura {i};Valorado por Zambrana Quintero en hospital santa ines {i};Se da salida con analgesia oral" for i in range(4)]
+    path.write_text("\n".join([head, *rows]), encoding="utf-8")
+    out, rep = str(tmp_path / "out"), tmp_path / "rep"
+    main(["run", "--entrada", str(path), "--salida", out, "--reportes", str(rep), "--incluir-incompletos"], spark)
+    manifest = json.loads((tmp_path / "out" / "manifest.json").read_text())
+    assert manifest["n_registros"] == manifest["n_indexables"] == 4 and manifest["criterio_indice"] == "indexable" and manifest["n_excluidos_indexables"] == {}
+    assert "documentos indexables: <b>4</b>" in (rep / "reporte_anonimizacion.html").read_text()
+    assert not (rep / "medicos_no_whitelist.csv").exists() and "[5] 4 documentos" in capsys.readouterr().out
+    main(["review", "--corpus", f"{out}/corpus.parquet", "--salida", str(rep / "ner.csv"), "--top", "3"], spark)
+    found = spark.read.option("header", True).csv(str(rep / "ner.csv"))
+    assert found.columns == ["record_id", "label", "entidad", "df_corpus", "contexto"]
+    assert {(r.entidad, r.df_corpus) for r in found.collect()} >= {("Zambrana Quintero", "4")}
+    assert spark.read.option("header", True).csv(str(rep / "ner_resumen.csv")).where("entidad = 'Zambrana Quintero'").first().n == "3"
+    main(["mine", "--entrada", str(path), "--salida", str(tmp_path / "config" / "gazetteers.yaml")], spark)
+    lists = yaml.safe_load((tmp_path / "config" / "gazetteers.yaml").read_text())
+    assert lists["instituciones"] == ["santa ines"] and S.read_lists(str(tmp_path / "config" / "gazetteers.yaml"))["instituciones"] == ["santa ines"]
+    with pytest.raises(SystemExit, match="not found"):
+        main(["run", "--entrada", str(tmp_path / "none.csv")], spark)
+    with pytest.raises(SystemExit, match="spaCy"):
+        review.model_tagger("none")
+
+
+def test_review_counts_words_of_all_indexable_documents(spark, tmp_path):
+    """Words are counted before documents in capitals go, and in indexable documents only."""
+    rows = [(str(i), "VISTO POR QUINTERO" if i % 2 else "Visto por Quintero ayer", i < 40, 20) for i in range(50)]
+    corpus_ = spark.createDataFrame(rows, "record_id string, texto string, indexable boolean, n_chars_doc int")
+    found, _ = review.run(corpus_, str(tmp_path / "a.csv"), max_df=40)
+    assert {(r.entidad, r.df_corpus) for r in found.collect()} == {("Visto", 40), ("Quintero", 40)} and found.count() == 40
+    assert review.run(corpus_, str(tmp_path / "b.csv"), max_df=39)[0].count() == 0
+
+
+def test_duplicates_of_one_text_everywhere(spark):
+    rows = [(i, FULL) for i in range(60, 0, -1)] + [(100, (FULL[0] + " otra", *FULL[1:])), (101, (None, None, None)), (102, (None, None, None))]
+    f = flagged(spark, rows)
+    assert sorted(int(i) for i, r in f.items() if r.duplicate) == list(range(2, 61))
+    assert list(P.flagged(notes(spark, rows[:1])).columns)[0] == "record_id"
