@@ -1,7 +1,6 @@
 """Named queries over the test tables and the DuckDB SQL that computes the same rows.
 
-Adapter A makes templated notes of ``orders``; adapter B takes the first lines of ``documents``, adapter C
-(queries ending in ``_whole``) all of them.
+Adapter A makes templated notes of ``orders``; adapter B makes notes of whole ``documents``.
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 from curalis.functions import text as X
 from curalis.functions import values as V
 from curalis.operators import corpus, enrich, mining, quality, redact, review, verify
+from curalis.plans import oracle as O
 from curalis.plans import pipeline as P
 from curalis.sources import notes as S
 
@@ -39,10 +39,6 @@ def b(spark, d) -> DataFrame:
     return S.from_documents(spark, d)
 
 
-def whole(spark, d) -> DataFrame:
-    return S.from_whole_documents(spark, d)
-
-
 def texts(spark, d) -> DataFrame:
     return spark.read.parquet(f"{d}/documents.parquet").select(F.col("doc_id").cast("string").alias("record_id"), F.col("text").alias("texto"))
 
@@ -50,10 +46,8 @@ def texts(spark, d) -> DataFrame:
 # SQL building blocks -------------------------------------------------------------------------------
 _A = f"a AS ({S.ORDERS_SQL})"
 _B = """b AS (SELECT CAST(doc_id AS VARCHAR) AS record_id, CAST(NULL AS VARCHAR) AS unit, nullif(split_part(text, chr(10), 1), '') AS reason,
-  nullif(split_part(text, chr(10), 2), '') AS exam, nullif(split_part(text, chr(10), 3), '') AS stay FROM documents)"""
-_C = """c AS (SELECT CAST(doc_id AS VARCHAR) AS record_id, CAST(NULL AS VARCHAR) AS unit, nullif(split_part(text, chr(10), 1), '') AS reason,
   nullif(split_part(text, chr(10), 2), '') AS exam, nullif(array_to_string(string_split(text, chr(10))[3:], chr(10)), '') AS stay FROM documents)"""
-_STRIP = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
+_STRIP = O.STRIP
 
 
 def _clean_sql(c: str) -> str:
@@ -95,9 +89,9 @@ rows_ AS (SELECT unnest([{'m': 'total', 'n': total}, {'m': 'empty', 'n': e}, {'m
 SELECT r.m AS metrica, CAST(r.n AS BIGINT) AS n, round_even(CAST(r.n AS DOUBLE) / total * 100, 2) AS pct FROM rows_"""
 
 
-@query("clean_text", f"WITH {_B} SELECT record_id, {_clean_sql('reason')} AS clean FROM b")
+@query("clean_text", f"SELECT CAST(doc_id AS VARCHAR) AS record_id, {_clean_sql('text')} AS clean FROM documents")
 def clean_text(spark, d):
-    return b(spark, d).select("record_id", X.clean(F.col("reason")).alias("clean"))
+    return texts(spark, d).select("record_id", X.clean(F.col("texto")).alias("clean"))
 
 
 @query("match_key", r"SELECT CAST(doc_id AS VARCHAR) AS record_id, sha256(regexp_replace(lower(strip_accents(regexp_replace(text, '[^\p{L}\s]', '', 'g'))), '\s+', ' ', 'g')) AS key FROM documents")
@@ -136,105 +130,94 @@ def excluded_counts(spark, d):
     return P.excluded_counts(P.flagged(b(spark, d)))
 
 
-@query("clean_text_whole", f"SELECT CAST(doc_id AS VARCHAR) AS record_id, {_clean_sql('text')} AS clean FROM documents")
-def clean_text_whole(spark, d):
-    return texts(spark, d).select("record_id", X.clean(F.col("texto")).alias("clean"))
+#: Adapter A up to the cleaned fields, to the flags, to the log of all rules, and to the corpus.
+_CLEANED = f"WITH {_A}, {_NORM.format(r=_clean_sql('reason'), e=_clean_sql('exam'), s=_clean_sql('stay'), src='a')}"
+_RULES = f"{_CLEANED}, {O.redaction()}"
+_CORPUS = f"WITH {_A}, {O.corpus(_flags_sql('a'))}"
+_LOG = "record_id, campo, regla, original, placeholder, inicio"
+
+
+@query("redact_texts", f"{_RULES} SELECT record_id, max(CASE WHEN k = 0 THEN t END) AS reason_anon, max(CASE WHEN k = 1 THEN t END) AS exam_anon, max(CASE WHEN k = 2 THEN t END) AS stay_anon FROM done GROUP BY 1")
+def redact_texts(spark, d):
+    return P.redacted(a(spark, d)).select("record_id", "reason_anon", "exam_anon", "stay_anon")
 
 
-@query("quality_flags_whole", f"WITH {_C}, {_flags_sql('c')} {_FLAG_SELECT}")
-def quality_flags_whole(spark, d):
-    return P.flagged(whole(spark, d)).select(*_FLAG_COLUMNS)
+@query("redact_log", f"{_RULES} SELECT {_LOG} FROM replaced")
+def redact_log(spark, d):
+    return redact.replacement_log(P.redacted(a(spark, d)))
 
 
-@query("quality_summary_whole", f"WITH {_C}, {_flags_sql('c')}{_SUMMARY}")
-def quality_summary_whole(spark, d):
-    return quality.summary(P.flagged(whole(spark, d)))
+@query("redact_counts", f"{_RULES} SELECT regla, count(*) AS n, count(DISTINCT record_id) AS n_registros FROM replaced GROUP BY 1")
+def redact_counts(spark, d):
+    return redact.rule_counts(redact.replacement_log(P.redacted(a(spark, d))))
 
 
-@query("dedup_keep_first_whole", f"WITH {_C}, {_flags_sql('c')} SELECT record_id, hash_texto FROM flagged WHERE duplicate")
-def dedup_keep_first_whole(spark, d):
-    return P.flagged(whole(spark, d)).where("duplicate").select("record_id", "hash_texto")
+@query("redact_per_record", f"{_RULES} SELECT record_id, CAST(count(regla) AS INTEGER) AS n_reemplazos_phi, list_sort(list_distinct(coalesce(list(regla) FILTER (regla IS NOT NULL), []))) AS tipos_phi FROM norm LEFT JOIN replaced USING (record_id) GROUP BY 1")
+def redact_per_record(spark, d):
+    return P.redacted(a(spark, d)).select("record_id", "n_reemplazos_phi", "tipos_phi")
 
 
-@query("excluded_counts_whole", f"WITH {_C}, {_flags_sql('c')} SELECT CAST(count_if(indexable AND truncated) AS BIGINT) AS truncados, CAST(count_if(indexable AND NOT truncated AND incompleto) AS BIGINT) AS incompletos FROM flagged")
-def excluded_counts_whole(spark, d):
-    return P.excluded_counts(P.flagged(whole(spark, d)))
+@query("kept_doctors", f"{_RULES} SELECT {O.key('e.token')} AS token, count(*) AS n FROM events WHERE e.regla = 'medico' AND e.placeholder IS NULL GROUP BY 1")
+def kept_doctors(spark, d):
+    return redact.kept_doctors(P.redacted(a(spark, d)))
 
 
-@query("redact_dates", f"WITH {_A} SELECT record_id, regexp_replace(coalesce(exam, ''), '[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}', '[FECHA]', 'g') AS t FROM a")
+@query("hospital_tokens", f"{_RULES} SELECT {O.key('token')} AS token, count(*) AS n FROM replaced WHERE regla = 'institucion_hospital' GROUP BY 1")
+def hospital_tokens(spark, d):
+    return redact.hospital_tokens(P.redacted(a(spark, d)))
+
+
+@query("redact_dates", f"{_RULES} SELECT {_LOG} FROM replaced WHERE regla IN ('fecha', 'hora', 'anio')")
 def redact_dates(spark, d):
-    return redact.redact(a(spark, d), "exam", only={"fecha"}).select("record_id", F.col("exam_anon").alias("t"))
+    return redact_log(spark, d).where("regla in ('fecha', 'hora', 'anio')")
 
 
-@query("redact_email_log", f"WITH {_A} SELECT record_id, regexp_extract(stay, 'a[0-9]+@mail.com', 0) AS original, CAST(strpos(stay, ' correo a') + 7 AS INTEGER) AS inicio FROM a WHERE stay LIKE '%@mail.com%'")
+@query("redact_email_log", f"{_RULES} SELECT record_id, original, inicio FROM replaced WHERE regla = 'email'")
 def redact_email_log(spark, d):
-    rows = redact.redact(a(spark, d), "stay", only={"email"}).select("record_id", F.explode("stay_log").alias("e"))
-    return rows.select("record_id", X.sub(F.col("e.original"), r"\.$|\. .*$", "").alias("original"), F.col("e.start").alias("inicio"))
+    return redact_log(spark, d).where("regla = 'email'").select("record_id", "original", "inicio")
 
 
-@query("doctor_whitelist", f"WITH {_A} SELECT CAST(count_if(exam LIKE '%dr. moncada%') AS BIGINT) AS medico, CAST(count_if(exam LIKE '%dra. perez%') AS BIGINT) AS kept FROM a")
+@query("doctor_whitelist", f"{_RULES} SELECT count_if(e.placeholder IS NOT NULL) AS medico, count_if(e.placeholder IS NULL) AS kept FROM events WHERE e.regla = 'medico'")
 def doctor_whitelist(spark, d):
-    e = redact.redact(a(spark, d), "exam", only={"medico"}).select(F.explode("exam_log").alias("e"))
+    e = P.redacted(a(spark, d)).select(F.explode_outer("events").alias("e")).where("e.regla = 'medico'")
     return e.agg(F.count_if(F.col("e.placeholder").isNotNull()).alias("medico"), F.count_if(F.col("e.placeholder").isNull()).alias("kept"))
 
 
-_BAND = """CASE WHEN v >= 90 THEN '[EDAD:90+]' WHEN v < 1 THEN '[EDAD:<1 año]' WHEN v < 18 THEN '[EDAD:' || (v // 5 * 5) || '-' || (v // 5 * 5 + 4) || ']'
-  ELSE '[EDAD:' || (v // 10 * 10) || '-' || (v // 10 * 10 + 9) || ']' END"""
-
-
-@query("age_bands", f"SELECT CAST(o_orderkey AS VARCHAR) AS record_id, 'Paciente de ' || {_BAND} AS placeholder FROM (SELECT o_orderkey, o_custkey % 101 AS v FROM orders WHERE o_orderkey % 13 <> 0 AND o_orderkey % 17 <> 0)")
+@query("age_bands", f"{_RULES} SELECT record_id, campo, placeholder FROM replaced WHERE regla = 'edad'")
 def age_bands(spark, d):
-    rows = redact.redact(a(spark, d), "exam", only={"edad"}).select("record_id", F.explode("exam_log").alias("e"))
-    return rows.where("e.placeholder is not null").select("record_id", "e.placeholder")
-
-
-@query("redact_counts")
-def redact_counts(spark, d):
-    return redact.rule_counts(redact.replacement_log(P.redacted(a(spark, d))))
-
+    return redact_log(spark, d).where("regla = 'edad'").select("record_id", "campo", "placeholder")
 
-@query("redact_log")
-def redact_log(spark, d):
-    return redact.replacement_log(P.redacted(a(spark, d)))
-
-
-@query("kept_doctors", f"WITH {_A} SELECT 'perez' AS token, count(*) AS n FROM a WHERE exam LIKE '%dra. perez%'")
-def kept_doctors(spark, d):
-    return redact.kept_doctors(P.redacted(a(spark, d)))
 
-
-@query("hospital_tokens")
-def hospital_tokens(spark, d):
-    return redact.hospital_tokens(P.redacted(a(spark, d)))
-
-
-@query("municipality_exceptions")
+@query("municipality_exceptions", f"{_RULES} SELECT record_id, campo, t FROM done WHERE contains(lower(t), 'bolivar') OR contains(t, '[MUNICIPIO]')")
 def municipality_exceptions(spark, d):
-    df = a(spark, d).withColumn("t", F.concat(F.coalesce("exam", F.lit("")), F.lit(". Signo de bolivar, vive en bolivar")))
-    return redact.redact(df, "t", only={"municipio"}).select("record_id", F.col("t_anon").alias("t"))
+    fields = F.explode(F.array(*(F.struct(F.lit(name).alias("campo"), F.col(f"{k}_anon").alias("t")) for k, name in quality.KEYS.items()))).alias("f")
+    return P.redacted(a(spark, d)).select("record_id", fields).select("record_id", "f.campo", "f.t").where("contains(lower(t), 'bolivar') or contains(t, '[MUNICIPIO]')")
 
 
-@query("expand_abbreviations")
+@query("expand_abbreviations", f"{_CLEANED} {O.expansion('norm', 'ec', 'record_id')}")
 def expand_abbreviations(spark, d):
-    return a(spark, d).select("record_id", enrich.expand(F.coalesce("exam", F.lit("")), V.ABBREVIATIONS).alias("x")).select("record_id", "x.text", "x.keys")
+    return quality.normalise(a(spark, d)).select("record_id", enrich.expand(F.col("exam_clean"), V.ABBREVIATIONS).alias("x")).select("record_id", "x.text", "x.keys")
 
 
-@query("classify_mechanism", f"WITH {_A} SELECT record_id, CASE substr(reason, 1, 5) WHEN 'Me ca' THEN 'caida' WHEN 'Herid' THEN 'arma_de_fuego' WHEN 'Me go' THEN 'contundente' WHEN 'Quema' THEN 'quemadura' ELSE 'no_determinado' END AS mecanismo FROM a")
+@query("classify_mechanism", f"{_CORPUS} SELECT record_id, mecanismo_lesion FROM corpus")
 def classify_mechanism(spark, d):
-    return a(spark, d).select("record_id", enrich.mechanism(F.coalesce("reason", F.lit("")), F.lit("")).alias("mecanismo"))
+    return P.enriched(a(spark, d)).select("record_id", "mecanismo_lesion")
 
 
-@query("classify_regions", f"WITH {_A} SELECT record_id, CASE WHEN exam LIKE 'Dolor%' THEN 'torax,abdomen' WHEN exam IS NULL THEN '' ELSE 'miembro_superior' END AS regiones FROM a")
+@query("classify_regions", f"{_CORPUS} SELECT record_id, region_anatomica FROM corpus")
 def classify_regions(spark, d):
-    return a(spark, d).select("record_id", F.array_join(enrich.regions(F.coalesce("exam", F.lit(""))), ",").alias("regiones"))
+    return P.enriched(a(spark, d)).select("record_id", "region_anatomica")
 
 
-@query("classify_outcome", f"WITH {_A} SELECT record_id, CASE WHEN stay IS NULL THEN 'no_determinado' WHEN stay LIKE 'Se hosp%' THEN 'hospitalizacion' ELSE 'alta' END AS desenlace FROM a")
+@query("classify_outcome", f"{_CORPUS} SELECT record_id, desenlace, abreviaturas FROM corpus")
 def classify_outcome(spark, d):
-    return a(spark, d).select("record_id", enrich.outcome(F.coalesce("stay", F.lit(""))).alias("desenlace"))
+    return P.enriched(a(spark, d)).select("record_id", "desenlace", "abreviaturas")
 
 
-@query("label_counts")
+@query(
+    "label_counts",
+    f"{_CORPUS} SELECT 'mecanismo' AS kind, mecanismo_lesion AS label, count(*) AS n FROM corpus WHERE apto_rag GROUP BY ALL UNION ALL SELECT 'desenlace', desenlace, count(*) FROM corpus WHERE apto_rag GROUP BY ALL",
+)
 def label_counts(spark, d):
     df = P.enriched(a(spark, d)).where("apto_rag")
     return enrich.label_counts(df, "mecanismo_lesion").select(F.lit("mecanismo").alias("kind"), F.col("mecanismo_lesion").alias("label"), "n").unionAll(
@@ -242,17 +225,17 @@ def label_counts(spark, d):
     )
 
 
-@query("assemble_corpus")
+@query("assemble_corpus", f"{_CORPUS} SELECT * FROM corpus")
 def assemble_corpus(spark, d):
     return P.documents(a(spark, d))
 
 
-@query("corpus_with_notice")
+@query("corpus_with_notice", f"WITH {_A}, {O.corpus(_flags_sql('a'), notice=True)} SELECT record_id, texto, n_chars_doc, truncado FROM corpus")
 def corpus_with_notice(spark, d):
     return P.documents(a(spark, d), P.Options(notice_in_text=True)).select("record_id", "texto", "n_chars_doc", "truncado")
 
 
-@query("index_lines")
+@query("index_lines", f"{_CORPUS} {O.index_lines()}")
 def index_lines(spark, d):
     return corpus.index_lines(P.documents(a(spark, d)))
 
@@ -265,12 +248,16 @@ def exclusion_reasons(spark, d):
     return P.flagged(a(spark, d)).where("not apto_rag").select("record_id", corpus.exclusion_reason().alias("motivo"))
 
 
-@query("residue_detect")
+@query("residue_detect", f"WITH {O.residue()} SELECT * FROM found")
 def residue_detect(spark, d):
     return verify.residue(texts(spark, d))
 
 
-@query("residue_summary")
+@query(
+    "residue_summary",
+    f"""WITH {O.residue()} SELECT detector, count(*) AS n_matches, count_if(veredicto = 'revisar') AS a_revisar, count(DISTINCT CASE WHEN veredicto = 'revisar' THEN record_id END) AS n_docs,
+  round_even(CAST(count(DISTINCT CASE WHEN veredicto = 'revisar' THEN record_id END) AS DOUBLE) / (SELECT count(*) FROM documents) * 100, 3) AS pct_docs_revisar FROM found GROUP BY 1""",
+)
 def residue_summary(spark, d):
     t = texts(spark, d)
     return verify.residue_summary(verify.residue(t), t.count())
@@ -306,30 +293,47 @@ def top_longest(spark, d):
     return review.longest(texts(spark, d).select("record_id", F.length("texto").alias("n_chars_doc")), 50)
 
 
-@query("entity_candidates")
+@query("entity_candidates", f"WITH {O.entities()} SELECT * FROM candidates")
 def entity_candidates(spark, d):
     t = review.not_shouting(texts(spark, d))
     return review.candidates(t, review.document_frequency(texts(spark, d)))
 
 
-@query("entity_summary")
+@query(
+    "entity_summary",
+    f"WITH {O.entities()} SELECT entidad, label, count(*) AS n, min(df_corpus) AS df_corpus, arg_min(contexto, (CAST(record_id AS BIGINT), inicio)) AS ejemplo FROM candidates GROUP BY 1, 2",
+)
 def entity_summary(spark, d):
     return review.candidate_summary(entity_candidates(spark, d))
 
 
+_BLOBS = f"WITH {_A}, blobs AS (SELECT record_id, coalesce(reason, '') || ' || ' || coalesce(exam, '') || ' || ' || coalesce(stay, '') AS blob FROM a)"
+
+
 @query(
     "mine_institutions",
-    f"WITH {_A} SELECT 'san rafael' AS nombre, count(*) AS n FROM a WHERE exam LIKE '%hospital san rafael%' HAVING count(*) >= 3",
+    rf"""{_BLOBS}, found AS (SELECT unnest(regexp_extract_all(blob, '(?i)\b{V.TYPE_WORDS}\s+((?:[{V.LETTERS}]+\s*){{1,4}})', 1)) AS m FROM blobs),
+words AS (SELECT string_split({O.label_key('m')}, ' ') AS w FROM found),
+named AS (SELECT array_to_string(w[1:coalesce(list_min(list_filter(list_transform(w, lambda x, i: CASE WHEN x IN ({O.quoted(*V.STOP_AFTER_TYPE)}) THEN i END), lambda i: i IS NOT NULL)) - 1, len(w))], ' ') AS nombre FROM words)
+SELECT nombre, count(*) AS n FROM named WHERE length(nombre) >= 4 GROUP BY 1 HAVING count(*) >= 3""",
 )
 def mine_institutions(spark, d):
     return mining.institutions(mining.blobs(a(spark, d)))
 
 
-@query("mine_doctors", f"WITH {_A} SELECT DISTINCT regexp_extract(exam, 'dra?\\. ([a-z]+)', 1) AS apellido FROM a WHERE regexp_matches(exam, 'dra?\\. ')")
+@query(
+    "mine_doctors",
+    rf"""{_BLOBS} SELECT DISTINCT {O.label_key('m')} AS apellido FROM (SELECT unnest(regexp_extract_all(blob, '(?i)\b(?:dr|dra|doctor|doctora)\.?\s+([{V.LETTERS}]{{3,}})', 1)) AS m FROM blobs)
+WHERE {O.label_key('m')} NOT IN ({O.quoted(*V.NOT_DOCTORS)})""",
+)
 def mine_doctors(spark, d):
     return mining.doctors(mining.blobs(a(spark, d)))
 
 
-@query("mine_places", f"WITH {_A} SELECT 'palmira' AS municipio FROM a WHERE exam LIKE '%remitido de palmira%' LIMIT 1")
+@query(
+    "mine_places",
+    rf"""{_BLOBS}, head AS (SELECT {O.label_key('blob')} AS t FROM (SELECT blob FROM blobs ORDER BY CAST(record_id AS BIGINT) LIMIT {mining.FIRST_ROWS}))
+SELECT p AS municipio FROM (SELECT unnest([{O.quoted(*V.PLACE_SEEDS)}]) AS p) WHERE EXISTS (SELECT 1 FROM head WHERE regexp_matches(t, '\b' || p || '\b'))""",
+)
 def mine_places(spark, d):
     return mining.places(mining.blobs(a(spark, d)))
