@@ -50,10 +50,11 @@ def flags(df: DataFrame, min_chars: int = V.MIN_CHARS) -> DataFrame:
     )
     df = df.withColumns({"truncated": F.size("campos_truncados") > 0, "incompleto": ~F.col("empty") & (F.size("campos_vacios") > 0)})
     # The first id of each repeated text, aggregated on narrow rows: a text that is everywhere sends one row from each
-    # task, and only what is repeated is looked up.
+    # task, and only what is repeated is looked up.  Neither a filter nor a plain equality, from which Spark makes one:
+    # below the projections it would clean every text once more.
     number = F.col("record_id").cast("bigint")
-    first = df.where(~F.col("empty")).groupBy(F.col("hash_texto").alias("__hash")).agg(F.min(number).alias("__first"), F.count("*").alias("__n")).where("__n > 1")
-    df = df.join(first, F.col("hash_texto") == F.col("__hash"), "left")
+    first = df.groupBy(F.col("hash_texto").alias("__hash")).agg(F.min(number).alias("__first"), F.count("*").alias("__n")).where("__n > 1")
+    df = df.join(first, F.col("hash_texto").eqNullSafe(F.col("__hash")), "left")
     df = df.withColumn("duplicate", ~F.col("empty") & F.coalesce(number > F.col("__first"), F.lit(False))).drop("__hash", "__first", "__n")
     df = df.withColumn("indexable", ~(F.col("empty") | F.col("too_short") | F.col("duplicate")))
     df = df.withColumns({"apto_rag": F.col("indexable") & ~F.col("truncated") & ~F.col("incompleto"), "quality_flags": names_where({f: F.col(f) for f in V.FLAGS})})

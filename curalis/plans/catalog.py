@@ -40,7 +40,8 @@ def b(spark, d) -> DataFrame:
 
 
 def texts(spark, d) -> DataFrame:
-    return spark.read.parquet(f"{d}/documents.parquet").select(F.col("doc_id").cast("string").alias("record_id"), F.col("text").alias("texto"))
+    docs = S.spread(spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text"), "doc_id")
+    return docs.select(F.col("doc_id").cast("string").alias("record_id"), F.col("text").alias("texto"))
 
 
 # SQL building blocks -------------------------------------------------------------------------------

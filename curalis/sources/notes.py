@@ -86,9 +86,16 @@ def read_abbreviations(path: str | None = None) -> dict[str, str]:
     return {str(k).lower(): str(v) for k, v in (found.get("abreviaturas") or {}).items()}
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt anew by a key, but only where the scan of a small file has fewer partitions than there are cores: the
+    expressions on notes cost far more than moving such a file, and larger ones are not moved."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
 def from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Adapter B: the first two lines of a document are two fields, all further lines the third."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), "doc_id")
     line = lambda i: F.nullif(F.split_part("text", F.lit("\n"), F.lit(i)), F.lit(""))
     rest = F.nullif(F.regexp_extract("text", r"^[^\n]*\n[^\n]*\n([\s\S]*)$", 1), F.lit(""))
     return docs.select(F.col("doc_id").cast("string").alias("record_id"), F.lit(None).cast(T.StringType()).alias("unit"), line(1).alias("reason"), line(2).alias("exam"), rest.alias("stay"))
@@ -120,8 +127,7 @@ FROM {orders}
 
 
 def from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows are spread over the cluster by their key: the table is small beside the notes made of it."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").repartition(spark.sparkContext.defaultParallelism, "o_orderkey")
+    orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate"), "o_orderkey")
     return spark.sql(TEMPLATE.format(day="date_format(o_orderdate, 'dd/MM/yyyy')", orders="{orders}"), orders=orders)
 
 
