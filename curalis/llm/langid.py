@@ -7,8 +7,8 @@ weight of its own (other words share one entry).  Transitions are learned too.
 lines are cut at ``CHAIN`` words).  Forward-backward gives each word's posterior; a document's
 language is the one with the largest sum, its score that sum's share.
 
-Training takes at most ``MAX_PER_LANGUAGE`` rows of each language (the least hashes of the id, texts of
-at most ``MAX_TRAIN_BYTES``), and joins lines of different rows into chains, so that switches occur.
+Training takes at most ``MAX_PER_LANGUAGE`` rows of each language (the least hashes of id and text, texts
+of at most ``MAX_TRAIN_BYTES``), and joins lines of different rows into chains, so that switches occur.
 Prediction reads whole texts, however long; a line longer than ``CHAIN`` words is several chains.  Null texts
 and texts without a letter are ``und`` with score 0, and so is everything when nothing could be learned.
 Rows with a null language or id are predicted but not learned from.  Of languages with equal sums the first
@@ -185,12 +185,19 @@ def train(docs: DataFrame, usable=None, text: str = "text", lang: str = "lang",
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(id_col).isNotNull())
     known = known.where(usable(F.col(id_col))) if usable is not None else known
     known = known.select(F.col(lang).cast("string").alias("y"), F.col(text).alias("t"), F.col(id_col).cast("string").alias("i"))
-    langs = sorted(r[0] for r in known.select("y").distinct().collect())
+    known = known.where(F.octet_length("t") <= MAX_TRAIN_BYTES).withColumn("h", F.shiftrightunsigned(F.xxhash64("i", "t"), 1) / float(1 << 63))
+    counts = dict(known.groupBy("y").count().collect())
+    langs = sorted(counts)
     if not langs:
         return [], None, None, None
-    # Languages are few; at most MAX_PER_LANGUAGE bounded texts of each are collected, in the order of a hash.
-    drawn = known.where(F.octet_length("t") <= MAX_TRAIN_BYTES)
-    rows = [r for y in langs for r in drawn.where(F.col("y") == y).orderBy(F.xxhash64("i"), "i", F.md5("t")).limit(MAX_PER_LANGUAGE).collect()]
+    # Hashes are even: a quarter more than wanted lies below the share, and only that is collected (of one
+    # row repeated without end, a part of the equal copies).
+    below = F.lit(0.0)
+    for y in langs:
+        below = F.when(F.col("y") == y, 1.25 * MAX_PER_LANGUAGE / counts[y]).otherwise(below)
+    near = known.where(F.col("h") < below).limit(2 * MAX_PER_LANGUAGE * len(langs)).collect()
+    near.sort(key=lambda r: (r["h"], r["i"], r["t"]))
+    rows = [r for y in langs for r in [r for r in near if r["y"] == y][:MAX_PER_LANGUAGE]]
     rows.sort(key=lambda r: (r["i"], r["t"]))
     place = {y: i for i, y in enumerate(langs)}
     return [langs, *fit([r["t"] for r in rows], np.array([place[r["y"]] for r in rows], np.int64), len(langs))]
