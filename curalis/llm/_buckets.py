@@ -135,11 +135,14 @@ def n_buckets(df: DataFrame) -> int:
     return max(PER_PARTITION * partitions(df.sparkSession), size // BUCKET_BYTES)
 
 
-def row_tag(docs: DataFrame, id_col: str, text_col: str) -> Column:
-    """What tells rows with one id apart: a 64-bit hash of the text or, where no id is repeated, 0.  Rows that
-    share id and text have the same results, so results do not depend on which it is; only size does."""
+def row_tag(docs: DataFrame, id_col: str, text_col: str) -> tuple[Column, list[str]]:
+    """What tells rows with one id apart: a 64-bit hash of the text or, where no id is repeated, 0; and the names of
+    the columns (``tag`` or none) that rows are joined by besides the id.  Rows that share id and text have the
+    same results, so results do not depend on which it is; only size does."""
     repeated = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").limit(1)
-    return F.lit(0).cast("long") if repeated.isEmpty() else F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    if repeated.isEmpty():
+        return F.lit(0).cast("long"), []
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), ["tag"]
 
 
 def sliding(values: np.ndarray, width: int, best) -> np.ndarray:

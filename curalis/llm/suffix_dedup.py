@@ -139,7 +139,8 @@ def _pass_2(bucket, blobs, buckets: int):
     yield from ((bucket, 2, x) for x in blobs.get(2, []))
 
 
-PER_DOC = T.StructType([T.StructField("oid", T.LongType()), T.StructField("tag", T.LongType()), T.StructField("blob", T.BinaryType())])
+#: ``known`` is always true, but a column: of a literal Spark would make a filter and other keys, and deal texts twice.
+PER_DOC = T.StructType([T.StructField("known", T.BooleanType()), T.StructField("oid", T.LongType()), T.StructField("tag", T.LongType()), T.StructField("blob", T.BinaryType())])
 
 
 def _per_doc(dtype: np.dtype, kind: int):
@@ -152,7 +153,7 @@ def _per_doc(dtype: np.dtype, kind: int):
         if len(bounds) > 1:
             head = x[bounds[:-1]]
             cut = [x[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(head["doc"].astype(np.int64)), pa.array(head["tag"].astype(np.int64)), pa.array(cut, pa.binary())], names=PER_DOC.names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(head), bool)), pa.array(head["doc"].astype(np.int64)), pa.array(head["tag"].astype(np.int64)), pa.array(cut, pa.binary())], names=PER_DOC.names)
 
     return work
 
@@ -283,25 +284,25 @@ def repeated_spans(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
     buckets = B.n_buckets(docs)
     text_of = F.coalesce(F.col(text), F.lit(""))
+    tag, by_tag = B.row_tag(docs, id_col, text)
     # Rows with a null id are only carried along, spread by their text.
     own = docs.select(
         *(F.col(f"`{c}`").alias(f"k_{c}") for c in keep),
         F.col(id_col).isNotNull().alias("known"),
         F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text_of)).alias("oid"),
-        B.row_tag(docs, id_col, text).alias("tag"),
+        tag.alias("tag"),
         text_of.alias("text"),
     )
-    at = ["known", "oid", "tag"]
+    at = ["known", "oid", *by_tag]
     first = B.gather(own.where("known").select("oid", "tag", "text"), lambda table: _pass_1(table, buckets))
     second = B.reduce(first, lambda b, x: _pass_2(b, x, buckets), B.SCHEMA)
-    # ``known`` is written, not a literal: Spark would filter the texts of one join by it and deal them twice.
-    answers = materialise(B.reduce(second, _per_doc(ANSWER, 2), PER_DOC).withColumn("known", F.lit(True)), "answers")
+    answers = materialise(B.reduce(second, _per_doc(ANSWER, 2), PER_DOC), "answers")
     answers = answers.select(*at, F.col("blob").alias("answers"))
     # The texts are dealt by id twice, in the same form, so that Spark sends them once.
     open_ = own.join(answers, at).select("oid", "tag", "answers", *(f"k_{c}" for c in keep), "text")
     third = B.gather(open_, lambda table: _pass_3(table, buckets))
     runs = B.reduce(B.reduce(third, lambda b, x: _last_pass(b, x, buckets), B.SCHEMA), _per_doc(RUN, 2), PER_DOC).withColumnRenamed("blob", "runs")
-    both = answers.join(runs.select(F.lit(True).alias("known"), "oid", "tag", "runs"), at, "left")
+    both = answers.join(runs.select(*at, "runs"), at, "left")
     joined = own.join(both, at, "left").select(*(f"k_{c}" for c in keep), "answers", "runs", "text")
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     schema = T.StructType(
