@@ -539,6 +539,30 @@ def test_license_recall(spark, tmp_path):
     assert hit == want
 
 
+# -- very long texts
+def test_very_long_texts(spark):
+    """A text of 120,000 words, and one that repeats most of it, in every operator on documents."""
+    rng = random.Random(50)
+    head, body = prose(rng, 20_000), prose(rng, 100_000)
+    texts = [head + " " + body, body + " " + "Released under the MIT License.", "short"]
+    words = [len(t.split()) for t in texts]
+    d = docs(spark, texts)
+    cut = {r.doc_id: r for r in suffix_dedup.repeated_spans(d, keep=["doc_id"]).collect()}
+    assert cut[1].n_removed == len(body) and cut[0].n_removed == cut[2].n_removed == 0
+    found = substring.matches(d).collect()
+    assert {(r.doc, r.other) for r in found} == {(1, 0)}
+    assert set().union(*(range(r.start, r.end) for r in found)) >= set(range(100_000))
+    assert {r.doc_id: r.component_id for r in simhash.near_duplicates(d, keep=["doc_id"], setting=simhash.SIMILAR).collect()} == {0: 0, 1: 0, 2: 2}
+    bench = spark.createDataFrame([(7, " ".join(texts[0].split()[-12:]))], "item_id long, text string")
+    assert {r.doc_id: (r.n_words, len(r.hit_items)) for r in decontam.find_contamination(d, bench, keep=["doc_id"]).collect()} == {0: (words[0], 1), 1: (words[1], 1), 2: (1, 0)}
+    assert {r.doc_id: [m.license for m in r.licenses] for r in licenses.scan_licenses(d, keep=["doc_id"]).collect()} == {0: [], 1: ["MIT"], 2: []}
+    assert {r.doc_id: r.n_words for r in quality.judge(d, [([], 1)], keep=["doc_id"]).collect()} == dict(enumerate(words))
+    assert {r.doc_id: r.size for r in mixing.curriculum(d, keep=["doc_id"]).collect()} == dict(enumerate(words))
+    model = ["a", "b"], *langid.fit(["ab cd ef gh", "ij kl mn op"], np.array([0, 1]), 2)
+    assert {r.doc_id: sum(r.word_langs) for r in langid.predict(d, model, keep=["doc_id"]).collect()} == dict(enumerate(words))
+    assert all(0 <= r.score <= 1 for r in toxicity.score(d, toxicity.fit(["ab", "cd"], np.array([0.0, 1.0]), np.ones(2))).collect())
+
+
 # -- pages
 PAGES = [
     (None, ""),
