@@ -89,8 +89,8 @@ def run(spark: SparkSession, path: str | None, out: str, reports: str, options:
     sample = verify.review_sample(docs, options.sample, options.seed, options.column)
     _csv(sample.select("record_id", "n_chars_doc", "mecanismo_lesion", "desenlace", "truncado", "texto"), f"{reports}/muestra_revision_manual.csv")
     doctors, hospitals = redact.kept_doctors(rows), redact.hospital_tokens(rows)
-    _csv_if_any(doctors, f"{reports}/medicos_no_whitelist.csv")
-    _csv_if_any(hospitals, f"{reports}/hospital_tokens_anonimizados.csv")
+    _csv_if_any(doctors.withColumnRenamed("token", "token_tras_dr"), f"{reports}/medicos_no_whitelist.csv")
+    _csv_if_any(hospitals.withColumnRenamed("token", "token_tras_hospital"), f"{reports}/hospital_tokens_anonimizados.csv")
 
     def small(df: DataFrame, limit: int | None = None) -> tuple[list[str], list]:
         return df.columns, (df if limit is None else df.limit(limit)).collect()
@@ -110,9 +110,8 @@ def run(spark: SparkSession, path: str | None, out: str, reports: str, options:
         },
         REPORT_ROWS,
     )
-    for folder, name, content in ((reports, "reporte_anonimizacion.html", report),):
-        Path(folder).mkdir(parents=True, exist_ok=True)
-        (Path(folder) / name).write_text(content, encoding="utf-8")
+    Path(reports).mkdir(parents=True, exist_ok=True)
+    (Path(reports) / "reporte_anonimizacion.html").write_text(report, encoding="utf-8")
     manifest = {
         "generado": time.strftime("%Y-%m-%dT%H:%M:%S"),
         "entrada": path,
