@@ -5,6 +5,8 @@ Adapter A makes templated notes of ``orders``; adapter B makes notes of whole ``
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -338,3 +340,74 @@ SELECT p AS municipio FROM (SELECT unnest([{O.quoted(*V.PLACE_SEEDS)}]) AS p) WH
 )
 def mine_places(spark, d):
     return mining.places(mining.blobs(a(spark, d)))
+
+
+def _folder(spark) -> str:
+    """A folder for files, in the one that driver and executors share; in local mode, of this machine."""
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if not shared:
+        return tempfile.mkdtemp(prefix="curalis-")
+    return f"{shared.rstrip('/')}/files-{uuid.uuid4().hex}"
+
+
+_REVIEWED = "SELECT record_id, texto AS text FROM corpus WHERE indexable"
+_COUNTS = {
+    "corpus.parquet": "(SELECT count(*) FROM corpus)",
+    "corpus_indexable.jsonl": "(SELECT count_if(apto_rag) FROM corpus)",
+    "excluidos_rag.csv": "(SELECT count_if(NOT apto_rag) FROM corpus)",
+    "log_reemplazos.csv": "(SELECT count(*) FROM replaced)",
+    "residuo_phi.csv": "(SELECT count(*) FROM found)",
+    "residuo.revisar": "(SELECT count_if(veredicto = 'revisar') FROM found)",
+    "muestra_revision_manual.csv": "(SELECT least(250, count_if(apto_rag)) FROM corpus)",
+    "medicos_no_whitelist.csv": f"(SELECT count(DISTINCT {O.key('e.token')}) FROM events WHERE e.regla = 'medico' AND e.placeholder IS NULL)",
+    "hospital_tokens_anonimizados.csv": f"(SELECT count(DISTINCT {O.key('token')}) FROM replaced WHERE regla = 'institucion_hospital')",
+    "ner_revision.csv": "(SELECT count(*) FROM candidates)",
+    "ner_revision_resumen.csv": "(SELECT count(*) FROM (SELECT DISTINCT entidad, label FROM candidates))",
+    "manifest.n_registros": "(SELECT count(*) FROM flagged)",
+    "manifest.n_indexables": "(SELECT count_if(apto_rag) FROM flagged)",
+    "manifest.truncados": "(SELECT count_if(indexable AND truncated) FROM flagged)",
+    "manifest.incompletos": "(SELECT count_if(indexable AND NOT truncated AND incompleto) FROM flagged)",
+}
+
+
+@query(
+    "run_outputs",
+    f"""{_CORPUS}, {O.residue("SELECT record_id, texto AS text FROM corpus WHERE apto_rag")}, {O.entities(_REVIEWED)}
+{' UNION ALL '.join(f"SELECT '{name}' AS output, CAST({n} AS BIGINT) AS n" for name, n in _COUNTS.items())}
+UNION ALL SELECT 'manifest.regla.' || regla, count(*) FROM replaced GROUP BY 1""",
+)
+def run_outputs(spark, d):
+    """A whole run from a file to files, and the review of its corpus: rows of each output and counts of the manifest."""
+    at = _folder(spark)
+    S.write_csv(a(spark, d), f"{at}/notes.csv")
+    out, reports = f"{at}/outputs", f"{at}/reports"
+    manifest = P.run(spark, f"{at}/notes.csv", out, reports)
+    review.run(spark.read.parquet(f"{out}/corpus.parquet"), f"{reports}/ner_revision.csv")
+    csv = lambda path: spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    made = {
+        "corpus.parquet": spark.read.parquet(f"{out}/corpus.parquet"),
+        "corpus_indexable.jsonl": spark.read.json(f"{out}/corpus_indexable.jsonl"),
+        **{name: csv(f"{out}/{name}") for name in ("excluidos_rag.csv", "log_reemplazos.csv")},
+        **{name: csv(f"{reports}/{name}") for name in _COUNTS if name.endswith(".csv") and name not in ("excluidos_rag.csv", "log_reemplazos.csv") and S.exists(spark, f"{reports}/{name}")},
+    }
+    rows = {name: 0 for name in _COUNTS if name.endswith(".csv")} | {name: df.count() for name, df in made.items()}
+    rows["residuo.revisar"] = sum(x["a_revisar"] for x in manifest["residuo_por_detector"].values())
+    rows |= {f"manifest.{k}": manifest[k] for k in ("n_registros", "n_indexables")} | {f"manifest.{k}": manifest["n_excluidos_indexables"][k] for k in ("truncados", "incompletos")}
+    rows |= {f"manifest.regla.{k}": n for k, n in manifest["reemplazos_por_regla"].items()}
+    return spark.createDataFrame(list(rows.items()), "output string, n bigint")
+
+
+@query("csv_round_trip", f"WITH {_A} SELECT record_id, unit, reason, exam, stay FROM a")
+def csv_round_trip(spark, d):
+    at = f"{_folder(spark)}/notes.csv"
+    S.write_csv(a(spark, d), at)
+    return S.to_notes(S.read_csv(spark, at))
+
+
+@query("mine_loose_csv", ORACLE["mine_institutions"])
+def mine_loose_csv(spark, d):
+    at = f"{_folder(spark)}/notes.csv"
+    S.write_csv(a(spark, d), at)
+    return mining.institutions(mining.blobs(S.to_notes(S.read_loose_csv(spark, at))))

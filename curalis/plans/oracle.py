@@ -157,9 +157,12 @@ _RUNS = {
 }
 
 
-def residue() -> str:
-    """CTEs up to ``found``: the residue of the texts of ``documents``."""
-    out = ["texts AS (SELECT CAST(doc_id AS VARCHAR) AS record_id, text AS t FROM documents WHERE text <> '')"]
+DOCUMENTS = "SELECT CAST(doc_id AS VARCHAR) AS record_id, text FROM documents"
+
+
+def residue(source: str = DOCUMENTS) -> str:
+    """CTEs up to ``found``: the residue of the texts (``record_id, text``) of a query."""
+    out = [f"texts AS (SELECT record_id, text AS t FROM ({source}) WHERE text <> '')"]
     rows = []
     for name, (pattern, ignore_case) in V.DETECTORS.items():
         run, within = _RUNS.get(name, (("(?i)" if ignore_case else "") + pattern, None))
@@ -177,14 +180,15 @@ def residue() -> str:
     return ",\n".join(out)
 
 
-def entities(max_df: int = 20) -> str:
-    """CTEs up to ``candidates``: names in ``documents`` whose words are rare."""
+def entities(source: str = DOCUMENTS, max_df: int = 20) -> str:
+    """CTEs up to ``candidates``: names in the texts (``record_id, text``) of a query whose words are rare."""
     run = RUN.removeprefix(r"(?U)\b")
     word = f"[{V.LETTERS}]{{3,}}"
     bounds = r" .,:;()\[\]\n"
     org, loc = rf"\b{V.TYPE_WORDS}\b", quoted(*V.PLACE_SEEDS)
-    return rf"""df AS (SELECT token, count(*) AS df FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(text), '{word}'))) AS token FROM documents) GROUP BY 1),
-mixed AS (SELECT CAST(doc_id AS VARCHAR) AS record_id, regexp_replace(text, '\[[^\]]{{0,120}}\]', ' XX ', 'g') AS t FROM documents
+    return rf"""src AS MATERIALIZED ({source}),
+df AS (SELECT token, count(*) AS df FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(text), '{word}'))) AS token FROM src) GROUP BY 1),
+mixed AS (SELECT record_id, regexp_replace(text, '\[[^\]]{{0,120}}\]', ' XX ', 'g') AS t FROM src
   WHERE length(regexp_replace(text, '[^\p{{L}}]', '', 'g')) = 0 OR length(regexp_replace(text, '[^\p{{Lu}}]', '', 'g')) / length(regexp_replace(text, '[^\p{{L}}]', '', 'g')) <= 0.8),
 cut AS (SELECT record_id, t, string_split(regexp_replace(t, '(^|[^\p{{L}}\p{{M}}\p{{Nd}}\p{{Pc}}])({run})', '\1' || {MARK} || '\2' || {MARK}, 'g'), {MARK}) AS p FROM mixed),
 runs AS (SELECT record_id, t, p[i] AS m, CAST(length(array_to_string(p[1:i - 1], '')) AS INTEGER) AS inicio FROM (SELECT *, unnest(range(2, len(p) + 1, 2)) AS i FROM cut)),

@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 import time
 from dataclasses import asdict, dataclass
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,8 +109,7 @@ def run(spark: SparkSession, path: str | None, out: str, reports: str, options:
         },
         REPORT_ROWS,
     )
-    Path(reports).mkdir(parents=True, exist_ok=True)
-    (Path(reports) / "reporte_anonimizacion.html").write_text(report, encoding="utf-8")
+    source.write_text(spark, f"{reports}/reporte_anonimizacion.html", report)
     manifest = {
         "generado": time.strftime("%Y-%m-%dT%H:%M:%S"),
         "entrada": path,
@@ -126,7 +124,7 @@ def run(spark: SparkSession, path: str | None, out: str, reports: str, options:
         "residuo_por_detector": {r["detector"]: {"matches": r["n_matches"], "a_revisar": r["a_revisar"]} for r in residue[1]},
         "duracion_s": round(time.time() - began, 1),
     }
-    (Path(out) / "manifest.json").write_text(json.dumps(manifest, ensure_ascii=False, indent=2), encoding="utf-8")
+    source.write_text(spark, f"{out}/manifest.json", json.dumps(manifest, ensure_ascii=False, indent=2))
     say(f"[2] {manifest['calidad']}")
     say(f"[3] {manifest['reemplazos_por_regla']}")
     for name, (_, counts) in labels.items():

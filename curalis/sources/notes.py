@@ -42,6 +42,22 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
+def write_text(spark: SparkSession, path: str, content: str) -> None:
+    """A small file made by the driver, in whatever store the path names."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where, True)
+    try:
+        out.write(bytearray(content.encode()))
+    finally:
+        out.close()
+
+
+def write_csv(notes: DataFrame, path: str) -> None:
+    """Notes as a file that ``read_csv`` reads."""
+    named = notes.select(*(F.col(n).alias(c) for c, n in NAMES.items()))
+    named.write.mode("overwrite").option("sep", ";").option("header", True).option("quote", '"').option("escape", '"').csv(path)
+
+
 def discover(spark: SparkSession, *paths: str) -> str:
     """The first path that exists, by default of the usual places."""
     for path in paths or V.DEFAULT_PATHS:
