@@ -47,7 +47,7 @@ def _words(data, offsets):
 
 class Grams:
     """The windows of some benchmark items by length: sorted hashes, each with its item and its first word; and
-    the items' words, against which hits are verified.  About 40 bytes for each word."""
+    the items' words, against which hits are verified.  About 40 bytes for each word, five times that in the making."""
 
     def __init__(self, items: list[tuple[str | None, str | None]], n: int):
         self.names = [name for name, _ in items]
