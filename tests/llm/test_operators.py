@@ -280,22 +280,36 @@ def test_large_anchor_links_alike():
 
 
 def test_similar_recall(spark):
-    """Pairs of a known similarity of 5-word shingles; unrelated texts stay apart."""
+    """Pairs by the similarity of their 5-word shingles: those of 0.8 or more are linked, others and unrelated texts
+    stay apart, but for a few close to 0.8."""
     rng = random.Random(31)
-    texts, pairs = [], {}
-    for changes, least in ((1, 0.95), (4, 0.7)):
+    texts, similarity = [], {}
+
+    def shingles(w):
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+    for changes in (1, 4, 6, 9, 12, 18):
         for _ in range(60):
             w = prose(rng, 300).split()
             near = list(w)
             for at in rng.sample(range(300), changes):
                 near[at] = "changed" + str(rng.random())[2:6]
-            pairs.setdefault(least, []).append((len(texts), len(texts) + 1))
+            a, b = shingles(w), shingles(near)
+            similarity[len(texts) + 1] = len(a & b) / len(a | b)
             texts += [" ".join(w), " ".join(near)]
+    texts += ["one two three", "one two three", "one two four"]
     group = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs(spark, texts), keep=["doc_id"], setting=simhash.SIMILAR).collect()}
-    for least, found in pairs.items():
-        assert np.mean([group[a] == group[b] for a, b in found]) >= least
     assert all(group[i] in (i, i - 1) for i in group)
 
+    def share(lo, hi):
+        found = [group[i] == i - 1 for i, x in similarity.items() if lo <= x < hi]
+        assert len(found) >= 20
+        return np.mean(found)
+
+    assert share(0.9, 1.1) == 1 and share(0.8, 0.9) >= 0.9
+    assert share(0.74, 0.8) <= 0.05 and share(0, 0.74) == 0
+    assert [group[len(texts) - k] for k in (3, 2, 1)] == [len(texts) - 3, len(texts) - 3, len(texts) - 1]
+
 
 # -- decontamination
 @pytest.mark.parametrize("limit", [decontam.MAX_SET_BYTES, 200])
