@@ -86,7 +86,8 @@ def arrow_map(
             batch = data = offsets = None
             release()
 
-    return df.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text}`").alias("__text")).mapInArrow(run, schema)
+    # Plain names on the way in: mapInArrow cannot resolve names with dots.
+    return df.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)), F.col(f"`{text}`").alias("text")).mapInArrow(run, schema)
 
 
 def list_array(counts: np.ndarray, values: pa.Array) -> pa.Array:

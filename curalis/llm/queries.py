@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from curalis.llm import decontam, html, langid, licenses, mixing, quality, simhash, substring, suffix_dedup, toxicity
+from curalis.llm import decontam, html, langid, licenses, mixing, quality, simhash, substring, suffix_dedup, tokens, toxicity
 
 QUERIES = {
     "op1_language_id": langid.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_substring_dedup": substring.op8,
     "op9_decontaminate": decontam.op9,
     "op10_quality_rules": quality.op10,
+    "op11_token_counts": tokens.op11,
 }
 
 ORACLE = {"op4_suffix_dedup": suffix_dedup.ORACLE, "op9_decontaminate": decontam.ORACLE}
