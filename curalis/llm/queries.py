@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from curalis.llm import decontam, html, langid, licenses, mixing, quality, simhash, substring, suffix_dedup, tokens, toxicity
+from curalis.llm import decontam, html, langid, licenses, mixing, quality, repair, simhash, substring, suffix_dedup, tokens, toxicity
 
 QUERIES = {
     "op1_language_id": langid.op1,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_decontaminate": decontam.op9,
     "op10_quality_rules": quality.op10,
     "op11_token_counts": tokens.op11,
+    "op12_conversation_repair": repair.op12,
 }
 
 ORACLE = {"op4_suffix_dedup": suffix_dedup.ORACLE, "op9_decontaminate": decontam.ORACLE}
