@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from curalis.llm import decontam, html, langid, licenses, mixing, quality, repair, simhash, substring, suffix_dedup, tokens, toxicity
+from curalis.llm import decontam, html, langid, licenses, mixing, quality, repair, search, simhash, substring, suffix_dedup, tokens, toxicity
 
 QUERIES = {
     "op1_language_id": langid.op1,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_quality_rules": quality.op10,
     "op11_token_counts": tokens.op11,
     "op12_conversation_repair": repair.op12,
+    "op13_ranked_search": search.op13,
 }
 
-ORACLE = {"op4_suffix_dedup": suffix_dedup.ORACLE, "op9_decontaminate": decontam.ORACLE}
+ORACLE = {"op4_suffix_dedup": suffix_dedup.ORACLE, "op9_decontaminate": decontam.ORACLE, "op13_ranked_search": search.ORACLE}
