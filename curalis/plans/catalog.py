@@ -343,13 +343,18 @@ def mine_places(spark, d):
 
 
 def _folder(spark) -> str:
-    """A folder for files, in the one that driver and executors share; in local mode, of this machine."""
+    """A folder for files, in the one that driver and executors share; in local mode, of this machine.  It goes when the
+    driver's JVM ends."""
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not shared and not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not shared and master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    if not shared:
-        return tempfile.mkdtemp(prefix="curalis-")
-    return f"{shared.rstrip('/')}/files-{uuid.uuid4().hex}"
+    at = f"{shared.rstrip('/')}/files-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="curalis-")
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
+    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(where)
+    store.deleteOnExit(where)
+    return at
 
 
 _REVIEWED = "SELECT record_id, texto AS text FROM corpus WHERE indexable"
@@ -406,6 +411,14 @@ def csv_round_trip(spark, d):
     return S.to_notes(S.read_csv(spark, at))
 
 
+@query("csv_split", f"WITH {_A} SELECT record_id, unit, reason, exam, stay FROM a UNION ALL SELECT * FROM (WITH {_B} SELECT record_id, unit, reason, exam, stay FROM b)")
+def csv_split(spark, d):
+    """Notes of both adapters in one folder of files, documents with their line ends inside quotes; each file is read in byte ranges."""
+    at = f"{_folder(spark)}/notes.csv"
+    S.write_csv(a(spark, d).unionAll(b(spark, d)), at)
+    return S.to_notes(S.read_csv(spark, at))
+
+
 @query("mine_loose_csv", ORACLE["mine_institutions"])
 def mine_loose_csv(spark, d):
     at = f"{_folder(spark)}/notes.csv"

@@ -12,14 +12,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curalis.functions import values as V
+from curalis.sources import split_csv
 
 NAMES = {V.ID: "record_id", V.UNIT: "unit", V.REASON: "reason", V.EXAM: "exam", V.STAY: "stay"}
 INNER = {"reason": V.REASON, "exam": V.EXAM, "stay": V.STAY}
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as strings, ``;`` between them, quoted fields over several lines, empty: null."""
-    df = spark.read.option("sep", ";").option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True).csv(path)
+    """All columns as strings, ``;`` between them, quoted fields over several lines, empty: null.  A file is read by
+    as many tasks as its size asks for (``split_csv``)."""
+    df = split_csv.read(spark, path)
     missing = [c for c in NAMES if c not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
