@@ -28,21 +28,26 @@ def without_marks(text: Column) -> Column:
     return F.translate(text, MARK + INNER, "")
 
 
-def parts(text: Column, pattern: str, groups: int = 0) -> Column:
+def parts(text: Column, pattern: str | Column, groups: int = 0) -> Column:
     inner = "".join(f"{INNER}${g}" for g in range(1, groups + 1))
     return F.split(F.regexp_replace(text, F.lit(pattern), F.lit(f"{MARK}$0{inner}{MARK}")), MARK, -1)
 
 
+def holds(text: Column, pattern: str | Column) -> Column:
+    """Whether the pattern, which may be a null column, is found."""
+    return text.rlike(pattern) if isinstance(pattern, str) else F.coalesce(F.rlike(text, pattern), F.lit(False))
+
+
 def state(text: Column) -> Column:
     return F.struct(without_marks(text).alias("text"), F.array().cast(LOG).alias("log"))
 
 
-def rewrite(now: Column, rule: str, pattern: str, decide: Callable[[list[Column], Column], Column], groups: int = 0) -> Column:
+def rewrite(now: Column, rule: str, pattern: str | Column, decide: Callable[[list[Column], Column], Column], groups: int = 0) -> Column:
     """``rewritten`` of an expression that is computed once."""
     return let(now, lambda s: rewritten(s, rule, pattern, decide, groups))
 
 
-def rewritten(s: Column, rule: str, pattern: str, decide: Callable[[list[Column], Column], Column], groups: int = 0) -> Column:
+def rewritten(s: Column, rule: str, pattern: str | Column, decide: Callable[[list[Column], Column], Column], groups: int = 0) -> Column:
     """The state after ``s``: ``decide([match, group 1, ...], position)`` gives the placeholder, or null to keep.
     Kept matches with a group are logged without a placeholder."""
 
@@ -64,7 +69,7 @@ def rewritten(s: Column, rule: str, pattern: str, decide: Callable[[list[Column]
 
     zero = F.struct(F.lit(0).alias("i"), F.lit(0).alias("pos"), F.lit("").alias("out"), s["log"].cast(LOG).alias("log"))
     done = F.aggregate(parts(s["text"], pattern, groups), zero, step, lambda a: F.struct(a["out"].alias("text"), a["log"].alias("log")))
-    return F.when(s["text"].rlike(pattern), done).otherwise(F.struct(s["text"].alias("text"), s["log"].cast(LOG).alias("log")))
+    return F.when(holds(s["text"], pattern), done).otherwise(F.struct(s["text"].alias("text"), s["log"].cast(LOG).alias("log")))
 
 
 def spans(text: Column, pattern: str) -> Column:

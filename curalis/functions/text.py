@@ -10,20 +10,58 @@ from pyspark.sql import functions as F
 
 from curalis.functions import values as V
 
-def _decomposed():
-    """Letters of the basic plane whose canonical decomposition is a letter and marks, with that."""
-    for c in map(chr, range(0xC0, 0xD800)):
-        d = unicodedata.normalize("NFD", c)
-        if len(d) > 1 and all(unicodedata.category(x) == "Mn" for x in d[1:]) and unicodedata.category(d[0]) != "Mn":
-            yield c, d
-
-
-#: Letters with marks and what is left without; other marks are dropped as combining characters.
-MARKED, PLAIN = ("".join(x) for x in zip(*((c, d[0]) for c, d in _decomposed()), strict=True))
-#: Pairs of a character and a mark, and what they compose to.
-PAIRS = {p: unicodedata.normalize("NFC", p) for c, d in _decomposed() for p in (unicodedata.normalize("NFC", d[:-1]) + d[-1],) if len(p) == 2 and len(unicodedata.normalize("NFC", p)) == 1}
-#: Most marks on one letter that are composed.
-MARKS = 3
+#: Planes that hold all characters with a canonical decomposition or a combining class.
+_POINTS = [*range(0x80, 0xAC00), *range(0xD7A4, 0xD800), *range(0xE000, 0x20000), *range(0x2F800, 0x2FA20), *range(0xE0100, 0xE01F0)]
+#: A mark between parts while a text is composed; ``clean`` has replaced all control characters before.
+CUT = "\x01"
+#: Fillers of decompositions shorter than the longest, and the characters that write a combining class.
+NOTHING, CLASS = "\x02", 0x4E00
+HANGUL, LEAD, VOWEL, TRAIL = 0xAC00, 0x1100, 0x1161, 0x11A7
+
+
+def _class(points: list[int]) -> str:
+    """A character class of code points, as ranges."""
+    points, out, i = sorted(points), [], 0
+    while i < len(points):
+        j = i
+        while j + 1 < len(points) and points[j + 1] == points[j] + 1:
+            j += 1
+        out.append(f"\\x{{{points[i]:x}}}" + (f"-\\x{{{points[j]:x}}}" if j > i else ""))
+        i = j + 1
+    return "".join(out)
+
+
+class _Unicode:
+    """What canonical composition needs, drawn from Python's tables, each as one string."""
+
+    def __init__(self):
+        nfd, nfc = (lambda c: unicodedata.normalize("NFD", c)), (lambda c: unicodedata.normalize("NFC", c))
+        marks = [p for p in _POINTS if unicodedata.combining(chr(p))]
+        apart = {p: d for p in _POINTS if (d := nfd(chr(p))) != chr(p)}
+        pairs = {}
+        for p, d in apart.items():
+            direct = unicodedata.decomposition(chr(p)).split()
+            if len(direct) == 2 and nfc(chr(p)) == chr(p):
+                pairs["".join(chr(int(x, 16)) for x in direct)] = chr(p)
+        second = {ord(x[1]) for x in pairs}
+        # What may change what stands before it, and what is never left alone.
+        joins = {*marks, *second, *(p for p, d in apart.items() if unicodedata.combining(d[0])), *range(VOWEL, VOWEL + 21), *range(TRAIL + 1, TRAIL + 28)}
+        changed = [p for p in apart if nfc(chr(p)) != chr(p)]
+        self.needed = f"[{_class([*joins, *changed])}]"
+        self.cluster = f"[^{_class([*joins])}]?[{_class([*joins])}]+|[{_class(changed)}]"
+        self.marks, self.classes = "".join(map(chr, marks)), "".join(chr(CLASS + unicodedata.combining(chr(p))) for p in marks)
+        self.apart = "".join(map(chr, apart))
+        longest = max(map(len, apart.values()))
+        self.places = ["".join((d + NOTHING * longest)[i] for d in apart.values()) for i in range(longest)]
+        self.pairs = "\x04".join(f"{k}\x03{v}" for k, v in pairs.items())
+        # Without the marks of U+0300 to U+036F; what is nothing without them stands at the end, to be deleted.
+        bare = {p: nfc("".join(x for x in d if not "\u0300" <= x <= "\u036f")) for p, d in apart.items()}
+        bare = {p: b for p, b in bare.items() if len(b) < 2 and b != chr(p)}
+        order = sorted(bare, key=lambda p: bare[p] == "")
+        self.marked, self.bare = "".join(map(chr, order)), "".join(bare[p] for p in order)
+
+
+UNICODE = _Unicode()
 BLANKS = "[ \\t\u00a0\u2007\u202f]+"
 
 
@@ -36,24 +74,80 @@ def strip(text: Column) -> Column:
     return sub(text, r"(?U)^\s+|\s+$", "")
 
 
+def _let(value: Column, body) -> Column:
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _character(point: Column) -> Column:
+    """The character of a code point of three bytes."""
+    p = point.cast("int")
+    number = (F.lit(0xE0) + F.shiftright(p, 12)) * 65536 + (F.lit(0x80) + F.shiftright(p, 6) % 64) * 256 + F.lit(0x80) + p % 64
+    return F.decode(F.unhex(F.hex(number)), "UTF-8")
+
+
+def _apart(c: Column) -> Column:
+    """The full canonical decomposition of a character."""
+    u = UNICODE
+    parts = F.translate(F.concat(*(F.translate(c, u.apart, p) for p in u.places)), NOTHING, "")
+    s = F.ascii(c) - HANGUL
+    rest = s % 28
+    jamo = F.concat(_character(LEAD + F.floor(s / 588)), _character(VOWEL + F.floor((s % 588) / 28)), F.when(rest > 0, _character(TRAIL + rest)).otherwise(""))
+    return F.when(F.translate(c, u.apart, u.places[0]) != c, parts).when((s >= 0) & (s < 11172), jamo).otherwise(c)
+
+
+def _joined(pair: Column) -> Column:
+    """The character that two compose to, or null."""
+    a, b = F.ascii(pair), F.ascii(F.substring(pair, 2, 1))
+    lead, vowel, trail = a - LEAD, b - VOWEL, b - TRAIL
+    syllable = F.when((lead >= 0) & (lead < 19) & (vowel >= 0) & (vowel < 21), _character(HANGUL + (lead * 21 + vowel) * 28))
+    syllable = syllable.when((a >= HANGUL) & (a < HANGUL + 11172) & ((a - HANGUL) % 28 == 0) & (trail > 0) & (trail < 28), _character(a + trail))
+    return F.coalesce(F.try_element_at(F.str_to_map(F.lit(UNICODE.pairs), F.lit("\x04"), F.lit("\x03")), pair), syllable)
+
+
+def _composed(cluster: Column) -> Column:
+    """The canonical composition of a few characters: taken apart, ordered by combining class between starters, joined."""
+    chars = F.split(F.array_join(F.transform(F.split(cluster, ""), _apart), ""), "")
+
+    def note(acc: Column, c: Column) -> Column:
+        written = F.translate(c, UNICODE.marks, UNICODE.classes)
+        rank = F.when(written != c, F.ascii(written) - CLASS).otherwise(0)
+        block = acc["block"] + (rank == 0).cast("int")
+        row = F.struct(block.alias("block"), rank.alias("rank"), F.size(acc["rows"]).alias("i"), c.alias("c"))
+        return F.struct(block.alias("block"), F.array_append(acc["rows"], row).alias("rows"))
+
+    def join(acc: Column, x: Column) -> Column:
+        blocked = (acc["rest"] != "") & ((acc["last"] >= x["rank"]) | (x["rank"] == 0))
+        # A starter that follows marks, or a mark that follows one of its own class or a greater, is not joined.
+        return _let(F.when((acc["first"] != "") & ~blocked, _joined(F.concat(acc["first"], x["c"]))), lambda made: F.struct(
+            F.when(made.isNull() & (x["rank"] == 0), F.concat(acc["out"], acc["first"], acc["rest"])).otherwise(acc["out"]).alias("out"),
+            F.when(made.isNotNull(), made).when(x["rank"] == 0, x["c"]).otherwise(acc["first"]).alias("first"),
+            F.when(made.isNotNull(), acc["rest"]).when(x["rank"] == 0, F.lit("")).otherwise(F.concat(acc["rest"], x["c"])).alias("rest"),
+            F.when(made.isNotNull(), acc["last"]).otherwise(x["rank"]).alias("last"),
+        ))
+
+    empty = F.array().cast("array<struct<block:int,rank:int,i:int,c:string>>")
+    rows = F.aggregate(chars, F.struct(F.lit(0).alias("block"), empty.alias("rows")), note, lambda a: F.array_sort(a["rows"]))
+    zero = F.struct(F.lit("").alias("out"), F.lit("").alias("first"), F.lit("").alias("rest"), F.lit(0).alias("last"))
+    return F.aggregate(rows, zero, join, lambda a: F.concat(a["out"], a["first"], a["rest"]))
+
+
 def compose(text: Column) -> Column:
-    """Composed forms of letters whose marks follow, one mark after the other."""
-    table = F.create_map(*(F.lit(x) for kv in PAIRS.items() for x in kv))
-    out = text
-    for _ in range(MARKS):
-        cut = F.split(out, r"(?=\P{M}\p{Mn})|(?<=\P{M}\p{Mn})", -1)
-        out = F.array_join(F.transform(cut, lambda x: F.coalesce(F.when(F.length(x) == 2, F.try_element_at(table, x)), x)), "")
-    return F.when(text.rlike(r"\P{M}\p{Mn}"), out).otherwise(text)
+    """Canonical composition (NFC) of a text without the control character ``CUT``.  Only texts with a character that may join
+    another, or never stands in composed text, are taken apart, and of these only such characters and what they follow."""
+    cut = F.split(F.regexp_replace(text, F.lit(UNICODE.cluster), F.lit(f"{CUT}$0{CUT}")), CUT, -1)
+    done = F.array_join(F.transform(cut, lambda x: F.when(x.rlike(UNICODE.needed), _composed(x)).otherwise(x)), "")
+    return F.when(text.rlike(UNICODE.needed), done).otherwise(text)
 
 
 def unaccent(text: Column) -> Column:
-    return F.translate(sub(text, r"\p{Mn}", ""), MARKED, PLAIN)
+    """Without the marks of U+0300 to U+036F, alone or in a letter."""
+    return F.translate(sub(text, r"[\u0300-\u036f]", ""), UNICODE.marked, UNICODE.bare)
 
 
 def clean(value: Column) -> Column:
     """Structural cleaning of a free-text field; null gives the empty string."""
-    t = compose(F.coalesce(value.cast("string"), F.lit("")))
-    t = sub(t, r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]", " ")
+    # No control character joins another, so these may go first.
+    t = compose(sub(F.coalesce(value.cast("string"), F.lit("")), r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]", " "))
     t = sub(t, r'"{2,}', '"')
     t = sub(t, r"""(?U)^\s*[\d"']+(?=[A-ZÁÉÍÓÚÑ]{3,})""", "")
     t = strip(sub(strip(t), r'^"+|"+$', ""))
@@ -69,7 +163,7 @@ def clean(value: Column) -> Column:
 
 def match_key(text: Column) -> Column:
     """Lower case without accents, blanks folded; line ends stay."""
-    return strip(sub(F.lower(unaccent(text)), BLANKS, " "))
+    return strip(sub(F.lower(compose(unaccent(text))), BLANKS, " "))
 
 
 def label_key(text: Column) -> Column:

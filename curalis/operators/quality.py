@@ -18,7 +18,9 @@ def names_where(tests: dict[str, Column]) -> Column:
 
 def normalise(notes: DataFrame) -> DataFrame:
     """Cleaned fields, their concatenation, its matching key, and the age unit."""
-    df = notes.withColumns({f"{k}_clean": X.clean(F.col(k)) for k in KEYS})
+    # One expression for all fields: it is built and analysed once.
+    df = notes.withColumn("__clean", F.transform(F.array(*(F.col(k).cast("string") for k in KEYS)), X.clean))
+    df = df.withColumns({f"{k}_clean": F.get("__clean", F.lit(i)) for i, k in enumerate(KEYS)}).drop("__clean")
     joined = F.array_join(F.filter(F.array(*(f"{k}_clean" for k in KEYS)), lambda x: x != ""), " \n")
     df = df.withColumn("text_concat", joined)
     unit = X.match_key(F.coalesce("unit", F.lit("")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curalis.functions import fold
+from curalis.functions import fold, gazetteer
 from curalis.functions import text as X
 from curalis.functions import values as V
 
@@ -30,72 +30,120 @@ def _person_age(found: list[Column], pos: Column) -> Column:
     return F.concat(before, _age(found, 1, 2))
 
 
-def rules(lists: dict[str, list[str]]) -> list[tuple[str, str, object, int]]:
-    """``(rule, pattern, decision, groups)`` in the order in which they apply; an empty list has no rule."""
+#: Lists that stand in patterns; the others are looked up by word.
+IN_PATTERNS = {"instituciones", "instituciones_sin_trigger", "municipios", "tipos_genericos"}
+#: Lists that may have any number of names.
+LOOKED_UP = IN_PATTERNS | {"medicos", "hospital_genericos"}
+
+
+def large(lists: dict[str, list[str]]) -> dict[str, list[str]]:
+    return gazetteer.large({k: v for k, v in lists.items() if k in LOOKED_UP})
+
+
+def any_name(lists: dict[str, list[str]], name: str, before: str, after: str, found: Column | None) -> str | Column:
+    """The pattern with any name of a list; of a large one, with those found in the text."""
+    if found is not None and name in large(lists):
+        return gazetteer.alternation(found[name], before, after)
+    return f"{before}{X.any_of(lists[name])}{after}"
+
+
+def known(token: Column, lists: dict[str, list[str]], name: str, found: Column | None) -> Column:
+    """Whether a list has the word; of a large one, whether it is among those found in the text."""
+    if found is not None and name in large(lists):
+        return F.array_contains(found[name], token)
+    words = [x.lower() for x in lists[name]]
+    return token.isin(words) if words else F.lit(False)
+
+
+def rules(lists: dict[str, list[str]]) -> list[tuple[str, object]]:
+    """Rules in the order in which they apply, each with its name; an empty list has no rule.  A rule is a function of the
+    names of large lists found in the text (or none) that gives ``(pattern, decision, groups)``."""
     unit = rf"(?!\s*{V.UNITS})"
+
+    def fixed(name: str, pattern: str, decide, groups: int = 0):
+        return name, lambda found: (pattern, decide, groups)
+
+    def named(list_name: str, before: str, after: str):
+        return lambda found: any_name(lists, list_name, before, after, found)
+
     out = [
-        ("email", U + V.EMAIL, _always("[EMAIL]"), 0),
-        ("documento", I + V.DOCUMENT, _always("[DOCUMENTO]"), 0),
-        ("telefono", U + V.PHONE, _always("[TELEFONO]"), 0),
-        ("numero_id", I + V.LONG_NUMBER + unit, _always("[NUMERO_ID]"), 0),
+        fixed("email", U + V.EMAIL, _always("[EMAIL]")),
+        fixed("documento", I + V.DOCUMENT, _always("[DOCUMENTO]")),
+        fixed("telefono", U + V.PHONE, _always("[TELEFONO]")),
+        fixed("numero_id", I + V.LONG_NUMBER + unit, _always("[NUMERO_ID]")),
     ]
     if lists["instituciones_sin_trigger"]:
-        out.append(("institucion", rf"{I}\b{X.any_of(lists['instituciones_sin_trigger'])}\b", _always("[INSTITUCION]"), 0))
+        plain = named("instituciones_sin_trigger", rf"{I}\b", r"\b")
+        out.append(("institucion", lambda found: (plain(found), _always("[INSTITUCION]"), 0)))
     if lists["instituciones"]:
-        generic = rf"{I}^{V.INSTITUTION}\s+{X.any_of(lists['tipos_genericos'])}\s*$" if lists["tipos_genericos"] else None
-        veto = lambda found, pos: F.when(~found[0].rlike(generic), F.lit("[INSTITUCION]"))
-        out.append(("institucion", rf"{I}{V.INSTITUTION}{V.FILLER}\s+{X.any_of(lists['instituciones'])}\b", veto if generic else _always("[INSTITUCION]"), 0))
-    generics, doctors = [x.lower() for x in lists["hospital_genericos"]], [x.lower() for x in lists["medicos"]]
-    known = lambda token, words: _key(token).isin(words) if words else F.lit(False)
+        after_type = named("instituciones", rf"{I}{V.INSTITUTION}{V.FILLER}\s+", r"\b")
+        generic = named("tipos_genericos", rf"{I}^{V.INSTITUTION}\s+", r"\s*$")
+        veto = lambda found: lambda bits, pos: F.when(~fold.holds(bits[0], generic(found)), F.lit("[INSTITUCION]"))
+        out.append(("institucion", lambda found: (after_type(found), veto(found) if lists["tipos_genericos"] else _always("[INSTITUCION]"), 0)))
+    hospital = lambda found: lambda bits, pos: F.when(~known(_key(bits[1]), lists, "hospital_genericos", found), F.lit("[INSTITUCION]"))
+    doctor = lambda found: lambda bits, pos: F.when(known(_key(bits[1]), lists, "medicos", found), F.lit("[MEDICO]"))
     out += [
-        ("institucion_santoral", I + V.SAINT, _always("[INSTITUCION]"), 0),
-        ("institucion_hospital", I + V.HOSPITAL, lambda found, pos: F.when(~known(found[1], generics), F.lit("[INSTITUCION]")), 1),
+        fixed("institucion_santoral", I + V.SAINT, _always("[INSTITUCION]")),
+        ("institucion_hospital", lambda found: (I + V.HOSPITAL, hospital(found), 1)),
     ]
     if lists["instituciones_siglas"]:
-        out.append(("institucion_sigla", rf"{U}\b{'(?:' + '|'.join(map(_quote, lists['instituciones_siglas'])) + ')'}\b", _always("[INSTITUCION]"), 0))
-    out += [
-        ("medico", I + V.DOCTOR, lambda found, pos: F.when(known(found[1], doctors), F.lit("[MEDICO]")), 1),
-        ("fecha", U + V.DATE, _always("[FECHA]"), 0),
-        ("fecha", I + V.TEXT_DATE, _always("[FECHA]"), 0),
-        ("fecha", I + V.MONTH_YEAR, _always("[FECHA]"), 0),
-        ("hora", I + V.TIME, _always("[HORA]"), 0),
-        ("anio", I + V.YEAR + unit, _always("[ANIO]"), 0),
-        ("edad", I + V.AGE_SUFFIX, lambda found, pos: _age(found, 1, 2), 2),
-        ("edad", I + V.AGE_PERSON, _person_age, 2),
+        out.append(fixed("institucion_sigla", rf"{U}\b{'(?:' + '|'.join(map(_quote, lists['instituciones_siglas'])) + ')'}\b", _always("[INSTITUCION]")))
+    return out + [
+        ("medico", lambda found: (I + V.DOCTOR, doctor(found), 1)),
+        fixed("fecha", U + V.DATE, _always("[FECHA]")),
+        fixed("fecha", I + V.TEXT_DATE, _always("[FECHA]")),
+        fixed("fecha", I + V.MONTH_YEAR, _always("[FECHA]")),
+        fixed("hora", I + V.TIME, _always("[HORA]")),
+        fixed("anio", I + V.YEAR + unit, _always("[ANIO]")),
+        fixed("edad", I + V.AGE_SUFFIX, lambda bits, pos: _age(bits, 1, 2), 2),
+        fixed("edad", I + V.AGE_PERSON, _person_age, 2),
     ]
-    return out
 
 
 def _quote(s: str) -> str:
     return "".join(c if c.isalnum() else "\\" + c for c in s)
 
 
-def rewritten(now: Column, lists: dict[str, list[str]], only: set[str] | None = None) -> Column:
+def _places(s: Column, lists: dict[str, list[str]], found: Column | None) -> Column:
+    pattern = any_name(lists, "municipios", rf"{I}\b", r"\b", found)
+    spans = [fold.spans(s["text"], I + p) for p in lists["municipios_excepciones"]]
+    out = F.flatten(F.array(*spans)) if spans else F.array().cast("array<struct<a:int,b:int,match:string>>")
+    outside = lambda out: lambda m, pos: F.when(~F.exists(out, lambda x: (x["a"] <= pos) & (pos < x["b"])), F.lit("[MUNICIPIO]"))
+    return F.when(fold.holds(s["text"], pattern), fold.let(out, lambda out: fold.rewritten(s, "municipio", pattern, outside(out)))).otherwise(s)
+
+
+def rewritten(now: Column, lists: dict[str, list[str]], only: set[str] | None = None, found: bool = False) -> Column:
     """The states that an array of states ends in, all rules applied in order; ``only`` names the rules to apply.
-    One expression, in which each state occurs once: it is analysed and computed once."""
-    def applied(*rule):
-        return lambda s: fold.rewritten(s, *rule)
+    One expression, in which each state occurs once: it is analysed and computed once.  With ``found``, the
+    array holds pairs of a state and the names found in its text."""
+
+    def applied(name: str, rule):
+        if found:
+            return lambda x: F.struct(fold.rewritten(x["state"], name, *rule(x["found"])).alias("state"), x["found"].alias("found"))
+        return lambda s: fold.rewritten(s, name, *rule(None))
 
-    for rule in rules(lists):
-        if only is None or rule[0] in only:
-            now = F.transform(now, applied(*rule))
+    for name, rule in rules(lists):
+        if only is None or name in only:
+            now = F.transform(now, applied(name, rule))
     if lists["municipios"] and (only is None or "municipio" in only):
-        pattern = rf"{I}\b{X.any_of(lists['municipios'])}\b"
+        now = F.transform(now, lambda x: F.struct(_places(x["state"], lists, x["found"]).alias("state"), x["found"].alias("found")) if found else _places(x, lists, None))
+    return F.transform(now, lambda x: x["state"]) if found else now
 
-        def places(s: Column) -> Column:
-            found = [fold.spans(s["text"], I + p) for p in lists["municipios_excepciones"]]
-            spans = F.flatten(F.array(*found)) if found else F.array().cast("array<struct<a:int,b:int,match:string>>")
-            outside = lambda out: lambda m, pos: F.when(~F.exists(out, lambda x: (x["a"] <= pos) & (pos < x["b"])), F.lit("[MUNICIPIO]"))
-            return F.when(s["text"].rlike(pattern), fold.let(spans, lambda out: fold.rewritten(s, "municipio", pattern, outside(out)))).otherwise(s)
 
-        now = F.transform(now, places)
-    return now
+def rewrite_texts(df: DataFrame, texts: list[Column], name: str, lists: dict[str, list[str]], only: set[str] | None = None) -> DataFrame:
+    """``name``: the final states of some texts, as an array."""
+    names = large(lists)
+    if not names:
+        return df.withColumn(name, rewritten(F.array(*map(fold.state, texts)), lists, only))
+    finder = gazetteer.finder(df.sparkSession, names, IN_PATTERNS)
+    df = df.withColumns({f"__found{i}": finder(fold.without_marks(t)) for i, t in enumerate(texts)})
+    pairs = F.array(*(F.struct(fold.state(t).alias("state"), F.col(f"__found{i}").alias("found")) for i, t in enumerate(texts)))
+    return df.withColumn(name, rewritten(pairs, lists, only, True)).drop(*(f"__found{i}" for i in range(len(texts))))
 
 
 def redact(df: DataFrame, column: str, lists: dict[str, list[str]] | None = None, only: set[str] | None = None) -> DataFrame:
     """``<column>_anon`` and ``<column>_log`` for a text column."""
-    states = F.array(fold.state(F.coalesce(column, F.lit(""))))
-    df = df.withColumn("__s", F.get(rewritten(states, V.LISTS if lists is None else lists, only), F.lit(0)))
+    df = rewrite_texts(df, [F.coalesce(column, F.lit(""))], "__s", V.LISTS if lists is None else lists, only).withColumn("__s", F.get("__s", F.lit(0)))
     return df.withColumns({f"{column}_anon": F.col("__s.text"), f"{column}_log": F.col("__s.log")}).drop("__s")
 
 
@@ -106,8 +154,7 @@ def _named(log: Column, field: str) -> Column:
 
 def redact_fields(df: DataFrame, fields: dict[str, str], lists=None) -> DataFrame:
     """Each ``<key>_clean`` redacted to ``<key>_anon``, all in one pass; all logs in one array with the field's name."""
-    states = F.array(*(fold.state(F.coalesce(f"{key}_clean", F.lit(""))) for key in fields))
-    df = df.withColumn("__s", rewritten(states, V.LISTS if lists is None else lists))
+    df = rewrite_texts(df, [F.coalesce(f"{key}_clean", F.lit("")) for key in fields], "__s", V.LISTS if lists is None else lists)
     at = lambda i: F.get("__s", F.lit(i))
     logs = [_named(at(i)["log"], name) for i, name in enumerate(fields.values())]
     df = df.withColumns({f"{key}_anon": at(i)["text"] for i, key in enumerate(fields)} | {"events": F.concat(*logs)}).drop("__s")

@@ -7,21 +7,21 @@ import html
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curalis.functions import fold
+from curalis.functions import fold, gazetteer
 from curalis.functions import text as X
 from curalis.functions import values as V
+from curalis.operators.redact import known
 
 
-def _verdict(detector: str, match: Column, context: Column, lists) -> Column:
+def _verdict(detector: str, match: Column, context: Column, lists, found: Column | None = None) -> Column:
     token = lambda pattern: F.lower(X.unaccent(F.regexp_extract(match, "(?iU)" + pattern, 1)))
     expected = F.lit(False)
     if detector == "anio":
         expected = _after(context, match).rlike("(?iU)" + V.UNIT_AFTER)
     elif detector == "trigger_institucion":
-        generic = sorted({x.lower() for x in lists["tipos_genericos"] + lists["hospital_genericos"]})
-        expected = token(V.INSTITUTION_TOKEN).isin(generic)
+        expected = known(token(V.INSTITUTION_TOKEN), lists, "tipos_genericos", found) | known(token(V.INSTITUTION_TOKEN), lists, "hospital_genericos", found)
     elif detector == "trigger_medico":
-        expected = (token(V.DOCTOR_TOKEN) != "") & ~token(V.DOCTOR_TOKEN).isin([x.lower() for x in lists["medicos"]])
+        expected = (token(V.DOCTOR_TOKEN) != "") & ~known(token(V.DOCTOR_TOKEN), lists, "medicos", found)
     return F.when(expected, "esperado").otherwise("revisar")
 
 
@@ -42,11 +42,13 @@ def residue(texts: DataFrame, text: str = "texto", lists=None) -> DataFrame:
     for name, (pattern, ignore_case) in V.DETECTORS.items():
         rows = fold.spans(F.col("t"), ("(?iU)" if ignore_case else "(?U)") + pattern)
         found.append(_labelled(rows, name))
-    rows = kept.select("record_id", "t", F.explode(F.concat(*found)).alias("m"))
+    names = gazetteer.large({k: lists[k] for k in ("tipos_genericos", "hospital_genericos", "medicos")})
+    looked_up = gazetteer.finder(texts.sparkSession, names, set())(F.col("t")) if names else F.lit(None)
+    rows = kept.select("record_id", "t", looked_up.alias("found"), F.explode(F.concat(*found)).alias("m"))
     begin = F.greatest(F.lit(0), F.col("m.a") - 60)
     context = F.replace(F.substring("t", begin + 1, F.col("m.b") + 60 - begin), F.lit("\n"), F.lit(" "))
-    rows = rows.select("record_id", F.col("m.detector").alias("detector"), F.col("m.match").alias("match"), context.alias("contexto"))
-    verdict = F.coalesce(*(F.when(F.col("detector") == n, _verdict(n, F.col("match"), F.col("contexto"), lists)) for n in ("anio", "trigger_institucion", "trigger_medico")), F.lit("revisar"))
+    rows = rows.select("record_id", F.col("m.detector").alias("detector"), F.col("m.match").alias("match"), context.alias("contexto"), "found")
+    verdict = F.coalesce(*(F.when(F.col("detector") == n, _verdict(n, F.col("match"), F.col("contexto"), lists, F.col("found") if names else None)) for n in ("anio", "trigger_institucion", "trigger_medico")), F.lit("revisar"))
     return rows.select("record_id", "detector", "match", verdict.alias("veredicto"), "contexto")
 
 

@@ -6,12 +6,14 @@ Adapter A makes templated notes of ``orders``; adapter B makes notes of whole ``
 from __future__ import annotations
 
 import tempfile
+import unicodedata
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from curalis.functions import gazetteer
 from curalis.functions import text as X
 from curalis.functions import values as V
 from curalis.operators import corpus, enrich, mining, quality, redact, review, verify
@@ -97,6 +99,18 @@ def clean_text(spark, d):
     return texts(spark, d).select("record_id", X.clean(F.col("texto")).alias("clean"))
 
 
+#: Letters of the texts with their marks apart, and an end with marks out of order, jamo and a singleton; SQL for Spark and DuckDB alike.
+_PLANTED = "concat({text}, ' q\u0307\u0323 \u1112\u1161\u11ab \u212b o\u0302\u0323 \u0344a')"
+for _c in "éèêáíóúñüöäàçôûîïÉÑ":
+    _PLANTED = f"replace({_PLANTED}, '{_c}', '{unicodedata.normalize('NFD', _c)}')"
+
+
+@query("canonical_composition", f"SELECT CAST(doc_id AS VARCHAR) AS record_id, sha256(nfc_normalize({_PLANTED.format(text='text')})) AS composed FROM documents")
+def canonical_composition(spark, d):
+    planted = texts(spark, d).withColumn("texto", F.expr(_PLANTED.format(text="texto")))
+    return planted.select("record_id", F.sha2(X.compose(F.col("texto")), 256).alias("composed"))
+
+
 @query("match_key", r"SELECT CAST(doc_id AS VARCHAR) AS record_id, sha256(regexp_replace(lower(strip_accents(regexp_replace(text, '[^\p{L}\s]', '', 'g'))), '\s+', ' ', 'g')) AS key FROM documents")
 def match_key(spark, d):
     letters = X.sub(F.col("texto"), r"[^\p{L}\s]", "")
@@ -342,6 +356,28 @@ def mine_places(spark, d):
     return mining.places(mining.blobs(a(spark, d)))
 
 
+#: A text for each order that names two customers and one that is on no list.
+_NAMED = """SELECT CAST(o_orderkey AS STRING) AS record_id, concat('Remitido de ', upper(c_name), ' a casa  de ', c_name, ' y ', c_name, '0; signo de bolivar, ', c_mktsegment) AS texto
+FROM {orders} JOIN {customer} ON o_custkey = c_custkey"""
+
+
+@query(
+    "redact_gazetteer",
+    f"""WITH t AS ({_NAMED.format(orders='orders', customer='customer')}), l AS (SELECT o_orderkey, c_custkey % 3 <> 0 AS listed FROM orders JOIN customer ON o_custkey = c_custkey)
+SELECT record_id, CASE WHEN listed THEN regexp_replace(regexp_replace(texto, '(?i)customer#[0-9]{{9}}([^0-9])', '[MUNICIPIO]\1', 'g'), 'bolivar, [A-Z]+$', 'bolivar, ' || s) ELSE texto END AS texto_anon,
+  CASE WHEN listed THEN [CAST(position('CUSTOMER#' IN texto) - 1 AS VARCHAR)] ELSE [] END AS first_start
+FROM t JOIN l ON record_id = CAST(o_orderkey AS VARCHAR)""",
+)
+def redact_gazetteer(spark, d):
+    """The place rule with a list of all customers but each third, far too many for one alternation."""
+    orders, customer = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("orders", "customer"))
+    named = spark.sql(_NAMED, orders=orders, customer=customer)
+    names = gazetteer.names_of(customer.where("c_custkey % 3 <> 0"), "c_name")
+    lists = V.LISTS | {"municipios": [*V.LISTS["municipios"], *(n.lower() for n in names)]}
+    out = redact.redact(named, "texto", lists, {"municipio"})
+    return out.select("record_id", "texto_anon", F.slice(F.transform("texto_log", lambda x: x["start"].cast("string")), 1, 1).alias("first_start"))
+
+
 def _folder(spark) -> str:
     """A folder for files, in the one that driver and executors share; in local mode, of this machine.  It goes when the
     driver's JVM ends."""

@@ -5,8 +5,9 @@ which Spark splits into byte ranges, in any store.  Whether a line starts inside
 each range is first scanned for both answers: a range maps the state it starts in (outside or inside quotes) to the state it ends
 in.  Such maps are constant, the identity or a swap, and a window over one narrow row for each range composes them: the
 state before a range is that of the last constant range before it, swapped as often as swaps follow.  Then each range is
-parsed from its known state.  A record that crosses a border is a piece in each range it touches; only pieces meet, by
-record.  The file is scanned once for the states, once for the records and, if a record crosses a border, once for the pieces.
+parsed from its first record to its last.  Of a record that crosses borders, only its lines meet.  Lines without quotes cannot
+change a state and are not looked at; the file is read once for the states, once for the records and, if a record crosses
+a border, once for the lines of such records.
 
 Records end at a line end (LF, CRLF or CR) outside quotes.  A quote opens a field only at its beginning and is doubled
 inside; what follows the closing quote belongs to the field, quotes included.  Line ends inside quotes stay as they are.  Lines of
@@ -26,10 +27,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 OUT, IN = False, True
+NEVER = (1 << 63) - 1
+#: Records that a task turns into columns at a time.
+ROWS = 10_000
 _CARRIAGE = re.compile(r"[^\r]*\r\n?|[^\r]+\Z")
-RANGE = ("file", "start")
 
 
 class Quotes:
@@ -57,51 +61,68 @@ def records(lines: Iterable[str], separator: str) -> Iterator[list[str]]:
             yield fields
 
 
-def _batches(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.Array]]:
-    """``(range, lines)``: a batch cut where the range changes."""
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """``file, start, id, value``: each line with the byte range it was read in and its number, which grows within a task."""
+    text = spark.read.option("lineSep", "\n").text(path)
+    return text.select(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("id"), "value")
+
+
+def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.Array, pa.Array]]:
+    """``(range, ids, lines)``: batches cut where the range changes."""
     for batch in batches:
-        file, start, lines = batch.column(0), batch.column(1), batch.column(2)
         n = batch.num_rows
-        if not n:
-            continue
-        differ = pc.or_(pc.not_equal(file[1:], file[:-1]), pc.not_equal(start[1:], start[:-1])).to_pylist() if n > 1 else []
-        cuts = [0, *(i + 1 for i, d in enumerate(differ) if d), n] if any(differ) else [0, n]
+        file, start, ids, lines = batch.columns
+        cuts = [0, n] if n else []
+        if n > 1:
+            differ = pc.or_(pc.not_equal(file[1:], file[:-1]), pc.not_equal(start[1:], start[:-1]))
+            cuts = [0, *(i + 1 for i in pc.indices_nonzero(differ).to_pylist()), n]
         for lo, hi in zip(cuts, cuts[1:], strict=False):
-            yield (file[lo].as_py(), start[lo].as_py()), lines.slice(lo, hi - lo)
+            yield (file[lo].as_py(), start[lo].as_py()), ids.slice(lo, hi - lo), lines.slice(lo, hi - lo)
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """``file, start, value``: each line with the byte range it was read in, in the order of the file within a task."""
-    text = spark.read.option("lineSep", "\n").text(path)
-    return text.select(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
+def ranges(lines: DataFrame, separator: str) -> DataFrame:
+    """``file, start, first, head, tail`` of each range: the numbers of its first line, of the line that ends the record it starts in (none: it starts
+    with a record; ``NEVER``: the record goes on beyond it), and of the line where the record that it ends in begins."""
+    made = pa.schema([("file", pa.int64()), ("start", pa.int64()), ("first", pa.int64()), ("a", pa.bool_()), ("b", pa.bool_()), ("head", pa.int64()), ("tail_a", pa.int64()), ("tail_b", pa.int64())])
 
+    def scan(batches):
+        quotes, now, state, tail, head, first = Quotes(separator), None, [OUT, IN], [None, None], None, None
 
-def states(lines: DataFrame, separator: str) -> DataFrame:
-    """``file, start, inside, ends``: whether each range starts, and ends, inside a quoted field."""
+        def row():
+            return pa.RecordBatch.from_pylist([{"file": now[0], "start": now[1], "first": first, "a": state[0], "b": state[1], "head": head, "tail_a": tail[0], "tail_b": tail[1]}], made)
 
-    def scan(batches):
-        quotes, now, both = Quotes(separator), None, (OUT, IN)
-        for key, values in _batches(batches):
+        for key, ids, values in _runs(batches):
             if key != now:
                 if now is not None:
-                    yield _row(now, both)
-                now, both = key, (OUT, IN)
-            for line in values.filter(pc.match_substring(values, '"')).to_pylist():
-                both = (quotes.after(line, both[0]), quotes.after(line, both[1]) if both[0] != both[1] else quotes.after(line, both[0]))
+                    yield row()
+                now, state, tail, head, first = key, [OUT, IN], [None, None], None, ids[0].as_py()
+            known = pc.is_valid(values)  # lines with a quote
+            for i, line in zip(ids.filter(known).to_pylist(), values.filter(known).to_pylist(), strict=True):
+                same = state[0] == state[1]
+                for h in (0,) if same else (0, 1):
+                    after = quotes.after(line, state[h])
+                    if not after:
+                        tail[h] = None
+                    elif not state[h]:
+                        tail[h] = i
+                    state[h] = after
+                if same:
+                    state[1], tail[1] = state[0], tail[0]
+                if head is None and not state[1]:
+                    head = i
         if now is not None:
-            yield _row(now, both)
+            yield row()
 
-    def _row(key, both):
-        return pa.RecordBatch.from_pylist([{"file": key[0], "start": key[1], "a": both[0], "b": both[1]}], pa.schema([("file", pa.int64()), ("start", pa.int64()), ("a", pa.bool_()), ("b", pa.bool_())]))
-
-    found = lines.mapInArrow(scan, "file long, start long, a boolean, b boolean")
+    # Only lines with a quote are sent to Python; of the others, that they are there.
+    quoted = lines.withColumn("value", F.when(F.contains("value", F.lit('"')), F.col("value")))
+    found = quoted.mapInArrow(scan, "file long, start long, first long, a boolean, b boolean, head long, tail_a long, tail_b long")
     upto = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     swaps = found.withColumn("swaps", F.sum((F.col("a") & ~F.col("b")).cast("int")).over(upto))
     fixed = F.last(F.when(F.col("a") == F.col("b"), F.struct(F.col("a").cast("int").alias("state"), "swaps")), True).over(before)
     known = swaps.withColumns({"fixed": fixed, "earlier": F.coalesce(F.max("swaps").over(before), F.lit(0))})
     inside = (F.coalesce(F.col("fixed.state"), F.lit(0)) + F.col("earlier") - F.coalesce(F.col("fixed.swaps"), F.lit(0))) % 2 == 1
-    return known.select(*RANGE, inside.alias("inside"), F.when(inside, F.col("b")).otherwise(F.col("a")).alias("ends"))
+    return known.select("file", "start", "first", F.when(inside, F.coalesce("head", F.lit(NEVER))).alias("head"), F.when(inside, F.col("tail_b")).otherwise(F.col("tail_a")).alias("tail"))
 
 
 def _table(rows: list[list[str]], columns: list[str], first: list[bool]) -> pa.RecordBatch | None:
@@ -109,7 +130,7 @@ def _table(rows: list[list[str]], columns: list[str], first: list[bool]) -> pa.R
     kept = []
     for fields, header in zip(rows, first, strict=True):
         if header:
-            if [f.removeprefix("﻿") if i == 0 else f for i, f in enumerate(fields)] != columns:
+            if [f.removeprefix("\ufeff") if i == 0 else f for i, f in enumerate(fields)] != columns:
                 raise ValueError(f"a file's first record is {fields}, not {columns}")
             continue
         if len(fields) > len(columns):
@@ -120,88 +141,66 @@ def _table(rows: list[list[str]], columns: list[str], first: list[bool]) -> pa.R
     return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*kept, strict=True)], names=columns)
 
 
-def _whole(lines: DataFrame, columns: list[str], separator: str, inside: set[tuple]) -> DataFrame:
-    """The records that lie within one range."""
+def _schema(columns: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
+
+
+def _whole(lines: DataFrame, columns: list[str], separator: str, borders: dict[tuple, tuple]) -> DataFrame:
+    """The records that lie within one range; without borders, every file is one range."""
+    shared = lines.sparkSession.sparkContext.broadcast(borders)
 
     def parse(batches):
-        quotes, now, state, open_, skip, header = Quotes(separator), None, OUT, [], False, False
-        for key, values in _batches(batches):
-            if key != now:
-                # What was open at the last range's end goes on in the next one, and what this one starts with began before.
-                now, state, open_, header = key, key in inside, [], key[1] == 0
-                skip = state
-            texts = values.to_pylist()
-            if state or open_ or pc.any(pc.match_substring(values, '"')).as_py():
-                ready = []
-                for line in texts:
-                    state = quotes.after(line, state)
-                    if state:
-                        open_.append(line)
-                    elif skip:  # the record from before ends in this line; another may begin in it only after a CR
-                        open_, skip = [], False
-                    else:
-                        ready.append("\n".join([*open_, line]) if open_ else line)
-                        open_ = []
-            else:
-                ready = texts
-            rows = list(records(ready, separator))
-            if rows:
-                made = _table(rows, columns, [header, *[False] * (len(rows) - 1)])
-                header = False
-                if made is not None:
-                    yield made
-
-    return lines.mapInArrow(parse, ", ".join(f"`{c.replace('`', '``')}` string" for c in columns))
-
-
-def _crossing(lines: DataFrame, columns: list[str], separator: str, inside: set[tuple], ends: set[tuple]) -> DataFrame:
-    """The records that cross a border, put together from their pieces."""
-    schema = pa.schema([("file", pa.int64()), ("start", pa.int64()), ("tail", pa.bool_()), ("first", pa.bool_()), ("piece", pa.string())])
-
-    def cut(batches):
-        quotes, now, state, skip, held, begun = Quotes(separator), None, OUT, False, [], False
-
-        def row(tail):
-            return pa.RecordBatch.from_pylist([{"file": now[0], "start": now[1], "tail": tail, "first": now[1] == 0 and not begun, "piece": "\n".join(held)}], schema)
-
-        def rest():
-            # Open at the end: a new record's beginning or, if nothing of this range was closed, a middle piece.
-            return [row(not skip)] if held else []
-
-        for key, values in _batches(batches):
-            if key != now:
-                yield from rest()
-                now, state, held, begun = key, key in inside, [], False
-                skip = state
-            if not state and key not in ends:
-                continue
-            for line in values.to_pylist():
-                state = quotes.after(line, state)
-                if state:
-                    held.append(line)
-                    continue
-                if skip:
-                    held.append(line)
-                    yield row(False)
-                begun = begun or bool(held or line.strip())
-                held, skip = [], False
-        yield from rest()
-
-    pieces = lines.mapInArrow(cut, "file long, start long, tail boolean, first boolean, piece string")
-    order = Window.partitionBy("file").orderBy("start", "tail").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = pieces.withColumn("record", F.sum(F.col("tail").cast("int")).over(order))
-    joined = numbered.groupBy("file", "record").agg(F.bool_or("first").alias("first"), F.array_sort(F.collect_list(F.struct("start", "tail", "piece"))).alias("pieces"))
-    whole = joined.select("first", F.array_join(F.col("pieces.piece"), "\n").alias("text"))
+        now, head, tail, header = None, None, None, False
+
+        def complete():
+            nonlocal now, head, tail, header
+            for key, ids, values in _runs(batches):
+                if key != now:
+                    if key not in shared.value and not (key[1] == 0 and not shared.value):
+                        raise RuntimeError("the byte ranges are not those of the scan for quotes; read the file again under the present settings")
+                    now, (head, tail), header = key, shared.value.get(key, (None, None)), key[1] == 0
+                if head is not None or tail is not None:
+                    kept = pc.and_(pc.greater(ids, -1 if head is None else head), pc.less(ids, NEVER if tail is None else tail))
+                    values = values.filter(kept)
+                for line in values.to_pylist():
+                    yield line + "\n"
+
+        rows, first = [], []
+        for fields in records(complete(), separator):
+            rows.append(fields)
+            first.append(header)
+            header = False
+            if len(rows) == ROWS:
+                yield from filter(None, [_table(rows, columns, first)])
+                rows, first = [], []
+        if rows:
+            yield from filter(None, [_table(rows, columns, first)])
+
+    return lines.mapInArrow(parse, _schema(columns))
+
+
+def _crossing(lines: DataFrame, columns: list[str], separator: str, odd: DataFrame) -> DataFrame:
+    """The records that cross a border: their lines, and no others, meet by record."""
+    # Borders are numbered by the records that begin before them; a range's head belongs to the last record before it.
+    order = Window.partitionBy("file").orderBy("start")
+    numbered = odd.withColumn("after", F.sum(F.col("tail").isNotNull().cast("long")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    numbered = numbered.withColumn("before", F.col("after") - F.col("tail").isNotNull().cast("long"))
+    met = lines.join(F.broadcast(numbered), ["file", "start"])
+    is_tail = F.coalesce(F.col("id") >= F.col("tail"), F.lit(False))
+    met = met.where(F.coalesce(F.col("id") <= F.col("head"), F.lit(False)) | is_tail)
+    top = is_tail & (F.col("start") == 0) & (F.col("id") == F.col("first"))
+    piece = met.select("file", F.when(is_tail, F.col("after")).otherwise(F.col("before")).alias("record"), F.struct("start", "id", "value").alias("line"), top.alias("top"))
+    joined = piece.groupBy("file", "record").agg(F.bool_or("top").alias("top"), F.array_sort(F.collect_list("line")).alias("lines"))
+    whole = joined.select("top", F.array_join(F.col("lines.value"), "\n").alias("text"))
 
     def parse(batches):
         for batch in batches:
-            for first, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for top, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 rows = list(records([text], separator))
-                made = _table(rows, columns, [first, *[False] * (len(rows) - 1)]) if rows else None
-                if made is not None:
-                    yield made
+                if rows:
+                    yield from filter(None, [_table(rows, columns, [top, *[False] * (len(rows) - 1)])])
 
-    return whole.mapInArrow(parse, ", ".join(f"`{c.replace('`', '``')}` string" for c in columns))
+    return whole.mapInArrow(parse, _schema(columns))
 
 
 def header(lines: DataFrame, separator: str, most: int = 1000) -> list[str]:
@@ -225,13 +224,18 @@ def header(lines: DataFrame, separator: str, most: int = 1000) -> list[str]:
 
 
 def read(spark: SparkSession, path: str, separator: str = ";") -> DataFrame:
-    """All records of a file, or of the files of a folder, as strings."""
+    """All records of a file, or of the files of a folder, as strings.  The scan for quotes runs at once; the settings that
+    decide Spark's byte ranges must be the same when the table is used (if not, that is an error)."""
     lines = _lines(spark, path)
     columns = header(lines, separator)
     if not columns:
         raise ValueError(f"{path} has no header")
-    # Ranges that start or end inside a quoted field: one narrow row for each such border.
-    odd = states(lines, separator).where("inside or ends").collect()
-    inside, ends = ({(r["file"], r["start"]) for r in odd if r[c]} for c in ("inside", "ends"))
-    whole = _whole(lines, columns, separator, inside)
-    return whole.unionAll(_crossing(lines, columns, separator, inside, ends)) if inside or ends else whole
+    if lines.where("start > 0").isEmpty():
+        return _whole(lines, columns, separator, {})
+    # One narrow row for each range.
+    rows = ranges(lines, separator).collect()
+    whole = _whole(lines, columns, separator, {(r["file"], r["start"]): (r["head"], r["tail"]) for r in rows})
+    odd = [tuple(r) for r in rows if r["head"] is not None or r["tail"] is not None]
+    if not odd:
+        return whole
+    return whole.unionAll(_crossing(lines, columns, separator, spark.createDataFrame(odd, "file long, start long, first long, head long, tail long")))

@@ -6,7 +6,7 @@ import pytest
 from curalis.plans import catalog
 from tests.conftest import DATA
 
-TABLES = "orders documents".split()
+TABLES = "orders documents customer".split()
 
 
 @pytest.fixture(scope="module")

@@ -2,6 +2,9 @@
 
 import hashlib
 import json
+import random
+import re
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -42,6 +45,21 @@ def test_clean(spark, raw, want):
     assert spark.createDataFrame([(raw,)], "t string").select(X.clean(F.col("t"))).first()[0] == want
 
 
+def test_canonical_composition(spark):
+    """All characters that are taken apart or join others, and random strings of them, as Python composes them."""
+    rng = random.Random(1)
+    pool = [chr(p) for p in X._POINTS if unicodedata.combining(chr(p)) or unicodedata.decomposition(chr(p))]
+    common = [*"aeiounc AEN가각ᄀÅकか", "\u0300", "\u0301", "\u0308", "\u0303", "\u0327", "\u0323", "\u1161", "\u11a8", "\u0344", "\u0f73", "\u093c", "\u09be", "\u09c7", "\u0958", "\u3099"]
+    texts = [*pool, *("".join(rng.choice(common if rng.random() < 0.8 else pool) for _ in range(rng.randint(0, 12))) for _ in range(4000))]
+    texts += [f(chr(0xAC00 + i) + "a") for i in range(0, 11172, 17) for f in (str, lambda c: unicodedata.normalize("NFD", c))]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(4)
+    bare = lambda t: unicodedata.normalize("NFC", re.sub("[\u0300-\u036f]", "", unicodedata.normalize("NFD", t)))
+    for r in df.select("i", X.compose(F.col("t")).alias("nfc"), X.compose(X.unaccent(F.col("t"))).alias("bare")).collect():
+        assert (r.nfc, r.bare) == (unicodedata.normalize("NFC", texts[r.i]), bare(texts[r.i])), ascii(texts[r.i])
+    odd = spark.createDataFrame([("\x01A\u030a\x01 \x02e\u0301",), ("q\u0307\u0323",)], "t string")
+    assert [r[0] for r in odd.select(X.clean(F.col("t"))).collect()] == ["\u00c5 é", "q\u0323\u0307"]
+
+
 def test_flags(spark):
     long = "x" * 479
     rows = [
