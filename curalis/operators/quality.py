@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from curalis.functions import text as X
 from curalis.functions import values as V
+from curalis.sources import store
 
 KEYS = {"reason": V.REASON, "exam": V.EXAM, "stay": V.STAY}
 
@@ -36,9 +37,8 @@ def truncated(key: str) -> Column:
     return (F.col(f"{key}_clean") != "") & cut
 
 
-def flags(df: DataFrame, min_chars: int = V.MIN_CHARS) -> DataFrame:
-    """Flags of normalised notes.  Nothing is dropped; duplicates are marked, the least integer id of a
-    text being the one that counts.  Empty notes are no duplicates.  Ids are unique."""
+def row_flags(df: DataFrame, min_chars: int = V.MIN_CHARS) -> DataFrame:
+    """Flags that depend on a row alone, and the hash by which texts are compared."""
     df = df.withColumns({f"cut_{k}": truncated(k) for k in KEYS} | {"n_chars": F.length("text_concat"), "hash_texto": F.left(F.sha2("text_norm", 256), F.lit(16))})
     empty = F.col("n_chars") == 0
     missing = {name: F.col(f"{k}_clean") == "" for k, name in KEYS.items()}
@@ -51,18 +51,55 @@ def flags(df: DataFrame, min_chars: int = V.MIN_CHARS) -> DataFrame:
         }
     )
     df = df.withColumns({"truncated": F.size("campos_truncados") > 0, "incompleto": ~F.col("empty") & (F.size("campos_vacios") > 0)})
-    # The first id of each repeated text, aggregated on narrow rows: a text that is everywhere sends one row from each
-    # task, and only what is repeated is looked up.  Neither a filter nor a plain equality, from which Spark makes one:
-    # below the projections it would clean every text once more.
-    number = F.col("record_id").cast("bigint")
-    first = df.groupBy(F.col("hash_texto").alias("__hash")).agg(F.min(number).alias("__first"), F.count("*").alias("__n")).where("__n > 1")
-    df = df.join(first, F.col("hash_texto").eqNullSafe(F.col("__hash")), "left")
-    df = df.withColumn("duplicate", ~F.col("empty") & F.coalesce(number > F.col("__first"), F.lit(False))).drop("__hash", "__first", "__n")
-    df = df.withColumn("indexable", ~(F.col("empty") | F.col("too_short") | F.col("duplicate")))
-    df = df.withColumns({"apto_rag": F.col("indexable") & ~F.col("truncated") & ~F.col("incompleto"), "quality_flags": names_where({f: F.col(f) for f in V.FLAGS})})
     return df.drop(*(f"cut_{k}" for k in KEYS))
 
 
+def _order(file, row) -> Column:
+    """The order of rows of one text: by integer id, rows without one last, then by place."""
+    number = F.col("record_id").cast("bigint")
+    return F.struct(number.isNull().alias("unnumbered"), number.alias("id"), file.alias("file"), row.alias("row"))
+
+
+def _first(rows: DataFrame) -> DataFrame:
+    """The first row of each text, from narrow rows; a text that is everywhere sends one row from each task."""
+    return rows.where(~F.col("empty")).groupBy("hash_texto").agg(F.min("__order").alias("first"), F.count("*").alias("n"))
+
+
+def flags(df: DataFrame, min_chars: int = V.MIN_CHARS, earlier: DataFrame | None = None) -> DataFrame:
+    """Flags of normalised notes.  Nothing is dropped; of the rows with one text, the one with the least integer id stays
+    and the others are marked as duplicates.  Rows that share an id are told apart by their place, and rows without an id come
+    after all others.  Empty notes are no duplicates.
+
+    The rows are written once (``store.written``): texts are cleaned once and places are fixed.  The first of each text is found
+    on narrow rows, and only texts that repeat are looked up.  ``earlier`` (``hash_texto, id``; see ``first_ids``) are
+    the first ids of notes seen before, which are not read again: a text of theirs with a lesser or equal id is a duplicate."""
+    stored = store.written(row_flags(df, min_chars))
+    rows = stored.select("*", _order(F.col("_metadata.file_name"), F.col("_metadata.row_index")).alias("__order"))
+    first = _first(rows)
+    if earlier is not None:
+        before = earlier.select("hash_texto", F.struct(F.col("id").isNull().alias("unnumbered"), F.col("id").alias("id"), F.lit("").alias("file"), F.lit(-1).cast("bigint").alias("row")).alias("first"), F.lit(1).cast("bigint").alias("n"))
+        first = first.unionAll(before.join(first, "hash_texto", "left_semi")).groupBy("hash_texto").agg(F.min("first").alias("first"), F.sum("n").alias("n"))
+    first = first.where("n > 1").select(F.col("hash_texto").alias("__hash"), F.col("first").alias("__first"))
+    rows = rows.join(first, F.col("hash_texto") == F.col("__hash"), "left")
+    rows = rows.withColumn("duplicate", ~F.col("empty") & F.coalesce(F.col("__order") != F.col("__first"), F.lit(False))).drop("__hash", "__first", "__order")
+    rows = rows.withColumn("indexable", ~(F.col("empty") | F.col("too_short") | F.col("duplicate")))
+    return rows.withColumns({"apto_rag": F.col("indexable") & ~F.col("truncated") & ~F.col("incompleto"), "quality_flags": names_where({f: F.col(f) for f in V.FLAGS})})
+
+
+def first_ids(flagged: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """``hash_texto, id`` of the first note of each text, together with those found before; to be kept for the next file.
+    Written with ``bucketBy(n, "hash_texto")``, the next grouping and lookup need no shuffle of it."""
+    now = flagged.where(~F.col("empty") & ~F.col("duplicate")).select("hash_texto", F.col("record_id").cast("bigint").alias("id"))
+    both = now if earlier is None else now.unionAll(earlier.select("hash_texto", "id"))
+    return both.groupBy("hash_texto").agg(F.min("id").alias("id"))
+
+
+def displaced(flagged: DataFrame, earlier: DataFrame) -> DataFrame:
+    """``hash_texto, id`` of notes seen before that are duplicates now, as a new note with their text has a lesser id."""
+    now = flagged.where(~F.col("empty") & ~F.col("duplicate")).select("hash_texto", F.col("record_id").cast("bigint").alias("__id"))
+    return earlier.join(now, "hash_texto").where(F.col("__id").isNotNull() & (F.col("id").isNull() | (F.col("__id") < F.col("id")))).select("hash_texto", "id")
+
+
 def summary(df: DataFrame) -> DataFrame:
     """``metrica, n, pct``: ten rows from one aggregation."""
     i, t, c = F.col("indexable"), F.col("truncated"), F.col("incompleto")

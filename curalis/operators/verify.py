@@ -58,22 +58,78 @@ def residue_summary(found: DataFrame, n_texts: int) -> DataFrame:
     return rows.withColumn("pct_docs_revisar", F.bround(F.col("n_docs") / F.lit(max(n_texts, 1)) * 100, 3)).orderBy(F.desc("a_revisar"), F.desc("n_matches"), "detector")
 
 
+#: Bins of a histogram.
+BINS = 1000
+LEAST_ID = -(1 << 63)
+
+
+def ranked_keys(rows: DataFrame, ranks: list[int]) -> list[tuple[int, int]]:
+    """The keys ``(a, b)`` of the rows with some ranks (from 1), by refining a histogram: counts of a few bins, then of the
+    bins of the one that holds the rank, first by ``a``, then by ``b``.  Tasks send counts only, and each round is one pass over
+    two narrow columns for all ranks."""
+    whole = lambda x: F.lit(str(x)).cast("decimal(38,0)")
+    low, high = rows.agg(F.min("a"), F.max("a")).first()
+    found: dict[int, tuple[int, int]] = {}
+    # For each rank: the value of ``a`` once known, the range still open, and the rank within it.
+    open_ = {r: (None, low, high, r) for r in ranks} if low is not None else {}
+    while open_:
+        wanted = sorted({(a is None, a, lo, hi) for a, lo, hi, _ in open_.values()}, key=str)
+        parts = []
+        for i, (by_a, a, lo, hi) in enumerate(wanted):
+            value = F.col("a" if by_a else "b")
+            width = max(1, -(-(hi - lo + 1) // BINS))
+            inside = (value >= F.lit(lo)) & (value <= F.lit(hi)) & (F.lit(True) if by_a else F.col("a") == F.lit(a))
+            # Differences may exceed 64 bits.
+            bin_ = F.call_function("div", value.cast("decimal(38,0)") - whole(lo), whole(width)).cast("int")
+            parts.append(F.when(inside, F.struct(F.lit(i).alias("i"), bin_.alias("bin"))))
+        counts: dict[tuple[int, int], int] = {}
+        for r in rows.select(F.explode(F.array_compact(F.array(*parts))).alias("p")).groupBy("p").agg(F.count("*").alias("n")).collect():
+            counts[r["p"]["i"], r["p"]["bin"]] = r["n"]
+        still = {}
+        bounds = {}
+        for rank, (a, lo, hi, left) in open_.items():
+            i = wanted.index((a is None, a, lo, hi))
+            width = max(1, -(-(hi - lo + 1) // BINS))
+            for b in sorted(x for j, x in counts if j == i):
+                if left <= counts[i, b]:
+                    break
+                left -= counts[i, b]
+            lo, hi = lo + b * width, min(hi, lo + (b + 1) * width - 1)
+            if lo < hi:
+                still[rank] = (a, lo, hi, left)
+            elif a is None:
+                bounds.setdefault(lo, []).append((rank, left))
+            else:
+                found[rank] = (a, lo)
+        if bounds:
+            for r in rows.where(F.col("a").isin(list(bounds))).groupBy("a").agg(F.min("b").alias("lo"), F.max("b").alias("hi")).collect():
+                for rank, left in bounds[r["a"]]:
+                    if r["lo"] == r["hi"]:
+                        found[rank] = (r["a"], r["lo"])
+                    else:
+                        still[rank] = (r["a"], r["lo"], r["hi"], left)
+        open_ = still
+    return [found[r] for r in ranks if r in found]
+
+
 def review_sample(corpus: DataFrame, n: int = 250, seed: int = 42, column: str = "apto_rag") -> DataFrame:
     """A stratified sample by document length, biased to long documents; the order within a stratum is
-    a hash of seed and id.  Ranks come from counts per length, so no task sorts all documents."""
-    kept = corpus.where(column).select("record_id", "n_chars_doc")
-    per_length = kept.groupBy("n_chars_doc").agg(F.count("*").alias("here"))
-    running = Window.orderBy("n_chars_doc").rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    per_length = per_length.select("n_chars_doc", F.coalesce(F.sum("here").over(running), F.lit(0)).alias("before"), F.sum("here").over(every).alias("total"))
-    within = Window.partitionBy("n_chars_doc").orderBy(F.col("record_id").cast("bigint"))
-    ranked = kept.join(per_length, "n_chars_doc").withColumn("rn", F.col("before") + F.row_number().over(within))
-    stratum = F.greatest(F.lit(1), F.ceil((F.col("rn") - 1) * 4 / F.greatest(F.col("total") - 1, F.lit(1)))).cast("int")
+    a hash of seed and id.  Strata are quarters of the ranks by length and id (a null id is the least): the three rows that end
+    them are selected by histograms, and every document is compared with these.  No task sorts documents or holds those of
+    one length.  Documents that share length and id are in one stratum."""
+    key = F.coalesce(F.col("record_id").cast("bigint"), F.lit(LEAST_ID))
+    kept = corpus.where(column).select("record_id", F.col("n_chars_doc").cast("bigint").alias("a"), key.alias("b"))
+    total = kept.count()
+    quarters = [1 + s * max(total - 1, 0) // 4 for s in (1, 2, 3)]
+    # A stratum ends with the row of rank 1 + floor(s * (total - 1) / 4).
+    cuts = ranked_keys(kept, quarters)
+    above = [(F.col("a") > a) | ((F.col("a") == a) & (F.col("b") > F.lit(b))) for a, b in cuts]
+    stratum = sum((x.cast("int") for x in above), F.lit(1))
     quotas = [max(1, round(n * w)) for _, w in V.STRATA]
     names, quota = (F.array(*map(F.lit, x)) for x in ([s for s, _ in V.STRATA], quotas))
     drawn = Window.partitionBy("__s").orderBy(F.md5(F.concat(F.lit(str(seed)), F.col("record_id"))), "record_id")
     # The literal bound lets each task keep so many rows of a stratum before anything is sent.
-    picked = ranked.select("record_id", stratum.alias("__s")).withColumn("__k", F.row_number().over(drawn)).where(F.col("__k") <= max(quotas))
+    picked = kept.select("record_id", stratum.alias("__s")).withColumn("__k", F.row_number().over(drawn)).where(F.col("__k") <= max(quotas))
     picked = picked.where(F.col("__k") <= F.get(quota, F.col("__s") - 1)).select("record_id", F.get(names, F.col("__s") - 1).alias("estrato"))
     # A sample of fixed size: the texts are fetched for it alone.
     return corpus.where(column).join(F.broadcast(picked), "record_id")

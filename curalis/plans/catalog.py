@@ -5,9 +5,7 @@ Adapter A makes templated notes of ``orders``; adapter B makes notes of whole ``
 
 from __future__ import annotations
 
-import tempfile
 import unicodedata
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -20,6 +18,7 @@ from curalis.operators import corpus, enrich, mining, quality, redact, review, v
 from curalis.plans import oracle as O
 from curalis.plans import pipeline as P
 from curalis.sources import notes as S
+from curalis.sources import store
 
 QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
@@ -142,6 +141,21 @@ def dedup_keep_first(spark, d):
     return P.flagged(b(spark, d)).where("duplicate").select("record_id", "hash_texto")
 
 
+#: Each third order once more under its own number, another third's text under a greater one.
+_AGAIN = """SELECT * FROM {a} UNION ALL SELECT * FROM {a} WHERE CAST(record_id AS BIGINT) % 3 = 0
+UNION ALL SELECT CAST(CAST(record_id AS BIGINT) + 1000000000 AS STRING), unit, reason, exam, stay FROM {a} WHERE CAST(record_id AS BIGINT) % 3 = 1"""
+
+
+@query(
+    "dedup_repeated_ids",
+    f"WITH {_A}, again AS ({_AGAIN.format(a='a')}), {_flags_sql('again')} SELECT record_id, hash_texto, count_if(duplicate) AS duplicates, count_if(NOT duplicate AND NOT empty) AS firsts FROM flagged GROUP BY 1, 2",
+)
+def dedup_repeated_ids(spark, d):
+    """Keep-first marks where ids and texts repeat: of rows with one text, one stays, whatever ids they have."""
+    flagged = P.flagged(spark.sql(_AGAIN.format(a="{a}"), a=a(spark, d)))
+    return flagged.groupBy("record_id", "hash_texto").agg(F.count_if("duplicate").alias("duplicates"), F.count_if(~F.col("duplicate") & ~F.col("empty")).alias("firsts"))
+
+
 @query("excluded_counts", f"WITH {_B}, {_flags_sql('b')} SELECT CAST(count_if(indexable AND truncated) AS BIGINT) AS truncados, CAST(count_if(indexable AND NOT truncated AND incompleto) AS BIGINT) AS incompletos FROM flagged")
 def excluded_counts(spark, d):
     return P.excluded_counts(P.flagged(b(spark, d)))
@@ -378,21 +392,6 @@ def redact_gazetteer(spark, d):
     return out.select("record_id", "texto_anon", F.slice(F.transform("texto_log", lambda x: x["start"].cast("string")), 1, 1).alias("first_start"))
 
 
-def _folder(spark) -> str:
-    """A folder for files, in the one that driver and executors share; in local mode, of this machine.  It goes when the
-    driver's JVM ends."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    master = spark.sparkContext.master
-    if not shared and master != "local" and not master.startswith("local["):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    at = f"{shared.rstrip('/')}/files-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="curalis-")
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
-    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    store.mkdirs(where)
-    store.deleteOnExit(where)
-    return at
-
-
 _REVIEWED = "SELECT record_id, texto AS text FROM corpus WHERE indexable"
 _COUNTS = {
     "corpus.parquet": "(SELECT count(*) FROM corpus)",
@@ -421,7 +420,7 @@ UNION ALL SELECT 'manifest.regla.' || regla, count(*) FROM replaced GROUP BY 1""
 )
 def run_outputs(spark, d):
     """A whole run from a file to files, and the review of its corpus: rows of each output and counts of the manifest."""
-    at = _folder(spark)
+    at = store.folder(spark)
     S.write_csv(a(spark, d), f"{at}/notes.csv")
     out, reports = f"{at}/outputs", f"{at}/reports"
     manifest = P.run(spark, f"{at}/notes.csv", out, reports)
@@ -442,7 +441,7 @@ def run_outputs(spark, d):
 
 @query("csv_round_trip", f"WITH {_A} SELECT record_id, unit, reason, exam, stay FROM a")
 def csv_round_trip(spark, d):
-    at = f"{_folder(spark)}/notes.csv"
+    at = f"{store.folder(spark)}/notes.csv"
     S.write_csv(a(spark, d), at)
     return S.to_notes(S.read_csv(spark, at))
 
@@ -450,13 +449,13 @@ def csv_round_trip(spark, d):
 @query("csv_split", f"WITH {_A} SELECT record_id, unit, reason, exam, stay FROM a UNION ALL SELECT * FROM (WITH {_B} SELECT record_id, unit, reason, exam, stay FROM b)")
 def csv_split(spark, d):
     """Notes of both adapters in one folder of files, documents with their line ends inside quotes; each file is read in byte ranges."""
-    at = f"{_folder(spark)}/notes.csv"
+    at = f"{store.folder(spark)}/notes.csv"
     S.write_csv(a(spark, d).unionAll(b(spark, d)), at)
     return S.to_notes(S.read_csv(spark, at))
 
 
 @query("mine_loose_csv", ORACLE["mine_institutions"])
 def mine_loose_csv(spark, d):
-    at = f"{_folder(spark)}/notes.csv"
+    at = f"{store.folder(spark)}/notes.csv"
     S.write_csv(a(spark, d), at)
     return mining.institutions(mining.blobs(S.to_notes(S.read_loose_csv(spark, at))))

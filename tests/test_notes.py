@@ -237,3 +237,48 @@ def test_duplicates_of_one_text_everywhere(spark):
     f = flagged(spark, rows)
     assert sorted(int(i) for i, r in f.items() if r.duplicate) == list(range(2, 61))
     assert list(P.flagged(notes(spark, rows[:1])).columns)[0] == "record_id"
+
+
+def test_repeated_and_missing_ids(spark):
+    """One row of each text stays: that of the least id, of rows with one id any one, of rows without id only if there is no other."""
+    rows = [("5", FULL), ("5", FULL), ("7", FULL), (None, FULL), (None, ("otro " + FULL[0], *FULL[1:])), (None, ("otro " + FULL[0], *FULL[1:])), ("9", (None, None, None)), ("9", (None, None, None))]
+    df = spark.createDataFrame([(i, "Años", *r) for i, r in rows], NOTE).repartition(3)
+    got = P.flagged(df).groupBy("record_id", "hash_texto").agg(F.count("*").alias("n"), F.count_if("duplicate").alias("d"), F.count_if("empty").alias("e")).collect()
+    assert sorted(((r.record_id or "", r.n, r.d, r.e) for r in got)) == sorted([("5", 2, 1, 0), ("7", 1, 1, 0), ("", 1, 1, 0), ("", 2, 1, 0), ("9", 2, 0, 2)])
+
+
+def test_texts_are_cleaned_once(spark):
+    """What is read back holds no cleaning: the plan scans the written rows twice and has no rule of it."""
+    plan = P.flagged(notes(spark, [(2, FULL), (10, FULL)]))._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_replace" not in plan and plan.count("Scan parquet") <= 2
+
+
+def test_next_file(spark):
+    """Marks of a second file, given the first ids of the first one, are those of both files together."""
+    rng = random.Random(5)
+    text = lambda i: (f"{FULL[0]} {i}", *FULL[1:])
+    rows = [(rng.randint(0, 500), text(rng.randint(0, 30))) for _ in range(200)]
+    rows = list(dict.fromkeys((i, t) for i, t in {i: t for i, t in rows}.items()))
+    one, two = notes(spark, rows[:80]), notes(spark, rows[80:])
+    whole = {r.record_id: r.duplicate for r in P.flagged(one.unionAll(two)).collect()}
+    first = P.flagged(one)
+    earlier = quality.first_ids(first)
+    second = quality.flags(quality.normalise(two), earlier=earlier)
+    marks = {r.record_id: r.duplicate for r in first.unionAll(second).collect()}
+    gone = {str(r.id) for r in quality.displaced(second, earlier).collect()}
+    assert gone and {i: d or i in gone for i, d in marks.items()} == whole
+    assert sorted(map(tuple, quality.first_ids(second, earlier).collect())) == sorted(map(tuple, quality.first_ids(P.flagged(one.unionAll(two))).collect()))
+
+
+def test_strata_without_sorting(spark, monkeypatch):
+    monkeypatch.setattr(verify, "BINS", 3)
+    rng = random.Random(6)
+    for n in (0, 1, 2, 3, 5, 8, 200):
+        rows = [(None if i == 3 and n == 8 else str(rng.choice([i, -i, i << 40, (1 << 63) - 1 - i])), rng.choice([10, 10, 10, 11, 4000, i])) for i in range(n)]
+        rows = list(dict(rows).items())
+        df = spark.createDataFrame(rows, "record_id string, n_chars_doc int").withColumn("apto_rag", F.lit(True)).repartition(3)
+        got = {r.record_id: r.estrato for r in verify.review_sample(df, 10**6).collect()}
+        order = sorted(rows, key=lambda r: (r[1], verify.LEAST_ID if r[0] is None else int(r[0])))
+        names = [s for s, _ in V.STRATA]
+        want = {r[0]: names[max(1, -(-i * 4 // max(len(rows) - 1, 1))) - 1] for i, r in enumerate(order)}
+        assert {k: v for k, v in got.items()} == {k: v for k, v in want.items() if k is not None}
