@@ -15,9 +15,12 @@ threshold decides what is around it.
 Parts that are never main text are cut before: scripts and the like; menus, headers and footers of the page,
 sidebars, forms; and elements whose class, id or role says advert, notice, comments and so on.  Such a word must be a
 whole class name, or make up a compound one together with words of ``PLACES`` (``comment-list``, but neither
-``has-sidebar`` nor ``search-result``).  An element that holds the page's ``main`` or only ``h1`` is not cut for its
-name or class, nor is one besides which less than ``REST`` of the plain text of a page without ``article`` and
-``main`` would be left.
+``has-sidebar`` nor ``search-result``).  Words of ``STRONG`` (comments, adverts, cookies) also say so at the start or end of any
+compound (``reader-comments``, ``ad-300x250``), unless it starts with a word of ``STATES`` (``has-comments``).  Hidden elements
+(an attribute ``hidden``, ``aria-hidden="true"``, ``display:none``) are treated alike; attributes are read by name and value.
+An element that holds the page's ``main`` or only ``h1`` is not cut for its name, class or state, nor is one besides which less
+than ``REST`` of the plain text of a page without ``article`` and ``main`` would be left, or in one of those less than
+``REST`` of its own and fewer than ``FEW`` characters.
 
 Tags and attributes are read in one pass, and the innermost open element of each name is known, so time is linear
 in the page's length, also for deeply nested, unclosed and misnested elements.
@@ -49,12 +52,14 @@ BLOCK = CUT | frozenset(
 )
 #: Words of class, id and role names of parts that are not main text, and words that only say what or where such a part is.
 NOISE = frozenset(
-    "ad ads advert adverts advertisement advertising adsbygoogle banner breadcrumb breadcrumbs comment comments commentlist disqus respond replies reply contentinfo cookie cookies consent gdpr footer masthead menu navbar nav navigation newsletter notice notices alert outbrain pager pagination popup modal promo promos promoted recommended recommendations related share sharing sidebar social sponsor sponsored subscribe subscription taboola toolbar widget widgets complementary search skip login signup".split()
+    "ad ads advert adverts advertisement advertising adsbygoogle banner breadcrumb breadcrumbs comment comments commentlist disqus respond replies reply contentinfo cookie cookies consent gdpr footer masthead menu navbar nav navigation newsletter notice notices alert outbrain pager pagination popup modal promo promos promoted recommended recommendations related share sharing sidebar social sponsor sponsored subscribe subscription taboola toolbar widget widgets complementary search skip login signup discussion discussions thread threads".split()
 )
 PLACES = frozenset(
     "area bar block bottom box btn button buttons center column container content cta fixed footer form global group header holder icon icons inline inner item items label left link links list main message middle overlay page panel placeholder post posts primary right row secondary section show site slot sticky strip the thread to top unit wrap wrapper".split()
 )
-REST = 0.1
+STRONG = frozenset("ad ads advert adverts advertisement advertising adsbygoogle comment comments commentlist disqus respond replies cookie cookies gdpr".split())
+STATES = frozenset("has have no not with without show hide is allow open close closed single can".split())
+REST, FEW = 0.1, 200
 #: A start of one closes an open other, unless one of the bounds is open inside that.
 BOUNDS = ("div", "section", "article", "main", "td", "th")
 CLOSES = {
@@ -68,9 +73,9 @@ CLOSES = {
 }
 NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 ATTRIBUTES = re.compile(r"[^>\"']*")
-LABELS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
+ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>\"']+)))?")
 WORDS = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]+")
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+INVISIBLE = re.compile(r"(?:^|[;\s])display\s*:\s*none\b", re.I)
 
 
 class Node:
@@ -85,12 +90,26 @@ class Node:
         self.density = self.total = 0.0
 
 
-def noisy(attributes: str) -> bool:
-    for quoted, single, bare in LABELS.findall(attributes):
-        for name in (quoted or single or bare).split():
+def attributes_of(raw: str) -> dict[str, str]:
+    """Values by name in lower case; of a name that is repeated the first counts."""
+    out: dict[str, str] = {}
+    for name, quoted, single, bare in ATTRIBUTE.findall(raw):
+        out.setdefault(name.lower(), quoted or single or bare)
+    return out
+
+
+def hidden(attributes: dict[str, str]) -> bool:
+    return "hidden" in attributes or attributes.get("aria-hidden", "").strip().lower() == "true" or bool(INVISIBLE.search(attributes.get("style", "")))
+
+
+def noisy(attributes: dict[str, str]) -> bool:
+    for label in ("class", "id", "role"):
+        for name in attributes.get(label, "").split():
             words = [w.lower() for w in WORDS.findall(name)]
             if words and any(w in NOISE for w in words) and all(w in NOISE or w in PLACES for w in words):
                 return True
+            if words and words[0] not in STATES and (words[0] in STRONG or words[-1] in STRONG):
+                return True
     return False
 
 
@@ -137,11 +156,11 @@ class Parser:
         if name == "a" and self.at["a"]:
             self.end("a")
         parent = self.open[-1]
-        cut = name in NEVER or bool(attributes and HIDDEN.search(attributes))
         suspect = name in CUT or (name == "header" and not self.at["article"] and not self.at["main"])
-        if not suspect and attributes and name not in ("article", "main"):
-            suspect = noisy(attributes)
-        node = Node(name, parent, cut, suspect)
+        if not suspect and attributes:
+            named = attributes_of(attributes)
+            suspect = hidden(named) or (name not in ("article", "main") and noisy(named))
+        node = Node(name, parent, name in NEVER, suspect)
         parent.children.append(node)
         parent.parts.append(node)
         if name not in VOID and not (attributes.endswith("/") and name not in BLOCK):
@@ -241,19 +260,24 @@ def cut_suspects(root: Node) -> None:
         kept = [c for c in node.children if not c.cut]
         plain[id(node)] = node.chars - node.link_chars + sum(plain[id(c)] for c in kept)
         head[id(node)] = node.tag == "main" or (node.tag == "h1" and headings == 1) or any(head[id(c)] for c in kept)
-    suspects, stack, marked = [], [root], False
+    suspects, stack, marked = [], [(root, None)], False
+    left = {id(root): plain[id(root)]}  # of the page, and of each part that is marked as the main one
     while stack:
-        node = stack.pop()
+        node, inside = stack.pop()
         if node.suspect and not head[id(node)]:
-            suspects.append(node)
+            suspects.append((node, inside))
         else:
-            marked |= node.tag in ("article", "main") and plain[id(node)] > 0
-            stack.extend(c for c in node.children if not c.cut)
-    left, total = plain[id(root)], plain[id(root)]
-    for node in sorted(suspects, key=lambda n: plain[id(n)]):  # the smallest first
-        if marked or left - plain[id(node)] >= REST * total:
+            if node.tag in ("article", "main") and plain[id(node)] > 0:
+                marked, inside = True, inside or node
+                left.setdefault(id(inside), plain[id(inside)])
+            stack.extend((c, inside) for c in node.children if not c.cut)
+    for node, inside in sorted(suspects, key=lambda x: plain[id(x[0])]):  # the smallest first
+        of = inside or root
+        rest = left[id(of)] - plain[id(node)]
+        # Outside of what is marked, anything may go.
+        if (marked and inside is None) or rest >= REST * plain[id(of)] or (inside is not None and rest >= FEW):
             node.cut = True
-            left -= plain[id(node)]
+            left[id(of)] = rest
 
 
 def measure(root: Node) -> list[Node]:
