@@ -14,9 +14,11 @@ are known to be connected is compared again.
 
 Two settings: ``CONTRACT``, 64 bits of 3-word shingles, threshold 2, two blocks of 31 bits: of at most 3
 differing bits one block holds at most 1, so no link is lost.  ``SIMILAR``, for a Jaccard similarity of 0.8 of
-5-word shingles: 128 bits, whose expected distance at that similarity is the threshold, in seven blocks of
-18 bits; here blocks find a pair with a probability that falls with its distance (the README has measured
-recall).  A block of w bits leaves about 2**(w - order) anchors; ``free`` should grow with the logarithm of the number of
+5-word shingles: 128 bits in seven blocks of 18 bits.  Pairs within the expected distance of a similarity of
+0.93 (``sure``) are links; those up to two standard deviations beyond the expected distance of 0.8 are links if the
+Jaccard similarity of their sets of shingles is 0.8 or more.  What sure links connect is one group here: of the pairs between
+two groups the closest is verified.  Distance and blocks find a pair with a probability that grows with its
+similarity (the README has measured recall).  A block of w bits leaves about 2**(w - order) anchors; ``free`` should grow with the logarithm of the number of
 documents, at the price of recall.
 
 Null and empty texts have fingerprint 0 and are linked like any other.  Rows with a null id get a
@@ -30,6 +32,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +57,9 @@ class Setting:
     threshold: int
     order: int
     free: int
+    #: Most differing bits of a link that needs no verification (None: all links), and the least similarity of the others.
+    sure: int | None = None
+    similarity: float = 0.8
 
     @property
     def width(self) -> int:
@@ -64,25 +70,25 @@ class Setting:
         return self.bits // self.width
 
 
-def expected_distance(similarity: float, bits: int) -> int:
-    """Differing bits of the SimHashes of two sets of one size with this Jaccard similarity."""
-    return int(bits * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+def distance(similarity: float, bits: int, deviations: float = 0) -> int:
+    """Differing bits of the SimHashes of two sets of one size with this Jaccard similarity: the expected number,
+    and some standard deviations."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return int(bits * share + deviations * math.sqrt(bits * share * (1 - share)))
 
 
 CONTRACT = Setting(shingle=3, bits=64, threshold=2, order=5, free=0)
-SIMILAR = Setting(shingle=5, bits=128, threshold=expected_distance(0.8, 128), order=4, free=3)
+SIMILAR = Setting(shingle=5, bits=128, threshold=distance(0.8, 128, 2), order=4, free=3, sure=distance(0.93, 128))
 #: Members of an anchor compared at a time, and members from which on a large group in it is looked for first.
 BLOCK, LARGE = 256, 1_024
 
 
-def fingerprints(data, offsets, setting: Setting = CONTRACT) -> np.ndarray:
-    """Fingerprints as rows of 64-bit words, the lowest bits first."""
+def shingle_hashes(data, offsets, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """XXH64 of each shingle of some texts, and where those of each text begin and end."""
     low = A.LOWER[data]
     starts, ends = A.spans_of(A.NOT_SPACE[low], offsets)
-    size, words = setting.shingle, setting.bits // 64
-    out = np.zeros((len(offsets) - 1, words), np.uint64)
     if not len(starts):
-        return out
+        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
     # One space between words: bytes of words, and one byte before each word but the first of a document.
     first = np.searchsorted(starts, offsets)
     length = ends - starts
@@ -97,16 +103,23 @@ def fingerprints(data, offsets, setting: Setting = CONTRACT) -> np.ndarray:
     keep = (np.arange(len(starts)) + size <= np.repeat(first[1:], counts)) | ((np.arange(len(starts)) == np.repeat(first[:-1], counts)) & (np.repeat(counts, counts) < size))
     digest = xxhash.xxh64_intdigest
     h = np.array([digest(raw[a:b], SEED) for a, b in zip(at[keep].tolist(), to[last[keep]].tolist(), strict=True)], np.uint64)
-    h = np.stack([h, *(A.mix(h + A.U64(k)) for k in range(1, words))], 1)
-    n = np.maximum(counts - size + 1, np.minimum(counts, 1))
-    bounds = np.r_[0, np.cumsum(n)]
-    bits = np.unpackbits(h.view(np.uint8).reshape(len(h), -1), axis=1, bitorder="little")
-    for lo in range(0, len(out), 256):
-        docs = np.arange(lo, min(lo + 256, len(out)))
-        docs = docs[n[docs] > 0]
-        if len(docs):
-            ones = np.add.reduceat(bits[: bounds[docs[-1] + 1]], bounds[docs], axis=0, dtype=np.int32)
-            out[docs] = np.packbits(2 * ones > n[docs][:, None], axis=1, bitorder="little").view(np.uint64).reshape(len(docs), words)
+    return h, np.r_[0, np.cumsum(np.maximum(counts - size + 1, np.minimum(counts, 1)))]
+
+
+def fingerprints(data, offsets, setting: Setting = CONTRACT) -> np.ndarray:
+    """Fingerprints as rows of 64-bit words, the lowest bits first."""
+    words = setting.bits // 64
+    out = np.zeros((len(offsets) - 1, words), np.uint64)
+    h, bounds = shingle_hashes(data, offsets, setting.shingle)
+    n = np.diff(bounds)
+    for k in range(words):  # a word at a time: 64 bytes of memory for each shingle
+        bits = np.unpackbits((A.mix(h + A.U64(k)) if k else h).view(np.uint8).reshape(len(h), 8), axis=1, bitorder="little")
+        for lo in range(0, len(out), 256):
+            docs = np.arange(lo, min(lo + 256, len(out)))
+            docs = docs[n[docs] > 0]
+            if len(docs):
+                ones = np.add.reduceat(bits[: bounds[docs[-1] + 1]], bounds[docs], axis=0, dtype=np.int32)
+                out[docs, k] = np.packbits(2 * ones > n[docs][:, None], axis=1, bitorder="little").view(np.uint64).reshape(len(docs))
     return out
 
 
@@ -218,6 +231,28 @@ def _links(fp: np.ndarray, home: np.ndarray, threshold: int) -> tuple[np.ndarray
     return np.concatenate(us), np.concatenate(vs)
 
 
+def _undecided(fp: np.ndarray, home: np.ndarray, group: np.ndarray, setting: Setting) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of members of one anchor (home against all) in different groups whose distance makes them candidates, and
+    the distance: of each two groups the closest pair."""
+    hosts, found = np.flatnonzero(home), [np.zeros((0, 3), np.int64)]
+    for lo in range(0, len(hosts), BLOCK):
+        u, v = _near(fp, hosts[lo : lo + BLOCK], np.arange(len(fp)), setting.threshold)
+        apart = group[u] != group[v]
+        u, v = u[apart], v[apart]
+        made = np.stack([np.bitwise_count(fp[u] ^ fp[v]).sum(1).astype(np.int64), np.minimum(u, v), np.maximum(u, v)], 1)
+        found = [_closest(np.concatenate([*found, made]), group)]
+    d, u, v = found[0].T
+    return u, v, d
+
+
+def _closest(made: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Of rows of distance and two places the first for each two groups."""
+    made = made[np.lexsort(made.T[::-1])]
+    a, b = group[made[:, 1]], group[made[:, 2]]
+    first = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0, return_index=True)[1]
+    return made[first]
+
+
 def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Least node of each node's component for the nodes of some edges (``u``, ``v``)."""
     nodes, place = np.unique(np.concatenate([u, v]), return_inverse=True)
@@ -237,7 +272,9 @@ def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def linked(classes: DataFrame, setting: Setting = CONTRACT) -> DataFrame:
-    """From ``fp, node`` (distinct fingerprints): edges ``u, v`` that connect what links."""
+    """From ``fp, node`` (distinct fingerprints): edges ``u, v`` that connect what links (``d`` 0), and pairs to be
+    verified with their distance ``d``."""
+    sure = setting.threshold if setting.sure is None else setting.sure
     n = partitions(classes.sparkSession)
     words = setting.bits // 64
     schema = T.StructType([T.StructField("anchor", T.LongType()), T.StructField("fp", T.BinaryType()), T.StructField("node", T.LongType()), T.StructField("home", T.BooleanType())])
@@ -256,15 +293,23 @@ def linked(classes: DataFrame, setting: Setting = CONTRACT) -> DataFrame:
         fp = np.concatenate([_matrix(p.column(1), words) for p in parts])
         bounds = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1], True])
         hosted = np.add.reduceat(home, bounds[:-1], dtype=np.int64) > 0
-        us, vs = [], []
+        us, vs, maybe = [], [], []
         for i in np.flatnonzero((np.diff(bounds) > 1) & hosted):
             lo, hi = bounds[i], bounds[i + 1]
-            a, b = _links(fp[lo:hi], home[lo:hi], setting.threshold)
+            a, b = _links(fp[lo:hi], home[lo:hi], sure)
             us.append(node[lo:hi][a])
             vs.append(node[lo:hi][b])
+            if sure < setting.threshold:
+                group = np.arange(hi - lo)
+                linked_, roots = forest(a, b)
+                group[linked_] = roots
+                a, b, d = _undecided(fp[lo:hi], home[lo:hi], group, setting)
+                maybe.append((node[lo:hi][a], node[lo:hi][b], d))
         if us:
             nodes, roots = forest(np.concatenate(us), np.concatenate(vs))
-            yield pa.RecordBatch.from_arrays([pa.array(nodes[nodes != roots]), pa.array(roots[nodes != roots])], names=["u", "v"])
+            u, v = nodes[nodes != roots], roots[nodes != roots]
+            made = [(u, v, np.zeros(len(u), np.int64)), *maybe]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*made, strict=True)], names=["u", "v", "d"])
 
     def compare(batches):
         held, key = [], None
@@ -285,7 +330,49 @@ def linked(classes: DataFrame, setting: Setting = CONTRACT) -> DataFrame:
     replicas = classes.select("fp", "node").mapInArrow(replicate, schema)
     # Anchors without a home member, or with one member only, compare nothing; counting them first costs
     # as much as sending them.
-    return replicas.repartition(n, "anchor").sortWithinPartitions("anchor").mapInArrow(compare, "u long, v long")
+    return replicas.repartition(n, "anchor").sortWithinPartitions("anchor").mapInArrow(compare, "u long, v long, d long")
+
+
+def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, setting: Setting) -> DataFrame:
+    """The ``pairs`` of nodes ``u, v`` whose texts have similar sets of shingles.  ``classes`` has ``node, class, h``
+    and ``texts`` has ``class, h, text``."""
+
+    def sets(batches):
+        for batch in batches:
+            data, offsets, _ = A.utf8(batch.column(1))
+            out = []
+            for lo, hi in A.chunks(offsets):
+                h, bounds = shingle_hashes(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], setting.shingle)
+                out += [np.unique(h[a:b]).view(np.int64) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int64()))], names=["node", "shingles"])
+        A.release()
+
+    nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    wanted = classes.join(nodes, "node").select("node", "class", "h")
+    # Equal rows have one text.
+    known = texts.join(wanted, ["class", "h"]).select("node", "text").mapInArrow(sets, "node long, shingles array<long>").dropDuplicates(["node"])
+    known = materialise(known, "shingles")
+    both = pairs.join(known.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u").join(known.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
+    same = F.size(F.array_intersect("a", "b"))
+    return both.withColumn("same", same).where(F.col("same") >= setting.similarity * (F.size("a") + F.size("b") - F.col("same"))).select("u", "v")
+
+
+def _groups(classes: DataFrame, texts: DataFrame, setting: Setting) -> DataFrame:
+    """``u, v``: each node that is linked to a lesser one, and the least node of its component."""
+    if setting.sure is None:
+        return components(linked(classes, setting).select("u", "v"))
+    found = materialise(linked(classes, setting), "links")
+    near = components(found.where("d = 0").select("u", "v"))
+
+    def root(of: str) -> DataFrame:
+        return near.select(F.col("u").alias(of), F.col("v").alias(f"root_{of}"))
+
+    pairs = found.where("d > 0").groupBy("u", "v").agg(F.min("d").alias("d")).join(root("u"), "u", "left").join(root("v"), "v", "left")
+    pairs = pairs.withColumns({"ru": F.coalesce("root_u", "u"), "rv": F.coalesce("root_v", "v")}).where("ru != rv")
+    closest = pairs.groupBy(F.least("ru", "rv").alias("a"), F.greatest("ru", "rv").alias("b")).agg(F.min(F.struct("d", "u", "v")).alias("x"))
+    closest = materialise(closest.select("a", "b", "x.u", "x.v"), "pairs")
+    more = closest.join(verified(closest.select("u", "v"), classes, texts, setting), ["u", "v"]).select(F.col("b").alias("u"), F.col("a").alias("v"))
+    return components(near.unionAll(more))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id", keep: list[str] | None = None, setting: Setting = CONTRACT) -> DataFrame:
@@ -293,10 +380,13 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     ``component_id``, the least id reachable over links.  The kept columns are written once beside the
     fingerprints."""
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("fingerprint", "component_id")]
-    own = docs.select(*(F.col(f"`{c}`").alias(f"k_{c}") for c in keep), F.col(id_col).cast("long").alias("__id"), F.col(text).alias("__text"))
-    rows = materialise(with_fingerprint(own, "__text", [*(f"k_{c}" for c in keep), "__id"], setting), "fingerprints")
-    classes = materialise(rows.where("__id is not null").groupBy("fp").agg(F.min("__id").alias("class")).withColumn("node", F.monotonically_increasing_id()), "classes")
-    member = components(linked(classes, setting))
+    own = docs.select(*(F.col(f"`{c}`").alias(f"k_{c}") for c in keep), F.col(f"`{id_col}`").cast("long").alias("__id"), F.col(f"`{text}`").alias("__text"))
+    own = own.withColumn("__hash", F.lit(0).cast("long") if setting.sure is None else F.xxhash64(F.coalesce("__text", F.lit(""))))
+    rows = materialise(with_fingerprint(own, "__text", [*(f"k_{c}" for c in keep), "__id", "__hash"], setting), "fingerprints")
+    classes = rows.where("__id is not null").groupBy("fp").agg(F.min(F.struct("__id", "__hash")).alias("x"))
+    classes = materialise(classes.select("fp", F.col("x.__id").alias("class"), F.col("x.__hash").alias("h")).withColumn("node", F.monotonically_increasing_id()), "classes")
+    texts = own.select(F.col("__id").alias("class"), F.col("__hash").alias("h"), F.coalesce("__text", F.lit("")).alias("text"))
+    member = _groups(classes, texts, setting)
     # Nodes are numbers of classes: rows that share an id may be in different classes.
     of = classes.join(member, classes["node"] == member["u"], "left").select("fp", "class", F.coalesce("v", "node").alias("root"))
     least = of.groupBy("root").agg(F.min("class").alias("component_id"))
@@ -310,20 +400,19 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id", setting: Setting = SIMILAR) -> DataFrame:
     """One document of each component: the one with the least id (of rows that share it, the one with the
-    least hash of the text; of equal rows, one).  Rows with a null id are kept."""
-    own = docs.withColumn("__h", F.xxhash64(F.coalesce(text, F.lit(""))))
-    found = near_duplicates(own, text, id_col, [id_col, "__h"], setting).where("component_id is not null")
-    each = found.groupBy("component_id", F.col(id_col).alias("i"), F.col("__h").alias("h")).agg(F.count("*").alias("n"))
-    stays = materialise(each.groupBy("component_id").agg(F.min_by("n", F.struct("i", "h")).alias("n"), F.min(F.struct("i", "h")).alias("x")).select(F.col("x.i").alias(id_col), F.col("x.h").alias("__h"), "n"), "stays")
-    once = own.join(stays.where("n = 1"), [id_col, "__h"], "left_semi")
-    parts = [once, own.where(F.col(id_col).isNull())]
+    least hash of the text; of equal rows, one).  Rows with a null id are kept.  The documents' own columns are returned,
+    whatever their names."""
+    own = docs.select(*(F.col(f"`{c}`").alias(f"k_{c}") for c in docs.columns), F.col(f"`{id_col}`").cast("long").alias("__i"), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("__h"))
+    found = near_duplicates(own, f"k_{text}", "__i", ["__i", "__h"], setting).where("component_id is not null")
+    each = found.groupBy("component_id", F.col("__i").alias("i"), F.col("__h").alias("h")).agg(F.count("*").alias("n"))
+    stays = materialise(each.groupBy("component_id").agg(F.min_by("n", F.struct("i", "h")).alias("n"), F.min(F.struct("i", "h")).alias("x")).select(F.col("x.i").alias("__i"), F.col("x.h").alias("__h"), "n"), "stays")
+    once = own.join(stays.where("n = 1"), ["__i", "__h"], "left_semi")
+    parts = [once, own.where(F.col("__i").isNull())]
     if not stays.where("n > 1").isEmpty():
         # Equal rows; partial aggregation leaves one per task before anything is sent.
-        parts.append(own.join(stays.where("n > 1"), [id_col, "__h"], "left_semi").dropDuplicates([id_col, "__h"]))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(*(F.col(f"`{c}`") for c in docs.columns))
+        parts.append(own.join(stays.where("n > 1"), ["__i", "__h"], "left_semi").dropDuplicates(["__i", "__h"]))
+    out = reduce(DataFrame.unionByName, parts)
+    return out.select(*(F.col(f"`k_{c}`").alias(c) for c in docs.columns))
 
 
 def op7(spark, sf_dir):
