@@ -138,7 +138,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = N, id_col
         if passed:
             out = out.withColumns({"hit_spans": F.concat("__hit_spans", "hit_spans"), "hit_items": F.array_sort(F.array_union("__hit_items", "hit_items"))}).drop(*(f"__{c}" for c in added))
         df = materialise(out, "decontam") if shard < shards - 1 else out
-    return df.select(*keep, *added)
+    return df.select(*(F.col(f"`{c}`") for c in (*keep, *added)))
 
 
 def n_hit_words(spans: str = "hit_spans"):
@@ -155,8 +155,12 @@ def n_hit_words(spans: str = "hit_spans"):
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents in which no benchmark window occurs, with their own columns."""
-    return find_contamination(docs, benchmark, **options).where(F.size("hit_spans") == 0).select(*docs.columns)
+    """The documents in which no benchmark window occurs, with their own columns, whatever their names.  ``text_col`` names
+    the text of both tables; the other options are those of ``find_contamination``."""
+    text = options.pop("text_col", "text")
+    own = docs.select(*(F.col(f"`{c}`").alias(f"k_{c}") for c in docs.columns), F.col(f"`{text}`").alias(text))
+    kept = find_contamination(own, benchmark, text_col=text, **options).where(F.size("hit_spans") == 0)
+    return kept.select(*(F.col(f"`k_{c}`").alias(c) for c in docs.columns))
 
 
 def op9(spark, sf_dir):

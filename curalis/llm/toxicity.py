@@ -137,7 +137,11 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text",
 
 
 def drop_toxic(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text", threshold: float = 0.5) -> DataFrame:
-    return score(docs, model, text).where(F.col("score") < threshold).select(*docs.columns)
+    """The documents whose score is below the threshold, with their own columns, whatever their names.  Null and empty
+    texts have the score of a text without features; repeated rows are judged alike."""
+    own = docs.select(*(F.col(f"`{c}`").alias(f"k_{c}") for c in docs.columns))
+    kept = score(own, model, f"k_{text}").where(F.col("score") < threshold)
+    return kept.select(*(F.col(f"`k_{c}`").alias(c) for c in docs.columns))
 
 
 def held_out(id_col, parts: int = 5):

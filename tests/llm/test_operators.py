@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from curalis.llm import decontam, html, langid, licenses, mixing, quality, simhash, substring, suffix_dedup, toxicity
 from tests.conftest import DATA
@@ -280,22 +281,36 @@ def test_large_anchor_links_alike():
 
 
 def test_similar_recall(spark):
-    """Pairs of a known similarity of 5-word shingles; unrelated texts stay apart."""
+    """Pairs by the similarity of their 5-word shingles: those of 0.8 or more are linked, others and unrelated texts
+    stay apart, but for a few close to 0.8."""
     rng = random.Random(31)
-    texts, pairs = [], {}
-    for changes, least in ((1, 0.95), (4, 0.7)):
+    texts, similarity = [], {}
+
+    def shingles(w):
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+    for changes in (1, 4, 6, 9, 12, 18):
         for _ in range(60):
             w = prose(rng, 300).split()
             near = list(w)
             for at in rng.sample(range(300), changes):
                 near[at] = "changed" + str(rng.random())[2:6]
-            pairs.setdefault(least, []).append((len(texts), len(texts) + 1))
+            a, b = shingles(w), shingles(near)
+            similarity[len(texts) + 1] = len(a & b) / len(a | b)
             texts += [" ".join(w), " ".join(near)]
+    texts += ["one two three", "one two three", "one two four"]
     group = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs(spark, texts), keep=["doc_id"], setting=simhash.SIMILAR).collect()}
-    for least, found in pairs.items():
-        assert np.mean([group[a] == group[b] for a, b in found]) >= least
     assert all(group[i] in (i, i - 1) for i in group)
 
+    def share(lo, hi):
+        found = [group[i] == i - 1 for i, x in similarity.items() if lo <= x < hi]
+        assert len(found) >= 20
+        return np.mean(found)
+
+    assert share(0.9, 1.1) == 1 and share(0.8, 0.9) >= 0.9
+    assert share(0.74, 0.8) <= 0.05 and share(0, 0.74) == 0
+    assert [group[len(texts) - k] for k in (3, 2, 1)] == [len(texts) - 3, len(texts) - 3, len(texts) - 1]
+
 
 # -- decontamination
 @pytest.mark.parametrize("limit", [decontam.MAX_SET_BYTES, 200])
@@ -673,3 +688,60 @@ def test_html_time_is_linear():
 
     seconds(1_000)
     assert seconds(20_000) < 30 * max(seconds(2_000), 0.02)
+
+
+# -- op2: what names and attributes say
+PROSE = "<p>" + " ".join(f"word{i} and more text" for i in range(60)) + "</p>"
+SHORT = "<p>" + " ".join(f"remark{i} is short" for i in range(12)) + "</p>"
+
+
+@pytest.mark.parametrize("attributes", ['class="md:flex hidden lg:block"', 'class="overflow-x hidden md-block"', 'style="overflow: hidden "', 'data-x="a hidden b"', 'title="display:none"', 'class="has-comments with-ads"', 'class="no-ad"', 'aria-hidden="false"', 'hidden', 'class="single-comments"'])
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_html_keeps_articles(tag, attributes):
+    page = f"<body><div><a href=x>menu</a> <a href=y>more</a></div><{tag} {attributes}><h2>Title here</h2>{PROSE}<p title='the hidden gem'>The end.</p></{tag}></body>"
+    text = html.main_text(page)
+    assert "word59 and more text" in text and text.endswith("The end.")
+
+
+@pytest.mark.parametrize("name", ["reader-comments", "user-comments", "article-comments", "blog-comments", "comment-body", "discussion", "ad-300x250", "ad-leaderboard", "google-ad", "advert-mpu", "dfp-ad", "cookie-law-info-bar", "thread", "readerComments"])
+@pytest.mark.parametrize("wrap", ["article", "div"])
+def test_html_drops_comments_and_adverts(wrap, name):
+    inside = f"<body><{wrap}><h2>Title</h2>{PROSE}<div class='{name}'>{SHORT}</div><p>The end.</p></{wrap}></body>"
+    beside = f"<body><{wrap}><h2>Title</h2>{PROSE}<p>The end.</p></{wrap}><div id='{name}'>{SHORT}{SHORT}</div></body>"
+    for page in (inside, beside):
+        text = html.main_text(page)
+        assert "remark" not in text and "word59" in text and text.endswith("The end.")
+
+
+def test_html_keeps_the_rest_of_an_article():
+    """A name that says advert around nearly all of an article's text is not believed."""
+    page = f"<body><article><h2>Title</h2><div class='article-ad'>{PROSE}</div></article></body>"
+    assert "word59" in html.main_text(page)
+    assert html.main_text(f"<body><article><p>Short but whole.</p>{PROSE}</article><div style='display: none'>{SHORT}</div></body>").count("remark") == 0
+
+
+# -- stages return their documents' columns
+@pytest.mark.parametrize("stage", ["toxicity", "simhash", "substring", "decontamination", "mixing"])
+def test_stages_keep_columns(spark, stage):
+    import corpus_pipeline
+
+    rng = random.Random(41)
+    texts = [prose(rng, 80) for _ in range(30)] + [None, "", "short one"]
+    passage = prose(rng, 60)
+    texts[3], texts[9] = f"{texts[3]} {passage}", f"{texts[9]} {passage}"
+    names = ["score", "predicted", "n_words", "hit_spans", "size", "__h", "h", "a.b", "k_text", "k0", "id", "tag", "class", "node", "__i", "component_id", "fingerprint"]
+    table = docs(spark, texts).select("doc_id", "text", "lang", "source", "n_chars", *(F.concat(F.lit(f"{n}:"), F.col("doc_id").cast("string")).alias(n) for n in names))
+    function = dict(corpus_pipeline.STAGES)[stage]
+    if stage == "toxicity":
+        out = toxicity.drop_toxic(table, (np.zeros(toxicity.MASK + 1), -1.0))
+    elif stage == "decontamination":
+        out = decontam.remove_contaminated(table, spark.createDataFrame([(1, prose(rng, 20))], "item_id long, text string"))
+    else:
+        out = function(spark, table, DATA)
+    kept = [n for n in names if stage != "mixing" or n not in ("size",)]
+    if stage != "mixing":
+        assert out.columns == table.columns
+    rows = out.collect()
+    assert len({r.doc_id for r in rows}) >= 25
+    for r in rows:
+        assert all(r[n] == f"{n}:{r.doc_id}" for n in kept)
