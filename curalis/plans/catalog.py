@@ -378,7 +378,7 @@ FROM {orders} JOIN {customer} ON o_custkey = c_custkey"""
 @query(
     "redact_gazetteer",
     f"""WITH t AS ({_NAMED.format(orders='orders', customer='customer')}), l AS (SELECT o_orderkey, c_custkey % 3 <> 0 AS listed FROM orders JOIN customer ON o_custkey = c_custkey)
-SELECT record_id, CASE WHEN listed THEN regexp_replace(regexp_replace(texto, '(?i)customer#[0-9]{{9}}([^0-9])', '[MUNICIPIO]\1', 'g'), 'bolivar, [A-Z]+$', 'bolivar, ' || s) ELSE texto END AS texto_anon,
+SELECT record_id, CASE WHEN listed THEN regexp_replace(texto, '(?i)customer#[0-9]{{9}}([^0-9])', '[MUNICIPIO]\\1', 'g') ELSE texto END AS texto_anon,
   CASE WHEN listed THEN [CAST(position('CUSTOMER#' IN texto) - 1 AS VARCHAR)] ELSE [] END AS first_start
 FROM t JOIN l ON record_id = CAST(o_orderkey AS VARCHAR)""",
 )
