@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pathlib import Path
-
 import yaml
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from curalis.functions import gazetteer
 from curalis.functions import text as X
 from curalis.functions import values as V
+from curalis.sources.notes import write_text
 
 FIRST_ROWS = 30_000
 
@@ -49,10 +49,14 @@ NOTE = "Borrador minado del corpus: revisar a mano, añadir lo que falte y quita
 
 
 def draft_lists(texts: DataFrame, path: str) -> dict[str, list[str]]:
-    """The three lists as YAML, to be curated by hand, under the keys the rules read.  They are short: distinct
-    names only."""
-    lists = {"instituciones": [r[0] for r in institutions(texts).collect()], "medicos": [r[0] for r in doctors(texts).collect()], "municipios": [r[0] for r in places(texts).collect()]}
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    with open(path, "w", encoding="utf-8") as f:
-        yaml.safe_dump({"_nota": NOTE, **lists}, f, allow_unicode=True, sort_keys=False)
+    """The three lists as YAML in any store, to be curated by hand, under the keys the rules read.  Each list is also written by
+    Spark, one name a line, to ``<path>.d``; it is read from there, if its size is one that the rules take
+    (``gazetteer.MAX_BYTES``)."""
+    spark = texts.sparkSession
+    tables = {"instituciones": institutions(texts).select("nombre"), "medicos": doctors(texts), "municipios": places(texts)}
+    lists = {}
+    for name, table in tables.items():
+        table.toDF("value").write.mode("overwrite").text(f"{path}.d/{name}")
+        lists[name] = gazetteer.names_of(spark.read.text(f"{path}.d/{name}"), "value")
+    write_text(spark, path, yaml.safe_dump({"_nota": NOTE, **lists}, allow_unicode=True, sort_keys=False))
     return lists

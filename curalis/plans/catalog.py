@@ -8,6 +8,7 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Callable
 
+import yaml
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -387,8 +388,10 @@ def redact_gazetteer(spark, d):
     orders, customer = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("orders", "customer"))
     named = spark.sql(_NAMED, orders=orders, customer=customer)
     names = gazetteer.names_of(customer.where("c_custkey % 3 <> 0"), "c_name")
-    lists = V.LISTS | {"municipios": [*V.LISTS["municipios"], *(n.lower() for n in names)]}
-    out = redact.redact(named, "texto", lists, {"municipio"})
+    # The lists go through a file, as a user's own do.
+    at = f"{store.folder(spark)}/gazetteers.yaml"
+    S.write_text(spark, at, yaml.safe_dump(V.LISTS | {"municipios": [*V.LISTS["municipios"], *(n.lower() for n in names)]}, allow_unicode=True))
+    out = redact.redact(named, "texto", S.read_lists(at), {"municipio"})
     return out.select("record_id", "texto_anon", F.slice(F.transform("texto_log", lambda x: x["start"].cast("string")), 1, 1).alias("first_start"))
 
 

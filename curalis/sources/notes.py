@@ -6,6 +6,8 @@ Internally a note has columns ``record_id, unit, reason, exam, stay``.
 from __future__ import annotations
 
 import hashlib
+
+import pyarrow as pa
 import yaml
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,39 +70,69 @@ def discover(spark: SparkSession, *paths: str) -> str:
     raise FileNotFoundError(", ".join(paths or V.DEFAULT_PATHS))
 
 
-def sha256(spark: SparkSession, path: str) -> str:
-    """Hash of a file of any size, read as a stream; of a folder, of the hashes of its files by name."""
-    context = spark.sparkContext
-    where = context._jvm.org.apache.hadoop.fs.Path(path)
-    store = where.getFileSystem(context._jsc.hadoopConfiguration())
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text, in whatever store the path names."""
+    return "".join(r[0] for r in spark.read.text(path, wholetext=True).collect())
+
 
-    def one(file) -> str:
-        stream = store.open(file)
-        try:
-            return context._jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
-        finally:
-            stream.close()
+#: Files up to this size are hashed as one value; larger ones as a stream of lines.
+WHOLE_BYTES = 64 << 20
 
-    if not store.getFileStatus(where).isDirectory():
-        return one(where)
-    parts = sorted((str(s.getPath().getName()), s.getPath()) for s in store.listStatus(where) if s.isFile())
-    return hashlib.sha256("".join(one(p) for _, p in parts).encode()).hexdigest()
+
+def sha256(spark: SparkSession, path: str) -> str:
+    """Hash of a file; of a folder, of the hashes of its files by name.  Files are hashed by tasks, many at a time, and the driver
+    gets digests only.  One file's hash is one chain over its bytes: a large file is sorted by place in the task that hashes it
+    as a stream, so its lines and not the file must fit in memory."""
+    files = spark.read.format("binaryFile").load(path)
+    sizes = {r["path"]: r["length"] for r in files.select("path", "length").collect()}
+    small = files.where(F.col("length") <= WHOLE_BYTES).select("path", F.sha2("content", 256).alias("digest"))
+    found = {r["path"]: r["digest"] for r in small.collect()} if any(n <= WHOLE_BYTES for n in sizes.values()) else {}
+    large = [p for p in sizes if p not in found]
+    if large:
+        text = spark.read.option("lineSep", "\n").text(large)
+        lines = text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("id"), F.col("value").cast("binary").alias("value"))
+
+        def chain(batches):
+            now, digest, size, done = None, None, 0, 0
+
+            def row():
+                if done < size:  # the line end that the last line has, or has not
+                    digest.update(b"\n")
+                return pa.RecordBatch.from_pylist([{"file": now, "digest": digest.hexdigest()}])
+
+            for batch in batches:
+                for file, n, line in zip(*(batch.column(i).to_pylist() for i in (0, 1, 4)), strict=True):
+                    if file != now:
+                        if now is not None:
+                            yield row()
+                        now, digest, size, done = file, hashlib.sha256(), n, 0
+                    else:
+                        digest.update(b"\n")
+                        done += 1
+                    digest.update(line)
+                    done += len(line)
+            if now is not None:
+                yield row()
+
+        ordered = lines.repartition("file").sortWithinPartitions("file", "start", "id")
+        found |= {r["file"]: r["digest"] for r in ordered.mapInArrow(chain, "file string, digest string").collect()}
+    if len(sizes) == 1 and next(iter(sizes)).rstrip("/").endswith(path.rstrip("/").rpartition("/")[2]):
+        return next(iter(found.values()))
+    return hashlib.sha256("".join(found[p] for p in sorted(found)).encode()).hexdigest()
 
 
 def read_lists(path: str | None = None) -> dict[str, list[str]]:
-    """Word lists of a YAML file, or the default ones; a list that is missing is empty."""
+    """Word lists of a YAML file in any store, or the default ones; a list that is missing is empty."""
     if path is None:
         return V.LISTS
-    with open(path, encoding="utf-8") as f:
-        found = yaml.safe_load(f) or {}
+    found = yaml.safe_load(read_text(SparkSession.active(), path)) or {}
     return {k: [str(x) for x in found.get(k) or []] for k in V.LISTS}
 
 
 def read_abbreviations(path: str | None = None) -> dict[str, str]:
     if path is None:
         return V.ABBREVIATIONS
-    with open(path, encoding="utf-8") as f:
-        found = yaml.safe_load(f) or {}
+    found = yaml.safe_load(read_text(SparkSession.active(), path)) or {}
     return {str(k).lower(): str(v) for k, v in (found.get("abreviaturas") or {}).items()}
 
 

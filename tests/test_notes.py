@@ -282,3 +282,17 @@ def test_strata_without_sorting(spark, monkeypatch):
         names = [s for s, _ in V.STRATA]
         want = {r[0]: names[max(1, -(-i * 4 // max(len(rows) - 1, 1))) - 1] for i, r in enumerate(order)}
         assert {k: v for k, v in got.items()} == {k: v for k, v in want.items() if k is not None}
+
+
+def test_hashes_of_files_by_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(S, "WHOLE_BYTES", 20)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    try:
+        for i, raw in enumerate([b"", b"\n", b"short", b"\n\n" + b"line\n" * 60, b"a\r\n" * 40 + b"end", b"\xff\xfe\n" * 50, b"x" * 500, b"\n" * 100 + b"x"]):
+            path = tmp_path / f"{i}.csv"
+            path.write_bytes(raw)
+            assert S.sha256(spark, str(path)) == hashlib.sha256(raw).hexdigest(), raw[:20]
+        assert len(S.sha256(spark, str(tmp_path))) == 64
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
