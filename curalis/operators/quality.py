@@ -100,10 +100,10 @@ def displaced(flagged: DataFrame, earlier: DataFrame) -> DataFrame:
     return earlier.join(now, "hash_texto").where(F.col("__id").isNotNull() & (F.col("id").isNull() | (F.col("__id") < F.col("id")))).select("hash_texto", "id")
 
 
-def summary(df: DataFrame) -> DataFrame:
-    """``metrica, n, pct``: ten rows from one aggregation."""
+def counted() -> dict[str, Column]:
+    """The tests whose counts make up the summary, in order."""
     i, t, c = F.col("indexable"), F.col("truncated"), F.col("incompleto")
-    tests = {
+    return {
         "total": F.lit(True),
         "empty": F.col("empty"),
         "too_short": F.col("too_short"),
@@ -115,6 +115,11 @@ def summary(df: DataFrame) -> DataFrame:
         "excluido_incompleto": i & ~t & c,
         "apto_rag": F.col("apto_rag"),
     }
+
+
+def summary(df: DataFrame) -> DataFrame:
+    """``metrica, n, pct``: ten rows from one aggregation."""
+    tests = counted()
     one = df.agg(*(F.count_if(x).alias(n) for n, x in tests.items()))
     rows = one.select(F.col("total").alias("all"), F.explode(F.array(*(F.struct(F.lit(n).alias("metrica"), F.col(n).alias("n")) for n in tests))).alias("r"))
     return rows.select("r.metrica", "r.n", F.bround(F.col("r.n") / F.nullif("all", F.lit(0)) * 100, 2).alias("pct"))

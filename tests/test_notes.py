@@ -14,6 +14,7 @@ from curalis.functions import values as V
 from curalis.operators import corpus, mining, quality, review, verify
 from curalis.plans import pipeline as P
 from curalis.sources import notes as S
+from tests.conftest import DATA
 
 NOTE = "record_id string, unit string, reason string, exam string, stay string"
 FULL = ("Caida de su propia altura en casa", "Dolor en hombro derecho sin deformidad", "Se da salida con analgesia oral")
@@ -296,3 +297,65 @@ def test_hashes_of_files_by_tasks(spark, tmp_path, monkeypatch):
         assert len(S.sha256(spark, str(tmp_path))) == 64
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_run_that_is_cut_off_goes_on(spark, tmp_path, monkeypatch):
+    """Killed after each phase and within the move, a run that is started again makes the files of a whole run, and completed
+    phases are not computed again."""
+    S.write_csv(S.from_orders(spark, DATA).limit(150).coalesce(1), f"{tmp_path}/in.csv")
+    said = []
+    whole = P.run(spark, f"{tmp_path}/in.csv", f"{tmp_path}/a/out", f"{tmp_path}/a/rep", say=said.append)
+    assert len(said) > 5 and not list((tmp_path / "a" / "out").glob("_attempt*")) and not list((tmp_path / "a" / "rep").glob("_attempt*"))
+
+    def content(at):
+        lines = lambda path: sorted(r[0] for r in spark.read.text(path).collect())
+        files = {p.name: p for k in ("out", "rep") for p in (tmp_path / at / k).iterdir() if not p.name.startswith(".")}
+        rows = {n: lines(str(p)) for n, p in files.items() if n.endswith((".csv", ".jsonl"))}
+        return set(files), rows, sorted(map(str, spark.read.parquet(f"{tmp_path}/{at}/out/corpus.parquet").collect()))
+
+    order, real, moves = [], P.Attempt.phase, []
+
+    class Killed(Exception):
+        pass
+
+    def phase(self, name, work, stop=[0]):  # noqa: B006
+        if any(n == name for n in order):
+            return real(self, name, lambda: pytest.fail(f"{name} again"))
+        figures = real(self, name, work)
+        order.append(name)
+        raise Killed
+
+    def failing_move(self, manifest):
+        if not moves:
+            moves.append(1)
+            there, where = self._store(self.files["corpus.parquet"][0])
+            S.write_text(spark, f"{self.folders['out']}/moving", "")
+            there.rename(where, self._store(self.files["corpus.parquet"][1])[1])
+            raise Killed
+        return commit(self, manifest)
+
+    commit = P.Attempt.commit
+    monkeypatch.setattr(P.Attempt, "phase", phase)
+    monkeypatch.setattr(P.Attempt, "commit", failing_move)
+    manifest = None
+    for _ in range(12):
+        try:
+            manifest = P.run(spark, f"{tmp_path}/in.csv", f"{tmp_path}/b/out", f"{tmp_path}/b/rep")
+            break
+        except Killed:
+            assert not (tmp_path / "b" / "out" / "manifest.json").exists()
+    assert order == ["enriched", "corpus", "log", "residue", "sample", "tokens"] and moves
+    timed = ("generado", "duracion_s")
+    assert {k: v for k, v in manifest.items() if k not in timed} == {k: v for k, v in whole.items() if k not in timed}
+    assert content("a") == content("b")
+
+
+def test_another_run_replaces_all_files(spark, tmp_path):
+    """Files of an earlier run that the new one does not make are gone."""
+    S.write_csv(S.from_orders(spark, DATA).limit(60).coalesce(1), f"{tmp_path}/one.csv")
+    S.write_csv(notes(spark, [(1, FULL)]), f"{tmp_path}/two.csv")
+    P.run(spark, f"{tmp_path}/one.csv", f"{tmp_path}/out", f"{tmp_path}/rep")
+    assert (tmp_path / "out" / "log_reemplazos.csv").exists()
+    manifest = P.run(spark, f"{tmp_path}/two.csv", f"{tmp_path}/out", f"{tmp_path}/rep")
+    assert manifest["n_registros"] == 1 and not (tmp_path / "out" / "log_reemplazos.csv").exists()
+    assert json.loads((tmp_path / "out" / "manifest.json").read_text())["n_registros"] == 1
