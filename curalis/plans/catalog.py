@@ -9,7 +9,7 @@ import unicodedata
 from collections.abc import Callable
 
 import yaml
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from curalis.functions import gazetteer
@@ -462,3 +462,41 @@ def mine_loose_csv(spark, d):
     at = f"{store.folder(spark)}/notes.csv"
     S.write_csv(a(spark, d), at)
     return mining.institutions(mining.blobs(S.to_notes(S.read_loose_csv(spark, at))))
+
+
+def _in_file_order(spark, df: DataFrame) -> DataFrame:
+    """Rows with ``line``, their number (from 1) in the order of the files of a folder."""
+    placed = df.select("*", F.col("_metadata.file_name").alias("__file"), F.col("_metadata.file_block_start").alias("__start"), F.monotonically_increasing_id().alias("__id"))
+    counts = placed.groupBy("__file", "__start").agg(F.min("__id").alias("__first"), F.count("*").alias("__n"))
+    before = Window.orderBy("__file", "__start").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    return placed.join(F.broadcast(counts), ["__file", "__start"]).withColumn("line", F.col("__before") + F.col("__id") - F.col("__first") + 1).drop("__file", "__start", "__id", "__first", "__n", "__before")
+
+
+@query("index_file", f"{_CORPUS}, lines AS ({O.index_lines()}) SELECT row_number() OVER (ORDER BY CAST(json_extract_string(value, '$.id') AS BIGINT)) AS line, sha256(value) AS content FROM lines")
+def index_file(spark, d):
+    """The index as its file has it: every line by place and content."""
+    at = store.folder(spark)
+    corpus.write(P.documents(a(spark, d)), at)
+    return _in_file_order(spark, spark.read.text(f"{at}/corpus_indexable.jsonl")).select("line", F.sha2("value", 256).alias("content"))
+
+
+@query(
+    "exclusions_file",
+    f"""{_CORPUS} SELECT record_id, coalesce(CASE WHEN list_contains(quality_flags, 'empty') THEN 'empty' WHEN list_contains(quality_flags, 'too_short') THEN 'too_short' WHEN list_contains(quality_flags, 'duplicate') THEN 'duplicate'
+  WHEN list_contains(quality_flags, 'truncated') THEN 'truncated' WHEN list_contains(quality_flags, 'incompleto') THEN 'incompleto' END, '') AS motivo,
+  nullif(array_to_string(campos_truncados, '|'), '') AS campos_truncados, nullif(array_to_string(campos_vacios, '|'), '') AS campos_vacios, CAST(n_chars_doc AS VARCHAR) AS n_chars_doc FROM corpus WHERE NOT apto_rag""",
+)
+def exclusions_file(spark, d):
+    """What the index leaves out, as the file has it."""
+    at = f"{store.folder(spark)}/excluidos_rag.csv"
+    corpus.exclusions(P.documents(a(spark, d))).write.option("header", True).csv(at)
+    return spark.read.option("header", True).csv(at)
+
+
+@query("log_file", f"{_RULES} SELECT record_id, campo, regla, original, placeholder, CAST(inicio AS VARCHAR) AS inicio FROM replaced")
+def log_file(spark, d):
+    """The audit log, as the file has it."""
+    at = f"{store.folder(spark)}/log_reemplazos.csv"
+    redact_log(spark, d).write.option("header", True).option("escape", '"').csv(at)
+    return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(at)
