@@ -189,11 +189,15 @@ def anchors(fp: np.ndarray, setting: Setting = CONTRACT) -> tuple[np.ndarray, np
     return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rows, keys, home))
 
 
-def _near(fp: np.ndarray, some: np.ndarray, others: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+def _distances(fp: np.ndarray, some: np.ndarray, others: np.ndarray) -> np.ndarray:
     differ = np.zeros((len(some), len(others)), np.uint16)
     for k in range(fp.shape[1]):
         differ += np.bitwise_count(fp[some, k][:, None] ^ fp[others, k][None, :])
-    i, j = np.nonzero(differ <= threshold)
+    return differ
+
+
+def _near(fp: np.ndarray, some: np.ndarray, others: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+    i, j = np.nonzero(_distances(fp, some, others) <= threshold)
     return some[i], others[j]
 
 
@@ -234,23 +238,21 @@ def _links(fp: np.ndarray, home: np.ndarray, threshold: int) -> tuple[np.ndarray
 def _undecided(fp: np.ndarray, home: np.ndarray, group: np.ndarray, setting: Setting) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places of members of one anchor (home against all) in different groups whose distance makes them candidates, and
     the distance: of each two groups the closest pair."""
-    hosts, found = np.flatnonzero(home), [np.zeros((0, 3), np.int64)]
+    hosts, n = np.flatnonzero(home), len(fp)
+    key, rank = np.zeros(0, np.int64), np.zeros(0, np.int64)
     for lo in range(0, len(hosts), BLOCK):
-        u, v = _near(fp, hosts[lo : lo + BLOCK], np.arange(len(fp)), setting.threshold)
-        apart = group[u] != group[v]
-        u, v = u[apart], v[apart]
-        made = np.stack([np.bitwise_count(fp[u] ^ fp[v]).sum(1).astype(np.int64), np.minimum(u, v), np.maximum(u, v)], 1)
-        found = [_closest(np.concatenate([*found, made]), group)]
-    d, u, v = found[0].T
-    return u, v, d
-
-
-def _closest(made: np.ndarray, group: np.ndarray) -> np.ndarray:
-    """Of rows of distance and two places the first for each two groups."""
-    made = made[np.lexsort(made.T[::-1])]
-    a, b = group[made[:, 1]], group[made[:, 2]]
-    first = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0, return_index=True)[1]
-    return made[first]
+        some = hosts[lo : lo + BLOCK]
+        differ = _distances(fp, some, np.arange(n))
+        i, v = np.nonzero((differ <= setting.threshold) & (group[some][:, None] != group[None, :]))
+        if len(i):
+            u, d = some[i], differ[i, v].astype(np.int64)
+            key = np.concatenate([key, np.minimum(group[u], group[v]) * n + np.maximum(group[u], group[v])])
+            rank = np.concatenate([rank, (d * n + np.minimum(u, v)) * n + np.maximum(u, v)])
+            order = np.lexsort((rank, key))
+            key, rank = key[order], rank[order]
+            first = np.r_[True, key[1:] != key[:-1]]
+            key, rank = key[first], rank[first]
+    return rank // n % n, rank % n, rank // n // n
 
 
 def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -271,47 +273,39 @@ def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         root = new
 
 
-def linked(classes: DataFrame, setting: Setting = CONTRACT) -> DataFrame:
-    """From ``fp, node`` (distinct fingerprints): edges ``u, v`` that connect what links (``d`` 0), and pairs to be
-    verified with their distance ``d``."""
-    sure = setting.threshold if setting.sure is None else setting.sure
-    n = partitions(classes.sparkSession)
-    words = setting.bits // 64
-    schema = T.StructType([T.StructField("anchor", T.LongType()), T.StructField("fp", T.BinaryType()), T.StructField("node", T.LongType()), T.StructField("home", T.BooleanType())])
+def _replicas(classes: DataFrame, setting: Setting) -> DataFrame:
+    """``anchor, fp, home`` and the other columns of ``classes`` (``fp`` first, then numbers) for each anchor a
+    fingerprint is sent to, dealt and sorted by anchor."""
+    words, numbers = setting.bits // 64, classes.columns[1:]
+    schema = T.StructType([T.StructField("anchor", T.LongType()), T.StructField("fp", T.BinaryType()), T.StructField("home", T.BooleanType()), *(T.StructField(c, T.LongType()) for c in numbers)])
 
     def replicate(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, 2_000):
                 part = batch.slice(lo, 2_000)
-                fp, node = _matrix(part.column(0), words), np.asarray(part.column(1).to_numpy(), np.int64)
+                fp = _matrix(part.column(0), words)
                 row, key, home = anchors(fp, setting)
-                yield pa.RecordBatch.from_arrays([pa.array(key), _binary(fp[row]), pa.array(node[row]), pa.array(home)], names=schema.names)
+                rest = [pa.array(np.asarray(part.column(i + 1).to_numpy(), np.int64)[row]) for i in range(len(numbers))]
+                yield pa.RecordBatch.from_arrays([pa.array(key), _binary(fp[row]), pa.array(home), *rest], names=schema.names)
+
+    # Anchors without a home member, or with one member only, compare nothing; counting them first costs
+    # as much as sending them.
+    replicas = classes.mapInArrow(replicate, schema)
+    return replicas.repartition(partitions(classes.sparkSession), "anchor").sortWithinPartitions("anchor")
+
+
+def _by_anchor(df: DataFrame, work, schema: str) -> DataFrame:
+    """``work`` over some whole anchors at a time: their bounds, with more than one member and one at home, and their columns."""
 
     def within(parts):
-        """Edges of whole anchors, whose members are together and sorted by anchor."""
-        anchor, node, home = (np.concatenate([np.asarray(p.column(i).to_numpy(zero_copy_only=False)) for p in parts]) for i in (0, 2, 3))
-        fp = np.concatenate([_matrix(p.column(1), words) for p in parts])
+        columns = [pa.concat_arrays([p.column(i) for p in parts]) for i in range(parts[0].num_columns)]
+        anchor, home = (np.asarray(columns[i].to_numpy(zero_copy_only=False)) for i in (0, 2))
         bounds = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1], True])
         hosted = np.add.reduceat(home, bounds[:-1], dtype=np.int64) > 0
-        us, vs, maybe = [], [], []
-        for i in np.flatnonzero((np.diff(bounds) > 1) & hosted):
-            lo, hi = bounds[i], bounds[i + 1]
-            a, b = _links(fp[lo:hi], home[lo:hi], sure)
-            us.append(node[lo:hi][a])
-            vs.append(node[lo:hi][b])
-            if sure < setting.threshold:
-                group = np.arange(hi - lo)
-                linked_, roots = forest(a, b)
-                group[linked_] = roots
-                a, b, d = _undecided(fp[lo:hi], home[lo:hi], group, setting)
-                maybe.append((node[lo:hi][a], node[lo:hi][b], d))
-        if us:
-            nodes, roots = forest(np.concatenate(us), np.concatenate(vs))
-            u, v = nodes[nodes != roots], roots[nodes != roots]
-            made = [(u, v, np.zeros(len(u), np.int64)), *maybe]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*made, strict=True)], names=["u", "v", "d"])
+        some = np.flatnonzero((np.diff(bounds) > 1) & hosted)
+        yield from work(zip(bounds[some].tolist(), bounds[some + 1].tolist(), strict=True), columns[1], home, *(np.asarray(c.to_numpy()) for c in columns[3:]))
 
-    def compare(batches):
+    def run(batches):
         held, key = [], None
         for batch in batches:
             anchor = np.asarray(batch.column(0).to_numpy())
@@ -327,10 +321,48 @@ def linked(classes: DataFrame, setting: Setting = CONTRACT) -> DataFrame:
             yield from within(held)
         A.release()
 
-    replicas = classes.select("fp", "node").mapInArrow(replicate, schema)
-    # Anchors without a home member, or with one member only, compare nothing; counting them first costs
-    # as much as sending them.
-    return replicas.repartition(n, "anchor").sortWithinPartitions("anchor").mapInArrow(compare, "u long, v long, d long")
+    return df.mapInArrow(run, schema)
+
+
+def linked(classes: DataFrame, setting: Setting = CONTRACT) -> DataFrame:
+    """From ``fp, node`` (distinct fingerprints): edges ``u, v`` that connect what needs no verification."""
+    threshold, words = setting.threshold if setting.sure is None else setting.sure, setting.bits // 64
+
+    def work(bounds, fps, home, node):
+        fp, us, vs = _matrix(fps, words), [], []
+        for lo, hi in bounds:
+            a, b = _links(fp[lo:hi], home[lo:hi], threshold)
+            us.append(node[lo:hi][a])
+            vs.append(node[lo:hi][b])
+        if us:
+            nodes, roots = forest(np.concatenate(us), np.concatenate(vs))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[nodes != roots]), pa.array(roots[nodes != roots])], names=["u", "v"])
+
+    return _by_anchor(_replicas(classes.select("fp", "node"), setting), work, "u long, v long")
+
+
+def undecided(rooted: DataFrame, setting: Setting) -> DataFrame:
+    """From ``fp, node, root`` (the least node that a node is linked to): ``a, b, d, u, v``, for two groups that have candidates
+    in one anchor the closest pair there, and its distance."""
+    words = setting.bits // 64
+
+    def work(bounds, fps, home, node, root):
+        fp, found = _matrix(fps, words), []
+        for lo, hi in bounds:
+            if (root[lo:hi] == root[lo]).all():
+                continue
+            if hi - lo <= BLOCK:
+                # Most anchors hold few members, of which no two are near: one look at all of them.
+                hosts = np.flatnonzero(home[lo:hi])
+                if (_distances(fp[lo:hi], hosts, np.arange(hi - lo)) <= setting.threshold).sum() == len(hosts):
+                    continue
+            u, v, d = _undecided(fp[lo:hi], home[lo:hi], np.unique(root[lo:hi], return_inverse=True)[1], setting)
+            u, v = u + lo, v + lo
+            found.append((np.minimum(root[u], root[v]), np.maximum(root[u], root[v]), d, node[u], node[v]))
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], names=["a", "b", "d", "u", "v"])
+
+    return _by_anchor(_replicas(rooted.select("fp", "node", "root"), setting), work, "a long, b long, d long, u long, v long")
 
 
 def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, setting: Setting) -> DataFrame:
@@ -359,17 +391,12 @@ def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, setting: Se
 
 def _groups(classes: DataFrame, texts: DataFrame, setting: Setting) -> DataFrame:
     """``u, v``: each node that is linked to a lesser one, and the least node of its component."""
+    near = components(linked(classes, setting))
     if setting.sure is None:
-        return components(linked(classes, setting).select("u", "v"))
-    found = materialise(linked(classes, setting), "links")
-    near = components(found.where("d = 0").select("u", "v"))
-
-    def root(of: str) -> DataFrame:
-        return near.select(F.col("u").alias(of), F.col("v").alias(f"root_{of}"))
-
-    pairs = found.where("d > 0").groupBy("u", "v").agg(F.min("d").alias("d")).join(root("u"), "u", "left").join(root("v"), "v", "left")
-    pairs = pairs.withColumns({"ru": F.coalesce("root_u", "u"), "rv": F.coalesce("root_v", "v")}).where("ru != rv")
-    closest = pairs.groupBy(F.least("ru", "rv").alias("a"), F.greatest("ru", "rv").alias("b")).agg(F.min(F.struct("d", "u", "v")).alias("x"))
+        return near
+    # Only candidates of different groups are looked for: a crowd of copies is one group by now.
+    rooted = materialise(classes.join(near, classes["node"] == near["u"], "left").select("fp", "node", F.coalesce("v", "node").alias("root")), "rooted")
+    closest = undecided(rooted, setting).groupBy("a", "b").agg(F.min(F.struct("d", "u", "v")).alias("x"))
     closest = materialise(closest.select("a", "b", "x.u", "x.v"), "pairs")
     more = closest.join(verified(closest.select("u", "v"), classes, texts, setting), ["u", "v"]).select(F.col("b").alias("u"), F.col("a").alias("v"))
     return components(near.unionAll(more))
