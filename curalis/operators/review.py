@@ -8,9 +8,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curalis.functions import fold
+from curalis.functions import bloom, fold
 from curalis.functions import text as X
 from curalis.functions import values as V
+from curalis.sources import store
 
 MODEL = "es_core_news_lg"
 WORD = f"[{V.LETTERS}]{{3,}}"
@@ -21,9 +22,14 @@ def words(text):
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(f"(?U){WORD}"), F.lit(0)))
 
 
-def document_frequency(texts: DataFrame, text: str = "texto") -> DataFrame:
-    """In how many documents each word of 3 letters occurs."""
-    return texts.select(F.explode(words(F.col(text))).alias("token")).groupBy("token").agg(F.count("*").alias("df"))
+def document_frequency(texts: DataFrame, text: str = "texto", among: DataFrame | None = None) -> DataFrame:
+    """In how many documents each word of 3 letters occurs.  With ``among`` (a column ``token``), of these words at least, and of few
+    others: a Bloom filter drops words before they are counted, so that the shuffle grows with what is asked."""
+    found = words(F.col(text))
+    if among is not None:
+        wanted = bloom.build(among, "token")
+        found = F.filter(found, wanted.may_hold)
+    return texts.select(F.explode(found).alias("token")).groupBy("token").agg(F.count("*").alias("df"))
 
 
 def not_shouting(texts: DataFrame, text: str = "texto") -> DataFrame:
@@ -77,8 +83,9 @@ def tagged_by(tagger: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
     return lambda texts: texts.select("record_id", "t").mapInPandas(tagger, "record_id string, label string, entidad string, inicio int, t string")
 
 
-def candidates(texts: DataFrame, frequency: DataFrame, max_df: int = 20, text: str = "texto", tagger=capitalised_runs, labels=("PER", "LOC", "ORG")) -> DataFrame:
-    """Entities all of whose words are rare in the corpus."""
+def candidates(texts: DataFrame, frequency: DataFrame | None = None, max_df: int = 20, text: str = "texto", tagger=capitalised_runs, labels=("PER", "LOC", "ORG"), corpus: DataFrame | None = None) -> DataFrame:
+    """Entities of some texts all of whose words are rare: by a table of frequencies or else in the documents of ``corpus``.  Then
+    the entities found are written once (``store.written``), as their words decide which ones are counted in the corpus."""
     masked = texts.select("record_id", X.mask_placeholders(F.col(text)).alias("t"))
     found = tagger(masked).where(F.col("label").isin(*labels))
     name = X.sub(F.col("entidad"), r"^[ .,:;()\[\]\n]+|[ .,:;()\[\]\n]+$", "")
@@ -87,8 +94,10 @@ def candidates(texts: DataFrame, frequency: DataFrame, max_df: int = 20, text: s
     begin = F.greatest(F.lit(0), F.col("inicio") - 70)
     context = F.replace(F.substring("t", begin + 1, F.col("inicio") + F.length("entidad") + 70 - begin), F.lit("\n"), F.lit(" "))
     found = found.select("record_id", "label", "entidad", "tokens", "inicio", context.alias("contexto"))
+    found = store.written(found) if frequency is None else found
     # Frequencies of the distinct entities only, then back to their occurrences.
     names = found.select("entidad", F.explode("tokens").alias("token")).distinct()
+    frequency = document_frequency(texts if corpus is None else corpus, text, names) if frequency is None else frequency
     rare = names.join(frequency, "token", "left").groupBy("entidad").agg(F.max(F.coalesce("df", F.lit(0))).alias("df_corpus")).where(F.col("df_corpus") <= max_df)
     return found.join(rare, "entidad").select("record_id", "label", "entidad", F.col("df_corpus").cast("bigint").alias("df_corpus"), "contexto", "inicio").orderBy("df_corpus", "record_id", "inicio")
 
@@ -104,11 +113,10 @@ def run(corpus: DataFrame, out: str, top: int = 0, max_df: int = 20, include_upp
     indexable documents all count for the frequencies; then those in capitals go, unless ``include_upper``, and
     of the rest the ``top`` longest are reviewed (0: all)."""
     kept = corpus.where("indexable")
-    frequency = document_frequency(kept)
     reviewed = kept if include_upper else not_shouting(kept)
     reviewed = longest(reviewed, top) if top else reviewed
     work = out.removesuffix(".csv")
-    candidates(reviewed, frequency, max_df, tagger=tagger).write.mode("overwrite").parquet(f"{work}.parquet")
+    candidates(reviewed, None, max_df, tagger=tagger, corpus=kept).write.mode("overwrite").parquet(f"{work}.parquet")
     found = corpus.sparkSession.read.parquet(f"{work}.parquet")
     rows, summary = found.drop("inicio"), candidate_summary(found)
     rows.write.mode("overwrite").option("header", True).csv(out)

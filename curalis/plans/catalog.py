@@ -327,8 +327,7 @@ def top_longest(spark, d):
 
 @query("entity_candidates", f"WITH {O.entities()} SELECT * FROM candidates")
 def entity_candidates(spark, d):
-    t = review.not_shouting(texts(spark, d))
-    return review.candidates(t, review.document_frequency(texts(spark, d)))
+    return review.candidates(review.not_shouting(texts(spark, d)), corpus=texts(spark, d))
 
 
 @query(

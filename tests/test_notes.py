@@ -9,6 +9,7 @@ import unicodedata
 import pytest
 from pyspark.sql import functions as F
 
+from curalis.functions import bloom
 from curalis.functions import text as X
 from curalis.functions import values as V
 from curalis.operators import corpus, mining, quality, review, verify
@@ -359,3 +360,25 @@ def test_another_run_replaces_all_files(spark, tmp_path):
     manifest = P.run(spark, f"{tmp_path}/two.csv", f"{tmp_path}/out", f"{tmp_path}/rep")
     assert manifest["n_registros"] == 1 and not (tmp_path / "out" / "log_reemplazos.csv").exists()
     assert json.loads((tmp_path / "out" / "manifest.json").read_text())["n_registros"] == 1
+
+
+def test_bloom_filter(spark, monkeypatch):
+    rng = random.Random(7)
+    words = [f"w{rng.random()}" for _ in range(3000)] + ["", "ñandú", None]
+    df = spark.createDataFrame([(w,) for w in words], "token string")
+    others = spark.createDataFrame([(f"x{i}",) for i in range(4000)], "token string")
+    for most in (bloom.MOST_BITS, bloom.WORD):
+        monkeypatch.setattr(bloom, "MOST_BITS", most)
+        made = bloom.build(df, "token")
+        assert df.where("token is not null").where(~made.may_hold(F.col("token"))).count() == 0
+        assert others.where(made.may_hold(F.col("token"))).count() < (200 if most > bloom.WORD else 1000)
+    none = bloom.build(df.limit(0), "token")
+    assert others.where(none.may_hold(F.col("token"))).count() == 0
+
+
+def test_frequency_of_what_is_asked(spark):
+    texts = S.from_documents(spark, DATA).select("record_id", F.concat_ws(" ", "reason", "exam", "stay").alias("texto"))
+    every = {r.token: r.df for r in review.document_frequency(texts).collect()}
+    asked = sorted(every)[::20]
+    some = {r.token: r.df for r in review.document_frequency(texts, among=spark.createDataFrame([(t,) for t in asked], "token string")).collect()}
+    assert all(some[t] == every[t] for t in asked) and all(every[t] == n for t, n in some.items()) and len(some) < len(every) / 10
