@@ -17,7 +17,8 @@ differing bits one block holds at most 1, so no link is lost.  ``SIMILAR``, for
 5-word shingles: 128 bits in seven blocks of 18 bits.  Pairs within the expected distance of a similarity of
 0.93 (``sure``) are links; those up to two standard deviations beyond the expected distance of 0.8 are links if the
 Jaccard similarity of their sets of shingles is 0.8 or more.  What sure links connect is one group here: of the pairs between
-two groups the closest is verified.  Distance and blocks find a pair with a probability that grows with its
+two groups the closest is verified, in each
+anchor those that a spanning forest by distance needs.  Distance and blocks find a pair with a probability that grows with its
 similarity (the README has measured recall).  A block of w bits leaves about 2**(w - order) anchors; ``free`` should grow with the logarithm of the number of
 documents, at the price of recall.
 
@@ -237,7 +238,8 @@ def _links(fp: np.ndarray, home: np.ndarray, threshold: int) -> tuple[np.ndarray
 
 def _undecided(fp: np.ndarray, home: np.ndarray, group: np.ndarray, setting: Setting) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places of members of one anchor (home against all) in different groups whose distance makes them candidates, and
-    the distance: of each two groups the closest pair."""
+    the distance: of each two groups the closest pair, and of these the least ones that connect all groups that they connect
+    (a spanning forest), so that a crowd has no more candidates than groups."""
     hosts, n = np.flatnonzero(home), len(fp)
     key, rank = np.zeros(0, np.int64), np.zeros(0, np.int64)
     for lo in range(0, len(hosts), BLOCK):
@@ -252,7 +254,27 @@ def _undecided(fp: np.ndarray, home: np.ndarray, group: np.ndarray, setting: Set
             key, rank = key[order], rank[order]
             first = np.r_[True, key[1:] != key[:-1]]
             key, rank = key[first], rank[first]
-    return rank // n % n, rank % n, rank // n // n
+    kept = _spanning(key // n, key % n, rank, n)
+    return rank[kept] // n % n, rank[kept] % n, rank[kept] // n // n
+
+
+def _spanning(a: np.ndarray, b: np.ndarray, rank: np.ndarray, n: int) -> np.ndarray:
+    """Which edges make the minimum spanning forest, by Boruvka's rounds; no two ranks are equal."""
+    part, chosen = np.arange(n), np.zeros(len(a), bool)
+    while True:
+        x, y = part[a], part[b]
+        open_ = x != y
+        if not open_.any():
+            return chosen
+        best = np.full(n, np.iinfo(np.int64).max)
+        np.minimum.at(best, x[open_], rank[open_])
+        np.minimum.at(best, y[open_], rank[open_])
+        now = open_ & ((rank == best[x]) | (rank == best[y]))
+        chosen |= now
+        nodes, roots = forest(x[now], y[now])
+        to = np.arange(n)
+        to[nodes] = roots
+        part = to[part]
 
 
 def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -745,3 +745,25 @@ def test_stages_keep_columns(spark, stage):
     assert len({r.doc_id for r in rows}) >= 25
     for r in rows:
         assert all(r[n] == f"{n}:{r.doc_id}" for n in kept)
+
+
+def test_spanning_forest():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        n = int(rng.integers(2, 30))
+        pairs = np.array([(i, j) for i in range(n) for j in range(i) if rng.random() < 0.3], np.int64).reshape(-1, 2)
+        rank = rng.permutation(len(pairs)).astype(np.int64)
+        kept = simhash._spanning(pairs[:, 0], pairs[:, 1], rank, n)
+        root = list(range(n))
+
+        def find(i):
+            while root[i] != i:
+                i = root[i]
+            return i
+
+        want = np.zeros(len(pairs), bool)
+        for e in np.argsort(rank):
+            a, b = find(pairs[e, 0]), find(pairs[e, 1])
+            if a != b:
+                root[a], want[e] = b, True
+        assert (kept == want).all()
