@@ -38,7 +38,7 @@ def test_run_equals_stages_and_takes_empty(spark):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 14))
 
 
 def test_stages_by_brute_force(spark, tmp_path):
