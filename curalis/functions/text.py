@@ -20,15 +20,21 @@ HANGUL, LEAD, VOWEL, TRAIL = 0xAC00, 0x1100, 0x1161, 0x11A7
 
 
 def _class(points: list[int]) -> str:
-    """A character class of code points, as ranges."""
-    points, out, i = sorted(points), [], 0
-    while i < len(points):
-        j = i
-        while j + 1 < len(points) and points[j + 1] == points[j] + 1:
-            j += 1
-        out.append(f"\\x{{{points[i]:x}}}" + (f"-\\x{{{points[j]:x}}}" if j > i else ""))
-        i = j + 1
-    return "".join(out)
+    """A character class of code points.  Java tries the members of a class one after another; so ranges are halved, each half
+    behind the range that it spans, and a character meets as many tests as the tree is deep: below the first point, one."""
+    points, ranges = sorted(points), []
+    for p in points:
+        if ranges and p == ranges[-1][1] + 1:
+            ranges[-1][1] = p
+        elif not ranges or p > ranges[-1][1]:
+            ranges.append([p, p])
+
+    def tree(part: list[list[int]]) -> str:
+        span = f"\\x{{{part[0][0]:x}}}-\\x{{{part[-1][1]:x}}}"
+        half = len(part) // 2
+        return f"[{span}&&[{tree(part[:half])}{tree(part[half:])}]]" if half else f"[{span}]"
+
+    return tree(ranges)
 
 
 class _Unicode:
@@ -47,8 +53,9 @@ class _Unicode:
         # What may change what stands before it, and what is never left alone.
         joins = {*marks, *second, *(p for p, d in apart.items() if unicodedata.combining(d[0])), *range(VOWEL, VOWEL + 21), *range(TRAIL + 1, TRAIL + 28)}
         changed = [p for p in apart if nfc(chr(p)) != chr(p)]
-        self.needed = f"[{_class([*joins, *changed])}]"
-        self.cluster = f"[^{_class([*joins])}]?[{_class([*joins])}]+|[{_class(changed)}]"
+        self.needed = _class([*joins, *changed])
+        # The negation stands before the class, as Java reads one inside a class with && in its own way.
+        self.cluster = f"(?:(?!{_class([*joins])})[\\s\\S])?{_class([*joins])}+|{_class(changed)}"
         self.marks, self.classes = "".join(map(chr, marks)), "".join(chr(CLASS + unicodedata.combining(chr(p))) for p in marks)
         self.apart = "".join(map(chr, apart))
         longest = max(map(len, apart.values()))
