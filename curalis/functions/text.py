@@ -151,14 +151,18 @@ def unaccent(text: Column) -> Column:
     return F.translate(sub(text, r"[\u0300-\u036f]", ""), UNICODE.marked, UNICODE.bare)
 
 
-def clean(value: Column) -> Column:
-    """Structural cleaning of a free-text field; null gives the empty string."""
+def clean(value: Column, exported: bool = True) -> Column:
+    """Structural cleaning of a free-text field; null gives the empty string.  Quotes that a CSV export doubled or left over, and
+    digits run into the capitals that begin a field, are its artefacts; in texts that were not ``exported`` they are kept."""
     # No control character joins another, so these may go first.
     t = compose(sub(F.coalesce(value.cast("string"), F.lit("")), r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]", " "))
-    t = sub(t, r'"{2,}', '"')
-    t = sub(t, r"""(?U)^\s*[\d"']+(?=[A-ZÁÉÍÓÚÑ]{3,})""", "")
-    t = strip(sub(strip(t), r'^"+|"+$', ""))
-    t = sub(t, r'(?U)(?<!\w)"(?!\w)', "")
+    if exported:
+        t = sub(t, r'"{2,}', '"')
+        t = sub(t, r"""(?U)^\s*[\d"']+(?=[A-ZÁÉÍÓÚÑ]{3,})""", "")
+        t = sub(strip(t), r'^"+|"+$', "")
+    t = strip(t)
+    if exported:
+        t = sub(t, r'(?U)(?<!\w)"(?!\w)', "")
     t = sub(t, r"\.{4,}", "...")
     t = sub(t, r"[ \t]*\n[ \t]*", "\n")
     t = sub(t, r"\n{3,}", "\n\n")

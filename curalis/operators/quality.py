@@ -17,10 +17,10 @@ def names_where(tests: dict[str, Column]) -> Column:
     return F.array_compact(F.array(*(F.when(test, F.lit(name)) for name, test in tests.items())))
 
 
-def normalise(notes: DataFrame) -> DataFrame:
-    """Cleaned fields, their concatenation, its matching key, and the age unit."""
+def normalise(notes: DataFrame, exported: bool = True) -> DataFrame:
+    """Cleaned fields (of an export or not: ``text.clean``), their concatenation, its matching key, and the age unit."""
     # One expression for all fields: it is built and analysed once.
-    df = notes.withColumn("__clean", F.transform(F.array(*(F.col(k).cast("string") for k in KEYS)), X.clean))
+    df = notes.withColumn("__clean", F.transform(F.array(*(F.col(k).cast("string") for k in KEYS)), lambda t: X.clean(t, exported)))
     df = df.withColumns({f"{k}_clean": F.get("__clean", F.lit(i)) for i, k in enumerate(KEYS)}).drop("__clean")
     joined = F.array_join(F.filter(F.array(*(f"{k}_clean" for k in KEYS)), lambda x: x != ""), " \n")
     df = df.withColumn("text_concat", joined)

@@ -33,8 +33,8 @@ class Options:
         return "indexable" if self.include_incomplete else "apto_rag"
 
 
-def flagged(notes: DataFrame, options: Options | None = None) -> DataFrame:
-    return quality.flags(quality.normalise(notes), (options or Options()).min_chars)
+def flagged(notes: DataFrame, options: Options | None = None, exported: bool = True) -> DataFrame:
+    return quality.flags(quality.normalise(notes, exported), (options or Options()).min_chars)
 
 
 def redacted(notes: DataFrame, options: Options | None = None) -> DataFrame:

@@ -382,3 +382,29 @@ def test_frequency_of_what_is_asked(spark):
     asked = sorted(every)[::20]
     some = {r.token: r.df for r in review.document_frequency(texts, among=spark.createDataFrame([(t,) for t in asked], "token string")).collect()}
     assert all(some[t] == every[t] for t in asked) and all(every[t] == n for t, n in some.items()) and len(some) < len(every) / 10
+
+
+def test_quotes_outside_an_export(spark, tmp_path):
+    """Quotes at the end of a document are its text, as the queries' SQL has it; in a field of the export they go."""
+    import duckdb
+
+    from curalis.plans import catalog
+
+    spark.createDataFrame([(1, 'token = "13df03"'), (2, '"a" 2ABC\n""b""\nuno dos "')], "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    for name in ("clean_text", "quality_flags"):
+        got = catalog.QUERIES[name](spark, str(tmp_path))
+        want = con.execute(f"select {', '.join(got.columns)} from ({catalog.ORACLE[name]})").fetchall()
+        assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert spark.sql("select '\"a\" b \"' as t").select(X.clean(F.col("t"))).first()[0] == 'a" b'
+
+
+def test_composition_classes_are_trees():
+    """No level of a class has more than two members, so a character is not tried against hundreds of ranges one by one."""
+    import re
+
+    for pattern in (X.UNICODE.needed, X.UNICODE.cluster):
+        while pattern != (pattern := re.sub(r"\[\\x\{\w+\}-\\x\{\w+\}(&&\[R{1,2}\])?\]", "R", pattern)):
+            pass
+        assert "x{" not in pattern
