@@ -47,9 +47,10 @@ def rewrite(now: Column, rule: str, pattern: str | Column, decide: Callable[[lis
     return let(now, lambda s: rewritten(s, rule, pattern, decide, groups))
 
 
-def rewritten(s: Column, rule: str, pattern: str | Column, decide: Callable[[list[Column], Column], Column], groups: int = 0) -> Column:
+def rewritten(s: Column, rule: str, pattern: str | Column, decide: Callable[[list[Column], Column], Column], groups: int = 0, needs: str | None = None) -> Column:
     """The state after ``s``: ``decide([match, group 1, ...], position)`` gives the placeholder, or null to keep.
-    Kept matches with a group are logged without a placeholder."""
+    Kept matches with a group are logged without a placeholder.  ``needs`` is a plainer pattern that every match holds;
+    only texts that have it are searched."""
 
     def step(acc: Column, part: Column) -> Column:
         bits = F.split(part, INNER, -1)
@@ -69,7 +70,8 @@ def rewritten(s: Column, rule: str, pattern: str | Column, decide: Callable[[lis
 
     zero = F.struct(F.lit(0).alias("i"), F.lit(0).alias("pos"), F.lit("").alias("out"), s["log"].cast(LOG).alias("log"))
     done = F.aggregate(parts(s["text"], pattern, groups), zero, step, lambda a: F.struct(a["out"].alias("text"), a["log"].alias("log")))
-    return F.when(holds(s["text"], pattern), done).otherwise(F.struct(s["text"].alias("text"), s["log"].cast(LOG).alias("log")))
+    there = holds(s["text"], pattern) if needs is None else s["text"].rlike(needs) & holds(s["text"], pattern)
+    return F.when(there, done).otherwise(F.struct(s["text"].alias("text"), s["log"].cast(LOG).alias("log")))
 
 
 def spans(text: Column, pattern: str) -> Column:

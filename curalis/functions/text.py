@@ -182,9 +182,13 @@ def label_key(text: Column) -> Column:
     return strip(sub(F.lower(unaccent(text)), r"(?U)\s+", " "))
 
 
+def _tolerant(c: str) -> str:
+    return r"\s+" if c == " " else f"[{V.ACCENTS[c]}]" if c in V.ACCENTS else re.escape(c)
+
+
 def tolerant(phrase: str) -> str:
     """A pattern for the phrase in which letters match with and without accents and blanks any white space."""
-    return "".join(r"\s+" if c == " " else f"[{V.ACCENTS[c]}]" if c in V.ACCENTS else re.escape(c) for c in phrase.lower())
+    return "".join(map(_tolerant, phrase.lower()))
 
 
 def any_of(phrases: list[str], pattern=tolerant) -> str:
@@ -192,6 +196,36 @@ def any_of(phrases: list[str], pattern=tolerant) -> str:
     return "(?:" + "|".join(pattern(p) for p in sorted(phrases, key=len, reverse=True)) + ")"
 
 
+def one_of(phrases: list[str], character=_tolerant, pattern=tolerant) -> str:
+    """``any_of`` as a tree over the phrases' beginnings, each tried once and not with each phrase.  The same matches: patterns of
+    different plain letters, digits and blanks have no character in common, so the phrases that match at one place are beginnings of
+    each other, and the longest comes first.  Phrases with other characters are tried one by one."""
+    if not all(re.fullmatch("[a-z0-9]+(?: [a-z0-9]+)*", p.lower()) for p in phrases):
+        return any_of(phrases, pattern)
+    root: dict = {}
+    for p in phrases:
+        node = root
+        for c in p.lower():
+            node = node.setdefault(c, {})
+        node[""] = {}
+
+    def written(node: dict) -> str:
+        ways = [character(c) + written(after) for c, after in node.items() if c] + [""] * ("" in node)
+        return ways[0] if len(ways) == 1 else f"(?:{'|'.join(ways)})"
+
+    return f"(?:{written(root)})"
+
+
+def literal(pattern: str) -> str:
+    """The longest string of lower-case letters that every match of a pattern holds, from what stands outside groups and classes and
+    has no quantifier; empty where a pattern has alternatives."""
+    if "|" in pattern:
+        return ""
+    plain = re.sub(r"\([^()]*\)[?*+]?(?:\{[^}]*\})?", "#", pattern)
+    plain = re.sub(r"(?:\[[^\]]*\]|\\.|[^\\])(?:[?*]|\{[^}]*\})|\[[^\]]*\]|\\.", "#", plain)
+    return "" if "(" in plain else max(re.findall("[a-z]*", plain), key=len)
+
+
 def age_band(value: Column, unit: Column) -> Column:
     u = F.lower(unaccent(unit))
     low = F.when(value < 18, F.floor(value / 5) * 5).otherwise(F.floor(value / 10) * 10)

@@ -44,7 +44,7 @@ def any_name(lists: dict[str, list[str]], name: str, before: str, after: str, fo
     """The pattern with any name of a list; of a large one, with those found in the text."""
     if found is not None and name in large(lists):
         return gazetteer.alternation(found[name], before, after)
-    return f"{before}{X.any_of(lists[name])}{after}"
+    return f"{before}{X.one_of(lists[name])}{after}"
 
 
 def known(token: Column, lists: dict[str, list[str]], name: str, found: Column | None) -> Column:
@@ -57,20 +57,20 @@ def known(token: Column, lists: dict[str, list[str]], name: str, found: Column |
 
 def rules(lists: dict[str, list[str]]) -> list[tuple[str, object]]:
     """Rules in the order in which they apply, each with its name; an empty list has no rule.  A rule is a function of the
-    names of large lists found in the text (or none) that gives ``(pattern, decision, groups)``."""
+    names of large lists found in the text (or none) that gives ``(pattern, decision, groups)`` and, where there is one, what every match holds."""
     unit = rf"(?!\s*{V.UNITS})"
 
-    def fixed(name: str, pattern: str, decide, groups: int = 0):
-        return name, lambda found: (pattern, decide, groups)
+    def fixed(name: str, pattern: str, decide, groups: int = 0, needs: str | None = None):
+        return name, lambda found: (pattern, decide, groups, needs)
 
     def named(list_name: str, before: str, after: str):
         return lambda found: any_name(lists, list_name, before, after, found)
 
     out = [
-        fixed("email", U + V.EMAIL, _always("[EMAIL]")),
-        fixed("documento", I + V.DOCUMENT, _always("[DOCUMENTO]")),
-        fixed("telefono", U + V.PHONE, _always("[TELEFONO]")),
-        fixed("numero_id", I + V.LONG_NUMBER + unit, _always("[NUMERO_ID]")),
+        fixed("email", U + V.EMAIL, _always("[EMAIL]"), needs="@"),
+        fixed("documento", I + V.DOCUMENT, _always("[DOCUMENTO]"), needs=U + r"\d[\d\.\s]{3,15}\d"),
+        fixed("telefono", U + V.PHONE, _always("[TELEFONO]"), needs=U + r"3\d{2}[\s-]?\d{3}"),
+        fixed("numero_id", I + V.LONG_NUMBER + unit, _always("[NUMERO_ID]"), needs=U + r"\d{7}"),
     ]
     if lists["instituciones_sin_trigger"]:
         plain = named("instituciones_sin_trigger", rf"{I}\b", r"\b")
@@ -90,13 +90,13 @@ def rules(lists: dict[str, list[str]]) -> list[tuple[str, object]]:
         out.append(fixed("institucion_sigla", rf"{U}\b{'(?:' + '|'.join(map(_quote, lists['instituciones_siglas'])) + ')'}\b", _always("[INSTITUCION]")))
     return out + [
         ("medico", lambda found: (I + V.DOCTOR, doctor(found), 1)),
-        fixed("fecha", U + V.DATE, _always("[FECHA]")),
-        fixed("fecha", I + V.TEXT_DATE, _always("[FECHA]")),
-        fixed("fecha", I + V.MONTH_YEAR, _always("[FECHA]")),
-        fixed("hora", I + V.TIME, _always("[HORA]")),
-        fixed("anio", I + V.YEAR + unit, _always("[ANIO]")),
-        fixed("edad", I + V.AGE_SUFFIX, lambda bits, pos: _age(bits, 1, 2), 2),
-        fixed("edad", I + V.AGE_PERSON, _person_age, 2),
+        fixed("fecha", U + V.DATE, _always("[FECHA]"), needs=U + r"\d\s*[/\-.]\s*\d"),
+        fixed("fecha", I + V.TEXT_DATE, _always("[FECHA]"), needs=U + r"\d\s*[-/. dD]"),
+        fixed("fecha", I + V.MONTH_YEAR, _always("[FECHA]"), needs=U + r"(?:19|20)\d{2}"),
+        fixed("hora", I + V.TIME, _always("[HORA]"), needs=U + r"\d\s*:"),
+        fixed("anio", I + V.YEAR + unit, _always("[ANIO]"), needs=U + r"(?:19[5-9]|20[0-3])\d"),
+        fixed("edad", I + V.AGE_SUFFIX, lambda bits, pos: _age(bits, 1, 2), 2, I + r"\d\s*(?:a[nñ]o|mes)"),
+        fixed("edad", I + V.AGE_PERSON, _person_age, 2, I + r"\d\s*(?:a[nñ]o|mes|d[ií]a)"),
     ]
 
 

@@ -122,3 +122,31 @@ def test_plan_grows_with_the_rules_only(spark):
     size = lambda only: len(redact.redact(df, "t", only=only)._jdf.queryExecution().analyzed().toString())
     empty, every = size(set()), size(None)
     assert every - empty <= sum(size({n}) - empty for n in {*names, "municipio"}) * 1.1
+
+
+def test_lists_as_trees_and_needed_parts(spark):
+    """A tree of names matches as the alternation of all does, longest name first; a pattern's needed letters are in what it finds;
+    and a rule finds nothing in texts without its needed part."""
+    import random
+    import re
+
+    from curalis.functions import text as X
+
+    rng = random.Random(1)
+    for names in (V.LISTS["municipios"], V.LISTS["tipos_genericos"], ["a", "ab", "a b", "ab c", "b", "a b c"], ["so-so", "so"]):
+        flat, tree = (re.compile(rf"(?i)\b{make(names)}\b") for make in (X.any_of, X.one_of))
+        words = [*(w for n in names for w in n.split()), "x", "aá", "Calí", "ni", "de"]
+        for _ in range(2000):
+            t = rng.choice([" ", "  ", "", "-"]).join(rng.choice(words) for _ in range(rng.randint(1, 8)))
+            assert [m.span() for m in flat.finditer(t)] == [m.span() for m in tree.finditer(t)]
+    assert X.one_of(V.LISTS["municipios"]).count("b[uúü]") < X.any_of(V.LISTS["municipios"]).count("b[uúü]")
+    found = {r"\bmss?[di]\b": "ms", r"radi[oa]l": "radi", r"a(?:bcd)?ef|gh": "", r"zona\s+i{1,3}\s+de\s+cuello": "cuello", r"dedo(?!\s+del\s+pie)": "dedo", r"abc?d*": "ab", r"(?:ab)cd": "cd"}
+    assert {p: X.literal(p) for p in found} == found
+    pieces = "a@b.co|c.c. 12 345|cédula 1234567|310 555 1234|1234567|3 /4-2019|5 De Marzo|12 ago 19|Agosto de 2018|2019|7 : 30 pm|15 años de edad|niña 3 DÍAS|bebé de 2 MES".split("|")
+    texts = [" ".join(rng.choice(pieces) for _ in range(rng.randint(1, 3))) for _ in range(300)] + [p.replace(p[i], "", 1) for p in pieces for i in range(len(p))]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").cache()
+    for name, rule in redact.rules(V.LISTS):
+        pattern, _, _, *needs = rule(None)
+        if needs and needs[0]:
+            assert df.where(F.col("t").rlike(pattern) & ~F.col("t").rlike(needs[0])).isEmpty(), name
+            assert not df.where(F.col("t").rlike(pattern)).isEmpty(), name
