@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 import unicodedata
 import uuid
+from array import array
 
 import ahocorasick
 import pandas as pd
@@ -55,17 +56,19 @@ class Names:
     def __init__(self, lists: dict[str, list[str]]):
         self.lists = lists
         self.always: dict[str, list[int]] = {k: [] for k in lists}
-        ids: dict[str, list[tuple[str, int]]] = {}
-        for key, names in lists.items():
+        # The automaton holds one number for each folded name: its last entry, of which ``_before`` names the one before.
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        self._keys, self._list, self._place, self._before = list(lists), array("b"), array("i"), array("i")
+        for n, (key, names) in enumerate(lists.items()):
             for i, name in enumerate(names):
                 folded = fold(name)
                 if not folded.strip() or re.search(r"[\[\]<>:+-]", name):
                     self.always[key].append(i)
                 else:
-                    ids.setdefault(folded, []).append((key, i))
-        self.automaton = ahocorasick.Automaton()
-        for folded, where in ids.items():
-            self.automaton.add_word(folded, where)
+                    self._before.append(self.automaton.get(folded, -1))
+                    self.automaton.add_word(folded, len(self._place))
+                    self._list.append(n)
+                    self._place.append(i)
         self.automaton.make_automaton()
 
     def found(self, text: str) -> dict[str, list[str]]:
@@ -73,9 +76,10 @@ class Names:
         seen = {k: set(v) for k, v in self.always.items()}
         if len(self.automaton):
             for part in (fold(text), PLACEHOLDERS_FOLDED):
-                for _, where in self.automaton.iter(part):
-                    for key, i in where:
-                        seen[key].add(i)
+                for _, entry in self.automaton.iter(part):
+                    while entry >= 0:
+                        seen[self._keys[self._list[entry]]].add(self._place[entry])
+                        entry = self._before[entry]
         return {k: [self.lists[k][i] for i in sorted(v, key=lambda i, k=k: (-len(self.lists[k][i]), i))] for k, v in seen.items()}
 
 

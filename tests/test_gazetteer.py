@@ -94,3 +94,18 @@ def test_size_is_checked(spark, monkeypatch):
 def test_folding():
     assert gazetteer.fold("ÁRBOL\n\t ſİKß") == "arbol sikß"
     assert re.search(r"\s", gazetteer.fold("a b")) is not None
+
+
+def test_names_take_little_memory():
+    """An automaton holds a few numbers for each name, not objects; names that fold alike are all found."""
+    import tracemalloc
+
+    from curalis.functions.gazetteer import Names
+
+    names = [f"name{i:06d}" for i in range(20_000)]
+    tracemalloc.start()
+    Names({"a": names})
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 * len(names)
+    assert Names({"a": ["Calí", "x", "CALI"], "b": ["cali"]}).found("de cali") == {"a": ["Calí", "CALI"], "b": ["cali"]}
