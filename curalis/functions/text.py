@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -70,6 +72,8 @@ class _Unicode:
 
 UNICODE = _Unicode()
 BLANKS = "[ \\t\u00a0\u2007\u202f]+"
+#: The characters of ``(?U)\\s``.
+SPACE = "\t\n\x0b\x0c\r \x85\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def sub(text: Column, pattern: str, to: str) -> Column:
@@ -78,7 +82,29 @@ def sub(text: Column, pattern: str, to: str) -> Column:
 
 def strip(text: Column) -> Column:
     """Without white space of any kind at both ends."""
-    return sub(text, r"(?U)^\s+|\s+$", "")
+    return F.btrim(text, F.lit(SPACE))
+
+
+def _where(there, pattern: str, to: str):
+    """``sub`` only where ``there`` holds for the text, which it does for each text that has a match: to look for a few bytes
+    takes far less than to write a text anew."""
+    return lambda t: F.when(there(t), sub(t, pattern, to)).otherwise(t)
+
+
+def _in_turn(text: Column, *steps) -> Column:
+    """The text after some steps, each of which sees the one before computed once."""
+    for step in steps:
+        text = _let(text, step)
+    return text
+
+
+def _has(*some: str):
+    return lambda t: reduce(or_, (t.contains(x) for x in some))
+
+
+def _plain(text: Column) -> Column:
+    """Whether all characters are of one byte, so none has a mark and none joins another."""
+    return F.octet_length(text) == F.length(text)
 
 
 def _let(value: Column, body) -> Column:
@@ -143,43 +169,52 @@ def compose(text: Column) -> Column:
     another, or never stands in composed text, are taken apart, and of these only such characters and what they follow."""
     cut = F.split(F.regexp_replace(text, F.lit(UNICODE.cluster), F.lit(f"{CUT}$0{CUT}")), CUT, -1)
     done = F.array_join(F.transform(cut, lambda x: F.when(x.rlike(UNICODE.needed), _composed(x)).otherwise(x)), "")
-    return F.when(text.rlike(UNICODE.needed), done).otherwise(text)
+    return F.when(~_plain(text) & text.rlike(UNICODE.needed), done).otherwise(text)
 
 
 def unaccent(text: Column) -> Column:
     """Without the marks of U+0300 to U+036F, alone or in a letter."""
-    return F.translate(sub(text, r"[\u0300-\u036f]", ""), UNICODE.marked, UNICODE.bare)
+    bare = F.translate(sub(text, r"[\u0300-\u036f]", ""), UNICODE.marked, UNICODE.bare)
+    return F.when(_plain(text), text).otherwise(bare)
 
 
 def clean(value: Column, exported: bool = True) -> Column:
     """Structural cleaning of a free-text field; null gives the empty string.  Quotes that a CSV export doubled or left over, and
     digits run into the capitals that begin a field, are its artefacts; in texts that were not ``exported`` they are kept."""
     # No control character joins another, so these may go first.
-    t = compose(sub(F.coalesce(value.cast("string"), F.lit("")), r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]", " "))
-    if exported:
-        t = sub(t, r'"{2,}', '"')
-        t = sub(t, r"""(?U)^\s*[\d"']+(?=[A-ZÁÉÍÓÚÑ]{3,})""", "")
-        t = sub(strip(t), r'^"+|"+$', "")
-    t = strip(t)
-    if exported:
-        t = sub(t, r'(?U)(?<!\w)"(?!\w)', "")
-    t = sub(t, r"\.{4,}", "...")
-    t = sub(t, r"[ \t]*\n[ \t]*", "\n")
-    t = sub(t, r"\n{3,}", "\n\n")
-    t = sub(t, BLANKS, " ")
-    t = sub(t, r"(?U)\s+([,;:.])", "$1")
-    t = sub(t, r"(?U)([,;:])(?=[^\s\d])", "$1 ")
-    return strip(t)
+    t = sub(F.coalesce(value.cast("string"), F.lit("")), r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]", " ")
+    quoted = _has('"')
+    first = [_where(_has('""'), r'"{2,}', '"'), lambda t: sub(t, r"""(?U)^\s*[\d"']+(?=[A-ZÁÉÍÓÚÑ]{3,})""", ""), strip, _where(quoted, r'^"+|"+$', "")]
+    return _in_turn(
+        t,
+        compose,
+        *(first if exported else ()),
+        strip,
+        *([_where(quoted, r'(?U)(?<!\w)"(?!\w)', "")] if exported else ()),
+        _where(_has("...."), r"\.{4,}", "..."),
+        _where(_has("\n"), r"[ \t]*\n[ \t]*", "\n"),
+        _where(_has("\n\n\n"), r"\n{3,}", "\n\n"),
+        fold_blanks,
+        _where(lambda t: t.rlike(r"(?U)\s[,;:.]"), r"(?U)\s+([,;:.])", "$1"),
+        _where(_has(",", ";", ":"), r"(?U)([,;:])(?=[^\s\d])", "$1 "),
+        strip,
+    )
+
+
+def fold_blanks(text: Column) -> Column:
+    """Each run of blanks as one; only texts with more than single spaces are written anew."""
+    return _where(_has("  ", "\t", "\u00a0", "\u2007", "\u202f"), BLANKS, " ")(text)
 
 
 def match_key(text: Column) -> Column:
     """Lower case without accents, blanks folded; line ends stay."""
-    return strip(sub(F.lower(compose(unaccent(text))), BLANKS, " "))
+    return _in_turn(text, unaccent, compose, F.lower, fold_blanks, strip)
 
 
 def label_key(text: Column) -> Column:
     """Lower case without accents, all white space folded."""
-    return strip(sub(F.lower(unaccent(text)), r"(?U)\s+", " "))
+    spaced = _where(lambda t: t.rlike(r"(?U)[^\S ]|\s\s"), r"(?U)\s+", " ")
+    return _in_turn(text, unaccent, F.lower, spaced, strip)
 
 
 def _tolerant(c: str) -> str:
@@ -213,17 +248,22 @@ def one_of(phrases: list[str], character=_tolerant, pattern=tolerant) -> str:
         ways = [character(c) + written(after) for c, after in node.items() if c] + [""] * ("" in node)
         return ways[0] if len(ways) == 1 else f"(?:{'|'.join(ways)})"
 
+    # Java tries the beginnings one after another: some at a time stand behind a look at the first letter.
+    letters = sorted(root)
+    if len(letters) > 6:
+        few = [letters[i : i + 4] for i in range(0, len(letters), 4)]
+        return "(?:" + "|".join(f"(?=[{''.join(character(c).strip('[]') for c in some)}]){written({c: root[c] for c in some})}" for some in few) + ")"
     return f"(?:{written(root)})"
 
 
 def literal(pattern: str) -> str:
-    """The longest string of lower-case letters that every match of a pattern holds, from what stands outside groups and classes and
+    """The longest string of lower-case letters and spaces that every match of a pattern holds, from what stands outside groups and classes and
     has no quantifier; empty where a pattern has alternatives."""
     if "|" in pattern:
         return ""
     plain = re.sub(r"\([^()]*\)[?*+]?(?:\{[^}]*\})?", "#", pattern)
     plain = re.sub(r"(?:\[[^\]]*\]|\\.|[^\\])(?:[?*]|\{[^}]*\})|\[[^\]]*\]|\\.", "#", plain)
-    return "" if "(" in plain else max(re.findall("[a-z]*", plain), key=len)
+    return "" if "(" in plain else max(re.findall("[a-z ]*", plain), key=len)
 
 
 def age_band(value: Column, unit: Column) -> Column:

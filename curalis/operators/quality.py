@@ -29,7 +29,8 @@ def normalise(notes: DataFrame, exported: bool = True) -> DataFrame:
 
 
 def truncated(key: str) -> Column:
-    last = F.element_at(F.split(F.col(f"{key}_clean"), r"(?U)\s+"), -1)
+    # What follows the last space, and of that what follows other white space: most texts need not be split.
+    last = F.element_at(F.split(F.substring_index(f"{key}_clean", " ", -1), r"(?U)\s+"), -1)
     word = X.sub(X.match_key(last), "^[,;:-]+|[,;:-]+$", "")
     cut = word.isin(V.FUNCTION_WORDS)
     if KEYS[key] in V.CAPPED:

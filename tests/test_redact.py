@@ -150,3 +150,18 @@ def test_lists_as_trees_and_needed_parts(spark):
         if needs and needs[0]:
             assert df.where(F.col("t").rlike(pattern) & ~F.col("t").rlike(needs[0])).isEmpty(), name
             assert not df.where(F.col("t").rlike(pattern)).isEmpty(), name
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_cleaning_writes_only_texts_that_change(spark):
+    """Each step of cleaning is guarded, the text before it is one expression, and white space is that of the regex engine."""
+    from curalis.functions import text as X
+
+    df = spark.createDataFrame([("a",)], "t string")
+    assert "+|\\s+$" not in _plan(df.select(X.clean(F.col("t")))) and "contains(" in _plan(df.select(X.clean(F.col("t")))).lower()
+    assert _plan(df.select(X.match_key(F.col("t")))).count("regexp_replace") <= 6
+    every = spark.range(1, 0xD800).select(F.expr("decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE')").alias("c"))
+    assert every.where(F.col("c").rlike(r"(?U)\s") != (X.strip(F.col("c")) == "")).isEmpty()
