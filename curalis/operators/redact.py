@@ -57,7 +57,7 @@ def known(token: Column, lists: dict[str, list[str]], name: str, found: Column |
 
 def rules(lists: dict[str, list[str]]) -> list[tuple[str, object]]:
     """Rules in the order in which they apply, each with its name; an empty list has no rule.  A rule is a function of the
-    names of large lists found in the text (or none) that gives ``(pattern, decision, groups)`` and, where there is one, what every match holds."""
+    names of large lists found in the text (or none) that gives ``(pattern, decision, groups)`` and, where there is one, what every match holds (a pattern of figures and signs, then one of names)."""
     unit = rf"(?!\s*{V.UNITS})"
 
     def fixed(name: str, pattern: str, decide, groups: int = 0, needs: str | None = None):
@@ -79,11 +79,13 @@ def rules(lists: dict[str, list[str]]) -> list[tuple[str, object]]:
         after_type = named("instituciones", rf"{I}{V.INSTITUTION}{V.FILLER}\s+", r"\b")
         generic = named("tipos_genericos", rf"{I}^{V.INSTITUTION}\s+", r"\s*$")
         veto = lambda found: lambda bits, pos: F.when(~fold.holds(bits[0], generic(found)), F.lit("[INSTITUCION]"))
-        out.append(("institucion", lambda found: (after_type(found), veto(found) if lists["tipos_genericos"] else _always("[INSTITUCION]"), 0)))
+        # A name follows white space; to look for names first takes less than to look for types of institutions.
+        listed = None if "instituciones" in large(lists) else rf"{I}\s{X.one_of(lists['instituciones'])}"
+        out.append(("institucion", lambda found: (after_type(found), veto(found) if lists["tipos_genericos"] else _always("[INSTITUCION]"), 0, None, listed)))
     hospital = lambda found: lambda bits, pos: F.when(~known(_key(bits[1]), lists, "hospital_genericos", found), F.lit("[INSTITUCION]"))
     doctor = lambda found: lambda bits, pos: F.when(known(_key(bits[1]), lists, "medicos", found), F.lit("[MEDICO]"))
     out += [
-        fixed("institucion_santoral", I + V.SAINT, _always("[INSTITUCION]")),
+        ("institucion_santoral", lambda found: (I + V.SAINT, _always("[INSTITUCION]"), 0, None, I + r"\ss[aá]n")),
         ("institucion_hospital", lambda found: (I + V.HOSPITAL, hospital(found), 1)),
     ]
     if lists["instituciones_siglas"]:

@@ -156,6 +156,22 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_matches_are_decided_once_and_names_looked_for_first(spark):
+    """A match's placeholder is one expression of the plan; what is looked for before a rule of names is in all of its matches."""
+    df = spark.createDataFrame([("paciente de 34 años",)], "t string")
+    assert _plan(redact.redact(df, "t", only={"edad"})).count("[EDAD:90+]") == 2
+    texts = ["Hospital  de la SAN\u00a0rafael", "CLÍNICA aurora", "clinica\nrayito de sol", "ips santa ana", "eſe ſan joſe", "meses San Juan de Dios", "aurora", "hospital"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").cache()
+    tried = 0
+    for name, rule in redact.rules(redact.V.LISTS):
+        pattern, _, _, *needs = rule(None)
+        if needs[1:]:
+            found = df.where(F.col("t").rlike(pattern))
+            assert found.count() and found.where(~F.col("t").rlike(needs[1])).isEmpty(), name
+            tried += 1
+    assert tried == 2
+
+
 def test_cleaning_writes_only_texts_that_change(spark):
     """Each step of cleaning is guarded, the text before it is one expression, and white space is that of the regex engine."""
     from curalis.functions import text as X
