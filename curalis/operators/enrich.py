@@ -23,17 +23,22 @@ def expand(text: Column, abbreviations: dict[str, str]) -> Column:
     table = F.create_map(*(F.lit(x) for k, v in abbreviations.items() for x in (k.lower(), v)))
 
     def step(acc: Column, part: Column) -> Column:
-        key = F.lower(part)
-        new = (acc["i"] % 2 == 1) & ~F.array_contains(acc["keys"], key)
-        return F.struct(
-            (acc["i"] + 1).alias("i"),
-            F.concat(acc["out"], part, F.when(new, F.coalesce(F.concat(F.lit(" ("), F.try_element_at(table, key), F.lit(")")), F.lit(""))).otherwise("")).alias("out"),
-            F.when(new, F.array_append(acc["keys"], key)).otherwise(acc["keys"]).alias("keys"),
-        )
+        def named(key: Column) -> Column:
+            new = ~F.array_contains(acc["keys"], key)
+            return F.struct(
+                (acc["i"] + 1).alias("i"),
+                F.concat(acc["out"], part, F.when(new, F.coalesce(F.concat(F.lit(" ("), F.try_element_at(table, key), F.lit(")")), F.lit(""))).otherwise("")).alias("out"),
+                F.when(new, F.array_append(acc["keys"], key)).otherwise(acc["keys"]).alias("keys"),
+            )
 
-    zero = F.struct(F.lit(0).alias("i"), F.lit("").alias("out"), F.array().cast("array<string>").alias("keys"))
-    done = F.aggregate(fold.parts(fold.without_marks(text), pattern), zero, step, lambda a: F.struct(a["out"].alias("text"), a["keys"].alias("keys")))
-    return F.when(text.rlike(pattern), done).otherwise(none)
+        kept = F.struct((acc["i"] + 1).alias("i"), F.concat(acc["out"], part).alias("out"), acc["keys"].alias("keys"))
+        return F.when(acc["i"] % 2 == 1, fold.let(F.lower(part), named)).otherwise(kept)
+
+    def folded(marked: Column) -> Column:
+        zero = F.struct(F.lit(0).alias("i"), F.lit("").alias("out"), F.array().cast("array<string>").alias("keys"))
+        return F.aggregate(F.split(marked, fold.MARK, -1), zero, step, lambda a: F.struct(a["out"].alias("text"), a["keys"].alias("keys")))
+
+    return fold.let(fold.marked(fold.without_marks(text), pattern), lambda m: F.when(m.contains(fold.MARK), folded(m)).otherwise(none))
 
 
 def expand_fields(df: DataFrame, keys: list[str], abbreviations: dict[str, str] | None = None) -> DataFrame:
@@ -46,10 +51,12 @@ def expand_fields(df: DataFrame, keys: list[str], abbreviations: dict[str, str]
 
 
 def _any(text: Column, patterns: list[str]) -> Column:
-    """Whether any pattern is found.  Each is tried only where the letters that it cannot do without stand in the text: to look for these
+    """Whether any pattern is found in a key of ``label_key``.  Each is tried only where the letters that it cannot do without stand in the text: to look for these
     takes a fraction of the time of a pattern, and most are not there."""
 
     def one(pattern: str) -> Column:
+        # Keys have no accents, and single spaces for white space.
+        pattern = re.sub(r"\[([a-z])[áéíóúñü]\]", r"\1", pattern).replace(r"\s+", " ")
         needed = X.literal(pattern)
         found = text.rlike(f"(?U){pattern}")
         return text.contains(needed) if needed == pattern else text.contains(needed) & found if needed else found

@@ -181,3 +181,13 @@ def test_cleaning_writes_only_texts_that_change(spark):
     assert _plan(df.select(X.match_key(F.col("t")))).count("regexp_replace") <= 6
     every = spark.range(1, 0xD800).select(F.expr("decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE')").alias("c"))
     assert every.where(F.col("c").rlike(r"(?U)\s") != (X.strip(F.col("c")) == "")).isEmpty()
+
+
+def test_labels_need_no_regex_for_accents_and_blanks(spark):
+    from curalis.functions import values as V
+    from curalis.operators import enrich
+
+    df = spark.createDataFrame([("apuñalado con\u00a0arma   de  fuego, RIÑA; trauma en tórax",)], "t string")
+    assert _plan(df.select(enrich.mechanism(F.lit(""), F.col("t")))).count("RLIKE") < sum(map(len, V.MECHANISMS.values()))
+    got = df.select(enrich.mechanism(F.col("t"), F.lit("")).alias("m"), enrich.regions(F.col("t")).alias("r")).first()
+    assert got.m == "arma_de_fuego" and got.r == ["torax"]
