@@ -284,6 +284,7 @@ def mask_placeholders(text: Column) -> Column:
 
 
 def mostly_upper(text: Column, share: float = 0.8) -> Column:
-    letters = F.length(sub(text, r"[^\p{L}]", ""))
-    upper = F.length(sub(text, r"[^\p{Lu}]", ""))
-    return F.when(letters > 0, upper / letters > share).otherwise(False)
+    # Runs and not single characters are taken out; capitals are counted in what is left.
+    letters = sub(text, r"[^\p{L}]+", "")
+    counts = _let(letters, lambda t: F.array(F.length(t), F.length(sub(t, r"[^\p{Lu}]+", ""))))
+    return _let(counts, lambda n: F.when(n[0] > 0, n[1] / n[0] > share).otherwise(False))

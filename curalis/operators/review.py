@@ -42,8 +42,8 @@ def longest(texts: DataFrame, n: int, length: str = "n_chars_doc", key: str = "r
 
 def label_of(name: Column) -> Column:
     """ORG: a name with an institution's type word; LOC: a place of the seed list; else PER."""
-    key = X.label_key(name)
-    return F.when(key.rlike(rf"(?U)\b{V.TYPE_WORDS}\b"), "ORG").when(key.isin(V.PLACE_SEEDS), "LOC").otherwise("PER")
+    label = lambda key: F.when(key.rlike(rf"(?U)\b{V.TYPE_WORDS}\b"), "ORG").when(key.isin(V.PLACE_SEEDS), "LOC").otherwise("PER")
+    return fold.let(X.label_key(name), label)
 
 
 def capitalised_runs(texts: DataFrame) -> DataFrame:

@@ -191,3 +191,15 @@ def test_labels_need_no_regex_for_accents_and_blanks(spark):
     assert _plan(df.select(enrich.mechanism(F.lit(""), F.col("t")))).count("RLIKE") < sum(map(len, V.MECHANISMS.values()))
     got = df.select(enrich.mechanism(F.col("t"), F.lit("")).alias("m"), enrich.regions(F.col("t")).alias("r")).first()
     assert got.m == "arma_de_fuego" and got.r == ["torax"]
+
+
+def test_capitals_are_counted_by_runs(spark):
+    """As by single characters; null where the text is null stays false or null as a filter."""
+    from curalis.functions import text as X
+
+    texts = ["", "...", "ABCDe", "ABCd", "ÁÉ íó", "AB 12 CD\n-- ÑÑ", "a", None, "ＡＢ x", "\U0001d400 b", "ab" * 50]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", X.mostly_upper(F.col("t")).alias("u"))
+    for row in df.collect():
+        letters = [c for c in row.t or "" if c.isalpha()]
+        assert bool(row.u) == (bool(letters) and sum(c.isupper() for c in letters) / len(letters) > 0.8), row
+    assert "[^\\p{L}]," not in _plan(df) and "[^\\p{L}]+" in _plan(df)
