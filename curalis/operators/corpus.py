@@ -71,6 +71,9 @@ def index_lines(corpus: DataFrame, column: str = "apto_rag") -> DataFrame:
 
 
 def write(corpus: DataFrame, folder: str, column: str = "apto_rag") -> None:
+    """The three files.  The corpus is written once and the other two are made of its file: a sort reads its input twice, and
+    notes are not to be redacted and labelled again for each."""
     corpus.write.mode("overwrite").parquet(f"{folder}/corpus.parquet")
+    corpus = corpus.sparkSession.read.schema(corpus.schema).parquet(f"{folder}/corpus.parquet")
     index_lines(corpus, column).write.mode("overwrite").text(f"{folder}/corpus_indexable.jsonl")
     exclusions(corpus, column).write.mode("overwrite").option("header", True).csv(f"{folder}/excluidos_rag.csv")

@@ -408,3 +408,21 @@ def test_composition_classes_are_trees():
         while pattern != (pattern := re.sub(r"\[\\x\{\w+\}-\\x\{\w+\}(&&\[R{1,2}\])?\]", "R", pattern)):
             pass
         assert "x{" not in pattern
+
+
+def test_corpus_is_made_once_for_its_three_files(spark, tmp_path):
+    """A corpus takes redaction and labels: writing its files computes each row once, for the sort of the index too."""
+    from curalis.operators import corpus
+    from curalis.plans import pipeline as P
+
+    notes = [(str(i), "Años", "Caida de moto", f"paciente de 4{i} años sin otros hallazgos", f"se da salida {i}") for i in range(6)] + [("9", None, "x", None, None)]
+    docs = P.documents(spark.createDataFrame(notes, "record_id string, unit string, reason string, exam string, stay string"))
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        made.add(1)
+        return text
+
+    corpus.write(docs.withColumn("texto", F.udf(seen, "string").asNondeterministic()("texto")), str(tmp_path))
+    assert made.value == len(notes)
+    assert spark.read.text(f"{tmp_path}/corpus_indexable.jsonl").count() == 6 and spark.read.option("header", True).csv(f"{tmp_path}/excluidos_rag.csv").count() == 1
