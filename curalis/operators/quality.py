@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,9 @@ from curalis.functions import values as V
 from curalis.sources import store
 
 KEYS = {"reason": V.REASON, "exam": V.EXAM, "stay": V.STAY}
+#: Columns of texts that nothing after the flags reads, and all columns of texts.
+UNREAD = (*KEYS, "text_concat", "text_norm")
+TEXTS = (*UNREAD, *(f"{k}_clean" for k in KEYS))
 
 
 def names_where(tests: dict[str, Column]) -> Column:
@@ -66,15 +71,16 @@ def _first(rows: DataFrame) -> DataFrame:
     return rows.where(~F.col("empty")).groupBy("hash_texto").agg(F.min("__order").alias("first"), F.count("*").alias("n"))
 
 
-def flags(df: DataFrame, min_chars: int = V.MIN_CHARS, earlier: DataFrame | None = None) -> DataFrame:
+def flags(df: DataFrame, min_chars: int = V.MIN_CHARS, earlier: DataFrame | None = None, drop: Iterable[str] = ()) -> DataFrame:
     """Flags of normalised notes.  Nothing is dropped; of the rows with one text, the one with the least integer id stays
     and the others are marked as duplicates.  Rows that share an id are told apart by their place, and rows without an id come
     after all others.  Empty notes are no duplicates.
 
     The rows are written once (``store.written``): texts are cleaned once and places are fixed.  The first of each text is found
     on narrow rows, and only texts that repeat are looked up.  ``earlier`` (``hash_texto, id``; see ``first_ids``) are
-    the first ids of notes seen before, which are not read again: a text of theirs with a lesser or equal id is a duplicate."""
-    stored = store.written(row_flags(df, min_chars))
+    the first ids of notes seen before, which are not read again: a text of theirs with a lesser or equal id is a duplicate.  Columns
+    to ``drop`` are not written: flags alone need no text (``TEXTS``)."""
+    stored = store.written(row_flags(df, min_chars).drop(*drop))
     rows = stored.select("*", _order(F.col("_metadata.file_name"), F.col("_metadata.row_index")).alias("__order"))
     first = _first(rows)
     if earlier is not None:

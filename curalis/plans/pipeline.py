@@ -33,25 +33,25 @@ class Options:
         return "indexable" if self.include_incomplete else "apto_rag"
 
 
-def flagged(notes: DataFrame, options: Options | None = None, exported: bool = True) -> DataFrame:
-    return quality.flags(quality.normalise(notes, exported), (options or Options()).min_chars)
+def flagged(notes: DataFrame, options: Options | None = None, exported: bool = True, drop: tuple[str, ...] = ()) -> DataFrame:
+    return quality.flags(quality.normalise(notes, exported), (options or Options()).min_chars, drop=drop)
 
 
-def redacted(notes: DataFrame, options: Options | None = None) -> DataFrame:
+def redacted(notes: DataFrame, options: Options | None = None, drop: tuple[str, ...] = ()) -> DataFrame:
     options = options or Options()
-    return redact.redact_fields(flagged(notes, options), quality.KEYS, source.read_lists(options.lists))
+    return redact.redact_fields(flagged(notes, options, drop=drop), quality.KEYS, source.read_lists(options.lists))
 
 
-def enriched(notes: DataFrame, options: Options | None = None) -> DataFrame:
+def enriched(notes: DataFrame, options: Options | None = None, drop: tuple[str, ...] = ()) -> DataFrame:
     """Expansion follows redaction, and classification follows expansion."""
     options = options or Options()
-    df = enrich.expand_fields(redacted(notes, options), list(quality.KEYS), source.read_abbreviations(options.abbreviations))
+    df = enrich.expand_fields(redacted(notes, options, drop), list(quality.KEYS), source.read_abbreviations(options.abbreviations))
     return enrich.classify(df)
 
 
 def documents(notes: DataFrame, options: Options | None = None) -> DataFrame:
     options = options or Options()
-    return corpus.assemble(enriched(notes, options), options.notice_in_text)
+    return corpus.assemble(enriched(notes, options, quality.UNREAD), options.notice_in_text)
 
 
 def _csv(df: DataFrame, path: str) -> None:

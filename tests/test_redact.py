@@ -203,3 +203,13 @@ def test_capitals_are_counted_by_runs(spark):
         letters = [c for c in row.t or "" if c.isalpha()]
         assert bool(row.u) == (bool(letters) and sum(c.isupper() for c in letters) / len(letters) > 0.8), row
     assert "[^\\p{L}]," not in _plan(df) and "[^\\p{L}]+" in _plan(df)
+
+
+def test_flags_alone_write_no_texts(spark):
+    from curalis.operators import quality
+    from curalis.plans import catalog
+
+    flagged = catalog.P.flagged(catalog.b(spark, "/root/testdata/sf0.001"), exported=False, drop=quality.TEXTS)
+    assert not {*quality.TEXTS} & {*spark.read.parquet(*flagged.inputFiles()).columns}
+    every = catalog.P.flagged(catalog.b(spark, "/root/testdata/sf0.001"), exported=False)
+    assert flagged.exceptAll(every.select(flagged.columns)).isEmpty() and flagged.count() == every.count()
