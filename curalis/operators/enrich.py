@@ -70,22 +70,38 @@ def _first(text: Column, labels: dict[str, list[str]]) -> Column:
 
 def mechanism(reason: Column, body: Column) -> Column:
     """The first label found in the reason, else the first in reason and body."""
-    one, both = X.label_key(reason), F.concat(X.label_key(reason), F.lit(" "), X.label_key(body))
-    return fold.let(one, lambda m: F.coalesce(_first(m, V.MECHANISMS), fold.let(both, lambda t: _first(t, V.MECHANISMS)), F.lit(V.UNKNOWN)))
+    return _mechanism(X.label_key(reason), X.label_key(body))
+
+
+def _mechanism(reason: Column, body: Column) -> Column:
+    both = lambda m: F.concat(m, F.lit(" "), body)
+    return fold.let(reason, lambda m: F.coalesce(_first(m, V.MECHANISMS), fold.let(both(m), lambda t: _first(t, V.MECHANISMS)), F.lit(V.UNKNOWN)))
 
 
 def regions(text: Column) -> Column:
-    return fold.let(X.label_key(text), lambda t: F.array_compact(F.array(*(F.when(_any(t, p), F.lit(label)) for label, p in V.REGIONS.items()))))
+    return _regions(X.label_key(text))
+
+
+def _regions(key: Column) -> Column:
+    return fold.let(key, lambda t: F.array_compact(F.array(*(F.when(_any(t, p), F.lit(label)) for label, p in V.REGIONS.items()))))
 
 
 def outcome(body: Column) -> Column:
-    return fold.let(X.label_key(body), lambda t: F.coalesce(_first(t, V.OUTCOMES), F.lit(V.UNKNOWN)))
+    return _outcome(X.label_key(body))
+
+
+def _outcome(key: Column) -> Column:
+    return fold.let(key, lambda t: F.coalesce(_first(t, V.OUTCOMES), F.lit(V.UNKNOWN)))
 
 
 def classify(df: DataFrame) -> DataFrame:
     r, e, s = (F.coalesce(f"{k}_anon", F.lit("")) for k in ("reason", "exam", "stay"))
     body = F.concat(e, F.lit(" "), s)
-    return df.withColumns({"mecanismo_lesion": mechanism(r, body), "region_anatomica": regions(F.concat(r, F.lit(" "), body)), "desenlace": outcome(body)})
+    # The keys of reason and body are computed once; that of both together is theirs with a space between.
+    df = df.withColumns({"__one": X.label_key(r), "__body": X.label_key(body)})
+    one, rest = F.col("__one"), F.col("__body")
+    labels = {"mecanismo_lesion": _mechanism(one, rest), "region_anatomica": _regions(X.strip(F.concat(one, F.lit(" "), rest))), "desenlace": _outcome(rest)}
+    return df.withColumns(labels).drop("__one", "__body")
 
 
 def label_counts(df: DataFrame, column: str) -> DataFrame:

@@ -205,6 +205,19 @@ def test_capitals_are_counted_by_runs(spark):
     assert "[^\\p{L}]," not in _plan(df) and "[^\\p{L}]+" in _plan(df)
 
 
+def test_keys_of_labels_are_computed_once(spark):
+    """``classify`` gives what each label gives by itself, and looks at each text once."""
+    texts = [None, "", " ", "Me CAÍ ", " de la moto", "ΟΔΟΣ", "me", "cortó  İ é", "CE", "en ojo; riñón", "́x", "UCI"]
+    rows = [(r, e, s) for r in texts for e in texts[::2] for s in texts[1::3]]
+    df = spark.createDataFrame(rows, "reason_anon string, exam_anon string, stay_anon string")
+    r, e, s = (F.coalesce(c, F.lit("")) for c in df.columns)
+    body = F.concat(e, F.lit(" "), s)
+    got = enrich.classify(df)
+    want = df.select("*", enrich.mechanism(r, body).alias("m"), enrich.regions(F.concat(r, F.lit(" "), body)).alias("r"), enrich.outcome(body).alias("o"))
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, want.collect())))
+    assert _plan(got).count("regexp_replace") < _plan(want).count("regexp_replace")
+
+
 def test_flags_alone_write_no_texts(spark):
     from curalis.operators import quality
     from curalis.plans import catalog
