@@ -197,6 +197,31 @@ def test_substring_finds_passages_of_common_lines(spark):
     assert sum(len(c - got.get(i, set())) for i, c in cover.items()) <= 0.001 * sum(map(len, cover.values()))
 
 
+def test_substring_finds_the_whole_passage_in_a_crowd(spark):
+    """The first and the nearest documents of a crowd have parts of a passage only, others of it all; some parts twice."""
+    rng = random.Random(12)
+    whole = prose(rng, 64).split()
+    texts = []
+    for i in range(60):
+        part = whole if i in (20, 40, 41, 59) else whole[:40] if i % 3 == 0 else whole[24:] if i % 3 == 1 else whole[12:52]
+        texts.append(" ".join([prose(rng, 60), *part, prose(rng, 60), *(part[:30] if i % 4 == 0 else [])]))
+    words = [t.split() for t in texts]
+    first, cover = {}, {}
+    for i, w in enumerate(words):
+        for p in range(len(w) - 49):
+            if first.setdefault(tuple(w[p : p + 50]), i) < i:
+                cover.setdefault(i, set()).update(range(p, p + 50))
+    assert set(cover) == {40, 41, 59}
+    for parts in (1, 7):
+        found = substring.matches(docs(spark, texts).repartition(parts)).collect()
+        got = {}
+        for r in found:
+            got.setdefault(r.doc, set()).update(range(r.start, r.end))
+        assert all(c <= got.get(i, set()) for i, c in cover.items())
+        # Copies are matched with the document that stands for them.
+        assert {(40, 20), (41, 20), (59, 20)} <= {(r.doc, r.other) for r in found}
+
+
 # -- SimHash
 def fingerprint(t):
     w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWER))
