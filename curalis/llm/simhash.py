@@ -18,7 +18,8 @@ differing bits one block holds at most 1, so no link is lost.  ``SIMILAR``, for
 0.93 (``sure``) are links; those up to two standard deviations beyond the expected distance of 0.8 are links if the
 Jaccard similarity of their sets of shingles is 0.8 or more.  What sure links connect is one group here: of the pairs between
 two groups the closest is verified, in each
-anchor those that a spanning forest by distance needs.  Distance and blocks find a pair with a probability that grows with its
+anchor those that a spanning forest by distance needs.  Where such a pair fails, all other candidates of the groups that stay apart
+are verified too.  Distance and blocks find a pair with a probability that grows with its
 similarity (the README has measured recall).  A block of w bits leaves about 2**(w - order) anchors; ``free`` should grow with the logarithm of the number of
 documents, at the price of recall.
 
@@ -82,6 +83,8 @@ CONTRACT = Setting(shingle=3, bits=64, threshold=2, order=5, free=0)
 SIMILAR = Setting(shingle=5, bits=128, threshold=distance(0.8, 128, 2), order=4, free=3, sure=distance(0.93, 128))
 #: Members of an anchor compared at a time, and members from which on a large group in it is looked for first.
 BLOCK, LARGE = 256, 1_024
+#: Places of a sketch of a text's shingles.
+SKETCH = 1_024
 
 
 def shingle_hashes(data, offsets, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -363,6 +366,25 @@ def linked(classes: DataFrame, setting: Setting = CONTRACT) -> DataFrame:
     return _by_anchor(_replicas(classes.select("fp", "node"), setting), work, "u long, v long")
 
 
+def remaining(rooted: DataFrame, setting: Setting) -> DataFrame:
+    """From ``fp, node, root``: ``u, v``, all pairs of nodes of different groups whose distance makes them candidates."""
+    words = setting.bits // 64
+
+    def work(bounds, fps, home, node, root):
+        fp = _matrix(fps, words)
+        for lo, hi in bounds:
+            if (root[lo:hi] == root[lo]).all():
+                continue
+            hosts, members = lo + np.flatnonzero(home[lo:hi]), np.arange(lo, hi)
+            for k in range(0, len(hosts), BLOCK):
+                u, v = _near(fp, hosts[k : k + BLOCK], members, setting.threshold)
+                u, v = node[u[root[u] != root[v]]], node[v[root[u] != root[v]]]
+                if len(u):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["u", "v"])
+
+    return _by_anchor(_replicas(rooted.select("fp", "node", "root"), setting), work, "u long, v long").distinct()
+
+
 def undecided(rooted: DataFrame, setting: Setting) -> DataFrame:
     """From ``fp, node, root`` (the least node that a node is linked to): ``a, b, d, u, v``, for two groups that have candidates
     in one anchor the closest pair there, and its distance."""
@@ -389,23 +411,36 @@ def undecided(rooted: DataFrame, setting: Setting) -> DataFrame:
 
 def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, setting: Setting) -> DataFrame:
     """The ``pairs`` of nodes ``u, v`` whose texts have similar sets of shingles.  ``classes`` has ``node, class, h``
-    and ``texts`` has ``class, h, text``."""
+    and ``texts`` has ``class, h, text``.  Sets are sent only for pairs that their sketches (the places of SKETCH that some shingle
+    falls on) do not rule out: each place of one text only is a shingle of that text only."""
 
     def sets(batches):
         for batch in batches:
             data, offsets, _ = A.utf8(batch.column(1))
-            out = []
+            out, sketches = [], []
             for lo, hi in A.chunks(offsets):
                 h, bounds = shingle_hashes(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], setting.shingle)
                 out += [np.unique(h[a:b]).view(np.int64) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int64()))], names=["node", "shingles"])
+            for x in out:
+                places = np.zeros(SKETCH, bool)
+                places[x.view(np.uint64) % A.U64(SKETCH)] = True
+                sketches.append(np.packbits(places).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))], names=["node", "shingles", "sketch"])
         A.release()
 
     nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     wanted = classes.join(nodes, "node").select("node", "class", "h")
     # Equal rows have one text.
-    known = texts.join(wanted, ["class", "h"]).select("node", "text").mapInArrow(sets, "node long, shingles array<long>").dropDuplicates(["node"])
+    known = texts.join(wanted, ["class", "h"]).select("node", "text").mapInArrow(sets, "node long, shingles array<long>, sketch array<long>").dropDuplicates(["node"])
     known = materialise(known, "shingles")
+
+    def only(x, y):
+        return F.aggregate(F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseAND(F.bitwise_not(b)))), F.lit(0), lambda total, n: total + n)
+
+    sketched = [known.select(F.col("node").alias(x), F.size("shingles").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}")) for x in ("u", "v")]
+    most = F.least(F.col("n_u") - only("s_u", "s_v"), F.col("n_v") - only("s_v", "s_u"))
+    pairs = pairs.join(sketched[0], "u").join(sketched[1], "v").withColumn("most", most)
+    pairs = pairs.where(F.col("most") >= setting.similarity * (F.col("n_u") + F.col("n_v") - F.col("most"))).select("u", "v")
     both = pairs.join(known.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u").join(known.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
     same = F.size(F.array_intersect("a", "b"))
     return both.withColumn("same", same).where(F.col("same") >= setting.similarity * (F.size("a") + F.size("b") - F.col("same"))).select("u", "v")
@@ -417,11 +452,23 @@ def _groups(classes: DataFrame, texts: DataFrame, setting: Setting) -> DataFrame
     if setting.sure is None:
         return near
     # Only candidates of different groups are looked for: a crowd of copies is one group by now.
-    rooted = materialise(classes.join(near, classes["node"] == near["u"], "left").select("fp", "node", F.coalesce("v", "node").alias("root")), "rooted")
+    def with_root(groups):
+        return classes.join(groups, classes["node"] == groups["u"], "left").select("fp", "node", F.coalesce("v", "node").alias("root"))
+
+    rooted = materialise(with_root(near), "rooted")
     closest = undecided(rooted, setting).groupBy("a", "b").agg(F.min(F.struct("d", "u", "v")).alias("x"))
     closest = materialise(closest.select("a", "b", "x.u", "x.v"), "pairs")
-    more = closest.join(verified(closest.select("u", "v"), classes, texts, setting), ["u", "v"]).select(F.col("b").alias("u"), F.col("a").alias("v"))
-    return components(near.unionAll(more))
+    similar = materialise(verified(closest.select("u", "v"), classes, texts, setting), "similar")
+    more = closest.join(similar, ["u", "v"]).select(F.col("b").alias("u"), F.col("a").alias("v"))
+    found = components(near.unionAll(more))
+    # A forest leaves pairs out because others connect their groups.  Where one of these fails and its groups stay apart, the rest of their pairs decide.
+    rooted, failed = materialise(with_root(found), "rooted"), closest.join(similar, ["u", "v"], "left_anti")
+    root_of = [rooted.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")) for x in ("u", "v")]
+    apart = failed.join(root_of[0], "u").join(root_of[1], "v").where("root_u <> root_v").select(F.explode(F.array("root_u", "root_v")).alias("root")).distinct()
+    apart = materialise(rooted.join(apart, "root", "left_semi").select("fp", "node", "root"), "apart")
+    tried = closest.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    rest = materialise(remaining(apart, setting).join(tried, ["u", "v"], "left_anti"), "rest")
+    return components(found.unionAll(verified(rest, classes, texts, setting)))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id", keep: list[str] | None = None, setting: Setting = CONTRACT) -> DataFrame:

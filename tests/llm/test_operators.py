@@ -337,6 +337,40 @@ def test_similar_recall(spark):
     assert [group[len(texts) - k] for k in (3, 2, 1)] == [len(texts) - 3, len(texts) - 3, len(texts) - 1]
 
 
+def test_simhash_verifies_other_pairs_of_groups_that_stay_apart(spark):
+    """Of two groups the pair that is closest by fingerprint is not similar, another is."""
+    setting = simhash.Setting(simhash.SIMILAR.shingle, 128, 40, 4, 3, sure=12)
+    rng = random.Random(33)
+
+    def changed(words, n):
+        out = list(words)
+        for at in rng.sample(range(len(out)), n):
+            out[at] = "changed" + str(rng.random())[2:8]
+        return out
+
+    def similarity(a, b):
+        a, b = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a, b))
+        return len(a & b) / len(a | b)
+
+    def bits(words):
+        raw = " ".join(words).encode()
+        return simhash.fingerprints(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), setting)
+
+    # Two texts of one group and one beside: it is similar to the text that is farther by fingerprint.
+    for _ in range(2_000):
+        base = prose(rng, 200).split()
+        a, b, c = base, changed(base, 4), changed(base, 4)
+        one, two, three = bits(a), bits(b), bits(c)
+        far, near, linked = (int(np.bitwise_count(x ^ y).sum()) for x, y in ((one, three), (two, three), (one, two)))
+        if linked <= 12 < near < far <= 20 and similarity(a, c) >= 0.8 > similarity(b, c):
+            break
+    else:
+        raise AssertionError("no such texts")
+    texts = [" ".join(x) for x in (a, b, c)]
+    group = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs(spark, texts), keep=["doc_id"], setting=setting).collect()}
+    assert group == {0: 0, 1: 0, 2: 0}
+
+
 # -- decontamination
 @pytest.mark.parametrize("limit", [decontam.MAX_SET_BYTES, 200])
 def test_decontamination(spark, limit):
