@@ -49,6 +49,13 @@ def enriched(notes: DataFrame, options: Options | None = None, drop: tuple[str,
     return enrich.classify(df)
 
 
+def labelled(notes: DataFrame, options: Options | None = None) -> DataFrame:
+    """``enriched`` without flags: these drop no row, and what reads none of them need not compute and write them."""
+    options = options or Options()
+    df = redact.redact_fields(quality.normalise(notes), quality.KEYS, source.read_lists(options.lists))
+    return enrich.classify(enrich.expand_fields(df, list(quality.KEYS), source.read_abbreviations(options.abbreviations)))
+
+
 def documents(notes: DataFrame, options: Options | None = None) -> DataFrame:
     options = options or Options()
     return corpus.assemble(enriched(notes, options, quality.UNREAD), options.notice_in_text)

@@ -3,7 +3,9 @@
 import duckdb
 import pytest
 
+from curalis.operators import quality
 from curalis.plans import catalog
+from curalis.plans import pipeline as P
 from tests.conftest import DATA
 
 TABLES = "orders documents customer".split()
@@ -43,3 +45,13 @@ def test_entry_imports():
     import __spark_entry__ as e
 
     assert set(catalog.QUERIES) <= set(e.queries()) and set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_labels_need_no_flags(spark, monkeypatch):
+    """Queries on labels write nothing and have the labels of the flagged notes."""
+    notes = catalog.a(spark, DATA)
+    want = {tuple(map(str, r)) for r in P.enriched(notes).select("record_id", "mecanismo_lesion", "region_anatomica", "desenlace", "abreviaturas").collect()}
+    monkeypatch.setattr(quality, "flags", None)
+    got = P.labelled(notes).select("record_id", "mecanismo_lesion", "region_anatomica", "desenlace", "abreviaturas").collect()
+    assert {tuple(map(str, r)) for r in got} == want and len(got) == notes.count()
+    assert catalog.QUERIES["classify_outcome"](spark, DATA).columns == ["record_id", "desenlace", "abreviaturas"]
