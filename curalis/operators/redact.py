@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curalis.functions import fold, gazetteer
+from curalis.functions import batches, fold, gazetteer
 from curalis.functions import text as X
 from curalis.functions import values as V
 
@@ -154,12 +157,31 @@ def _named(log: Column, field: str) -> Column:
     return F.transform(log, lambda x: F.struct(F.lit(field).alias("campo"), *(x[k].alias(v) for k, v in names.items())))
 
 
+def _in_batches(fields: dict[str, str], lists: dict[str, list[str]]):
+    """A column function of texts: a struct of their rewritten texts and the log of all."""
+    names, packed = list(fields.values()), json.dumps(lists)
+    keys = [f"{key}_anon" for key in fields]
+
+    @F.arrow_udf(", ".join(f"{k} string" for k in keys) + ", events array<struct<campo:string,regla:string,original:string,placeholder:string,inicio:int,token:string>>")
+    def rewritten_texts(*texts: pa.Array) -> pa.Array:
+        done, log = batches.redacted(list(texts), names, packed)
+        return pa.StructArray.from_arrays([*done, log], [*keys, "events"])
+
+    return rewritten_texts
+
+
 def redact_fields(df: DataFrame, fields: dict[str, str], lists=None) -> DataFrame:
-    """Each ``<key>_clean`` redacted to ``<key>_anon``, all in one pass; all logs in one array with the field's name."""
-    df = rewrite_texts(df, [F.coalesce(f"{key}_clean", F.lit("")) for key in fields], "__s", V.LISTS if lists is None else lists)
-    at = lambda i: F.get("__s", F.lit(i))
-    logs = [_named(at(i)["log"], name) for i, name in enumerate(fields.values())]
-    df = df.withColumns({f"{key}_anon": at(i)["text"] for i, key in enumerate(fields)} | {"events": F.concat(*logs)}).drop("__s")
+    """Each ``<key>_clean`` redacted to ``<key>_anon``, all in one pass; all logs in one array with the field's name.  With lists
+    that stand in patterns as a whole, on batches of texts (``batches.redacted``)."""
+    lists = V.LISTS if lists is None else lists
+    if large(lists):
+        df = rewrite_texts(df, [F.coalesce(f"{key}_clean", F.lit("")) for key in fields], "__s", lists)
+        at = lambda i: F.get("__s", F.lit(i))
+        logs = [_named(at(i)["log"], name) for i, name in enumerate(fields.values())]
+        df = df.withColumns({f"{key}_anon": at(i)["text"] for i, key in enumerate(fields)} | {"events": F.concat(*logs)}).drop("__s")
+    else:
+        df = df.withColumn("__s", _in_batches(fields, lists)(*(F.col(f"{key}_clean") for key in fields)))
+        df = df.withColumns({name: F.col(f"__s.{name}") for name in (*(f"{key}_anon" for key in fields), "events")}).drop("__s")
     made = F.filter("events", lambda x: x["placeholder"].isNotNull())
     return df.withColumns({"n_reemplazos_phi": F.size(made), "tipos_phi": F.array_sort(F.array_distinct(F.transform(made, lambda x: x["regla"])))})
 

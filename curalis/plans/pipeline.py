@@ -49,11 +49,17 @@ def enriched(notes: DataFrame, options: Options | None = None, drop: tuple[str,
     return enrich.classify(df)
 
 
+def rewritten(notes: DataFrame, options: Options | None = None) -> DataFrame:
+    """``redacted`` without flags: these drop no row, and what reads none of them need not compute and write them."""
+    options = options or Options()
+    return redact.redact_fields(quality.normalise(notes), quality.KEYS, source.read_lists(options.lists))
+
+
 def labelled(notes: DataFrame, options: Options | None = None) -> DataFrame:
-    """``enriched`` without flags: these drop no row, and what reads none of them need not compute and write them."""
+    """``enriched`` without flags, likewise."""
     options = options or Options()
-    df = redact.redact_fields(quality.normalise(notes), quality.KEYS, source.read_lists(options.lists))
-    return enrich.classify(enrich.expand_fields(df, list(quality.KEYS), source.read_abbreviations(options.abbreviations)))
+    df = enrich.expand_fields(rewritten(notes, options), list(quality.KEYS), source.read_abbreviations(options.abbreviations))
+    return enrich.classify(df)
 
 
 def documents(notes: DataFrame, options: Options | None = None) -> DataFrame:
