@@ -175,14 +175,15 @@ def match_keys(column: pa.Array) -> pa.Array:
 
 _words = re.compile(r"\s+")
 _FUNCTION_WORDS = frozenset(V.FUNCTION_WORDS)
+#: A text that ends in one of them, each letter with all that have its key.
+_ENDS_OPEN = rf"(?:^|[{_SPACE}])[,;:-]*(?:{'|'.join(''.join('[' + ''.join(chr(i) for i, k in enumerate(_KEY) if k == ord(c)) + ']' for c in w) for w in V.FUNCTION_WORDS)})[,;:-]*$"
 
 
 def ends_open(column: pa.Array) -> pa.Array:
     """Whether the last word of each clean text is one that no sentence ends in."""
-    # In the texts that are left, the word stands at the end, with or without accents.
     texts = texts_of(column)
     out = np.zeros(len(texts), bool)
-    at = np.flatnonzero(_found(texts, rf"(?:^|[{_SPACE}])[,;:-]*[a-zA-Z\x{{80}}-\x{{10ffff}}]{{1,8}}[,;:-]*$") | _wide(texts))
+    at = np.flatnonzero(_found(texts, _ENDS_OPEN) | _wide(texts))
     for i, t in zip(at.tolist(), texts.take(pa.array(at)).to_pylist(), strict=True):
         out[i] = match_key(_words.split(t[t.rfind(" ") + 1 :])[-1]).strip(",;:-") in _FUNCTION_WORDS
     return pa.array(out)
@@ -206,32 +207,49 @@ def _known(words: list[str]):
     return lambda m: unaccented(m[1]).lower() in known
 
 
+def lowered(pattern: str) -> re.Pattern | None:
+    """For a pattern that ignores case and has no capitals but in classes: one that finds the same in the lower case of texts of characters up to
+    U+00FF, each of which has one such character for its lower case.  To ignore case takes several times as long.  Patterns
+    that begin with what must not stand before a digit look for the digit first."""
+    if not pattern.startswith("(?iU)") or max(pattern) > "\xff":
+        return None
+    p = pattern.removeprefix("(?iU)")
+    return re.compile(rf"(?=\d){p}" if p.startswith("(?<!") and re.match(r"(?:\\b)?\(?(?:\?:)?(?:\\d|\[?[0-9])", p[_closing(p, 0) :]) else p)
+
+
 class Rule:
-    """A rewrite rule: ``decide`` gives a match's placeholder, or none to keep it."""
+    """A rewrite rule: ``decide`` gives a match's placeholder from match and text, or none to keep it."""
 
     def __init__(self, name: str, pattern: str, decide: str | Callable, groups: int, bounded: bool = True):
-        self.name, self.search, self.groups = name, compiled(pattern).finditer, groups
-        self.decide = decide if callable(decide) else lambda m: decide
+        self.name, self.groups = name, groups
+        self.pattern, self.lower = compiled(pattern), lowered(pattern)
+        self.decide = decide if callable(decide) else lambda m, text: decide
         self.sieve = sieve(pattern, bounded)
 
-    def rewritten(self, text: str, note: Callable) -> str:
+    def search(self, text: str, wide: bool = True):
+        return self.lower.finditer(text.lower()) if self.lower and not wide else self.pattern.finditer(text)
+
+    def rewritten(self, text: str, note: Callable, wide: bool = True) -> str:
         out, end = [], 0
-        for m in self.search(text):
-            to = self.decide(m)
+        for m in self.search(text, wide):
+            to = self.decide(m, text)
+            a, b = m.span()
             if to is not None:
-                out += (text[end : m.start()], to)
-                end = m.end()
+                out += (text[end:a], to)
+                end = b
             if self.groups or to is not None:
-                note((m[0], to, m.start(), m[1] if self.groups else None))
+                note((text[a:b], to, a, text[m.start(1) : m.end(1)] if self.groups else None))
         return "".join((*out, text[end:])) if out else text
 
 
 def _places(lists: dict[str, list[str]]):
-    excepted = [compiled(f"(?iU){p}") for p in lists["municipios_excepciones"]]
+    # What is found in lower case must hold the letters that stand in the pattern.
+    needed = lambda p: X.literal(p) if re.fullmatch(r"(?:[^\\(\[]|\\[sbdw])*", p) else ""
+    excepted = [(compiled(f"(?iU){p}"), needed(p)) for p in lists["municipios_excepciones"]]
 
-    def decide(m: re.Match) -> str | None:
-        at = m.start()
-        return None if any(s.start() <= at < s.end() for p in excepted for s in p.finditer(m.string)) else "[MUNICIPIO]"
+    def decide(m: re.Match, text: str) -> str | None:
+        at, every = m.start(), m.re.flags & re.I
+        return None if any(s.start() <= at < s.end() for p, letters in excepted if every or letters in m.string for s in p.finditer(text)) else "[MUNICIPIO]"
 
     return decide
 
@@ -248,17 +266,17 @@ def rules(lists_json: str) -> list[Rule]:
     generic_hospital, listed_doctor = _known(lists["hospital_genericos"]), _known(lists["medicos"])
     fixed = {"email": "[EMAIL]", "documento": "[DOCUMENTO]", "telefono": "[TELEFONO]", "numero_id": "[NUMERO_ID]", "institucion": "[INSTITUCION]"}
     fixed |= {"institucion_santoral": "[INSTITUCION]", "institucion_sigla": "[INSTITUCION]", "fecha": "[FECHA]", "hora": "[HORA]", "anio": "[ANIO]"}
-    fixed["institucion_hospital"] = lambda m: None if generic_hospital(m) else "[INSTITUCION]"
-    fixed["medico"] = lambda m: "[MEDICO]" if listed_doctor(m) else None
+    fixed["institucion_hospital"] = lambda m, text: None if generic_hospital(m) else "[INSTITUCION]"
+    fixed["medico"] = lambda m, text: "[MEDICO]" if listed_doctor(m) else None
     # What stands before the number stays; before the suffix nothing does.
-    fixed["edad"] = lambda m: m[0][: m.start(1) - m.start()] + age_band(int(m[1]), m[2])
+    fixed["edad"] = lambda m, text: text[m.start() : m.start(1)] + age_band(int(m[1]), m[2])
     ends = {"institucion": bounded("instituciones") and bounded("instituciones_sin_trigger"), "institucion_sigla": bounded("instituciones_siglas")}
     out = []
     for name, rule in redact.rules(lists):
         pattern, _, groups, *_ = rule(None)
         decide = fixed[name]
         if generic and pattern == after_type:
-            decide = lambda m: None if generic.search(m[0]) else "[INSTITUCION]"
+            decide = lambda m, text: None if generic.search(m[0]) else "[INSTITUCION]"
         out.append(Rule(name, pattern, decide, groups, ends.get(name, True)))
     if lists["municipios"]:
         out.append(Rule("municipio", redact.any_name(lists, "municipios", rf"{redact.I}\b", r"\b", None), _places(lists), 0, bounded("municipios")))
@@ -288,7 +306,7 @@ def redacted(columns: list[pa.Array], fields: list[str], lists_json: str) -> tup
         changed, new = [], []
         for i, text in zip(at.tolist(), texts.take(pa.array(at)).to_pylist(), strict=True):
             before = len(events)
-            after = rule.rewritten(text, events.append)
+            after = rule.rewritten(text, events.append, wide[i])
             if after is not text:
                 changed.append(i)
                 new.append(after)
@@ -320,7 +338,9 @@ def redacted(columns: list[pa.Array], fields: list[str], lists_json: str) -> tup
 def _abbreviations(table_json: str):
     table = json.loads(table_json)
     pattern = rf"(?iU)\b{X.one_of(list(table), re.escape, re.escape)}\b"
-    return {a.lower(): b for a, b in table.items()}, compiled(pattern), sieve(pattern, all(re.fullmatch(r"[^\W_](?s:.*[^\W_])?", a) for a in table))
+    # Keys of letters and digits stand between borders of words where a word is one of them.
+    words = re.compile(r"\w+") if all(re.fullmatch("[a-z0-9]+", a) for a in table) else None
+    return {a.lower(): b for a, b in table.items()}, compiled(pattern), words, sieve(pattern, all(re.fullmatch(r"[^\W_](?s:.*[^\W_])?", a) for a in table))
 
 
 def expanded(columns: list[pa.Array], table_json: str) -> tuple[list[pa.Array], pa.ListArray]:
@@ -329,13 +349,14 @@ def expanded(columns: list[pa.Array], table_json: str) -> tuple[list[pa.Array],
     # Nulls stay.
     whole = pa.concat_arrays([c.cast(TEXT) for c in columns])
     texts = _without_marks(texts_of(whole))
-    table, pattern, through = _abbreviations(table_json)
+    table, pattern, words, through = _abbreviations(table_json)
     found: dict[int, set[str]] = {}
     changed, new = [], []
-    at = _passed(texts, through, _wide(texts)) if table else np.arange(0)
+    wide = _wide(texts)
+    at = _passed(texts, through, wide) if table else np.arange(0)
     for i, text in zip(at.tolist(), texts.take(pa.array(at)).to_pylist(), strict=True):
         seen, out, end = set(), [], 0
-        for m in pattern.finditer(text):
+        for m in pattern.finditer(text) if wide[i] or not words else (m for m in words.finditer(text.lower()) if m[0] in table):
             key = m[0].lower()
             if key not in seen:
                 seen.add(key)

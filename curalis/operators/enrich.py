@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import re
 from functools import reduce
 from operator import or_
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curalis.functions import fold
+from curalis.functions import batches, fold
 from curalis.functions import text as X
 from curalis.functions import values as V
 
@@ -44,10 +46,15 @@ def expand(text: Column, abbreviations: dict[str, str]) -> Column:
 def expand_fields(df: DataFrame, keys: list[str], abbreviations: dict[str, str] | None = None) -> DataFrame:
     """Each ``<key>_anon`` expanded in place, and ``abreviaturas``, the sorted keys found in any."""
     table = V.ABBREVIATIONS if abbreviations is None else abbreviations
-    for key in keys:
-        df = df.withColumn(f"__{key}", expand(F.col(f"{key}_anon"), table))
-    found = F.array_sort(F.array_distinct(F.flatten(F.array(*(F.col(f"__{key}.keys") for key in keys)))))
-    return df.withColumns({f"{key}_anon": F.col(f"__{key}.text") for key in keys} | {"abreviaturas": found}).drop(*(f"__{key}" for key in keys))
+    packed, names = json.dumps(table), [*(f"{key}_anon" for key in keys), "abreviaturas"]
+
+    @F.arrow_udf(", ".join(f"{n} string" for n in names[:-1]) + ", abreviaturas array<string>")
+    def expanded_texts(*texts: pa.Array) -> pa.Array:
+        done, found = batches.expanded(list(texts), packed)
+        return pa.StructArray.from_arrays([*done, found], names)
+
+    df = df.withColumn("__x", expanded_texts(*(F.col(n) for n in names[:-1])))
+    return df.withColumns({n: F.col(f"__x.{n}") for n in names}).drop("__x")
 
 
 def _any(text: Column, patterns: list[str]) -> Column:
@@ -94,14 +101,18 @@ def _outcome(key: Column) -> Column:
     return fold.let(key, lambda t: F.coalesce(_first(t, V.OUTCOMES), F.lit(V.UNKNOWN)))
 
 
+LABELS = ("mecanismo_lesion", "region_anatomica", "desenlace")
+
+
 def classify(df: DataFrame) -> DataFrame:
-    r, e, s = (F.coalesce(f"{k}_anon", F.lit("")) for k in ("reason", "exam", "stay"))
-    body = F.concat(e, F.lit(" "), s)
-    # The keys of reason and body are computed once; that of both together is theirs with a space between.
-    df = df.withColumns({"__one": X.label_key(r), "__body": X.label_key(body)})
-    one, rest = F.col("__one"), F.col("__body")
-    labels = {"mecanismo_lesion": _mechanism(one, rest), "region_anatomica": _regions(X.strip(F.concat(one, F.lit(" "), rest))), "desenlace": _outcome(rest)}
-    return df.withColumns(labels).drop("__one", "__body")
+    """``mechanism``, ``regions`` and ``outcome`` of the fields, on batches of texts."""
+
+    @F.arrow_udf("mecanismo_lesion string, region_anatomica array<string>, desenlace string")
+    def labels_of(reason: pa.Array, exam: pa.Array, stay: pa.Array) -> pa.Array:
+        return pa.StructArray.from_arrays(batches.labelled(reason, exam, stay), list(LABELS))
+
+    df = df.withColumn("__labels", labels_of(*(F.col(f"{k}_anon") for k in ("reason", "exam", "stay"))))
+    return df.withColumns({n: F.col(f"__labels.{n}") for n in LABELS}).drop("__labels")
 
 
 def label_counts(df: DataFrame, column: str) -> DataFrame:

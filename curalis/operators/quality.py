@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import cache
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curalis.functions import text as X
+from curalis.functions import batches
 from curalis.functions import values as V
 from curalis.sources import store
 
@@ -22,22 +24,37 @@ def names_where(tests: dict[str, Column]) -> Column:
     return F.array_compact(F.array(*(F.when(test, F.lit(name)) for name, test in tests.items())))
 
 
+@cache
+def _in_batches(exported: bool):
+    """Column functions of texts, computed on batches: clean fields, a matching key, whether clean fields end in a function word."""
+
+    @F.arrow_udf(", ".join(f"{k} string" for k in KEYS))
+    def clean_texts(*texts: pa.Array) -> pa.Array:
+        return pa.StructArray.from_arrays([batches.cleaned(t, exported).cast(pa.string()) for t in texts], list(KEYS))
+
+    @F.arrow_udf("string")
+    def match_key(text: pa.Array) -> pa.Array:
+        return batches.match_keys(text)
+
+    @F.arrow_udf("boolean")
+    def ends_open(text: pa.Array) -> pa.Array:
+        return batches.ends_open(text)
+
+    return clean_texts, match_key, ends_open
+
+
 def normalise(notes: DataFrame, exported: bool = True) -> DataFrame:
     """Cleaned fields (of an export or not: ``text.clean``), their concatenation, its matching key, and the age unit."""
-    # One expression for all fields: it is built and analysed once.
-    df = notes.withColumn("__clean", F.transform(F.array(*(F.col(k).cast("string") for k in KEYS)), lambda t: X.clean(t, exported)))
-    df = df.withColumns({f"{k}_clean": F.get("__clean", F.lit(i)) for i, k in enumerate(KEYS)}).drop("__clean")
-    joined = F.array_join(F.filter(F.array(*(f"{k}_clean" for k in KEYS)), lambda x: x != ""), " \n")
-    df = df.withColumn("text_concat", joined)
-    unit = X.match_key(F.coalesce("unit", F.lit("")))
-    return df.withColumns({"text_norm": X.match_key(F.col("text_concat")), "es_pediatrico": unit == "meses", "unidad_edad": F.nullif(unit, F.lit(""))})
+    clean_texts, match_key, _ = _in_batches(exported)
+    df = notes.withColumn("__clean", clean_texts(*(F.col(k).cast("string") for k in KEYS)))
+    df = df.withColumns({f"{k}_clean": F.col(f"__clean.{k}") for k in KEYS}).drop("__clean")
+    df = df.withColumn("text_concat", F.concat_ws(" \n", *(F.nullif(f"{k}_clean", F.lit("")) for k in KEYS)))
+    unit = match_key(F.coalesce("unit", F.lit("")))
+    return df.withColumns({"text_norm": match_key(F.col("text_concat")), "es_pediatrico": unit == "meses", "unidad_edad": F.nullif(unit, F.lit(""))})
 
 
 def truncated(key: str) -> Column:
-    # What follows the last space, and of that what follows other white space: most texts need not be split.
-    last = F.element_at(F.split(F.substring_index(f"{key}_clean", " ", -1), r"(?U)\s+"), -1)
-    word = X.sub(X.match_key(last), "^[,;:-]+|[,;:-]+$", "")
-    cut = word.isin(V.FUNCTION_WORDS)
+    cut = _in_batches(True)[2](F.col(f"{key}_clean"))
     if KEYS[key] in V.CAPPED:
         cut = (F.length(F.coalesce(key, F.lit(""))) >= V.CAP) | cut
     return (F.col(f"{key}_clean") != "") & cut

@@ -53,6 +53,7 @@ def test_sieves_let_pass_what_patterns_find():
         passed = batches._found(column, rule.sieve)
         hits = [any(True for _ in rule.search(t)) for t in texts]
         assert any(hits) and all(p for p, h in zip(passed, hits, strict=True) if h), rule.name
+        assert all([m.span() for m in rule.search(t)] == [m.span() for m in rule.search(t, False)] for t in texts), rule.name
     assert batches.sieve(r"\ba(?!\s*(?:b|c\)))d\b") and batches.sieve("ſ") is None
 
 
@@ -62,3 +63,37 @@ def test_redaction_needs_no_flags(spark, monkeypatch, name):
     monkeypatch.setattr(quality, "flags", None)
     plan = catalog.QUERIES[name](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("rewritten_texts(") == plan.count("ArrowEvalPython [rewritten_texts(") == 1
+
+
+def test_cleaning_and_keys_in_batches(spark):
+    from curalis.functions import text as X
+
+    texts = _texts(1500, 3)
+    df = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
+    for exported in (True, False):
+        got = batches.cleaned(pa.array(texts, pa.string()), exported).to_pylist()
+        assert got == [r[0] for r in df.select(X.clean(F.col("t"), exported)).collect()]
+    want = df.select(X.match_key(F.col("t")), X.label_key(F.coalesce("t", F.lit("")))).collect()
+    assert batches.match_keys(pa.array(texts, pa.string())).to_pylist() == [r[0] for r in want]
+    assert [batches.label_key(t or "") for t in texts] == [r[1] for r in want]
+    ends = ["de", "sala de", "según", "x MÁS", "con,", ",;-el-", "adel", "", "a\nlos", "dè", "ộ de", "desde.", "x del :"]
+    assert batches.ends_open(pa.array(ends)).to_pylist() == [True, True, False, True, True, True, False, False, True, True, True, False, False]
+
+
+def test_expansion_and_labels_in_batches(spark):
+    """As the expressions; what flags, labels and expansions are made of is computed on batches."""
+    from curalis.operators import enrich
+    from curalis.plans import pipeline as P
+
+    texts = [None, "", *(batches._clean(t, True) for t in _texts(600, 4)[2:])]
+    df = spark.createDataFrame([("", t, texts[i - 1]) for i, t in enumerate(texts)], "reason_anon string, exam_anon string, stay_anon string").coalesce(1)
+    for table in (V.ABBREVIATIONS, {"c.e": "x", "tac": "y"}, {}):
+        want = [r[0] for r in df.select(enrich.expand(F.col("exam_anon"), table)).collect()]
+        got = enrich.expand_fields(df.select("exam_anon"), ["exam"], table).collect()
+        assert [(r.exam_anon, r.abreviaturas) for r in got] == [(w.text, sorted(w["keys"])) for w in want]
+    e, s = (F.coalesce(c, F.lit("")) for c in ("exam_anon", "stay_anon"))
+    body = F.concat(e, F.lit(" "), s)
+    want = df.select(enrich.mechanism(F.lit(""), body), enrich.regions(body), enrich.outcome(body)).collect()
+    assert [tuple(r[3:]) for r in enrich.classify(df).collect()] == [tuple(r) for r in want]
+    plan = P.labelled(catalog.a(spark, DATA))._jdf.queryExecution().optimizedPlan().toString()
+    assert {step: plan.count(f"{step}(") for step in ("clean_texts", "rewritten_texts", "expanded_texts", "labels_of")} == dict(clean_texts=1, rewritten_texts=1, expanded_texts=1, labels_of=1)
